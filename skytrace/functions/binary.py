@@ -8,6 +8,8 @@ character-wise in Spark and must not be used for byte swapping.)
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -58,7 +60,7 @@ def ubx_length_compat(hx: Column) -> Column:
 
 def fletcher8(hx: Column, n: Column) -> Column:
     """8-bit Fletcher sums over the first ``n`` bytes -> struct(a, b) (RFC 1145 style)."""
-    idx = F.sequence(F.lit(0), F.least(n, F.lit(MAX_LINE)) - 1)
+    idx = F.sequence(F.lit(0), (F.least(n, F.lit(MAX_LINE)) - 1).cast("int"))
 
     def step(acc, i):
         x = byte_at(hx, i)
@@ -101,3 +103,59 @@ def le_hex(value: Column, wire: str) -> Column:
     u = F.pmod(value.cast("bigint"), F.lit(1 << (8 * n)))
     be = F.lpad(F.hex(u), 2 * n, "0")
     return F.concat(*[F.substr(be, F.lit(2 * k + 1), F.lit(2)) for k in reversed(range(n))]) if n > 1 else be
+
+
+def _checksum_batch(body):
+    """Vectorised Fletcher check over an Arrow batch of UBX bodies (NULL -> NULL)."""
+    n = len(body)
+    present = body.notna().to_numpy()
+    out = np.zeros(n, dtype=bool)
+    if not present.any():
+        return pd.Series([None] * n, dtype="object")
+    items = [bytes(b[:MAX_LINE]) for b in body[present]]
+    k = len(items)
+    lens = np.fromiter((len(b) for b in items), dtype=np.int64, count=k)
+    buf = np.zeros((k, MAX_LINE), dtype=np.int64)
+    flat = np.frombuffer(b"".join(items), dtype=np.uint8)
+    rows = np.repeat(np.arange(k), lens)
+    cols = np.arange(len(flat)) - np.repeat(np.cumsum(lens) - lens, lens)
+    buf[rows, cols] = flat
+    lo, hi = buf[:, 2], buf[:, 3]
+    length = ((hi - (lo >= 128)) * 256 + lo) % 65536          # signed low byte, as the reference
+    valid = length + 6 <= MAX_LINE
+    m = np.where(valid, length + 4, 0)
+    j = np.arange(MAX_LINE)
+    mask = j[None, :] < m[:, None]
+    a = (buf * mask).sum(axis=1) % 256
+    b = (buf * mask * (m[:, None] - j[None, :])).sum(axis=1) % 256
+    r = np.arange(k)
+    ck_a = buf[r, np.clip(length + 4, 0, MAX_LINE - 1)]
+    ck_b = buf[r, np.clip(length + 5, 0, MAX_LINE - 1)]
+    out[present] = valid & (a == ck_a) & (b == ck_b)
+    res = pd.Series(out, dtype="object")
+    res[~present] = None
+    return res
+
+
+def ubx_checksum_ok_vectorized(body: Column) -> Column:
+    """Same result as :func:`ubx_checksum_ok`, computed by an Arrow-batched pandas UDF.
+
+    The Fletcher sums are a per-byte recurrence that Spark can only express with interpreted
+    higher-order functions; a numpy pass over a whole Arrow batch is about 10x faster here
+    (see README, "checksum"). Only the body column crosses to Python.
+    """
+    return _checksum_udf()(body)
+
+
+def _check_batch(b: pd.Series) -> pd.Series:
+    return _checksum_batch(b)
+
+
+_UDF_CACHE: dict = {}
+
+
+def _checksum_udf():
+    """The pandas UDF is created on first use (creating it needs an active session)."""
+    if "ck" not in _UDF_CACHE:
+        _UDF_CACHE["ck"] = F.pandas_udf(_check_batch, "boolean")
+    return _UDF_CACHE["ck"]

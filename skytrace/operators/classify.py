@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.binary import ubx_checksum_ok
+from ..functions.binary import ubx_checksum_ok, ubx_checksum_ok_vectorized
 from ..functions.fields import NMEA_MESSAGES, UBX_IDS, UBX_NAV_CLASS
 from ..functions.text import latin1
 
@@ -39,17 +39,27 @@ def match_message(protocol: Column, body: Column) -> Column:
     return F.when(protocol == "NMEA", nmea_message(body)).when(protocol == "UBX", ubx_message(body))
 
 
-def classify(frames: DataFrame, compat: bool = True) -> DataFrame:
+def classify(frames: DataFrame, compat: bool = True, checksum: str = "vectorized") -> DataFrame:
     """Add ``message`` and ``parse_result`` (OK | NO_MATCH | CHECKSUM) to complete frames.
 
     NMEA sentences never fail (their checksum is not verified); a UBX frame fails with
-    CHECKSUM when its Fletcher checksum does not match. Frames whose status is not OK
+    CHECKSUM when its Fletcher checksum does not match. ``checksum``: "vectorized" (Arrow
+    batched pandas UDF, default) or "expression" (pure JVM higher-order functions). Frames whose status is not OK
     (no frame / incomplete) keep NULL in both columns.
     """
     ok = F.col("status") == "OK"
     msg = F.when(ok, match_message(F.col("protocol"), F.col("body")))
+    ubx = (F.col("protocol") == "UBX") & F.col("message").isNotNull()
+    if checksum == "vectorized" and compat:
+        # only matched UBX bodies cross to Python
+        ck_ok = F.col("_ck_ok")
+    else:
+        ck_ok = ubx_checksum_ok(F.col("body"), compat)
     result = (F.when(~ok, F.lit(None).cast("string"))
               .when(F.col("message").isNull(), F.lit("NO_MATCH"))
-              .when((F.col("protocol") == "UBX") & ~ubx_checksum_ok(F.col("body"), compat), F.lit("CHECKSUM"))
+              .when(ubx & ~ck_ok, F.lit("CHECKSUM"))
               .otherwise(F.lit("OK")))
-    return frames.withColumn("message", msg).withColumn("parse_result", result)
+    out = frames.withColumn("message", msg)
+    if checksum == "vectorized" and compat:
+        out = out.withColumn("_ck_ok", ubx_checksum_ok_vectorized(F.when(ubx, F.col("body"))))
+    return out.withColumn("parse_result", result).drop("_ck_ok")

@@ -1,7 +1,7 @@
 """Typed decoding of the nine message types with native column expressions.
 
 UBX fields come from the field table (offset, wire type, scale); NMEA fields from the
-comma tokens. Unused columns are pruned by Catalyst because each field is an independent
+comma tokens. The expressions are generated as SQL text (``functions.sqltext``). Unused columns are pruned by Catalyst because each field is an independent
 expression: selecting two columns of NAV_PVT evaluates two slices, not 31.
 """
 
@@ -10,68 +10,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import fields as FT
-from ..functions.binary import le_int, padded_hex
-from ..functions.names import fix_state_name
-from ..functions.text import (deg_min_to_deg, first_char, integer_prefix_u8, latin1, numeric_prefix,
-                              time_field, token, tokenize)
+from ..functions import sqltext
 
 KEY_COLUMNS = ["device_id", "seq", "_timestamp"]
 
 
-def ubx_columns(message: str, body: Column, compat: bool = True) -> list[Column]:
-    """Decoded columns of one UBX message, in output order."""
-    hx = padded_hex(body)
-    raw = {}
-    for f in FT.UBX_FIELDS[message]:
-        wire = f.wire
-        if not compat and message == "NAV_PVT" and f.name in FT.PVT_SPEC_WIDTH:
-            wire = FT.PVT_SPEC_WIDTH[f.name]
-        raw[f.name] = le_int(hx, 4 + f.offset, wire)
-    val = {}
-    for f in FT.UBX_FIELDS[message]:
-        r = raw[f.name]
-        if f.kind == "int":
-            val[f.name] = r.cast(FT.spark_type(message, f.name))
-        elif f.kind == "trunc":
-            # scaled value stored back into an unsigned integer: truncation toward zero
-            val[f.name] = (r.cast("double") * F.lit(f.scale)).cast("bigint")
-        else:
-            val[f.name] = r.cast("double") * F.lit(f.scale)
-    for main, hp in FT.HP_ADD.get(message, []):
-        val[main] = val[main] + val[hp]
-    cols = [val[f.name].alias(f.name) for f in FT.UBX_FIELDS[message]]
-    if not compat and message == "NAV_HPPOSECEF":
-        cols.append((raw["pAcc"].cast("double") * F.lit(1e-4)).alias("pAcc_m"))
-    return cols
-
-
-def nmea_columns(message: str, body: Column) -> list[Column]:
-    """Decoded columns of one NMEA sentence, in output order."""
-    line = latin1(body)
-    toks = tokenize(line)
-    val = {}
-    for name, k, kind in FT.NMEA_FIELDS[message]:
-        t = token(toks, k)
-        if kind == "time":
-            val[name] = F.when(t.isNotNull(), time_field(line))
-        elif kind == "deg":
-            val[name] = deg_min_to_deg(numeric_prefix(t))
-        elif kind == "char":
-            val[name] = first_char(toks, k)
-        elif kind == "int":
-            val[name] = integer_prefix_u8(t)
-        else:
-            val[name] = numeric_prefix(t)
-    if message == "GGA":
-        val["fix_state"] = fix_state_name(val["fix"])
-    return [val[c].cast(FT.spark_type(message, c)).alias(c) for c in FT.NMEA_COLUMNS[message]]
-
-
 def message_columns(message: str, body: Column, compat: bool = True) -> list[Column]:
-    if message in FT.UBX_FIELDS:
-        return ubx_columns(message, body, compat)
-    return nmea_columns(message, body)
+    """Decoded columns of one message, in output order (``body`` must be the column ``body``)."""
+    return [F.expr(sql).alias(name) for name, sql in sqltext.values(message, compat).items()]
 
 
 def decode(classified: DataFrame, message: str, compat: bool = True) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fields as FT
-from .reshape import pack_record
+from .reshape import pack_fields, pack_record
 from .thinning import downsample_rate
 
 
@@ -26,13 +26,29 @@ def pack_build(classified: DataFrame, pack_us: int, rate_hz: float = 0, compat:
     if rate_hz:
         ok = downsample_rate(ok, rate_hz)
     ok = ok.withColumn("pack_id", F.floor(F.col("ts_us") / F.lit(pack_us)).cast("bigint"))
-    aggs = []
+    # one narrow branch per message fills its own list column (small expressions, pruned
+    # partitions on a message-partitioned lake); one groupBy builds all nine lists
+    branches = []
     for m in FT.ALL_MESSAGES:
-        rec = pack_record(m, F.col("body"), F.col("ts_us"), compat)
-        item = F.when(F.col("message") == m, F.struct(F.col("seq").alias("seq"), rec.alias("rec")))
-        lst = F.sort_array(F.collect_list(item))
-        aggs.append(F.transform(lst, lambda x: x["rec"]).alias(FT.PACK_LIST[m]))
-    return ok.groupBy("device_id", "pack_id").agg(*aggs)
+        cols = [F.col("device_id"), F.col("pack_id")]
+        for other in FT.ALL_MESSAGES:
+            if other == m:
+                rec = pack_record(m, F.col("body"), F.col("ts_us"), compat)
+                cols.append(F.struct(F.col("seq").alias("seq"), rec.alias("rec")).alias(FT.PACK_LIST[other]))
+            else:
+                cols.append(F.lit(None).cast(_item_type(other)).alias(FT.PACK_LIST[other]))
+        branches.append(ok.filter(F.col("message") == m).select(*cols))
+    items = branches[0]
+    for b_ in branches[1:]:
+        items = items.unionByName(b_)
+    aggs = [F.transform(F.sort_array(F.collect_list(FT.PACK_LIST[m])), lambda x: x["rec"]).alias(FT.PACK_LIST[m])
+            for m in FT.ALL_MESSAGES]
+    return items.groupBy("device_id", "pack_id").agg(*aggs)
+
+
+def _item_type(message: str) -> str:
+    fields = ", ".join(f"`{n}`: {t}" for n, t in [("_inner_timestamp", "bigint")] + pack_fields(message))
+    return f"struct<seq: bigint, rec: struct<{fields}>>"
 
 
 def pack_explode(packs: DataFrame, message: str) -> DataFrame:
@@ -44,12 +60,11 @@ def pack_explode(packs: DataFrame, message: str) -> DataFrame:
 
 def pack_entries(packs: DataFrame) -> DataFrame:
     """All list entries as ``(device_id, pack_id, message, pos, _inner_timestamp)``."""
-    parts = []
-    for m in FT.ALL_MESSAGES:
-        lst = FT.PACK_LIST[m]
-        parts.append(F.transform(F.col(lst), lambda r, i, m=m: F.struct(
-            F.lit(m).alias("message"), i.cast("bigint").alias("pos"),
-            r["_inner_timestamp"].alias("_inner_timestamp"))))
+    def entry(m):
+        return lambda r, i: F.struct(F.lit(m).alias("message"), i.cast("bigint").alias("pos"),
+                                     r["_inner_timestamp"].alias("_inner_timestamp"))
+
+    parts = [F.transform(F.col(FT.PACK_LIST[m]), entry(m)) for m in FT.ALL_MESSAGES]
     return (packs.select("device_id", "pack_id", F.inline(F.concat(*parts)))
             .select("device_id", "pack_id", "message", "pos", "_inner_timestamp"))
 

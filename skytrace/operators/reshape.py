@@ -5,9 +5,8 @@ widened to BIGINT (unsigned) / INT (signed) / DOUBLE, and the high-precision par
 two HP messages are integer fields there, so their sub-unit values truncate to 0. The GGA
 hemisphere letters and the GSA mode letter are kept (documented deviation).
 
-The long series are produced in ONE pass over the frame table: a CASE on the message picks
-the message's array of (field, value) structs and ``inline`` explodes it. No per-message
-scans, no union of nine plans, no shuffle.
+The long series are one narrow branch per message over a frame lake partitioned by
+message (partition pruning: each branch reads its own partition), no shuffle.
 """
 
 from __future__ import annotations
@@ -16,8 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fields as FT
-from ..functions.names import fix_state_name
-from .decode import message_columns
+from ..functions import sqltext
 
 _PACK_TYPE = {"u4": "bigint", "u2": "bigint", "u1": "bigint", "i4": "int", "i2": "int", "i1": "int"}
 
@@ -48,35 +46,45 @@ def pack_fields(message: str) -> list[tuple[str, str]]:
     return out
 
 
-def pack_record(message: str, body: Column, ts: Column, compat: bool = True) -> Column:
-    """struct(_inner_timestamp, <pack fields>) for one frame of ``message``."""
-    vals = dict(zip(FT.columns(message), message_columns(message, body, compat)))
-    cols = [ts.cast("bigint").alias("_inner_timestamp")]
+def pack_values(message: str, compat: bool = True) -> dict[str, str]:
+    """SQL of every pack field, pack-typed (``_inner_timestamp`` first)."""
+    vals = sqltext.values(message, compat)
+    out = {"_inner_timestamp": "CAST(ts_us AS BIGINT)"}
     for name, t in pack_fields(message):
-        cols.append(vals[name].cast(t).alias(name))
-    return F.struct(*cols)
+        out[name] = f"CAST({vals[name]} AS {t.upper()})"
+    return out
+
 
+def pack_record(message: str, body: Column = None, ts: Column = None, compat: bool = True) -> Column:
+    """struct(_inner_timestamp, <pack fields>) of a frame of ``message`` (columns body, ts_us)."""
+    vals = pack_values(message, compat)
+    return F.expr("named_struct(" + ", ".join(f"{sqltext.lit(n)}, {v}" for n, v in vals.items()) + ")")
 
-def _series_items(message: str, rec: Column, kind: str) -> list[Column]:
-    """(field, value) structs of one record for signals / strings / enums."""
+
+def _series_items(message: str, rec: dict, kind: str) -> list[str]:
+    """SQL ``named_struct(field, value)`` items of one record for signals / strings / enums."""
     items = []
+
+    def item(name, v):
+        return f"named_struct('field', {sqltext.lit(name)}, 'value', {v})"
+
     if kind == "signals":
-        items.append(F.struct(F.lit("_timestamp").alias("field"), rec["_inner_timestamp"].cast("double").alias("value")))
+        items.append(item("_timestamp", f"CAST({rec['_inner_timestamp']} AS DOUBLE)"))
         for name, t in pack_fields(message):
             if t != "string":
-                items.append(F.struct(F.lit(name).alias("field"), rec[name].cast("double").alias("value")))
+                items.append(item(name, f"CAST({rec[name]} AS DOUBLE)"))
     elif kind == "strings":
         for name in FT.SERIES_STRINGS.get(message, []):
             if name == "fix_state":
-                v = fix_state_name(rec["fix"])
+                v = sqltext.fix_state_name(rec["fix"])
             elif name == "time":
-                v = F.substring(rec["time"], 1, 9)
+                v = f"substring({rec['time']}, 1, 9)"
             else:
                 v = rec[name]
-            items.append(F.struct(F.lit(name).alias("field"), v.cast("string").alias("value")))
+            items.append(item(name, f"CAST({v} AS STRING)"))
     else:
         for name, src in FT.SERIES_ENUMS.get(message, []):
-            items.append(F.struct(F.lit(name).alias("field"), rec[src].cast("bigint").alias("value")))
+            items.append(item(name, f"CAST({rec[src]} AS BIGINT)"))
     return items
 
 
@@ -87,26 +95,27 @@ def series_long(classified: DataFrame, kind: str = "signals", compat: bool = Tru
     ``kind``: ``signals`` (DOUBLE, `_timestamp` included), ``strings`` or ``enums`` (BIGINT).
     ``message`` carries the short series label (GGA ... VELNED without ``NAV_``); ``idx`` is
     the frame's arrival key ``seq``.
+
+    One narrow branch per message (filter -> decode -> ``inline`` of its (field, value)
+    array), unioned. On a frame lake partitioned by ``message`` each branch reads only its
+    own partition, so the whole reshape reads the data once and every branch keeps a small,
+    code-generated expression.
     """
     messages = messages or FT.ALL_MESSAGES
-    ok = classified.filter(F.col("parse_result") == "OK")
-    arr = None
+    parts = []
     for m in messages:
-        items = _series_items(m, pack_record(m, F.col("body"), F.col("ts_us"), compat), kind)
+        items = _series_items(m, pack_values(m, compat), kind)
         if not items:
             continue
-        hit = F.col("message") == m
-        a = F.array(*items)
-        arr = F.when(hit, a) if arr is None else arr.when(hit, a)
-    label = None
-    for m in messages:
-        hit = F.col("message") == m
-        lab = F.lit(FT.SERIES_LABEL[m])
-        label = F.when(hit, lab) if label is None else label.when(hit, lab)
-    rows = ok.filter(F.col("message").isin(*messages)).select(
-        "device_id", label.alias("message"), F.col("seq").alias("idx"), arr.alias("_items"))
-    return rows.filter(F.col("_items").isNotNull()).select(
-        "device_id", "message", "idx", F.inline("_items")).select("device_id", "message", "field", "idx", "value")
+        branch = (classified.filter((F.col("message") == m) & (F.col("parse_result") == "OK"))
+                  .select("device_id", F.lit(FT.SERIES_LABEL[m]).alias("message"), F.col("seq").alias("idx"),
+                          F.expr("inline(array(" + ", ".join(items) + "))")))
+                  .select("device_id", "message", "field", "idx", "value"))
+        parts.append(branch)
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out
 
 
 def series_pivot(series: DataFrame, message: str) -> DataFrame:

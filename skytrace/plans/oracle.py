@@ -217,7 +217,7 @@ def _ok(message: str) -> str:
 
 def decode_sql(message: str) -> str:
     cols = ", ".join(f"{sql} AS \"{name}\"" for name, sql in expected(message))
-    return f"{BASE}\nSELECT device_id, e AS seq, ts_us AS _timestamp, {cols} FROM ({_parse_base()}) x WHERE {_ok(message)}"
+    return f"WITH {BASE}\nSELECT device_id, e AS seq, ts_us AS _timestamp, {cols} FROM ({_parse_base()}) x WHERE {_ok(message)}"
 
 
 def _parse_base() -> str:
@@ -258,7 +258,8 @@ def thin_sql(gap_us: int, keys: list[str], where: str = "TRUE") -> str:
 s AS (SELECT device_id, (CASE slot {' '.join(f"WHEN {v} THEN '{k}'" for k, v in SLOT.items())} END) AS message,
              e AS seq, ts_us FROM pb WHERE {where}),
 t AS (SELECT *, ts_us + {gap_us} AS target FROM s),
-nx AS (SELECT a.{kcols.replace(', ', ', a.')}, a.seq, b.seq AS nseq FROM t a ASOF LEFT JOIN s b ON {on} AND b.ts_us >= a.target),
+nx AS (SELECT a.{kcols.replace(', ', ', a.')}, a.seq, min(b.seq) AS nseq FROM t a LEFT JOIN s b ON {on} AND b.ts_us >= a.target
+        GROUP BY a.{kcols.replace(', ', ', a.')}, a.seq),
 st AS (SELECT {kcols}, min(seq) AS seq FROM s WHERE ts_us >= {gap_us} GROUP BY {kcols}),
 chain AS (
   SELECT {kcols}, seq FROM st

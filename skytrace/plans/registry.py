@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import fields as FT
-from ..functions.binary import le_int, padded_hex, ubx_checksum_ok, ubx_header
+from ..functions.binary import le_int, padded_hex, ubx_checksum_ok_vectorized, ubx_header
 from ..functions.names import fix_mode_name, message_code, message_name, parse_result_name
 from ..functions.text import deg_min_to_deg, latin1, numeric_prefix, token, tokenize
 from ..operators.classify import classify
@@ -43,14 +43,45 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/events.parquet")
 
 
+_FRAME_TABLES: dict[tuple[str, str], str] = {}
+
+
 def frames(spark: SparkSession, sf: str) -> DataFrame:
-    return frames_from_events(events(spark, sf))
+    """The frame table derived from ``events``, written once per session to the shared folder.
+
+    Every operator starts from a frame table; materialising the derived one keeps each
+    query's plan to the operator itself and cuts the lineage back to ``events``.
+    """
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"))
+    path = _FRAME_TABLES.get(key)
+    if path is None:
+        path = scratch_path(spark, "frames")
+        frames_from_events(events(spark, sf)).write.mode("overwrite").parquet(path)
+        _FRAME_TABLES[key] = path
+    return spark.read.parquet(path)
 
 
 def classified(spark: SparkSession, sf: str) -> DataFrame:
     return classify(frames(spark, sf))
 
 
+_LAKES: dict[tuple[str, str], str] = {}
+
+
+def lake(spark: SparkSession, sf: str) -> DataFrame:
+    """Classified OK frames written once per session, partitioned by message.
+
+    Per-message operators (reshape, packs, CSV fan-out) read it with partition pruning.
+    """
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"))
+    path = _LAKES.get(key)
+    if path is None:
+        path = scratch_path(spark, "lake")
+        write_frame_lake(classified(spark, sf), path)
+        _LAKES[key] = path
+    return spark.read.parquet(path)
+
+
 # --------------------------------------------------------------------- classify / report
 def q_decode_quality(spark, sf):
     return decode_quality(classified(spark, sf))
@@ -79,7 +110,7 @@ def q_match_unsupported(spark, sf):
 def q_ubx_checksum(spark, sf):
     c = frames(spark, sf).filter(F.col("protocol") == "UBX")
     return c.select("device_id", "seq", ubx_header(F.col("body"))["length"].cast("bigint").alias("length"),
-                    ubx_checksum_ok(F.col("body")).alias("checksum_ok"))
+                    ubx_checksum_ok_vectorized(F.col("body")).alias("checksum_ok"))
 
 
 def q_ubx_header(spark, sf):
@@ -241,49 +272,49 @@ def q_elapsed_us(spark, sf):
 
 
 def q_signals_long(spark, sf):
-    return series_long(classified(spark, sf), "signals")
+    return series_long(lake(spark, sf), "signals")
 
 
 def q_strings_long(spark, sf):
-    return series_long(classified(spark, sf), "strings")
+    return series_long(lake(spark, sf), "strings")
 
 
 def q_enums_long(spark, sf):
-    return series_long(classified(spark, sf), "enums")
+    return series_long(lake(spark, sf), "enums")
 
 
 def q_series_pivot(spark, sf):
-    return series_pivot(series_long(classified(spark, sf), "signals", messages=["NAV_DOP"]), "NAV_DOP")
+    return series_pivot(series_long(lake(spark, sf), "signals", messages=["NAV_DOP"]), "NAV_DOP")
 
 
 # ---------------------------------------------------------------------------------- packs
 def q_pack_sizes(spark, sf):
-    return pack_sizes(pack_build(classified(spark, sf), PACK_US))
+    return pack_sizes(pack_build(lake(spark, sf), PACK_US))
 
 
 def q_pack_build(spark, sf):
-    packs = pack_build(classified(spark, sf), PACK_US)
+    packs = pack_build(lake(spark, sf), PACK_US)
     parts = []
     for m in FT.ALL_MESSAGES:
         lst = F.col(FT.PACK_LIST[m])
         parts.append(F.struct(F.lit(m).alias("message"), F.size(lst).cast("bigint").alias("n"),
-                              F.element_at(lst, 1)["_inner_timestamp"].alias("first_ts"),
-                              F.element_at(lst, -1)["_inner_timestamp"].alias("last_ts")))
+                              F.try_element_at(lst, F.lit(1))["_inner_timestamp"].alias("first_ts"),
+                              F.try_element_at(lst, F.lit(-1))["_inner_timestamp"].alias("last_ts")))
     return (packs.select("device_id", "pack_id", F.inline(F.array(*parts)))
             .filter(F.col("n") > 0))
 
 
 def q_pack_explode(spark, sf):
     path = scratch_path(spark, "packs")
-    pack_build(classified(spark, sf), PACK_US).write.mode("overwrite").parquet(path)
+    pack_build(lake(spark, sf), PACK_US).write.mode("overwrite").parquet(path)
     return pack_entries(spark.read.parquet(path))
 
 
 # ---------------------------------------------------------------------------------- sinks
 def q_csv_fanout(spark, sf):
-    lake, out = scratch_path(spark, "lake"), scratch_path(spark, "csv")
-    write_frame_lake(classified(spark, sf), lake)
-    paths = csv_fanout(spark, lake, out)
+    out = scratch_path(spark, "csv")
+    lake(spark, sf)
+    paths = csv_fanout(spark, _LAKES[(spark.sparkContext.applicationId, sf.rstrip("/"))], out)
     counts = None
     for m, p in paths.items():
         c = (spark.read.option("header", True).option("sep", "\u0001").csv(p)
@@ -313,7 +344,8 @@ def _captures(spark, sf, name, raw: F.Column | None = None, cut_last: bool = Fal
         rec = F.when(last, F.expr("substring(_rec, 1, 18 + (octet_length(_rec) - 18) div 2)")).otherwise(F.col("_rec"))
         f = f.withColumn("_rec", capture_record(F.col("ts_us"), raw))
     d = scratch_path(spark, name)
-    recs = f.select(F.format_string("dev%d", F.col("device_id")).alias("capture_id"), "seq", rec.alias("record"))
+    recs = (f.select(F.format_string("dev%d", F.col("device_id")).alias("capture_id"), "seq", rec.alias("record"))
+            .filter(F.col("record").isNotNull()))
     write_captures(recs, d).collect()  # the writes run on the executors; only per-file stats return
     r = scan_captures(spark, d)
     return r.withColumn("device_id", F.regexp_extract("capture_id", r"(\d+)$", 1).cast("bigint"))
@@ -336,7 +368,7 @@ def q_deframe_truncate(spark, sf):
     raw = F.when(F.col("protocol") == "NMEA",
                  F.concat(F.col("start_seq"), F.col("body"), F.encode(F.concat(F.lit(","), pad), "ISO-8859-1"),
                           F.lit(bytes([13, 10]))))
-    d = deframe(_captures(spark, sf, "cap-trunc", raw=raw).filter(F.col("raw").isNotNull()))
+    d = deframe(_captures(spark, sf, "cap-trunc", raw=raw))
     return d.select("device_id", "rec_no", F.col("body_len").cast("bigint").alias("body_len"), "truncated", "status")
 
 

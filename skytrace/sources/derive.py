@@ -61,10 +61,13 @@ def _payload_hex(message: str) -> Column:
 
 
 def _ubx_hex(cls: int, mid: int, payload: Column, length: int) -> Column:
-    """class, id, LE length, payload, then the two Fletcher checksum bytes."""
+    """class, id, LE length and payload as hex (the checksum is appended once, later)."""
     head = F.lit(f"{cls:02X}{mid:02X}{length & 0xFF:02X}{length >> 8:02X}")
-    core = F.concat(head, payload)
-    sums = fletcher8(F.rpad(core, 600, "0"), F.lit(length + 4))
+    return F.concat(head, payload)
+
+
+def _with_checksum(core: Column) -> Column:
+    sums = fletcher8(F.rpad(core, 600, "0"), (F.length(core) / 2).cast("int"))
     return F.concat(core, F.lpad(F.hex(sums["a"]), 2, "0"), F.lpad(F.hex(sums["b"]), 2, "0"))
 
 
@@ -139,6 +142,7 @@ def frames_from_events(events: DataFrame) -> DataFrame:
     is_nmea = F.col("slot").isin(0, 1, 2, 10)
     out = (base
            .withColumn("h", ubx_hex)
+           .withColumn("h", _with_checksum(F.col("h")))
            .withColumn("h", F.when((F.col("e") % CORRUPT_EVERY == 0) & F.col("h").isNotNull(), corrupt)
                        .otherwise(F.col("h")))
            .withColumn("t", nmea_text)
