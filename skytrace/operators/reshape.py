@@ -109,7 +109,7 @@ def series_long(classified: DataFrame, kind: str = "signals", compat: bool = Tru
             continue
         branch = (classified.filter((F.col("message") == m) & (F.col("parse_result") == "OK"))
                   .select("device_id", F.lit(FT.SERIES_LABEL[m]).alias("message"), F.col("seq").alias("idx"),
-                          F.expr("inline(array(" + ", ".join(items) + "))")))
+                          F.expr("inline(array(" + ", ".join(items) + "))"))
                   .select("device_id", "message", "field", "idx", "value"))
         parts.append(branch)
     out = parts[0]

@@ -15,10 +15,11 @@ the expected decoded values from ``events`` without decoding bytes.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.binary import fletcher8, le_hex
 from ..functions.fields import PVT_SPEC_WIDTH, UBX_FIELDS, UBX_IDS, UBX_PAYLOAD_LEN, WIRE_BYTES
 
 SLOTS = ["GGA", "VTG", "GSA", "NAV_DOP", "NAV_PVT", "NAV_HPPOSECEF", "NAV_HPPOSLLH",
@@ -47,114 +48,117 @@ def wire_layout(message: str) -> list[tuple[str, int, str, str]]:
     return out
 
 
-def _payload_hex(message: str) -> Column:
+def _le_hex_sql(value_sql: str, wire: str) -> str:
+    n = WIRE_BYTES[wire]
+    be = f"lpad(hex(pmod(CAST({value_sql} AS BIGINT), {1 << (8 * n)})), {2 * n}, '0')"
+    if n == 1:
+        return be
+    return "concat(" + ", ".join(f"substr({be}, {2 * k + 1}, 2)" for k in reversed(range(n))) + ")"
+
+
+def _core_hex_sql(cls: int, mid: int, payload: list[str], length: int) -> str:
+    head = f"'{cls:02X}{mid:02X}{length & 0xFF:02X}{length >> 8:02X}'"
+    return "concat(" + ", ".join([head] + payload) + ")"
+
+
+def _payload_sql(message: str) -> list[str]:
     length = UBX_PAYLOAD_LEN[message]
     parts, pos = [], 0
     for _, off, wire, sql in sorted(wire_layout(message), key=lambda x: x[1]):
         if off > pos:
-            parts.append(F.lit("00" * (off - pos)))
-        parts.append(le_hex(F.expr(sql), wire))
+            parts.append("'" + "00" * (off - pos) + "'")
+        parts.append(_le_hex_sql(sql, wire))
         pos = off + WIRE_BYTES[wire]
     if length > pos:
-        parts.append(F.lit("00" * (length - pos)))
-    return F.concat(*parts)
-
-
-def _ubx_hex(cls: int, mid: int, payload: Column, length: int) -> Column:
-    """class, id, LE length and payload as hex (the checksum is appended once, later)."""
-    head = F.lit(f"{cls:02X}{mid:02X}{length & 0xFF:02X}{length >> 8:02X}")
-    return F.concat(head, payload)
-
-
-def _with_checksum(core: Column) -> Column:
-    sums = fletcher8(F.rpad(core, 600, "0"), (F.length(core) / 2).cast("int"))
-    return F.concat(core, F.lpad(F.hex(sums["a"]), 2, "0"), F.lpad(F.hex(sums["b"]), 2, "0"))
-
-
-def _nmea_checksum(text: Column) -> Column:
-    chars = F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.ascii(F.substring(text, i, 1)))
-    return F.lpad(F.upper(F.hex(F.aggregate(chars, F.lit(0), lambda a, c: a.bitwiseXOR(c)))), 2, "0")
-
-
-def _fmt(pattern: str, *cols: str) -> Column:
-    return F.format_string(pattern, *[F.expr(c) for c in cols])
-
-
-def _sentences() -> dict[str, Column]:
-    time_ = _fmt("%02d%02d%02d.%02d", "(ts_us div 3600000000) % 24", "(ts_us div 60000000) % 60",
-                 "(ts_us div 1000000) % 60", "(ts_us % 1000000) div 10000")
-    lat = _fmt("%02d%02d.%04d", "e % 90", "v % 60", "(e * 37) % 10000")
-    ns = F.expr("CASE WHEN e % 29 = 0 THEN '' WHEN e % 2 = 0 THEN 'N' ELSE 'S' END")
-    lon = _fmt("%03d%02d.%04d", "e % 180", "(v * 7) % 60", "(e * 53 + v) % 10000")
-    ew = F.expr("CASE WHEN (e div 2) % 2 = 0 THEN 'E' ELSE 'W' END")
-    age = F.expr("CASE WHEN e % 3 = 0 THEN '' ELSE format_string('%d.%d', e % 5, v % 10) END")
-    gga_full = F.concat_ws(",", F.lit("GGA"), time_, lat, ns, lon, ew, F.expr("cast(e % 7 as string)"),
-                           _fmt("%02d", "v % 13"), _fmt("%d.%d", "v % 10", "e % 10"),
-                           _fmt("%d.%d", "v", "e % 10"), F.lit("M"), F.lit("46.9"), F.lit("M"), age,
-                           F.lit("0000"))
-    gga_short = F.concat_ws(",", F.lit("GGA"), time_, lat, ns, lon)
-    gga = F.when(F.expr("e % 31 = 0"), gga_short).otherwise(gga_full)
-    vtg = F.concat_ws(",", F.lit("VTG"), _fmt("%d.%d", "v % 360", "e % 10"), F.lit("T"),
-                      _fmt("%d.%d", "(v + 13) % 360", "(e + 3) % 10"), F.lit("M"),
-                      _fmt("%d.%d", "v % 100", "e % 10"), F.lit("N"),
-                      _fmt("%d.%d", "v % 200", "(e + 7) % 10"), F.lit("K"), F.lit("A"))
-    sats = [F.expr(f"CASE WHEN (e + {j}) % 3 = 0 THEN '' ELSE format_string('%02d', (e + {j}) % 32) END")
-            for j in range(12)]
-    gsa = F.concat_ws(",", F.lit("GSA"),
-                      F.expr("CASE WHEN e % 37 = 0 THEN '' WHEN e % 2 = 0 THEN 'A' ELSE 'M' END"),
-                      F.expr("cast(e % 3 + 1 as string)"), *sats,
-                      _fmt("%d.%d", "v % 50", "e % 10"), _fmt("%d.%d", "(v + 1) % 50", "(e + 1) % 10"),
-                      _fmt("%d.%d", "(v + 2) % 50", "(e + 2) % 10"))
-    rmc = F.concat_ws(",", F.lit("RMC"), time_, F.lit("A"), lat, ns, lon, ew, F.lit("0.5"), F.lit("54.7"),
-                      F.lit("191194"), F.lit("020.3"), F.lit("E"))
-    return {"GGA": gga, "VTG": vtg, "GSA": gsa, "NMEA_OTHER": rmc}
+        parts.append("'" + "00" * (length - pos) + "'")
+    return parts
 
 
-def frames_from_events(events: DataFrame) -> DataFrame:
-    """Frame table ``(device_id, seq, ts_us, protocol, start_seq, body, body_len, truncated, status)``."""
-    base = events.select(
-        F.col("event_id").alias("e"),
-        F.col("user_id").alias("device_id"),
-        F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"),
-        F.round(F.col("value") * 100).cast("bigint").alias("v"),
-    ).withColumn("s", F.col("v") - 25000).withColumn("slot", F.col("e") % 11)
-
-    ubx_hex = None
+def _ubx_core_sql() -> str:
+    whens = []
     for k, name in enumerate(SLOTS):
         if name in UBX_IDS:
-            h = _ubx_hex(1, UBX_IDS[name], _payload_hex(name), UBX_PAYLOAD_LEN[name])
-        elif name == "UBX_OTHER":
-            other = F.concat(le_hex(F.col("e"), "u4"), le_hex(F.col("v"), "u4"))
-            h = F.when(F.col("e") % 2 == 0, _ubx_hex(1, 0x35, other, 8)).otherwise(_ubx_hex(2, 0x07, other, 8))
+            whens.append(f"WHEN {k} THEN {_core_hex_sql(1, UBX_IDS[name], _payload_sql(name), UBX_PAYLOAD_LEN[name])}")
+    other = [_le_hex_sql("e", "u4"), _le_hex_sql("v", "u4")]
+    whens.append(f"WHEN 9 THEN (CASE WHEN e % 2 = 0 THEN {_core_hex_sql(1, 0x35, other, 8)} "
+                 f"ELSE {_core_hex_sql(2, 0x07, other, 8)} END)")
+    return "(CASE slot " + " ".join(whens) + " END)"
+
+
+_TIME = ("format_string('%02d%02d%02d.%02d', (ts_us div 3600000000) % 24, (ts_us div 60000000) % 60, "
+         "(ts_us div 1000000) % 60, (ts_us % 1000000) div 10000)")
+_LAT = "format_string('%02d%02d.%04d', e % 90, v % 60, (e * 37) % 10000)"
+_NS = "(CASE WHEN e % 29 = 0 THEN '' WHEN e % 2 = 0 THEN 'N' ELSE 'S' END)"
+_LON = "format_string('%03d%02d.%04d', e % 180, (v * 7) % 60, (e * 53 + v) % 10000)"
+_EW = "(CASE WHEN (e div 2) % 2 = 0 THEN 'E' ELSE 'W' END)"
+_AGE = "(CASE WHEN e % 3 = 0 THEN '' ELSE format_string('%d.%d', e % 5, v % 10) END)"
+
+
+def _sentence_sql() -> str:
+    gga_full = (f"concat_ws(',', 'GGA', {_TIME}, {_LAT}, {_NS}, {_LON}, {_EW}, CAST(e % 7 AS STRING), "
+                f"format_string('%02d', v % 13), format_string('%d.%d', v % 10, e % 10), "
+                f"format_string('%d.%d', v, e % 10), 'M', '46.9', 'M', {_AGE}, '0000')")
+    gga_short = f"concat_ws(',', 'GGA', {_TIME}, {_LAT}, {_NS}, {_LON})"
+    vtg = ("concat_ws(',', 'VTG', format_string('%d.%d', v % 360, e % 10), 'T', "
+           "format_string('%d.%d', (v + 13) % 360, (e + 3) % 10), 'M', format_string('%d.%d', v % 100, e % 10), "
+           "'N', format_string('%d.%d', v % 200, (e + 7) % 10), 'K', 'A')")
+    sats = ", ".join(f"(CASE WHEN (e + {j}) % 3 = 0 THEN '' ELSE format_string('%02d', (e + {j}) % 32) END)"
+                     for j in range(12))
+    gsa = (f"concat_ws(',', 'GSA', (CASE WHEN e % 37 = 0 THEN '' WHEN e % 2 = 0 THEN 'A' ELSE 'M' END), "
+           f"CAST(e % 3 + 1 AS STRING), {sats}, format_string('%d.%d', v % 50, e % 10), "
+           f"format_string('%d.%d', (v + 1) % 50, (e + 1) % 10), format_string('%d.%d', (v + 2) % 50, (e + 2) % 10))")
+    rmc = (f"concat_ws(',', 'RMC', {_TIME}, 'A', {_LAT}, {_NS}, {_LON}, {_EW}, '0.5', '54.7', '191194', "
+           f"'020.3', 'E')")
+    return (f"(CASE slot WHEN 0 THEN (CASE WHEN e % 31 = 0 THEN {gga_short} ELSE {gga_full} END) "
+            f"WHEN 1 THEN {vtg} WHEN 2 THEN {gsa} WHEN 10 THEN {rmc} END)")
+
+
+def _trailer_batch(core: pd.Series, text: pd.Series) -> pd.Series:
+    """Per row: hex of the two UBX Fletcher bytes of ``core`` (hex), or of the NMEA XOR of ``text``."""
+    out = []
+    for c, t in zip(core, text):
+        if c is not None:
+            b = np.frombuffer(bytes.fromhex(c), dtype=np.uint8).astype(np.int64)
+            n = len(b)
+            a = int(b.sum() % 256)
+            w = int((b * (n - np.arange(n))).sum() % 256)
+            out.append(f"{a:02X}{w:02X}")
+        elif t is not None:
+            x = np.bitwise_xor.reduce(np.frombuffer(t.encode("latin-1"), dtype=np.uint8)) if t else 0
+            out.append(f"{int(x):02X}")
         else:
-            continue
-        ubx_hex = F.when(F.col("slot") == k, h) if ubx_hex is None else ubx_hex.when(F.col("slot") == k, h)
-    # corrupt the last checksum byte of every 97th UBX frame
-    corrupt = F.concat(F.expr("substring(h, 1, length(h) - 2)"),
-                       F.lpad(F.hex(F.pmod(F.conv(F.expr("substring(h, length(h) - 1, 2)"), 16, 10)
-                                           .cast("int") + 1, F.lit(256))), 2, "0"))
-    sent = _sentences()
-    nmea_text = None
-    for k, name in enumerate(SLOTS):
-        if name in sent:
-            c = F.when(F.col("slot") == k, sent[name])
-            nmea_text = c if nmea_text is None else nmea_text.when(F.col("slot") == k, sent[name])
-    is_nmea = F.col("slot").isin(0, 1, 2, 10)
-    out = (base
-           .withColumn("h", ubx_hex)
-           .withColumn("h", _with_checksum(F.col("h")))
-           .withColumn("h", F.when((F.col("e") % CORRUPT_EVERY == 0) & F.col("h").isNotNull(), corrupt)
-                       .otherwise(F.col("h")))
-           .withColumn("t", nmea_text)
-           .withColumn("t", F.concat(F.col("t"), F.lit("*"), _nmea_checksum(F.concat(F.lit("GP"), F.col("t")))))
-           .select(
-               "device_id",
-               F.col("e").alias("seq"),
-               "ts_us",
-               F.when(is_nmea, F.lit("NMEA")).otherwise(F.lit("UBX")).alias("protocol"),
-               F.when(is_nmea, F.lit(b"$GP")).otherwise(F.lit(bytes([0xB5, 0x62]))).alias("start_seq"),
-               F.when(is_nmea, F.encode(F.col("t"), "ISO-8859-1")).otherwise(F.unhex(F.col("h"))).alias("body"),
-           ))
-    return (out.withColumn("body_len", F.octet_length("body"))
-            .withColumn("truncated", F.lit(False))
-            .withColumn("status", F.lit("OK")))
+            out.append(None)
+    return pd.Series(out, dtype="object")
+
+
+_TRAILER: dict = {}
+
+
+def _trailer_udf():
+    if "t" not in _TRAILER:
+        _TRAILER["t"] = F.pandas_udf(_trailer_batch, "string")
+    return _TRAILER["t"]
+
+
+def frames_from_events(events: DataFrame) -> DataFrame:
+    """Frame table ``(device_id, seq, ts_us, protocol, start_seq, body, body_len, truncated, status)``.
+
+    A narrow projection written as SQL text, plus one Arrow-batched pass that appends the
+    checksum trailers (Fletcher bytes for UBX, XOR for NMEA).
+    """
+    base = events.selectExpr(
+        "event_id AS e", "user_id AS device_id", "unix_micros(CAST(ts AS TIMESTAMP)) AS ts_us",
+        "CAST(round(value * 100) AS BIGINT) AS v",
+    ).selectExpr("*", "v - 25000 AS s", "e % 11 AS slot")
+    staged = base.selectExpr("*", f"{_ubx_core_sql()} AS core", f"{_sentence_sql()} AS t")
+    staged = staged.withColumn("trailer", _trailer_udf()(F.col("core"), F.concat(F.lit("GP"), F.col("t"))))
+    is_nmea = "slot IN (0, 1, 2, 10)"
+    ck_b = ("lpad(hex(pmod(CAST(conv(substr(trailer, 3, 2), 16, 10) AS INT) + "
+            f"(CASE WHEN e % {CORRUPT_EVERY} = 0 THEN 1 ELSE 0 END), 256)), 2, '0')")
+    return staged.selectExpr(
+        "device_id", "e AS seq", "ts_us",
+        f"CASE WHEN {is_nmea} THEN 'NMEA' ELSE 'UBX' END AS protocol",
+        f"CASE WHEN {is_nmea} THEN X'244750' ELSE X'B562' END AS start_seq",
+        f"CASE WHEN {is_nmea} THEN encode(concat(t, '*', trailer), 'ISO-8859-1') "
+        f"ELSE unhex(concat(core, substr(trailer, 1, 2), {ck_b})) END AS body",
+    ).selectExpr("*", "octet_length(body) AS body_len", "false AS truncated", "'OK' AS status")
