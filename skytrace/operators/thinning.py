@@ -91,6 +91,7 @@ def _fold_runs(ts, starts, ends, init_last, has_init, gap):
             pos_of[rows] = np.arange(len(rows))
             r_init = has_init[idx]
             tgt = np.where(r_init, init_last[idx] + gap - first_ts[idx] + base[idx], base[idx])
+            tgt = np.maximum(tgt, base[idx])  # never search below the run's own start
             cur = np.searchsorted(seq_adj, tgt, side="left")
             end_pos = pos_of[ends[idx] - 1] + 1
             last_kept = np.where(r_init, init_last[idx], np.int64(-1))
