@@ -6,33 +6,63 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.fields import RING_CAPACITY, columns
-from .decode import message_columns
+from ..functions import sqltext
+from ..functions.fields import RING_CAPACITY
+
+
+CHUNK_SEQ = 1 << 20
 
 
 def latest_state(classified: DataFrame, selection: dict[str, list[str]], per_field: bool = True,
-                 keys=("device_id",), order: str = "seq", compat: bool = True) -> DataFrame:
+                 keys=("device_id",), order: str = "seq", compat: bool = True,
+                 chunk: int = CHUNK_SEQ) -> DataFrame:
     """At every frame, the most recent decoded value of each selected (message, field).
 
     ``per_field=True`` carries every field forward on its own, so a sentence with missing
     trailing tokens keeps the older values of those fields (the overwrite-in-place slot
     behaviour); ``per_field=False`` takes the latest record of each message as a whole.
     Output columns: keys, ``seq``, ``ts_us``, ``<message>_<field>``.
+
+    Skew-safe form of a running "last non-null": the arrival order is cut into chunks of
+    ``chunk`` sequence numbers; the running value is computed per (key, chunk) window, and
+    the value carried into each chunk is the last non-null of the earlier chunks, taken from
+    a per-(key, chunk) summary (one row per chunk). No task ever holds more than one chunk
+    of one key, however hot the device.
     """
-    w = (Window.partitionBy(*keys).orderBy(order)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    keys = list(keys)
     ok = F.col("parse_result") == "OK"
-    out = [F.col(k) for k in keys] + [F.col(order), F.col("ts_us")]
+    names, values = [], []
     for msg, fields in selection.items():
-        cols = dict(zip(columns(msg), message_columns(msg, F.col("body"), compat)))
+        vals = sqltext.values(msg, compat)
         hit = ok & (F.col("message") == msg)
         if per_field:
             for f in fields:
-                out.append(F.last(F.when(hit, cols[f]), ignorenulls=True).over(w).alias(f"{msg}_{f}"))
+                names.append(f"{msg}_{f}")
+                values.append(F.when(hit, F.expr(vals[f])))
         else:
-            rec = F.last(F.when(hit, F.struct(*[cols[f].alias(f) for f in fields])), ignorenulls=True).over(w)
-            out.extend(rec[f].alias(f"{msg}_{f}") for f in fields)
-    return classified.select(*out)
+            names.append(f"_rec_{msg}")
+            values.append(F.when(hit, F.expr("named_struct(" + ", ".join(f"'{f}', {vals[f]}" for f in fields) + ")")))
+    base = classified.select(*keys, order, "ts_us", *[v.alias(n) for n, v in zip(names, values)])
+    base = base.withColumn("_chunk", F.floor(F.col(order) / F.lit(chunk)).cast("bigint"))
+    w = (Window.partitionBy(*keys, "_chunk").orderBy(order)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    run = base.select(*keys, order, "ts_us", "_chunk",
+                      *[F.last(n, ignorenulls=True).over(w).alias(n) for n in names])
+    # last non-null of each chunk, then of all earlier chunks (small table: one row per chunk)
+    summ = base.groupBy(*keys, "_chunk").agg(
+        *[F.max_by(F.col(n), F.when(F.col(n).isNotNull(), F.col(order))).alias(n) for n in names])
+    wc = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = summ.select(*keys, "_chunk", *[F.last(n, ignorenulls=True).over(wc).alias(f"_in_{n}") for n in names])
+    joined = run.join(carry, [*keys, "_chunk"], "left")
+    out = [F.col(k) for k in keys] + [F.col(order), F.col("ts_us")]
+    for n in names:
+        v = F.coalesce(F.col(n), F.col(f"_in_{n}"))
+        if n.startswith("_rec_"):
+            msg = n[5:]
+            out.extend(v[f].alias(f"{msg}_{f}") for f in selection[msg])
+        else:
+            out.append(v.alias(n))
+    return joined.select(*out)
 
 
 def _ranked(df: DataFrame, keys, order):
@@ -93,6 +123,12 @@ def trim_series(df: DataFrame, keys=("device_id", "message"), order: str = "seq"
 
 
 def elapsed_us(df: DataFrame, keys=("device_id",), order: str = "seq", ts: str = "ts_us") -> DataFrame:
-    """Microseconds since the first record of each capture/device in arrival order."""
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn("elapsed_us", F.col(ts) - F.first(F.col(ts)).over(w))
+    """Microseconds since the first record of each capture/device in arrival order.
+
+    The first timestamp per key is an aggregate (map-side partial ``min_by``, skew-safe) joined
+    back on the key; a hot key on the large side is split by AQE's skew-join handling.
+    """
+    keys = list(keys)
+    first = df.groupBy(*keys).agg(F.min_by(F.col(ts), F.col(order)).alias("_first_ts"))
+    return (df.join(first, keys, "left").withColumn("elapsed_us", F.col(ts) - F.col("_first_ts"))
+            .drop("_first_ts"))
