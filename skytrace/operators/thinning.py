@@ -30,6 +30,7 @@ _RESTART = "_thin_restart"
 _HEAD = "_thin_head"       # first row of the whole key: state starts at last = 0
 _SINGLE = "_thin_single"
 _KEEP = "_thin_keep"
+HOT_ROWS = 1 << 20   # rows per key above which a key is cut into chunks
 
 
 def rate_to_gap_us(rate_hz: float) -> int:
@@ -153,11 +154,22 @@ def _partition_fold(keys, ts, gap, cols):
     return run
 
 
-def thin(df: DataFrame, keys: list[str], order: str, ts: str, gap_us: int) -> DataFrame:
-    """Rows of ``df`` kept by greedy minimum-gap thinning per ``keys`` in ``order``."""
+def thin(df: DataFrame, keys: list[str], order: str, ts: str, gap_us: int, strategy: str = "auto",
+         hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Rows of ``df`` kept by greedy minimum-gap thinning per ``keys`` in ``order``.
+
+    ``strategy``: "segments" (one window per key, streaming fold), "chunked" (every key cut
+    into bounded chunks, see :func:`thin_chunked`) or "auto" (chunked when some key holds
+    more than ``hot_rows`` rows, decided from a per-key count aggregate).
+    """
     gap_us = int(gap_us)
     if gap_us <= 0:
         return df
+    if strategy == "auto":
+        top = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()
+        strategy = "chunked" if top is not None and top["m"] is not None and top["m"] > hot_rows else "segments"
+    if strategy == "chunked":
+        return thin_chunked(df, keys, order, ts, gap_us, hot_rows)
     w = Window.partitionBy(*keys).orderBy(order)
     prev = F.lag(ts).over(w)
     tcol = F.col(ts)
@@ -183,14 +195,165 @@ def thin(df: DataFrame, keys: list[str], order: str, ts: str, gap_us: int) -> Da
 
 
 def downsample_rate(df: DataFrame, rate_hz: float, keys=("device_id", "message"), order="seq",
-                    ts="ts_us") -> DataFrame:
+                    ts="ts_us", strategy: str = "auto") -> DataFrame:
     """Pack-side rate limit: keep at most ``rate_hz`` records per second per key (0 keeps all)."""
-    return thin(df, list(keys), order, ts, rate_to_gap_us(rate_hz))
+    return thin(df, list(keys), order, ts, rate_to_gap_us(rate_hz), strategy)
 
 
 def resample(df: DataFrame, resample_us: int, keys=("device_id", "message"), order="seq",
-             ts="ts_us") -> DataFrame:
+             ts="ts_us", strategy: str = "auto") -> DataFrame:
     """Unpack-side resample: drop while ``ts - last_kept < resample_us`` (0 keeps all)."""
-    return thin(df, list(keys), order, ts, int(resample_us))
+    return thin(df, list(keys), order, ts, int(resample_us), strategy)
+
+
+
+
+# ----------------------------------------------------------------------------------------
+# Chunked form for hot keys: no task ever holds more than one chunk of one key.
+# ----------------------------------------------------------------------------------------
+
+
+def _transfer_table(ts: np.ndarray, gap: int, prev_ts):
+    """Summary of one chunk (rows in arrival order) for the stitch.
+
+    Returns (fixed_exit or None, lo, hi, exits): when the chunk holds a row that is kept
+    whatever the entry state (distance >= gap to its predecessor), the exit state is fixed.
+    Otherwise the exit is F(s): with the nested intervals I_i = (max p[:i] - gap, min p[:i]],
+    the first kept row for entry s is the first i with s outside I_i, and the exit is the
+    last row kept when folding from that row; ``s`` stays when s lies in every I_i.
+    Only prefixes whose interval is still non-empty are stored.
+    """
+    m = len(ts)
+    d_prev = np.empty(m, dtype=np.int64)
+    d_prev[0] = (ts[0] - prev_ts) if prev_ts is not None else 0
+    d_prev[1:] = ts[1:] - ts[:-1]
+    restart = np.abs(d_prev) >= gap
+    if prev_ts is None:
+        restart[0] = False  # head of the key: state 0, handled by the stitch
+    if restart.any():
+        r = int(np.argmax(restart))
+        keep, last = _fold_runs(ts[r:], np.array([0]), np.array([m - r]), np.array([-1], dtype=np.int64),
+                                np.array([False]), gap)
+        return int(last[0]), None, None, None
+    hi = np.minimum.accumulate(ts)
+    lo = np.maximum.accumulate(ts) - gap
+    k = max(int(np.sum(lo < hi)), 1)  # lo rises and hi falls: non-empty intervals form a prefix
+    n_exit = min(k + 1, m)
+    return None, lo[:k], hi[:k], _exits_from(ts, gap, n_exit)
+
+
+def _exits_from(ts: np.ndarray, gap: int, n_exit: int) -> np.ndarray:
+    """For i < n_exit: the last kept timestamp when row i is kept and the fold runs to the end."""
+    m = len(ts)
+    if m == 1 or np.all(ts[1:] >= ts[:-1]):
+        nxt = np.searchsorted(ts, ts + gap, side="left")      # > i because gap > 0
+        jump = np.where(nxt >= m, np.arange(m), nxt)
+        while True:                                           # pointer doubling to the chain end
+            nj = jump[jump]
+            if np.array_equal(nj, jump):
+                break
+            jump = nj
+        return ts[jump[:n_exit]]
+    memo: dict[int, int] = {}
+    out = np.empty(n_exit, dtype=np.int64)
+    for i in range(n_exit):
+        chain, last, j, end = [i], int(ts[i]), i + 1, None
+        while j < m and end is None:
+            t = int(ts[j])
+            if t < last or t - last >= gap:
+                if j in memo:
+                    end = memo[j]
+                else:
+                    chain.append(j)
+                    last = t
+            j += 1
+        end = last if end is None else end
+        for c in chain:
+            memo[c] = end
+        out[i] = end
+    return out
+
+
+
+
+def _apply_table(s: int, lo, hi, exits) -> int:
+    """Exit state F(s) of a chunk without restart rows."""
+    inside = (s > lo) & (s <= hi)          # nested: True ... True False ...
+    first_out = int(np.argmin(inside)) if not inside.all() else len(inside)
+    if first_out < len(exits):             # row first_out is the first kept row
+        return int(exits[first_out])
+    return s                               # every row is blocked: nothing kept, state stays
+
+
+def thin_chunked(df: DataFrame, keys: list[str], order: str, ts: str, gap_us: int,
+                 rows_per_chunk: int = HOT_ROWS) -> DataFrame:
+    """Exact greedy thinning with every key cut into arrival-order chunks of ~rows_per_chunk.
+
+    1. per-key statistics (count, order range; map-side partial aggregate) give each key a
+       chunk width in its own order range, so a hot key gets many chunks and a small key one;
+    2. per chunk: the last timestamp (summary table, one row per chunk) -> each chunk learns
+       its predecessor's timestamp with a window over the summary;
+    3. per chunk (bounded group): a transfer table entry-state -> exit-state;
+    4. per key: the tables are stitched in chunk order (one small row per chunk);
+    5. per chunk (bounded group): fold again from the now known entry state.
+    """
+    gap = int(gap_us)
+    if gap <= 0:
+        return df
+    cols = df.columns
+    stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_o0"),
+                                  F.max(order).alias("_o1"))
+    width = F.greatest(F.lit(1), F.ceil((F.col("_o1") - F.col("_o0") + 1) * F.lit(rows_per_chunk) / F.col("_n")))
+    chunked = (df.join(stats, keys)
+               .withColumn("_chunk", F.floor((F.col(order) - F.col("_o0")) / width).cast("bigint"))
+               .drop("_n", "_o0", "_o1"))
+    last = chunked.groupBy(*keys, "_chunk").agg(F.max_by(F.col(ts), F.col(order)).alias("_last_ts"))
+    wk = Window.partitionBy(*keys).orderBy("_chunk")
+    prev = last.select(*keys, "_chunk", F.lag("_last_ts").over(wk).alias("_prev_ts"))
+    with_prev = chunked.join(prev, [*keys, "_chunk"])
+
+    key_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keys).schema.fields)
+    table_schema = (f"{key_schema}, _chunk bigint, _fixed bigint, _lo array<bigint>, _hi array<bigint>, "
+                    f"_exits array<bigint>")
+
+    def summarize(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(order, kind="stable")
+        p = pdf["_prev_ts"].iloc[0]
+        prev_ts = None if pd.isna(p) else int(p)
+        fixed, lo, hi, exits = _transfer_table(pdf[ts].to_numpy(dtype=np.int64), gap, prev_ts)
+        row = {k: pdf[k].iloc[0] for k in keys}
+        row.update({"_chunk": int(pdf["_chunk"].iloc[0]), "_fixed": fixed,
+                    "_lo": None if lo is None else lo.tolist(), "_hi": None if hi is None else hi.tolist(),
+                    "_exits": None if exits is None else exits.tolist()})
+        return pd.DataFrame([row])
+
+    tables = (with_prev.select(*keys, "_chunk", order, ts, "_prev_ts")
+              .groupBy(*keys, "_chunk").applyInPandas(summarize, table_schema))
+
+    entry_schema = f"{key_schema}, _chunk bigint, _entry bigint"
+
+    def stitch(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_chunk")
+        s, out = 0, []
+        for fixed, lo, hi, exits in zip(pdf["_fixed"], pdf["_lo"], pdf["_hi"], pdf["_exits"]):
+            out.append(s)
+            if fixed is not None and not pd.isna(fixed):
+                s = int(fixed)
+            else:
+                s = _apply_table(s, np.asarray(lo, dtype=np.int64), np.asarray(hi, dtype=np.int64),
+                                 np.asarray(exits, dtype=np.int64))
+        res = pdf[keys + ["_chunk"]].copy()
+        res["_entry"] = out
+        return res
+
+    entries = tables.groupBy(*keys).applyInPandas(stitch, entry_schema)
+    schema = df.schema
 
+    def refold(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(order, kind="stable")
+        keep, _ = _fold_runs(pdf[ts].to_numpy(dtype=np.int64), np.array([0]), np.array([len(pdf)]),
+                             np.array([int(pdf["_entry"].iloc[0])], dtype=np.int64), np.array([True]), gap)
+        return pdf.loc[keep, cols]
 
+    return (with_prev.drop("_prev_ts").join(entries, [*keys, "_chunk"])
+            .groupBy(*keys, "_chunk").applyInPandas(refold, schema))

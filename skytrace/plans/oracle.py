@@ -336,6 +336,7 @@ def oracle_sql() -> dict[str, str]:
     o["thin_1h"] = thin_sql(HOUR_US, ["device_id"])
     o["thin_48h"] = thin_sql(48 * HOUR_US, ["device_id"])
     o["thin_all"] = thin_sql(1000 * HOUR_US, ["device_id"])
+    o["thin_48h_chunked"] = o["thin_48h"]
     o["stream_thin"] = thin_sql(6 * HOUR_US, ["device_id"])
     o["downsample_rate"] = thin_sql(rate_to_gap_us(1.0 / 3600.0), ["device_id", "message"], "parse_result = 'OK'").replace(
         "SELECT s.device_id, s.message, s.seq, s.ts_us", "SELECT s.device_id, s.message, s.seq, s.ts_us")

@@ -193,6 +193,15 @@ def _thin_query(gap_us):
     return q
 
 
+CHECK_CHUNK_ROWS = 8   # small chunks so the chunk-stitching path is exercised at test scale
+
+
+def q_thin_48h_chunked(spark, sf):
+    """thin_48h through the hot-key path: every device cut into ~8-row chunks, stitched."""
+    return thin(_device_series(spark, sf), ["device_id"], "seq", "ts_us", 48 * HOUR_US,
+                strategy="chunked", hot_rows=CHECK_CHUNK_ROWS)
+
+
 def _ok_series(spark, sf):
     return (classified(spark, sf).filter(F.col("parse_result") == "OK")
             .select("device_id", "message", "seq", "ts_us"))
@@ -402,6 +411,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "thin_1h": _thin_query(HOUR_US),
         "thin_48h": _thin_query(48 * HOUR_US),
         "thin_all": _thin_query(1000 * HOUR_US),
+        "thin_48h_chunked": q_thin_48h_chunked,
         "downsample_rate": q_downsample_rate,
         "resample_us": q_resample_us,
         "stream_thin": q_stream_thin,

@@ -67,3 +67,33 @@ def test_events_counts(spark):
         F.col("user_id").alias("device_id"), F.col("event_id").alias("seq"),
         F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"))
     assert thin(ev, ["device_id"], "seq", "ts_us", 6 * 3_600_000_000).count() == 645
+
+
+@pytest.mark.parametrize("rows_per_chunk", [1, 3, 17])
+def test_chunked_vs_sequential(spark, rows_per_chunk):
+    from skytrace.operators.thinning import thin_chunked
+    rng = random.Random(11 + rows_per_chunk)
+    rows, expect = [], {}
+    for dev in range(12):
+        t, ts = rng.randint(0, 50), []
+        mono = dev % 2 == 0
+        for _ in range(rng.randint(1, 150)):
+            t += rng.choice([0, 1, 3, 7, 20, 60] if mono else [0, 1, 3, 7, 20, 60, -5, -40])
+            ts.append(max(t, 0))
+        expect[dev] = sequential(ts, 25)
+        rows += [(dev, 1000 * dev + i, x) for i, x in enumerate(ts)]
+    df = spark.createDataFrame(rows, "device_id long, seq long, ts_us long")
+    got = {}
+    for r in thin_chunked(df, ["device_id"], "seq", "ts_us", 25, rows_per_chunk).orderBy("device_id", "seq").collect():
+        got.setdefault(r.device_id, []).append(r.ts_us)
+    assert {d: got.get(d, []) for d in expect} == expect
+
+
+def test_chunked_events(spark):
+    from pyspark.sql import functions as F
+
+    from skytrace.operators.thinning import thin_chunked
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select(
+        F.col("user_id").alias("device_id"), F.col("event_id").alias("seq"),
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"))
+    assert thin_chunked(ev, ["device_id"], "seq", "ts_us", 6 * 3_600_000_000, 5).count() == 645
