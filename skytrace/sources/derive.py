@@ -74,15 +74,17 @@ def _payload_sql(message: str) -> list[str]:
     return parts
 
 
-def _ubx_core_sql() -> str:
-    whens = []
+def _ubx_core_sqls() -> list[str]:
+    """One expression per UBX slot (NULL on other slots): small, separately compiled pieces."""
+    out = []
     for k, name in enumerate(SLOTS):
         if name in UBX_IDS:
-            whens.append(f"WHEN {k} THEN {_core_hex_sql(1, UBX_IDS[name], _payload_sql(name), UBX_PAYLOAD_LEN[name])}")
+            out.append(f"(CASE WHEN slot = {k} THEN "
+                       f"{_core_hex_sql(1, UBX_IDS[name], _payload_sql(name), UBX_PAYLOAD_LEN[name])} END)")
     other = [_le_hex_sql("e", "u4"), _le_hex_sql("v", "u4")]
-    whens.append(f"WHEN 9 THEN (CASE WHEN e % 2 = 0 THEN {_core_hex_sql(1, 0x35, other, 8)} "
-                 f"ELSE {_core_hex_sql(2, 0x07, other, 8)} END)")
-    return "(CASE slot " + " ".join(whens) + " END)"
+    out.append(f"(CASE WHEN slot = 9 THEN (CASE WHEN e % 2 = 0 THEN {_core_hex_sql(1, 0x35, other, 8)} "
+               f"ELSE {_core_hex_sql(2, 0x07, other, 8)} END) END)")
+    return out
 
 
 _TIME = ("format_string('%02d%02d%02d.%02d', (ts_us div 3600000000) % 24, (ts_us div 60000000) % 60, "
@@ -150,7 +152,9 @@ def frames_from_events(events: DataFrame) -> DataFrame:
         "event_id AS e", "user_id AS device_id", "unix_micros(CAST(ts AS TIMESTAMP)) AS ts_us",
         "CAST(round(value * 100) AS BIGINT) AS v",
     ).selectExpr("*", "v - 25000 AS s", "e % 11 AS slot")
-    staged = base.selectExpr("*", f"{_ubx_core_sql()} AS core", f"{_sentence_sql()} AS t")
+    parts = _ubx_core_sqls()
+    staged = base.selectExpr("*", *[f"{sql} AS _c{i}" for i, sql in enumerate(parts)], f"{_sentence_sql()} AS t")
+    staged = staged.selectExpr("*", "coalesce(" + ", ".join(f"_c{i}" for i in range(len(parts))) + ") AS core")
     staged = staged.withColumn("trailer", _trailer_udf()(F.col("core"), F.concat(F.lit("GP"), F.col("t"))))
     is_nmea = "slot IN (0, 1, 2, 10)"
     ck_b = ("lpad(hex(pmod(CAST(conv(substr(trailer, 3, 2), 16, 10) AS INT) + "

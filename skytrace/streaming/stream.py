@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..operators.classify import classify
+from ..operators.thinning import _fold_runs
 
 FRAME_SCHEMA = ("device_id bigint, seq bigint, ts_us bigint, protocol string, start_seq binary, "
                 "body binary, body_len int, truncated boolean, status string")
@@ -55,15 +56,12 @@ def thin_stream(df: DataFrame, keys: list[str], order: str, ts: str, gap_us: int
 
     def fold(key, pdfs, state):
         pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(order, kind="stable")
-        last = state.get[0] if state.exists else 0
+        last = int(state.get[0]) if state.exists else 0
         tsv = pdf[ts].to_numpy(dtype=np.int64)
-        keep = np.zeros(len(tsv), dtype=bool)
-        for i, t in enumerate(tsv):
-            t = int(t)
-            if gap <= 0 or t < last or t - last >= gap:
-                keep[i] = True
-                last = t
-        state.update((int(last),))
+        # the batch is one run whose entry state is the stored ``last`` (0 for a new key)
+        keep, last_out = _fold_runs(tsv, np.array([0]), np.array([len(tsv)]),
+                                    np.array([last], dtype=np.int64), np.array([True]), gap)
+        state.update((int(last_out[0]),))
         yield pdf.loc[keep, cols]
 
     return (df.groupBy(*keys)
