@@ -61,18 +61,14 @@ def pack_record(message: str, body: Column = None, ts: Column = None, compat: bo
     return F.expr("named_struct(" + ", ".join(f"{sqltext.lit(n)}, {v}" for n, v in vals.items()) + ")")
 
 
-def _series_items(message: str, rec: dict, kind: str) -> list[str]:
-    """SQL ``named_struct(field, value)`` items of one record for signals / strings / enums."""
+def _series_values(message: str, rec: dict, kind: str) -> list[tuple[str, str]]:
+    """(field, SQL value) of one record for signals (DOUBLE) / strings (STRING) / enums (BIGINT)."""
     items = []
-
-    def item(name, v):
-        return f"named_struct('field', {sqltext.lit(name)}, 'value', {v})"
-
     if kind == "signals":
-        items.append(item("_timestamp", f"CAST({rec['_inner_timestamp']} AS DOUBLE)"))
+        items.append(("_timestamp", f"CAST({rec['_inner_timestamp']} AS DOUBLE)"))
         for name, t in pack_fields(message):
             if t != "string":
-                items.append(item(name, f"CAST({rec[name]} AS DOUBLE)"))
+                items.append((name, f"CAST({rec[name]} AS DOUBLE)"))
     elif kind == "strings":
         for name in FT.SERIES_STRINGS.get(message, []):
             if name == "fix_state":
@@ -81,10 +77,10 @@ def _series_items(message: str, rec: dict, kind: str) -> list[str]:
                 v = f"substring({rec['time']}, 1, 9)"
             else:
                 v = rec[name]
-            items.append(item(name, f"CAST({v} AS STRING)"))
+            items.append((name, f"CAST({v} AS STRING)"))
     else:
         for name, src in FT.SERIES_ENUMS.get(message, []):
-            items.append(item(name, f"CAST({rec[src]} AS BIGINT)"))
+            items.append((name, f"CAST({rec[src]} AS BIGINT)"))
     return items
 
 
@@ -96,20 +92,21 @@ def series_long(classified: DataFrame, kind: str = "signals", compat: bool = Tru
     ``message`` carries the short series label (GGA ... VELNED without ``NAV_``); ``idx`` is
     the frame's arrival key ``seq``.
 
-    One narrow branch per message (filter -> decode -> ``inline`` of its (field, value)
-    array), unioned. On a frame lake partitioned by ``message`` each branch reads only its
-    own partition, so the whole reshape reads the data once and every branch keeps a small,
-    code-generated expression.
+    One narrow branch per message: decode into columns, then ``unpivot`` (an Expand over
+    column references, so the decode projection keeps small per-field expressions). On a
+    frame lake partitioned by ``message`` each branch reads only its own partition, so the
+    whole reshape reads the data once.
     """
     messages = messages or FT.ALL_MESSAGES
     parts = []
     for m in messages:
-        items = _series_items(m, pack_values(m, compat), kind)
+        items = _series_values(m, pack_values(m, compat), kind)
         if not items:
             continue
-        branch = (classified.filter((F.col("message") == m) & (F.col("parse_result") == "OK"))
-                  .select("device_id", F.lit(FT.SERIES_LABEL[m]).alias("message"), F.col("seq").alias("idx"),
-                          F.expr("inline(array(" + ", ".join(items) + "))"))
+        decoded = (classified.filter((F.col("message") == m) & (F.col("parse_result") == "OK"))
+                   .select("device_id", F.lit(FT.SERIES_LABEL[m]).alias("message"), F.col("seq").alias("idx"),
+                           *[F.expr(v).alias(n) for n, v in items]))
+        branch = (decoded.unpivot(["device_id", "message", "idx"], [n for n, _ in items], "field", "value")
                   .select("device_id", "message", "field", "idx", "value"))
         parts.append(branch)
     out = parts[0]

@@ -69,7 +69,7 @@ _LAKES: dict[tuple[str, str], str] = {}
 
 
 def lake(spark: SparkSession, sf: str) -> DataFrame:
-    """Classified OK frames written once per session, partitioned by message.
+    """Classified frames written once per session, partitioned by message.
 
     Per-message operators (reshape, packs, CSV fan-out) read it with partition pruning.
     """
@@ -260,7 +260,7 @@ LATEST_SELECTION = {
 
 
 def q_latest_state(spark, sf):
-    return latest_state(classified(spark, sf), LATEST_SELECTION, per_field=True)
+    return latest_state(lake(spark, sf), LATEST_SELECTION, per_field=True)
 
 
 def q_latest_n(spark, sf):

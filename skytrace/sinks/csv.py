@@ -43,9 +43,12 @@ def header_line(message: str) -> str:
 
 
 def write_frame_lake(classified: DataFrame, path: str) -> None:
-    """Classified frames written once, partitioned by message (enables partition pruning)."""
-    (classified.filter(F.col("parse_result") == "OK")
-     .write.mode("overwrite").partitionBy("message").parquet(path))
+    """Classified frames written once, partitioned by message (enables partition pruning).
+
+    All frames are kept (unmatched ones land in the NULL partition), so every downstream
+    operator can start from the lake instead of classifying (and checksumming) again.
+    """
+    classified.write.mode("overwrite").partitionBy("message").parquet(path)
 
 
 def csv_fanout(spark: SparkSession, lake: str, out: str, compat: bool = True) -> dict[str, str]:
