@@ -367,6 +367,7 @@ def oracle_sql() -> dict[str, str]:
         f"CAST({N} - least(max(cnt), {N}) AS BIGINT) AS available, false AS empty, least(max(cnt), {N}) = {N} AS full, "
         f"coalesce(max(CASE WHEN least(cnt, {N}) - rn = 5 THEN ts_us END), max(CASE WHEN rn = 1 THEN ts_us END)) AS at_5, "
         f"CAST(greatest(max(cnt) - {N}, 0) % {N} AS BIGINT) AS \"offset\" FROM ({ranked}) GROUP BY device_id, message")
+    o["stream_latest_n"] = o["latest_n"]
     o["elapsed_us"] = _with_base(
         "SELECT device_id, e AS seq, ts_us - first_value(ts_us) OVER (PARTITION BY device_id ORDER BY e "
         "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS elapsed_us FROM base")
@@ -397,6 +398,8 @@ def oracle_sql() -> dict[str, str]:
     # sinks and sources
     o["csv_fanout"] = _with_base(
         f"SELECT 'GPS_' || {msg} AS output, count(*) AS rows FROM pb WHERE parse_result = 'OK' AND slot <= 8 GROUP BY ALL")
+    o["stream_csv_fanout"] = o["csv_fanout"]
+    o["stream_quality"] = o["decode_quality"]
     raw_hex = "CASE WHEN protocol = 'UBX' THEN 'B562' || body_hex ELSE '244750' || body_hex || '0D0A' END"
     o["raw_reemit"] = _with(f"SELECT device_id, e AS seq, {raw_hex} AS raw_hex FROM fx")
     recno = "CAST(row_number() OVER (PARTITION BY device_id ORDER BY e) - 1 AS BIGINT)"

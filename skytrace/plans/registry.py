@@ -27,7 +27,8 @@ from ..sinks.csv import csv_fanout, format_rows, write_frame_lake
 from ..sinks.raw import capture_record, raw_frame, write_captures
 from ..sources.capture import deframe, scan_captures
 from ..sources.derive import frames_from_events
-from ..streaming.stream import decode_stream, read_frames_stream, thin_stream
+from ..streaming.stream import (csv_fanout_stream, decode_stream, latest_n_stream, read_frames_stream,
+                                report_stream, thin_stream)
 
 HOUR_US = 3_600_000_000
 DAY_US = 24 * HOUR_US
@@ -245,6 +246,40 @@ def q_stream_decode(spark, sf):
             .agg(F.count(F.lit(1)).alias("frames")))
 
 
+def q_stream_quality(spark, sf):
+    land = _landing(spark, sf, "land-report")
+    out, ck = scratch_path(spark, "report-out"), scratch_path(spark, "report-ck")
+    report_stream(spark, land, out, ck, max_files_per_trigger=2)
+    return spark.read.parquet(out)
+
+
+def q_stream_latest_n(spark, sf):
+    land = _landing(spark, sf, "land-ring")
+    out, ck = scratch_path(spark, "ring-out"), scratch_path(spark, "ring-ck")
+    stream = classify(read_frames_stream(spark, land, max_files_per_trigger=2))
+    ok = stream.filter(F.col("parse_result") == "OK").select("device_id", "message", "seq")
+    ring = latest_n_stream(ok, ["device_id", "message"], "seq", SERIES_N)
+    q = (ring.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    rows = spark.read.parquet(out)
+    top = F.max("version").over(Window.partitionBy("device_id", "message"))
+    return rows.withColumn("_top", top).filter(F.col("version") == F.col("_top")).select(
+        "device_id", "message", "seq", "idx")
+
+
+def q_stream_csv_fanout(spark, sf):
+    land = _landing(spark, sf, "land-csv")
+    out, ck = scratch_path(spark, "csvs-out"), scratch_path(spark, "csvs-ck")
+    csv_fanout_stream(spark, land, out, ck, max_files_per_trigger=2)
+    counts = None
+    for m in FT.ALL_MESSAGES:
+        c = (spark.read.option("header", True).option("sep", "\u0001").csv(f"{out}/GPS_{m}")
+             .agg(F.count(F.lit(1)).alias("rows")).select(F.lit(f"GPS_{m}").alias("output"), "rows"))
+        counts = c if counts is None else counts.unionByName(c)
+    return counts
+
+
 # ------------------------------------------------------------------------- state / series
 LATEST_SELECTION = {
     "GGA": ["latitude", "fix", "age_of_correction"],
@@ -416,6 +451,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "resample_us": q_resample_us,
         "stream_thin": q_stream_thin,
         "stream_decode": q_stream_decode,
+        "stream_quality": q_stream_quality,
+        "stream_latest_n": q_stream_latest_n,
+        "stream_csv_fanout": q_stream_csv_fanout,
         "latest_state": q_latest_state,
         "latest_n": q_latest_n,
         "buffer_readout": q_buffer_readout,

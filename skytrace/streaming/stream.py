@@ -66,3 +66,70 @@ def thin_stream(df: DataFrame, keys: list[str], order: str, ts: str, gap_us: int
 
     return (df.groupBy(*keys)
             .applyInPandasWithState(fold, schema, "last long", "append", GroupStateTimeout.NoTimeout))
+
+
+def report_stream(spark: SparkSession, landing: str, out: str, checkpoint: str,
+                  max_files_per_trigger: int | None = None) -> None:
+    """Decode-quality report as a streaming aggregate (complete mode).
+
+    The state is one count per (device, protocol, message, result): bounded by the number of
+    groups, not by the data. Each micro-batch overwrites the report table.
+    """
+    frames = read_frames_stream(spark, landing, max_files_per_trigger)
+    agg = (classify(frames).groupBy("device_id", "protocol", "message", "parse_result")
+           .agg(F.count(F.lit(1)).alias("frames")))
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(out)
+
+    (agg.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start().awaitTermination())
+
+
+def latest_n_stream(df: DataFrame, keys: list[str], order: str, capacity: int) -> DataFrame:
+    """Latest-N retention with bounded list state per key (at most ``capacity`` entries).
+
+    Every micro-batch emits the key's current ring (``idx`` 0 = oldest) tagged with a
+    per-key version; readers keep the highest version per key.
+    """
+    out_schema = df.select(*keys).schema.simpleString()[len("struct<"):-1]
+    out_schema = f"{out_schema},{order}:bigint,idx:bigint,version:bigint"
+
+    def push(key, pdfs, state):
+        pdf = pd.concat(list(pdfs), ignore_index=True)
+        seqs = list(state.get[0]) if state.exists else []
+        version = int(state.get[1]) + 1 if state.exists else 0
+        allv = np.sort(np.concatenate([np.asarray(seqs, dtype=np.int64), pdf[order].to_numpy(dtype=np.int64)]))
+        ring = allv[-capacity:]
+        state.update((ring.tolist(), version))
+        res = pd.DataFrame({order: ring, "idx": np.arange(len(ring), dtype=np.int64)})
+        for i, k in enumerate(keys):
+            res.insert(i, k, key[i])
+        res["version"] = version
+        yield res
+
+    return df.groupBy(*keys).applyInPandasWithState(push, out_schema, f"seqs array<bigint>, version bigint",
+                                                    "append", GroupStateTimeout.NoTimeout)
+
+
+def csv_fanout_stream(spark: SparkSession, landing: str, out: str, checkpoint: str,
+                      max_files_per_trigger: int | None = None) -> None:
+    """Per-message CSV outputs appended by every micro-batch (``foreachBatch``)."""
+    from ..functions import fields as FT
+    from ..operators.decode import decode
+    from ..sinks.csv import format_rows, header_line
+
+    frames = read_frames_stream(spark, landing, max_files_per_trigger)
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        cls = classify(batch).persist()
+        for m in FT.ALL_MESSAGES:
+            rows = format_rows(decode(cls, m), m).select(F.col("line").alias(header_line(m)))
+            (rows.write.mode("append").option("header", True).option("sep", "\u0001")
+             .option("quote", "\u0000").option("escapeQuotes", False)
+             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+             .csv(f"{out.rstrip('/')}/GPS_{m}"))
+        cls.unpersist()
+
+    (frames.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start().awaitTermination())
