@@ -57,7 +57,14 @@ def frames(spark: SparkSession, sf: str) -> DataFrame:
     path = _FRAME_TABLES.get(key)
     if path is None:
         path = scratch_path(spark, "frames")
-        frames_from_events(events(spark, sf)).write.mode("overwrite").parquet(path)
+        # the derivation is one very wide projection: whole-stage codegen only burns time
+        # compiling it before falling back, so it is switched off for this write alone
+        prev = spark.conf.get("spark.sql.codegen.wholeStage", "true")
+        spark.conf.set("spark.sql.codegen.wholeStage", "false")
+        try:
+            frames_from_events(events(spark, sf)).write.mode("overwrite").parquet(path)
+        finally:
+            spark.conf.set("spark.sql.codegen.wholeStage", prev)
         _FRAME_TABLES[key] = path
     return spark.read.parquet(path)
 
