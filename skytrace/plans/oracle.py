@@ -406,6 +406,7 @@ def oracle_sql() -> dict[str, str]:
     o["capture_scan"] = _with(
         f"SELECT device_id, {recno} AS rec_no, ts_us, CAST(CASE WHEN protocol = 'UBX' THEN 2 + body_len "
         "ELSE 3 + body_len + 2 END AS BIGINT) AS raw_len FROM fx")
+    o["capture_scan_split"] = o["capture_scan"]
     o["deframe"] = _with(
         f"SELECT device_id, {recno} AS rec_no, ts_us, protocol, CASE WHEN protocol = 'UBX' THEN 'B562' ELSE '244750' END "
         "AS start_hex, body_hex, CAST(body_len AS BIGINT) AS body_len, false AS truncated, 'OK' AS status FROM fx")

@@ -25,7 +25,7 @@ from ..operators.thinning import downsample_rate, resample, thin
 from ..session import prepare, scratch_path
 from ..sinks.csv import csv_fanout, format_rows, write_frame_lake
 from ..sinks.raw import capture_record, raw_frame, write_captures
-from ..sources.capture import deframe, scan_captures
+from ..sources.capture import deframe, scan_captures, scan_captures_split
 from ..sources.derive import frames_from_events
 from ..streaming.stream import (csv_fanout_stream, decode_stream, latest_n_stream, read_frames_stream,
                                 report_stream, thin_stream)
@@ -386,7 +386,7 @@ def q_raw_reemit(spark, sf):
                     .alias("raw_hex"))
 
 
-def _captures(spark, sf, name, raw: F.Column | None = None, cut_last: bool = False):
+def _captures(spark, sf, name, raw: F.Column | None = None, cut_last: bool = False, split: bool = False):
     f = frames(spark, sf)
     raw = raw if raw is not None else raw_frame(F.col("start_seq"), F.col("body"), F.col("protocol"))
     rec = capture_record(F.col("ts_us"), raw)
@@ -398,7 +398,7 @@ def _captures(spark, sf, name, raw: F.Column | None = None, cut_last: bool = Fal
     recs = (f.select(F.format_string("dev%d", F.col("device_id")).alias("capture_id"), "seq", rec.alias("record"))
             .filter(F.col("record").isNotNull()))
     write_captures(recs, d).collect()  # the writes run on the executors; only per-file stats return
-    r = scan_captures(spark, d)
+    r = scan_captures_split(spark, d) if split else scan_captures(spark, d)
     return r.withColumn("device_id", F.regexp_extract("capture_id", r"(\d+)$", 1).cast("bigint"))
 
 
@@ -407,6 +407,11 @@ def q_capture_scan(spark, sf):
     return r.select("device_id", "rec_no", "ts_us", F.octet_length("raw").cast("bigint").alias("raw_len"))
 
 
+def q_capture_scan_split(spark, sf):
+    r = _captures(spark, sf, "cap-split", split=True)
+    return r.select("device_id", "rec_no", "ts_us", F.octet_length("raw").cast("bigint").alias("raw_len"))
+
+
 def q_deframe(spark, sf):
     d = deframe(_captures(spark, sf, "cap-deframe"))
     return d.select("device_id", "rec_no", "ts_us", "protocol", F.hex("start_seq").alias("start_hex"),
@@ -476,6 +481,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_fanout": q_csv_fanout,
         "raw_reemit": q_raw_reemit,
         "capture_scan": q_capture_scan,
+        "capture_scan_split": q_capture_scan_split,
         "deframe": q_deframe,
         "deframe_truncate": q_deframe_truncate,
         "deframe_incomplete": q_deframe_incomplete,

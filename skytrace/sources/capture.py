@@ -10,7 +10,7 @@ when it does not match, so ``B5 B5 62`` and ``$$G`` are missed).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.fields import MAX_LINE
@@ -83,3 +83,97 @@ def deframe(records: DataFrame) -> DataFrame:
            .withColumn("body_len", F.octet_length("body"))
            .drop("_rest", "_term"))
     return out
+
+
+def scan_captures_split(spark: SparkSession, path: str, glob: str = "*.cap") -> DataFrame:
+    """Splittable capture scan: same output as :func:`scan_captures`, no file held by one task.
+
+    The text source with ``lineSep='('`` cuts files at every ``(`` byte and keeps raw bytes,
+    so large captures are read in parallel splits. Pieces that do not start with 16 digits +
+    ``)`` are payload bytes that contained ``(``: they are glued back onto the record before
+    them, inside the split; a split's leading fragments go to the last record of the previous
+    split through a one-row-per-split table, which also numbers the records per file.
+    """
+    import pandas as pd
+
+    pieces = (spark.read.option("lineSep", "(").option("pathGlobFilter", glob).text(path)
+              .select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_bs"),
+                      F.col("_metadata.file_size").alias("_fsize"),
+                      F.monotonically_increasing_id().alias("_mid"), F.col("value").cast("binary").alias("_raw")))
+    # the line reader drops an empty record after a final '(': detect it from the file size
+    # (one row per file) and give the byte back to the file's last record
+    ends_open = (pieces.groupBy("_file")
+                 .agg((F.sum(F.octet_length("_raw")) + F.count(F.lit(1)) - 1 < F.first("_fsize")).alias("_open")))
+    schema = "_file string, _bs bigint, _kind string, _idx bigint, _bytes binary"
+
+    def merge(batches):
+        out = []
+        cur_key, recs, orphan, first_in_split = None, [], [], True
+        for pdf in batches:
+            for f, bs, raw in zip(pdf["_file"], pdf["_bs"], pdf["_raw"]):
+                raw = bytes(raw)
+                key = (f, int(bs))
+                if key != cur_key:
+                    if cur_key is not None:
+                        out.extend(_flush(cur_key, recs, orphan))
+                    cur_key, recs, orphan, first_in_split = key, [], [], True
+                is_head = len(raw) >= 17 and raw[:16].isdigit() and raw[16:17] == b")"
+                if is_head:
+                    recs.append(bytearray(b"(" + raw))
+                elif first_in_split and key[1] == 0 and not recs and not orphan:
+                    pass                                   # junk before the file's first record
+                elif recs:
+                    recs[-1] += b"(" + raw                 # payload contained '('
+                else:
+                    orphan.append(raw)                     # belongs to the previous split
+                first_in_split = False
+        if cur_key is not None:
+            out.extend(_flush(cur_key, recs, orphan))
+        if out:
+            yield pd.DataFrame(out, columns=["_file", "_bs", "_kind", "_idx", "_bytes"])
+
+    parts = (pieces.drop("_fsize").sortWithinPartitions("_file", "_bs", "_mid").mapInPandas(merge, schema))
+    recs = parts.filter(F.col("_kind") == "R")
+    orph = parts.filter(F.col("_kind") == "O")
+    # one row per split: record count, running offset, and the previous split of the file
+    splits = recs.groupBy("_file", "_bs").agg(F.count(F.lit(1)).alias("_n"))
+    splits = splits.unionByName(orph.select("_file", "_bs", F.lit(0).cast("bigint").alias("_n"))) \
+        .groupBy("_file", "_bs").agg(F.sum("_n").alias("_n"))
+    wf = Window.partitionBy("_file").orderBy("_bs")
+    before = wf.rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("_file", "_bs", "_n",
+                           F.sum("_n").over(before).alias("_off"),
+                           F.sum("_n").over(Window.partitionBy("_file")).alias("_total"),
+                           F.last(F.when(F.col("_n") > 0, F.col("_bs")), ignorenulls=True).over(before).alias("_tgt_bs"),
+                           F.last(F.when(F.col("_n") > 0, F.col("_n")), ignorenulls=True).over(before).alias("_tgt_n"))
+    # orphans attach to the last record of the closest earlier split holding records; a
+    # record longer than a split collects the fragments of every split it covers, in order
+    frags = (orph.join(splits, ["_file", "_bs"])
+             .select("_file", F.col("_tgt_bs").alias("_t_bs"), (F.col("_tgt_n") - 1).alias("_t_idx"),
+                     F.struct(F.col("_bs").alias("bs"), F.decode("_bytes", "ISO-8859-1").alias("t")).alias("_f")))
+    tail = (frags.groupBy("_file", "_t_bs", "_t_idx")
+            .agg(F.array_join(F.transform(F.sort_array(F.collect_list("_f")), lambda x: x["t"]), "(").alias("_tail"))
+            .select("_file", F.col("_t_bs").alias("_bs"), F.col("_t_idx").alias("_idx"),
+                    F.encode("_tail", "ISO-8859-1").alias("_tail")))
+    rows = (recs.join(splits.select("_file", "_bs", "_off", "_total"), ["_file", "_bs"])
+            .join(tail, ["_file", "_bs", "_idx"], "left")
+            .join(ends_open, ["_file"], "left")
+            .withColumn("_rec", F.when(F.col("_tail").isNull(), F.col("_bytes"))
+                        .otherwise(F.concat(F.col("_bytes"), F.lit(b"("), F.col("_tail"))))
+            .withColumn("_rec", F.when(F.col("_open") & (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_idx")
+                                                        == F.col("_total") - 1),
+                                       F.concat(F.col("_rec"), F.lit(b"("))).otherwise(F.col("_rec"))))
+    text = F.decode(F.col("_rec"), "ISO-8859-1")
+    return rows.select(
+        F.regexp_extract("_file", r"([^/]+)\.[^./]+$", 1).alias("capture_id"),
+        (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_idx")).cast("bigint").alias("rec_no"),
+        F.substring(text, 2, 16).cast("bigint").alias("ts_us"),
+        F.encode(F.expr("substring(decode(_rec, 'ISO-8859-1'), 19)"), "ISO-8859-1").alias("raw"),
+    )
+
+
+def _flush(key, recs, orphan):
+    out = [(key[0], key[1], "R", i, bytes(r)) for i, r in enumerate(recs)]
+    if orphan:
+        out.append((key[0], key[1], "O", -1, b"(".join(orphan)))
+    return out

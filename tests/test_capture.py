@@ -48,3 +48,27 @@ def test_oversize_and_incomplete(spark):
     r = run(spark, rec(1, long) + rec(2, UBX[:10]))
     assert r[0].status == "OK" and r[0].truncated and r[0].body_len == 299
     assert r[1].status == "INCOMPLETE"
+
+
+def test_split_reader_matches_whole_file_reader(spark):
+    import random
+
+    from skytrace.sources.capture import scan_captures_split
+    rng = random.Random(5)
+    tmp = tempfile.mkdtemp(prefix="skytrace-split-")
+    for fn in range(2):
+        data = b"junk(x"
+        for i in range(30):
+            payload = bytes(rng.choice([0x28, 0x29, 0x41, 0xB5, 0x0A]) for _ in range(rng.choice([0, 7, 40, 700])))
+            data += rec(1000 + i, payload)
+        write(tmp, f"c{fn}.cap", data)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        b = sorted(map(tuple, scan_captures_split(spark, tmp).collect()))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    a = sorted(map(tuple, scan_captures(spark, tmp).collect()))
+    assert a == b and len(a) == 60
