@@ -158,18 +158,22 @@ def thin(df: DataFrame, keys: list[str], order: str, ts: str, gap_us: int, strat
          hot_rows: int = HOT_ROWS) -> DataFrame:
     """Rows of ``df`` kept by greedy minimum-gap thinning per ``keys`` in ``order``.
 
-    ``strategy``: "segments" (one window per key, streaming fold), "chunked" (every key cut
-    into bounded chunks, see :func:`thin_chunked`) or "auto" (chunked when some key holds
-    more than ``hot_rows`` rows, decided from a per-key count aggregate).
+    ``strategy``: "single" (hash by key, in-partition sort, one vectorised fold; no window),
+    "segments" (window-based restart detection; only multi-row segments reach Python),
+    "chunked" (every key cut into bounded chunks, see :func:`thin_chunked`) or "auto"
+    (chunked when some key holds more than ``hot_rows`` rows, decided from a per-key count
+    aggregate; "single" otherwise).
     """
     gap_us = int(gap_us)
     if gap_us <= 0:
         return df
     if strategy == "auto":
         top = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()
-        strategy = "chunked" if top is not None and top["m"] is not None and top["m"] > hot_rows else "segments"
+        strategy = "chunked" if top is not None and top["m"] is not None and top["m"] > hot_rows else "single"
     if strategy == "chunked":
         return thin_chunked(df, keys, order, ts, gap_us, hot_rows)
+    if strategy == "single":
+        return thin_single_pass(df, keys, order, ts, gap_us)
     w = Window.partitionBy(*keys).orderBy(order)
     prev = F.lag(ts).over(w)
     tcol = F.col(ts)
@@ -357,3 +361,67 @@ def thin_chunked(df: DataFrame, keys: list[str], order: str, ts: str, gap_us: in
 
     return (with_prev.drop("_prev_ts").join(entries, [*keys, "_chunk"])
             .groupBy(*keys, "_chunk").applyInPandas(refold, schema))
+
+
+def _partition_fold_all(keys, order, ts, gap, cols):
+    """mapInPandas body over ALL rows, sorted by (keys, order) inside each partition.
+
+    Restarts (distance to the predecessor >= gap) are found in numpy, each key is cut into
+    segments, and all segments of the batch are folded at once by :func:`_fold_runs`. The
+    carried state across Arrow batches is (key, last kept timestamp, previous timestamp).
+    """
+
+    def run(batches):
+        carry = None  # (key tuple, last state, previous ts)
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            n = len(pdf)
+            kv = [pdf[k].to_numpy() for k in keys]
+            tsv = pdf[ts].to_numpy(dtype=np.int64)
+            new_key = np.zeros(n, dtype=bool)
+            new_key[0] = True
+            for arr in kv:
+                new_key[1:] |= arr[1:] != arr[:-1]
+            first_key = tuple(arr[0] for arr in kv)
+            cont = carry is not None and carry[0] == first_key
+            new_key[0] = not cont
+            prev = np.empty(n, dtype=np.int64)
+            prev[1:] = tsv[:-1]
+            prev[0] = carry[2] if cont else 0
+            has_prev = ~new_key
+            has_prev[0] = cont
+            restart = has_prev & (np.abs(tsv - prev) >= gap)
+            seg_start = new_key | restart
+            if cont:
+                seg_start[0] = True
+            starts = np.nonzero(seg_start)[0]
+            ends = np.append(starts[1:], n)
+            # a segment opened by a new key starts from state 0; the batch's first segment
+            # continues the carried state; a restart row is kept (no initial state)
+            is_head = new_key[starts]
+            init_last = np.where(is_head, 0, -1).astype(np.int64)
+            has_init = is_head.copy()
+            if cont and not restart[0]:
+                init_last[0] = carry[1]
+                has_init[0] = True
+            keep, last_out = _fold_runs(tsv, starts, ends, init_last, has_init, gap)
+            last_key = tuple(arr[n - 1] for arr in kv)
+            lo = int(last_out[-1])
+            if lo < 0 and not has_init[-1]:
+                lo = 0
+            carry = (last_key, lo, int(tsv[-1]))
+            if keep.any():
+                yield pdf.loc[keep, cols]
+
+    return run
+
+
+def thin_single_pass(df: DataFrame, keys: list[str], order: str, ts: str, gap_us: int) -> DataFrame:
+    """One shuffle (hash by key), one in-partition sort, one vectorised fold; no window."""
+    gap = int(gap_us)
+    if gap <= 0:
+        return df
+    cols = df.columns
+    return (df.repartition(*keys).sortWithinPartitions(*keys, order)
+            .mapInPandas(_partition_fold_all(keys, order, ts, gap, cols), df.schema))

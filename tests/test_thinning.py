@@ -97,3 +97,26 @@ def test_chunked_events(spark):
         F.col("user_id").alias("device_id"), F.col("event_id").alias("seq"),
         F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"))
     assert thin_chunked(ev, ["device_id"], "seq", "ts_us", 6 * 3_600_000_000, 5).count() == 645
+
+
+def test_single_pass_vs_sequential(spark):
+    from skytrace.operators.thinning import thin_single_pass
+    rng = random.Random(21)
+    rows, expect = [], {}
+    for dev in range(60):
+        t, ts = rng.randint(0, 50), []
+        for _ in range(rng.randint(1, 400)):
+            t += rng.choice([0, 1, 3, 7, 20, 60] if dev % 3 else [0, 1, 3, 7, 20, 60, -5, -40])
+            ts.append(max(t, 0))
+        expect[dev] = sequential(ts, 25)
+        rows += [(dev, i, x) for i, x in enumerate(ts)]
+    df = spark.createDataFrame(rows, "device_id long, seq long, ts_us long")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for batch in ("7", "10000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        for parts in (1, 5):
+            got = {}
+            for r in thin_single_pass(df.repartition(parts), ["device_id"], "seq", "ts_us", 25).collect():
+                got.setdefault(r.device_id, []).append((r.seq, r.ts_us))
+            assert {d: [x for _, x in sorted(got.get(d, []))] for d in expect} == expect
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
