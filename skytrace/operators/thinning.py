@@ -4,16 +4,16 @@ Semantics, per key in arrival order, starting with ``last = 0``: a row is kept i
 ``ts < last`` (an unsigned difference wraps, so backward jumps are kept) or
 ``ts - last >= gap``; a kept row sets ``last = ts``. A gap of 0 keeps every row.
 
-This is not a tumbling-window dedupe. Distributed form:
-
-1. ``lag`` over the key's arrival order. A row whose distance to its predecessor is at
-   least ``gap`` (in either direction) is kept whatever the state, and restarts the fold,
-   so a running sum of those restarts cuts each key into independent segments.
-2. Rows of single-row segments are decided in SQL (no Python at all). Only rows inside
-   multi-row segments are folded by a streaming, vectorised pandas pass per partition.
-
-One window sort per key and one grouped pass; both keep the key's hash partitioning, so
-the fold adds no shuffle.
+This is not a tumbling-window dedupe. A row whose distance to its predecessor is at least
+``gap`` (in either direction) is kept whatever the state and restarts the fold, so restart
+rows cut each key into independent segments. Three exact distributed forms:
+
+* ``single`` (default): hash by key, sort inside partitions, one vectorised pandas pass
+  that finds restarts and folds all segments of an Arrow batch at once (no window);
+* ``segments``: restarts via ``lag`` + running sum; single-row segments decided in SQL,
+  only multi-row segments reach Python;
+* ``chunked`` (hot keys): every key cut into bounded chunks whose transfer tables are
+  stitched per key, then every chunk is folded in parallel from its known entry state.
 """
 
 from __future__ import annotations
@@ -29,7 +29,6 @@ _SEG = "_thin_seg"
 _RESTART = "_thin_restart"
 _HEAD = "_thin_head"       # first row of the whole key: state starts at last = 0
 _SINGLE = "_thin_single"
-_KEEP = "_thin_keep"
 HOT_ROWS = 1 << 20   # rows per key above which a key is cut into chunks
 
 

@@ -391,9 +391,11 @@ def _captures(spark, sf, name, raw: F.Column | None = None, cut_last: bool = Fal
     raw = raw if raw is not None else raw_frame(F.col("start_seq"), F.col("body"), F.col("protocol"))
     rec = capture_record(F.col("ts_us"), raw)
     if cut_last:
-        last = F.col("seq") == F.max("seq").over(Window.partitionBy("device_id"))
-        rec = F.when(last, F.expr("substring(_rec, 1, 18 + (octet_length(_rec) - 18) div 2)")).otherwise(F.col("_rec"))
-        f = f.withColumn("_rec", capture_record(F.col("ts_us"), raw))
+        # the last record of every capture loses the second half of its frame
+        last_seq = f.groupBy("device_id").agg(F.max("seq").alias("_last_seq"))
+        rec = F.when(F.col("seq") == F.col("_last_seq"),
+                     F.expr("substring(_rec, 1, 18 + (octet_length(_rec) - 18) div 2)")).otherwise(F.col("_rec"))
+        f = f.join(last_seq, "device_id").withColumn("_rec", capture_record(F.col("ts_us"), raw))
     d = scratch_path(spark, name)
     recs = (f.select(F.format_string("dev%d", F.col("device_id")).alias("capture_id"), "seq", rec.alias("record"))
             .filter(F.col("record").isNotNull()))
