@@ -121,7 +121,7 @@ def _checksum_batch(body):
     cols = np.arange(len(flat)) - np.repeat(np.cumsum(lens) - lens, lens)
     buf[rows, cols] = flat
     lo, hi = buf[:, 2], buf[:, 3]
-    length = ((hi - (lo >= 128)) * 256 + lo) % 65536          # signed low byte, as the reference
+    length = ((hi - (lo >= 128)) * 256 + lo) % 65536          # signed low byte, as the replaced checksum test
     valid = length + 6 <= MAX_LINE
     m = np.where(valid, length + 4, 0)
     j = np.arange(MAX_LINE)

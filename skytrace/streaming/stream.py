@@ -133,3 +133,38 @@ def csv_fanout_stream(spark: SparkSession, landing: str, out: str, checkpoint: s
 
     (frames.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
      .trigger(availableNow=True).start().awaitTermination())
+
+
+def pack_stream(classified: DataFrame, pack: str = "1 day", delay: str = "1 hour",
+                compat: bool = True) -> DataFrame:
+    """Streaming pack build: event-time windows of ``pack`` per device, closed by a watermark.
+
+    Append mode emits each (device, window) pack once, when the watermark passes the window
+    end; the state is the set of open windows, bounded by ``delay`` and the pack size.
+    Output schema = batch ``pack_build`` (``pack_id`` = window start in whole packs).
+    """
+    from ..functions import fields as FT
+    from ..operators.reshape import pack_record
+
+    pack_us = int(spark_interval_us(pack))
+    ok = (classified.filter((F.col("parse_result") == "OK") & F.col("message").isNotNull())
+          .withColumn("_et", F.timestamp_micros(F.col("ts_us")))
+          .withWatermark("_et", delay))
+    aggs = []
+    for m in FT.ALL_MESSAGES:
+        rec = pack_record(m, F.col("body"), F.col("ts_us"), compat)
+        item = F.when(F.col("message") == m, F.struct(F.col("seq").alias("seq"), rec.alias("rec")))
+        aggs.append(F.collect_list(item).alias(FT.PACK_LIST[m]))
+    grouped = ok.groupBy("device_id", F.window("_et", pack).alias("_w")).agg(*aggs)
+    return grouped.select(
+        "device_id",
+        F.floor(F.unix_micros(F.col("_w.start")) / F.lit(pack_us)).cast("bigint").alias("pack_id"),
+        *[F.transform(F.sort_array(F.col(FT.PACK_LIST[m])), lambda x: x["rec"]).alias(FT.PACK_LIST[m])
+          for m in FT.ALL_MESSAGES])
+
+
+def spark_interval_us(text: str) -> int:
+    """'1 day' / '6 hours' / '30 minutes' / '10 seconds' -> microseconds."""
+    n, unit = text.split()
+    scale = {"day": 86_400, "hour": 3_600, "minute": 60, "second": 1}[unit.rstrip("s")]
+    return int(n) * scale * 1_000_000

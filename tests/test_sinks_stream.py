@@ -46,3 +46,27 @@ def test_stream_equals_batch(spark):
     kept_batch = {r.seq for r in R.thin(R._device_series(spark, SF), ["device_id"], "seq", "ts_us",
                                         6 * 3_600_000_000).collect()}
     assert {r.seq for r in R.q_stream_thin(spark, SF).collect()} == kept_batch
+
+
+def test_stream_packs_equal_batch_packs(spark):
+    from skytrace.operators.classify import classify
+    from skytrace.operators.pack import pack_build, pack_sizes
+    from skytrace.streaming.stream import FRAME_SCHEMA, pack_stream, read_frames_stream
+
+    land = R._landing(spark, SF, "t-land-pack")
+    # fixture frame far in the future: moves the watermark past every real window
+    closer = spark.createDataFrame([(-1, 10 ** 12, 4_102_444_800_000_000, "NMEA", b"$GP", b"GGA,1", 5, False, "OK")],
+                                   FRAME_SCHEMA)
+    out, ck = scratch_path(spark, "t-pack-out"), scratch_path(spark, "t-pack-ck")
+    packs = pack_stream(classify(read_frames_stream(spark, land, max_files_per_trigger=2)))
+    q = (packs.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    # a later drop moves the watermark; the following no-data batch emits the closed windows
+    closer.write.mode("append").parquet(land)
+    q = (packs.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = sorted(map(tuple, pack_sizes(spark.read.parquet(out).filter("device_id >= 0")).collect()))
+    want = sorted(map(tuple, pack_sizes(pack_build(R.classified(spark, SF), R.PACK_US)).collect()))
+    assert got == want and len(want) > 0
