@@ -274,7 +274,7 @@ def oracle_sql() -> dict[str, str]:
     o["decode_quality"] = _with("SELECT device_id, protocol, message, parse_result, count(*) AS frames FROM fx GROUP BY ALL")
     o["stream_decode"] = o["decode_quality"]
     o["parse_status"] = _with("SELECT device_id, e AS seq, protocol, message, parse_result FROM fx")
-    o["match_nmea"] = _with("SELECT device_id, e AS seq, message FROM fx WHERE protocol = 'NMEA'")
+    o["match_nmea"] = _with("SELECT device_id, e AS seq, message, true AS nmea_checksum_ok FROM fx WHERE protocol = 'NMEA'")
     o["match_ubx"] = _with(
         "SELECT device_id, e AS seq, CAST(CASE WHEN slot = 9 AND e % 2 = 1 THEN 2 ELSE 1 END AS BIGINT) AS cls, "
         "CAST(CASE slot " + " ".join(f"WHEN {SLOT[m]} THEN {FT.UBX_IDS[m]}" for m in FT.UBX_MESSAGES)

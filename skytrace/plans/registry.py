@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import fields as FT
 from ..functions.binary import le_int, padded_hex, ubx_checksum_ok_vectorized, ubx_header
 from ..functions.names import fix_mode_name, message_code, message_name, parse_result_name
-from ..functions.text import deg_min_to_deg, latin1, numeric_prefix, token, tokenize
+from ..functions.text import deg_min_to_deg, latin1, nmea_checksum_ok, numeric_prefix, token, tokenize
 from ..operators.classify import classify
 from ..operators.decode import decode
 from ..operators.pack import pack_build, pack_entries, pack_sizes
@@ -100,7 +100,10 @@ def q_parse_status(spark, sf):
 
 
 def q_match_nmea(spark, sf):
-    return classified(spark, sf).filter(F.col("protocol") == "NMEA").select("device_id", "seq", "message")
+    """NMEA message match, plus the sentence checksum as a diagnostic column (never a filter)."""
+    c = classified(spark, sf).filter(F.col("protocol") == "NMEA")
+    return c.select("device_id", "seq", "message",
+                    nmea_checksum_ok(F.col("start_seq"), latin1(F.col("body"))).alias("nmea_checksum_ok"))
 
 
 def q_match_ubx(spark, sf):
