@@ -160,15 +160,24 @@ def thin(df: DataFrame, keys: list[str], order: str, ts: str, gap_us: int, strat
     ``strategy``: "single" (hash by key, in-partition sort, one vectorised fold; no window),
     "segments" (window-based restart detection; only multi-row segments reach Python),
     "chunked" (every key cut into bounded chunks, see :func:`thin_chunked`) or "auto"
-    (chunked when some key holds more than ``hot_rows`` rows, decided from a per-key count
-    aggregate; "single" otherwise).
+    (keys holding more than ``hot_rows`` rows take the chunked path, the others the single
+    pass; decided from a per-key count aggregate).
     """
     gap_us = int(gap_us)
     if gap_us <= 0:
         return df
     if strategy == "auto":
-        top = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()
-        strategy = "chunked" if top is not None and top["m"] is not None and top["m"] > hot_rows else "single"
+        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        top = counts.agg(F.max("_n").alias("m")).first()
+        if top is None or top["m"] is None or top["m"] <= hot_rows:
+            return thin_single_pass(df, keys, order, ts, gap_us)
+        # only the hot keys take the chunked path; the hot-key table has at most
+        # rows / hot_rows entries and the semi/anti joins are planned (and broadcast only
+        # under AQE's size check) by Spark
+        hot = counts.filter(F.col("_n") > hot_rows).select(*keys)
+        cold = thin_single_pass(df.join(hot, keys, "left_anti"), keys, order, ts, gap_us)
+        warm = thin_chunked(df.join(hot, keys, "left_semi"), keys, order, ts, gap_us, hot_rows)
+        return cold.unionByName(warm)
     if strategy == "chunked":
         return thin_chunked(df, keys, order, ts, gap_us, hot_rows)
     if strategy == "single":

@@ -120,3 +120,20 @@ def test_single_pass_vs_sequential(spark):
                 got.setdefault(r.device_id, []).append((r.seq, r.ts_us))
             assert {d: [x for _, x in sorted(got.get(d, []))] for d in expect} == expect
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_auto_routes_hot_and_cold_keys(spark):
+    rng = random.Random(31)
+    rows, expect = [], {}
+    for dev in range(10):
+        t, ts = rng.randint(0, 50), []
+        for _ in range(300 if dev < 2 else rng.randint(1, 20)):    # two hot keys, eight small
+            t += rng.choice([0, 1, 3, 7, 20, 60, -5])
+            ts.append(max(t, 0))
+        expect[dev] = sequential(ts, 25)
+        rows += [(dev, i, x) for i, x in enumerate(ts)]
+    df = spark.createDataFrame(rows, "device_id long, seq long, ts_us long")
+    got = {}
+    for r in thin(df, ["device_id"], "seq", "ts_us", 25, strategy="auto", hot_rows=50).collect():
+        got.setdefault(r.device_id, []).append((r.seq, r.ts_us))
+    assert {d: [x for _, x in sorted(got.get(d, []))] for d in expect} == expect
