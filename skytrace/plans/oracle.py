@@ -410,6 +410,7 @@ def oracle_sql() -> dict[str, str]:
     o["deframe"] = _with(
         f"SELECT device_id, {recno} AS rec_no, ts_us, protocol, CASE WHEN protocol = 'UBX' THEN 'B562' ELSE '244750' END "
         "AS start_hex, body_hex, CAST(body_len AS BIGINT) AS body_len, false AS truncated, 'OK' AS status FROM fx")
+    o["deframe_split"] = o["deframe"]
     full = "(length(text) + 1 + 200 + (e * 7) % 150)"
     o["deframe_truncate"] = _with(
         f"SELECT device_id, {recno} AS rec_no, CAST(least({full}, 299) AS BIGINT) AS body_len, {full} >= 299 AS truncated, "

@@ -425,6 +425,14 @@ def q_deframe(spark, sf):
                     "truncated", "status")
 
 
+def q_deframe_split(spark, sf):
+    """deframe over the splittable capture reader (large captures)."""
+    d = deframe(_captures(spark, sf, "cap-deframe-split", split=True))
+    return d.select("device_id", "rec_no", "ts_us", "protocol", F.hex("start_seq").alias("start_hex"),
+                    F.hex("body").alias("body_hex"), F.col("body_len").cast("bigint").alias("body_len"),
+                    "truncated", "status")
+
+
 def q_deframe_truncate(spark, sf):
     pad = F.expr("repeat('Z', 200 + cast(pmod(seq * 7, 150) as int))")
     raw = F.when(F.col("protocol") == "NMEA",
@@ -489,6 +497,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "capture_scan": q_capture_scan,
         "capture_scan_split": q_capture_scan_split,
         "deframe": q_deframe,
+        "deframe_split": q_deframe_split,
         "deframe_truncate": q_deframe_truncate,
         "deframe_incomplete": q_deframe_incomplete,
     })
