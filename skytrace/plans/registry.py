@@ -22,7 +22,7 @@ from ..operators.report import decode_quality
 from ..operators.reshape import series_long, series_pivot
 from ..operators.state import buffer_readout, elapsed_us, latest_n, latest_state, trim_series
 from ..operators.thinning import downsample_rate, resample, thin
-from ..session import prepare, scratch_path
+from ..session import scratch_path
 from ..sinks.csv import csv_fanout, format_rows, write_frame_lake
 from ..sinks.raw import capture_record, raw_frame, write_captures
 from ..sources.capture import deframe, scan_captures, scan_captures_split
@@ -40,7 +40,6 @@ PACK_US = DAY_US
 
 
 def events(spark: SparkSession, sf: str) -> DataFrame:
-    prepare(spark)
     return spark.read.parquet(f"{sf.rstrip('/')}/events.parquet")
 
 

@@ -1,12 +1,11 @@
-"""Session helpers: local session for tests/bench and the shared scratch folder."""
+"""Session helpers: local session for tests/bench and the cluster's shared scratch folder."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -22,43 +21,51 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
              .config("spark.driver.memory", "16g")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
-    prepare(spark)
     return spark
 
 
-def prepare(spark: SparkSession) -> None:
-    """Pin the session settings the operators rely on (UTC micros, a checkpoint folder)."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    shared_dir(spark)
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``).
+    """The folder named by ``spark.checkpoint.dir``, which driver and executors share.
 
-    On a cluster this is set by the platform (HDFS, object store, shared mount) and is used
-    as is. Only when it is unset, as in local tests, a folder is created and registered.
+    Where it is unset, a temporary folder is made under a ``local`` master (driver and
+    executors are one machine there); on any other master this raises, because executors
+    would write to their own disks and later reads would miss those files.
     """
     sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    d = (spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+         or sc.getCheckpointDir())
     if not d:
-        cur = sc.getCheckpointDir()
-        if cur:
-            return cur
+        master = sc.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on master {master}")
         d = tempfile.mkdtemp(prefix="skytrace-ckpt-")
+        _delete_on_exit(spark, d)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique sub-folder of the shared folder for job outputs (files, stream state)."""
-    base = shared_dir(spark).rstrip("/")
-    return f"{base}/skytrace/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh sub-folder of the shared folder for job outputs, deleted when the driver ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/skytrace/{name}-{uuid.uuid4().hex[:12]}"
+    _delete_on_exit(spark, path)
+    return path
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: cuts the lineage, and a lost
+    executor repeats only its own tasks."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _delete_on_exit(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
 
 
 def local_fs_path(path: str) -> str:
     """Strip a ``file:`` scheme for python-side file access in tests."""
     return path[5:] if path.startswith("file:") else path
-
-
-__all__ = ["local_session", "prepare", "shared_dir", "scratch_path", "local_fs_path", "os"]

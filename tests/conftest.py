@@ -13,12 +13,9 @@ FRAME_SCHEMA = ("device_id long, seq long, ts_us long, protocol string, start_se
 def spark():
     from pyspark.sql import SparkSession
 
-    from skytrace.session import prepare
-
     s = (SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    prepare(s)
     yield s
 
 
