@@ -5,9 +5,9 @@ digit counts for phones, mod-97 for IBANs), and words near a span adjust its sco
 
 A kind's matches come from ``regexp_extract_all`` and the gaps between them from ``split`` on
 the same pattern, so the offsets are running sums of lengths; Spark counts code points. The
-patterns are written with possessive quantifiers and start only where a run of their first
-class starts or the match before ended. That gives the same leftmost matches as the plain
-patterns, in time linear in the text and without recursion.
+patterns use possessive quantifiers and start only where a run of their first class starts
+or the match before ended. That gives the same leftmost matches as the plain patterns, in
+time linear in the text and without recursion.
 
 Defined cases: null and empty texts have no spans. Kinds are matched independently, so spans of
 two kinds may overlap. Repeated rows keep one row each. Other columns are not read.
@@ -27,16 +27,17 @@ PATTERNS = {
     "ip": r"(?:(?<![0-9])|\G)[0-9]++(?:\.[0-9]++){3}",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    "iban": r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?",
 }
-#: A character every match contains: texts without it are not searched.
+#: What every match contains: texts without it are not searched.
 NEEDS = {"email": "@", "ip": ".", "phone": "+"}
 #: Score of a confirmed span, and words that raise it when they stand within NEAR characters.
 BASE_SCORE = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.9}
-CONTEXT = {"email": "mail|contact|write|kontakt|correo|courriel", "ip": r"\bip\b|server|host|address|adresse",
-           "card": "card|visa|master|credit|karte|tarjeta|carte", "phone": r"phone|call|\btel|mobil|fax",
-           "iban": "iban|bank|konto|account|cuenta|compte"}
+CONTEXT = {"email": "(?i)mail|contact|write|kontakt|correo|courriel", "ip": r"(?i)\bip\b|server|host|adress",
+           "card": "(?i)card|visa|master|credit|karte|tarjeta|carte", "phone": r"(?i)phone|call|\btel|mobil|fax",
+           "iban": "(?i)iban|bank|konto|account|cuenta|compte"}
 NEAR, BOOST = 40, 0.1
+_SPANS = "array<struct<kind:string,start:int,`end`:int,score:double,match:string>>"
 
 
 def _digits(text: Column) -> Column:
@@ -46,14 +47,13 @@ def _digits(text: Column) -> Column:
 def luhn(digits: Column) -> Column:
     """Whether a string of digits passes the Luhn check."""
     n = F.length(digits)
-    total = F.aggregate(F.sequence(F.lit(1), n), F.lit(0), lambda acc, i: acc + _luhn_term(digits, n, i))
-    return total % 10 == 0
 
+    def term(i):
+        d = F.substring(digits, i, F.lit(1)).cast("int")
+        twice = F.when(d > 4, 2 * d - 9).otherwise(2 * d)
+        return F.when((n - i) % 2 == 1, twice).otherwise(d)
 
-def _luhn_term(digits: Column, n: Column, i: Column) -> Column:
-    d = F.substring(digits, i, F.lit(1)).cast("int")
-    twice = F.when(d > 4, 2 * d - 9).otherwise(2 * d)
-    return F.when((n - i) % 2 == 1, twice).otherwise(d)
+    return F.aggregate(F.sequence(F.lit(1), n), F.lit(0), lambda acc, i: acc + term(i)) % 10 == 0
 
 
 def mod97(iban: Column) -> Column:
@@ -69,12 +69,12 @@ def mod97(iban: Column) -> Column:
 
 def _confirmed(kind: str, m: Column) -> Column:
     if kind == "ip":
-        # leading zeros aside, a part over three digits is above 255
-        return F.forall(F.split(m, r"\."), lambda p: F.expr("true") & (F.length(F.ltrim(p, F.lit("0"))) <= 3)
-                        & (F.coalesce(F.try_to_number(F.right(p, F.lit(3)), F.lit("999")), F.lit(0)) <= 255))
+        def small(part):
+            bare = F.ltrim(part, F.lit("0"))
+            return (F.length(bare) < 3) | ((F.length(bare) == 3) & (bare <= "255"))
+        return F.forall(F.split(m, r"\."), small)
     if kind == "card":
-        d = _digits(m)
-        return F.when(F.length(d).between(16, 19), luhn(d)).otherwise(False)
+        return F.when(F.length(_digits(m)).between(16, 19), luhn(_digits(m))).otherwise(False)
     if kind == "phone":
         return F.length(_digits(m)).between(8, 15)
     if kind == "iban":
@@ -83,23 +83,55 @@ def _confirmed(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
-def _found(text: Column, kind: str) -> Column:
-    """Array of (kind, start, end, match) of all the pattern's matches, before validation."""
-    pattern = F.lit(PATTERNS[kind])
-    pairs = F.arrays_zip(F.split(text, PATTERNS[kind], -1).alias("gap"),
-                         F.regexp_extract_all(text, pattern, F.lit(0)).alias("match"))
-    empty = F.expr("cast(array() as array<struct<kind:string,start:int,`end`:int,match:string>>)")
-    start = F.struct(F.lit(0).alias("at"), empty.alias("spans"))
+def spans_of(text: Column, kind: str) -> Column:
+    """Array of (kind, start, end, score, match) of the confirmed spans of one kind in a text."""
+    gaps = F.split(text, PATTERNS[kind], -1)
+    rows = F.arrays_zip(gaps.alias("gap"), F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0)).alias("match"),
+                        F.slice(gaps, F.lit(2), F.size(gaps)).alias("after"))
+    none = F.expr(f"cast(array() as {_SPANS})")
 
     def step(acc, x):
         b = acc["at"] + F.length(x["gap"])
         e = b + F.length(x["match"])
-        span = F.struct(F.lit(kind).alias("kind"), b.alias("start"), e.alias("end"), x["match"].alias("match"))
+        near = F.concat(F.right(x["gap"], F.lit(NEAR)), F.lit(" "), F.left(x["after"], F.lit(NEAR)))
+        score = F.lit(BASE_SCORE[kind]) + F.when(F.rlike(near, F.lit(CONTEXT[kind])), BOOST).otherwise(0.0)
+        span = F.struct(F.lit(kind).alias("kind"), b.alias("start"), e.alias("end"), score.alias("score"),
+                        x["match"].alias("match"))
+        kept = x["match"].isNotNull() & _confirmed(kind, x["match"])
         return F.struct(F.coalesce(e, b).alias("at"),
-                        F.when(x["match"].isNull(), acc["spans"]).otherwise(F.concat(acc["spans"], F.array(span)))
-                        .alias("spans"))
-
-    found = F.aggregate(pairs, start, step, lambda acc: acc["spans"])
-    if kind in NEEDS:
-        found = F.when(F.contains(text, F.lit(NEEDS[kind])), found).otherwise(empty)
-    return found
+                        F.when(kept, F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"])
+                        .cast(_SPANS).alias("spans"))
+
+    found = F.aggregate(rows, F.struct(F.lit(0).alias("at"), none.alias("spans")), step, lambda acc: acc["spans"])
+    return F.when(F.contains(text, F.lit(NEEDS[kind])), found).otherwise(none) if kind in NEEDS else found
+
+
+def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: the id and ``spans``, by kind as in KINDS, then by start."""
+    text = F.coalesce(docs[text_col], F.lit(""))
+    per_kind = docs.select(docs[id_col].alias("_id"), *[spans_of(text, k).alias(f"_{k}") for k in KINDS])
+    return per_kind.select(F.col("_id").alias(id_col), F.concat(*[F.col(f"_{k}") for k in KINDS]).alias("spans"))
+
+
+def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The documents with each confirmed span replaced by its kind in brackets. Overlapping spans
+    become one replacement, named by the one that starts first. Null texts stay null."""
+    text = docs[text_col]
+    spans = F.array_sort(F.transform(F.concat(*[spans_of(text, k) for k in KINDS]),
+                                     lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
+                                                        s["kind"].alias("kind"))))
+    first = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("out"))
+
+    def step(acc, s):
+        gap = F.substring(F.col(text_col), acc["at"] + 1, s["start"] - acc["at"])
+        tag = F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
+                        F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.array(gap, tag)))
+                        .otherwise(acc["out"]).alias("out"))
+
+    marked = docs.withColumn("_spans", spans)
+    tail = F.substring(F.col(text_col), F.col("_cut.at") + 1, F.length(F.col(text_col)))
+    return (marked.withColumn("_cut", F.aggregate("_spans", first, step))
+            .withColumn(text_col, F.when(F.size("_cut.out") > 0,
+                                         F.concat(F.array_join("_cut.out", ""), tail)).otherwise(F.col(text_col)))
+            .drop("_spans", "_cut"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import urls
+from . import pii, urls
 from .common import table
 
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -29,5 +29,45 @@ fit AS (SELECT p.page_id, p.host, p.path, r.host || r.path AS rule, r.verdict,
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fit WHERE k = 1
 """
 
-QUERIES = {"op4_url_rules": op4_url_rules}
-SQL = {"op4_url_rules": SQL4}
+def op8_pii(spark, sf_dir):
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    mark = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))
+    count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+    return found.select("doc_id", *[count(k) for k in pii.BASE_KINDS],
+                        F.sha2(F.array_join(F.transform(base, mark), ",").cast("binary"), 256).alias("base_sha256"),
+                        F.array_join(F.transform("spans", mark), ",").alias("spans"))
+
+
+SQL8 = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+kinds(o, kind, p) AS (VALUES (1, 'email', '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+'),
+  (2, 'ip', '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)'), (3, 'card', '[0-9]([\x20-]?[0-9])+'),
+  (4, 'phone', '\+[0-9][\x20().0-9-]+[0-9]'),
+  (5, 'iban', '[A-Z]{2}[0-9]{2}(\x20?[A-Z0-9]{4}){2,7}(\x20?[A-Z0-9]{1,3})?')),
+found AS (SELECT doc_id, o, kind, string_split_regex(t, p) AS gaps, regexp_extract_all(t, p, 0) AS ms FROM d, kinds),
+flat AS (SELECT doc_id, o, kind, gaps, ms, unnest(range(1, len(ms) + 1)) AS i FROM found),
+placed AS (SELECT doc_id, o, kind, ms[i] AS m, regexp_replace(ms[i], '[^0-9]', '', 'g') AS digits,
+    replace(ms[i], ' ', '') AS bare, (list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+    + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0))::BIGINT AS s FROM flat),
+good AS (SELECT doc_id, o, kind, s, s + length(m) AS e FROM placed WHERE CASE kind
+    WHEN 'email' THEN true
+    WHEN 'ip' THEN list_bool_and(list_transform(string_split(m, '.'), lambda x: x::HUGEINT <= 255))
+    WHEN 'card' THEN length(digits) BETWEEN 16 AND 19 AND list_sum(list_transform(range(1, length(digits) + 1),
+      lambda k: CASE WHEN (length(digits) - k) % 2 = 1 THEN (2 * digits[k]::INT) // 10 + (2 * digits[k]::INT) % 10
+      ELSE digits[k]::INT END)) % 10 = 0
+    WHEN 'phone' THEN length(digits) BETWEEN 8 AND 15
+    ELSE length(bare) BETWEEN 15 AND 34 AND list_reduce(list_prepend(0::BIGINT, list_transform(range(0, length(bare)),
+      lambda k: ascii(bare[(k + 4) % length(bare) + 1])::BIGINT)),
+      lambda a, c: (CASE WHEN c >= 65 THEN a * 100 + c - 55 ELSE a * 10 + c - 48 END) % 97) = 1 END),
+joined AS (SELECT doc_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
+    count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
+    coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY o, s) FILTER (o < 5), '') AS base,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY o, s) AS spans FROM good GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+  coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN joined USING (doc_id)
+"""
+
+QUERIES = {"op4_url_rules": op4_url_rules, "op8_pii": op8_pii}
+SQL = {"op4_url_rules": SQL4, "op8_pii": SQL8}
