@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import pii, urls
+from . import cdc, pii, urls
 from .common import table
 
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -16,6 +16,10 @@ def op4_url_rules(spark, sf_dir):
     return urls.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op2_fingerprints(spark, sf_dir):
+    return cdc.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 SQL4 = """
 WITH rules(host, path, verdict) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'),
   ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
@@ -69,5 +73,5 @@ SELECT d.doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coa
 FROM d LEFT JOIN joined USING (doc_id)
 """
 
-QUERIES = {"op4_url_rules": op4_url_rules, "op8_pii": op8_pii}
+QUERIES = {"op2_fingerprints": op2_fingerprints, "op4_url_rules": op4_url_rules, "op8_pii": op8_pii}
 SQL = {"op4_url_rules": SQL4, "op8_pii": SQL8}
