@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import cdc, pii, urls
+from . import cdc, pii, suffix, urls
 from .common import table
 
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -33,6 +33,38 @@ fit AS (SELECT p.page_id, p.host, p.path, r.host || r.path AS rule, r.verdict,
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fit WHERE k = 1
 """
 
+def op7_decontamination(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = suffix.contamination(docs, table(spark, sf_dir, "benchmark"))
+    items = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["item_id"])))
+    return found.select(F.col("_row.doc_id").alias("doc_id"), "n_words", "n_hit",
+                        F.size(items).cast("long").alias("n_items"),
+                        F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"), "contaminated",
+                        F.coalesce(F.array_max(F.transform("matches", lambda m: m["length"])), F.lit(0))
+                        .cast("long").alias("longest"))
+
+
+SQL7 = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+i AS (SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+iw AS (SELECT item, least(len(ws), 13) AS n, unnest(range(1, greatest(len(ws) - 12, least(len(ws), 1)) + 1)) AS p, ws FROM i),
+win AS (SELECT item, p AS item_pos, n, ws[p:p + n - 1] AS seq FROM iw),
+sizes AS (SELECT DISTINCT n FROM win),
+dw AS (SELECT doc_id, n, unnest(range(1, len(ws) - n + 2)) AS p, ws FROM w, sizes WHERE len(ws) >= n),
+occ AS (SELECT d.doc_id, d.p, d.n, x.item, x.item_pos FROM dw d JOIN win x ON x.n = d.n AND d.ws[d.p:d.p + d.n - 1] = x.seq),
+hit AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS k FROM occ) GROUP BY doc_id),
+runs AS (SELECT doc_id, item, n, p, p - row_number() OVER (PARTITION BY doc_id, item, p - item_pos ORDER BY p) AS g, p - item_pos AS dg FROM occ),
+best AS (SELECT doc_id, max(len) AS longest FROM (SELECT doc_id, max(p) + max(n) - min(p) AS len FROM runs GROUP BY doc_id, item, dg, g) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM occ) GROUP BY doc_id)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated,
+  coalesce(longest, 0)::BIGINT AS longest
+FROM w LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id) LEFT JOIN best USING (doc_id)
+"""
+
+
 def op8_pii(spark, sf_dir):
     found = pii.find_pii(table(spark, sf_dir, "documents"))
     mark = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
@@ -73,5 +105,5 @@ SELECT d.doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coa
 FROM d LEFT JOIN joined USING (doc_id)
 """
 
-QUERIES = {"op2_fingerprints": op2_fingerprints, "op4_url_rules": op4_url_rules, "op8_pii": op8_pii}
-SQL = {"op4_url_rules": SQL4, "op8_pii": SQL8}
+QUERIES = {"op7_decontamination": op7_decontamination, "op2_fingerprints": op2_fingerprints, "op4_url_rules": op4_url_rules, "op8_pii": op8_pii}
+SQL = {"op7_decontamination": SQL7, "op4_url_rules": SQL4, "op8_pii": SQL8}
