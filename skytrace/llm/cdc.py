@@ -26,9 +26,8 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .common import BYTE_VALUE, col, id_text, mix64, pieces, prefix, row_of, span_hash, text_buffer
+from .common import BYTE_VALUE, col, id_text, in_id_order, mix64, pieces, prefix, row_of, span_hash, text_buffer
 
 WINDOW = MIN = 16
 NORMAL, MAX = 32, 128
@@ -103,40 +102,6 @@ def containment(digests: np.ndarray, lengths: np.ndarray, row: np.ndarray, other
     return np.where(neither, 1.0, common / np.maximum(total, 1))
 
 
-def _pack(tops: list[int]):
-    """Rows dealt to the range of their id, packed; the first row of a range (its greatest id,
-    ``tops[i]``) goes to the range above as well, that of the highest range to the lowest."""
-    bounds = np.array(tops, np.int64)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=1).compress
-        for b in batches:
-            rows: list[tuple] = []
-            for i, text in zip(col(b, "_id").to_pylist(), col(b, "_text").to_pylist(), strict=True):
-                r = 0 if i is None or not len(bounds) else int(np.searchsorted(bounds, i))
-                packed = pack(text.encode())
-                rows.append((r, 0, i, packed))
-                if not len(bounds) or i == tops[r]:
-                    rows.append(((r + 1) % max(len(tops), 1), 1, i, packed))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.binary()),
-                                                strict=True)] if rows else [], names=["_range", "_copy", "_id", "_packed"])
-
-    return run
-
-
-def in_order(docs: DataFrame, n_ranges: int | None = None) -> DataFrame:
-    """(_range, _copy, _id, _packed) by range, descending id within it; a range's rows are followed by
-    copies (_copy = 1) of the rows of which one follows its last row in the whole table's order."""
-    n_ranges = n_ranges or 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shares = [(i + 1) / n_ranges for i in range(n_ranges)]
-    top, cuts = docs.select(F.max("_id"), F.approx_percentile("_id", shares, 100 * n_ranges)).first()
-    tops = sorted({*(cuts or []), top} - {None})  # ids of the table, so no range is empty
-    return (docs.mapInArrow(_pack(tops), "_range long, _copy int, _id long, _packed binary")
-            .repartition("_range")
-            .sortWithinPartitions("_range", "_copy", F.desc_nulls_last("_id"), "_packed"))
-
-
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
                   ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()),
                   ("near_edited", pa.float64()), ("near_next", pa.float64())])
@@ -191,7 +156,7 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     containment of the text's fingerprint in the edited one and in the next document's."""
     spec = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
             "near_edited double, near_next double")
-    return in_order(id_text(docs, id_col, text_col)).mapInArrow(_stream, spec)
+    return in_id_order(id_text(docs, id_col, text_col), with_next=True).mapInArrow(_stream, spec)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -7,10 +7,13 @@ belongs to the word class of each contract used here, so byte runs equal code-po
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,19 +97,26 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 BYTE_VALUE = mix64(np.arange(1, 257, dtype=np.uint64) * U64(0xD1B54A32D192ED03))
 _INV = U64(pow(int(_P), -1, 1 << 64))
-_POW = {"n": 0}
+
+
+def process_cache(name: str) -> dict:
+    """A dict that lives as long as the worker process. (The package travels to the workers by
+    value, so its own module globals are new in every task.)"""
+    home = sys.modules.setdefault("skytrace_process_cache", types.ModuleType("skytrace_process_cache"))
+    return home.__dict__.setdefault(name, {})
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """P**i and P**-i modulo 2**64 for i < n."""
-    if _POW["n"] < n:
+    kept = process_cache("powers")
+    if kept.get("n", 0) < n:
         size = 1 << max(16, (n - 1).bit_length())
         for name, p in (("up", _P), ("down", _INV)):
             a = np.full(size, p, np.uint64)
             a[0] = 1
-            _POW[name] = np.multiply.accumulate(a)
-        _POW["n"] = size
-    return _POW["up"][:n], _POW["down"][:n]
+            kept[name] = np.multiply.accumulate(a)
+        kept["n"] = size
+    return kept["up"][:n], kept["down"][:n]
 
 
 def prefix(values: np.ndarray) -> np.ndarray:
@@ -161,3 +171,44 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 def row_of(offs: np.ndarray) -> np.ndarray:
     """Row number of every element of a ragged array with these offsets."""
     return np.repeat(np.arange(len(offs) - 1), np.diff(offs))
+
+
+# ------------------------------------------------------------------ rows in id order
+def _pack(tops: list[int], with_next: bool):
+    """Rows dealt to the range of their id, packed. ``tops[i]`` is the greatest id of range i, which
+    ``with_next`` also sends to the range above, that of the highest range to the lowest."""
+    bounds = np.array(tops, np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for b in batches:
+            rows: list[tuple] = []
+            for i, text in zip(col(b, "_id").to_pylist(), col(b, "_text").to_pylist(), strict=True):
+                r = 0 if i is None or not len(bounds) else int(np.searchsorted(bounds, i))
+                packed = pack(text.encode())
+                rows.append((r, 0, i, packed))
+                if with_next and (not len(bounds) or i == tops[r]):
+                    rows.append(((r + 1) % max(len(tops), 1), 1, i, packed))
+            if rows:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.binary()),
+                                                    strict=True)], names=["_range", "_copy", "_id", "_packed"])
+
+    return run
+
+
+def in_id_order(docs: DataFrame, with_next: bool = False, n_ranges: int | None = None) -> DataFrame:
+    """(_id, _text) -> (_range, _copy, _id, _packed), with one shuffle of packed texts and no global sort.
+
+    Ids are cut to ranges at quantiles (by default two for each shuffle partition); a task holds
+    whole ranges, ascending, each sorted by id. ``with_next`` sorts by descending id and ends a
+    range with copies (_copy = 1) of the rows of which the first follows its last row in the
+    whole table's descending order (after the table's last: its first).
+    """
+    n_ranges = n_ranges or 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shares = [(i + 1) / n_ranges for i in range(n_ranges)]
+    top, cuts = docs.select(F.max("_id"), F.approx_percentile("_id", shares, 100 * n_ranges)).first()
+    tops = sorted({*(cuts or []), top} - {None})  # ids of the table, so no range is empty
+    by = F.desc_nulls_last("_id") if with_next else F.asc_nulls_first("_id")
+    return (docs.mapInArrow(_pack(tops, with_next), "_range long, _copy int, _id long, _packed binary")
+            .repartition("_range").sortWithinPartitions("_range", "_copy", by, "_packed"))

@@ -4,9 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import cdc, pii, suffix, urls
+from . import cdc, pii, rans, suffix, urls
 from .common import table
 
+
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer file, as installed on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
@@ -105,5 +113,9 @@ SELECT d.doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coa
 FROM d LEFT JOIN joined USING (doc_id)
 """
 
-QUERIES = {"op7_decontamination": op7_decontamination, "op2_fingerprints": op2_fingerprints, "op4_url_rules": op4_url_rules, "op8_pii": op8_pii}
+def op9_token_files(spark, sf_dir):
+    return rans.token_files(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), 2)
+
+
+QUERIES = {"op9_token_files": op9_token_files, "op7_decontamination": op7_decontamination, "op2_fingerprints": op2_fingerprints, "op4_url_rules": op4_url_rules, "op8_pii": op8_pii}
 SQL = {"op7_decontamination": SQL7, "op4_url_rules": SQL4, "op8_pii": SQL8}
