@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import cdc, pii, rans, suffix, urls
+from . import cdc, pii, rans, suffix, urls, wfst
 from .common import table
 
 
@@ -117,5 +117,9 @@ def op9_token_files(spark, sf_dir):
     return rans.token_files(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), 2)
 
 
-QUERIES = {"op9_token_files": op9_token_files, "op7_decontamination": op7_decontamination, "op2_fingerprints": op2_fingerprints, "op4_url_rules": op4_url_rules, "op8_pii": op8_pii}
+def op10_sentencepiece(spark, sf_dir):
+    return wfst.encode(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+QUERIES = {"op10_sentencepiece": op10_sentencepiece, "op9_token_files": op9_token_files, "op7_decontamination": op7_decontamination, "op2_fingerprints": op2_fingerprints, "op4_url_rules": op4_url_rules, "op8_pii": op8_pii}
 SQL = {"op7_decontamination": SQL7, "op4_url_rules": SQL4, "op8_pii": SQL8}
