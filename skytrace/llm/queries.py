@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import cdc, pii, rans, suffix, urls, wfst
+from . import cdc, dartminhash, pii, rans, suffix, urls, wfst
 from .common import table
 
 
@@ -24,6 +24,10 @@ def op4_url_rules(spark, sf_dir):
     return urls.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op1_near_dedup(spark, sf_dir):
+    return dartminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op2_fingerprints(spark, sf_dir):
     return cdc.fingerprint_edits(table(spark, sf_dir, "documents"))
 
@@ -121,5 +125,5 @@ def op10_sentencepiece(spark, sf_dir):
     return wfst.encode(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
-QUERIES = {"op10_sentencepiece": op10_sentencepiece, "op9_token_files": op9_token_files, "op7_decontamination": op7_decontamination, "op2_fingerprints": op2_fingerprints, "op4_url_rules": op4_url_rules, "op8_pii": op8_pii}
+QUERIES = {"op1_near_dedup": op1_near_dedup, "op10_sentencepiece": op10_sentencepiece, "op9_token_files": op9_token_files, "op7_decontamination": op7_decontamination, "op2_fingerprints": op2_fingerprints, "op4_url_rules": op4_url_rules, "op8_pii": op8_pii}
 SQL = {"op7_decontamination": SQL7, "op4_url_rules": SQL4, "op8_pii": SQL8}
