@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import cdc, dartminhash, pii, rans, suffix, urls, wfst
+from . import cdc, dartminhash, pii, rans, repeats, suffix, urls, wfst
 from .common import table
 
 
@@ -15,6 +15,23 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_substring_dedup(spark, sf_dir):
+    out = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+SQL3 = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS ws FROM documents),
+w AS (SELECT doc_id, unnest(range(1, len(ws) - 18)) AS p, ws FROM d WHERE len(ws) >= 20),
+keyed AS (SELECT doc_id, p, md5(array_to_string(ws[p:p + 19], ' ')) AS k FROM w),
+late AS (SELECT doc_id, p FROM (SELECT doc_id, p, rank() OVER (PARTITION BY k ORDER BY doc_id, p) AS r FROM keyed) WHERE r > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 20)) AS i FROM late),
+words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM d),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS t FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, len(ws)::BIGINT - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
@@ -125,5 +142,5 @@ def op10_sentencepiece(spark, sf_dir):
     return wfst.encode(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
-QUERIES = {"op1_near_dedup": op1_near_dedup, "op10_sentencepiece": op10_sentencepiece, "op9_token_files": op9_token_files, "op7_decontamination": op7_decontamination, "op2_fingerprints": op2_fingerprints, "op4_url_rules": op4_url_rules, "op8_pii": op8_pii}
-SQL = {"op7_decontamination": SQL7, "op4_url_rules": SQL4, "op8_pii": SQL8}
+QUERIES = {"op3_substring_dedup": op3_substring_dedup, "op1_near_dedup": op1_near_dedup, "op10_sentencepiece": op10_sentencepiece, "op9_token_files": op9_token_files, "op7_decontamination": op7_decontamination, "op2_fingerprints": op2_fingerprints, "op4_url_rules": op4_url_rules, "op8_pii": op8_pii}
+SQL = {"op3_substring_dedup": SQL3, "op7_decontamination": SQL7, "op4_url_rules": SQL4, "op8_pii": SQL8}
