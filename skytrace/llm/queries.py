@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import cdc, dartminhash, pii, rans, repeats, suffix, urls, wfst
-from .common import table
+from . import cdc, dartminhash, mil, pii, rans, repeats, suffix, urls, wfst
+from .common import crc_mod, table
 
 
 def vocabulary(name: str) -> str:
@@ -21,7 +21,8 @@ def op3_substring_dedup(spark, sf_dir):
 
 
 SQL3 = r"""
-WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS ws FROM documents),
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS ws FROM documents),
 w AS (SELECT doc_id, unnest(range(1, len(ws) - 18)) AS p, ws FROM d WHERE len(ws) >= 20),
 keyed AS (SELECT doc_id, p, md5(array_to_string(ws[p:p + 19], ' ')) AS k FROM w),
 late AS (SELECT doc_id, p FROM (SELECT doc_id, p, rank() OVER (PARTITION BY k ORDER BY doc_id, p) AS r FROM keyed) WHERE r > 1),
@@ -32,6 +33,21 @@ SELECT d.doc_id, len(ws)::BIGINT AS n_words, len(ws)::BIGINT - coalesce(n, 0) AS
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
+QUALITY_AT = 0.7
+
+
+def quality_model(docs, labels):
+    """Fitted on the labelled rows outside the held-out quarter."""
+    return mil.train(docs, labels, crc_mod(labels["doc_id"], 4) != 2)
+
+
+def op5_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = mil.score(docs, quality_model(docs, table(spark, sf_dir, "labels")))
+    return out.select(F.col("_row.doc_id").alias("doc_id"), (crc_mod(F.col("_row.doc_id"), 4) == 2).alias("held_out"),
+                      F.col("_score").alias("score"), (F.col("_score") >= QUALITY_AT).cast("int").alias("predicted"))
+
+
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
@@ -142,5 +158,5 @@ def op10_sentencepiece(spark, sf_dir):
     return wfst.encode(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
-QUERIES = {"op3_substring_dedup": op3_substring_dedup, "op1_near_dedup": op1_near_dedup, "op10_sentencepiece": op10_sentencepiece, "op9_token_files": op9_token_files, "op7_decontamination": op7_decontamination, "op2_fingerprints": op2_fingerprints, "op4_url_rules": op4_url_rules, "op8_pii": op8_pii}
+QUERIES = {"op5_quality": op5_quality, "op3_substring_dedup": op3_substring_dedup, "op1_near_dedup": op1_near_dedup, "op10_sentencepiece": op10_sentencepiece, "op9_token_files": op9_token_files, "op7_decontamination": op7_decontamination, "op2_fingerprints": op2_fingerprints, "op4_url_rules": op4_url_rules, "op8_pii": op8_pii}
 SQL = {"op3_substring_dedup": SQL3, "op7_decontamination": SQL7, "op4_url_rules": SQL4, "op8_pii": SQL8}
