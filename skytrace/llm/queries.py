@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import cdc, dartminhash, mil, pii, rans, repeats, suffix, urls, wfst
+from . import brown, cdc, dartminhash, mil, pii, rans, repeats, suffix, urls, wfst
 from .common import crc_mod, table
 
 
@@ -48,6 +48,13 @@ def op5_quality(spark, sf_dir):
                       F.col("_score").alias("score"), (F.col("_score") >= QUALITY_AT).cast("int").alias("predicted"))
 
 
+def op6_class_lm(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = brown.score(docs, crc_mod(docs["doc_id"], 10) != 0)
+    return out.select("doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                      "base_score", "score")
+
+
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
@@ -158,5 +165,5 @@ def op10_sentencepiece(spark, sf_dir):
     return wfst.encode(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
-QUERIES = {"op5_quality": op5_quality, "op3_substring_dedup": op3_substring_dedup, "op1_near_dedup": op1_near_dedup, "op10_sentencepiece": op10_sentencepiece, "op9_token_files": op9_token_files, "op7_decontamination": op7_decontamination, "op2_fingerprints": op2_fingerprints, "op4_url_rules": op4_url_rules, "op8_pii": op8_pii}
+QUERIES = {"op6_class_lm": op6_class_lm, "op5_quality": op5_quality, "op3_substring_dedup": op3_substring_dedup, "op1_near_dedup": op1_near_dedup, "op10_sentencepiece": op10_sentencepiece, "op9_token_files": op9_token_files, "op7_decontamination": op7_decontamination, "op2_fingerprints": op2_fingerprints, "op4_url_rules": op4_url_rules, "op8_pii": op8_pii}
 SQL = {"op3_substring_dedup": SQL3, "op7_decontamination": SQL7, "op4_url_rules": SQL4, "op8_pii": SQL8}
