@@ -27,8 +27,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .common import BYTE_VALUE, col, id_text, pieces, prefix, process_cache, span_hash, text_buffer
+from .common import BYTE_VALUE, col, pieces, prefix, process_cache, span_hash, text_buffer
 
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BLANK = "▁"
@@ -407,10 +408,12 @@ def _shared(df: DataFrame, model_file: str):
         return df.sparkSession.sparkContext.broadcast(f.read())
 
 
-def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_pieces, ids, decoded_sha256 of the text the ids decode to, and
-    lossless (whether that is the text, blanks for U+2581). No shuffle."""
+def encode(docs: DataFrame, model_file: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """One row per document: the columns ``keep``, n_pieces, ids, decoded_sha256 of the text the ids
+    decode to, and lossless (whether that is the text, blanks for U+2581). No shuffle."""
     shared = _shared(docs, model_file)
+    rows = docs.select(F.struct(*[docs[c] for c in keep]).alias("_row"),
+                       F.coalesce(docs[text_col], F.lit("")).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(shared.value)
@@ -419,14 +422,14 @@ def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
             ids, at = e(texts)
             back = e.model.decode(ids, at)
             yield pa.RecordBatch.from_arrays([
-                col(b, "_id"), pa.array(np.diff(at)),
+                col(b, "_row"), pa.array(np.diff(at)),
                 pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids, pa.int32())),
                 pa.array([hashlib.sha256(t.encode()).hexdigest() for t in back]),
                 pa.array([t == s.replace(BLANK, " ") for t, s in zip(back, texts, strict=True)], pa.bool_()),
-            ], names=["doc_id", "n_pieces", "ids", "decoded_sha256", "lossless"])
+            ], names=["_row", "n_pieces", "ids", "decoded_sha256", "lossless"])
 
-    return id_text(docs, id_col, text_col).mapInArrow(
-        run, "doc_id long, n_pieces long, ids array<int>, decoded_sha256 string, lossless boolean")
+    return rows.mapInArrow(run, f"_row {rows.schema['_row'].dataType.simpleString()}, n_pieces long, ids array<int>, "
+                                "decoded_sha256 string, lossless boolean").select("_row.*", "n_pieces", "ids", "decoded_sha256", "lossless")
 
 
 def decode(rows: DataFrame, model_file: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
