@@ -275,7 +275,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents less all but the one of least id of each class; rows without id stay."""
-    classes = near_duplicates(docs, id_col, text_col, **options)
-    kept = classes.filter("class_id = " + id_col).select(F.col("class_id").alias("_kept")).distinct()
-    first = docs.join(kept, docs[id_col] == F.col("_kept")).drop("_kept").dropDuplicates([id_col])
-    return first.unionByName(docs.filter(docs[id_col].isNull()))
+    classes = near_duplicates(docs, id_col, text_col, **options).toDF("_id", "_class")
+    kept = classes.filter("_id = _class").select("_id").distinct()
+    rows = docs.select(docs[id_col].cast("long").alias("_id"), F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
+    first = rows.join(kept, "_id").dropDuplicates(["_id"]).unionByName(rows.filter("_id is null"))
+    return first.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])

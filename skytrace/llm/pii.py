@@ -116,22 +116,21 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents with each confirmed span replaced by its kind in brackets. Overlapping spans
     become one replacement, named by the one that starts first. Null texts stay null."""
-    text = docs[text_col]
+    text = F.col("_text")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), docs[text_col].alias("_text"))
     spans = F.array_sort(F.transform(F.concat(*[spans_of(text, k) for k in KINDS]),
                                      lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
                                                         s["kind"].alias("kind"))))
     first = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("out"))
 
     def step(acc, s):
-        gap = F.substring(F.col(text_col), acc["at"] + 1, s["start"] - acc["at"])
+        gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
         tag = F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
                         F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.array(gap, tag)))
                         .otherwise(acc["out"]).alias("out"))
 
-    marked = docs.withColumn("_spans", spans)
-    tail = F.substring(F.col(text_col), F.col("_cut.at") + 1, F.length(F.col(text_col)))
-    return (marked.withColumn("_cut", F.aggregate("_spans", first, step))
-            .withColumn(text_col, F.when(F.size("_cut.out") > 0,
-                                         F.concat(F.array_join("_cut.out", ""), tail)).otherwise(F.col(text_col)))
-            .drop("_spans", "_cut"))
+    cut = rows.withColumn("_spans", spans).withColumn("_cut", F.aggregate("_spans", first, step))
+    tail = F.substring(text, F.col("_cut.at") + 1, F.length(text))
+    changed = F.when(F.size("_cut.out") > 0, F.concat(F.array_join("_cut.out", ""), tail)).otherwise(text)
+    return cut.select(*[changed.alias(c) if c == text_col else F.col("_row").getField(c).alias(c) for c in docs.columns])
