@@ -10,7 +10,7 @@ most, until a sweep moves none or SWEEPS are done. The end token keeps a class o
 Transitions are smoothed towards the class shares, (n(c', c) + BETA p(c)) / (n(c') + BETA), and
 emissions by (n(w) + 0.1) / (n(c) + 0.1 (words of c + 1)). A document starts after an end token.
 
-Scoring looks up the KNOWN commonest words in a broadcast table of that many rows; the counts of
+Scoring looks up the commonest words in a broadcast table of at most KNOWN rows; the counts of
 all others are joined by word hash, so the vocabulary may grow without bound.
 
 Defined cases: null and empty texts have the end token only. Repeated rows keep one row each. A
@@ -171,7 +171,17 @@ def fit(docs: DataFrame, spark) -> tuple[Model, DataFrame]:
     table = materialise(counted.groupBy("_key").agg(F.max("_ending").alias("_ending"), F.sum("_n").alias("_n")), "words")
     table = table.filter("_n > 0")
     tokens, words = table.agg(F.sum("_n"), F.count("*")).first()
-    best = table.filter(F.col("_key") != _END).orderBy(F.desc("_n"), "_key").limit(KNOWN).toPandas()  # KNOWN rows
+    # the commonest words: all above the least grade of counts that at most KNOWN words reach
+    grade = F.floor(32 * F.log2("_n"))
+    sizes = table.filter(F.col("_key") != _END).groupBy(grade.alias("g")).agg(F.count("*").alias("c")).collect()  # < 2048 rows
+    cut, total = 1 << 30, 0
+    for r in sorted(sizes, reverse=True):
+        total += r.c
+        if total > KNOWN:
+            break
+        cut = r.g
+    best = (table.filter((F.col("_key") != _END) & (grade >= cut)).toPandas()  # at most KNOWN rows
+            .sort_values(["_n", "_key"], ascending=[False, True], ignore_index=True))
     end = table.filter(F.col("_key") == _END).agg(F.sum("_n")).first()[0] or 0
     key = best["_key"].to_numpy(np.int64).view(np.uint64)
     count = best["_n"].to_numpy(np.int64)
