@@ -10,10 +10,10 @@ whatever the document's size: those of rank below (k ln k + 2k) / total weight;
 doubled for the documents (about one in eight) that have a coordinate left empty.
 
 Documents with equal words are merged first. BANDS bands of ROWS coordinates deal the others to
-buckets. A bucket's least document leads it: all others are held against the leader by the exact
-similarity. Those not linked to a leader lead in later rounds (1, 16, 256, ... at a time) until
-every one is linked to a leader or has led, so a bucket costs (leaders x members) comparisons, not
-all pairs, and no bucket is cut short. Classes are the connected components of the links.
+buckets. In rounds, some documents of a bucket lead: they are held by exact similarity against its
+other documents of other components, until its documents are of one component or all have led.
+A group of near copies costs (leaders x members) comparisons, not all pairs; no bucket is cut
+short, no candidate dropped. Classes are the connected components of the links.
 
 A pair of similarity 0.8 shares no bucket with probability (1 - 0.8**8)**64 = 8e-6.
 
@@ -224,6 +224,48 @@ def verify(pairs: DataFrame, docs: DataFrame, size: int, threshold: float) -> Da
             .mapInArrow(_compare(size, threshold), "a long, b long").distinct())
 
 
+def _leaders(waiting: DataFrame, turn: int, links: DataFrame) -> DataFrame:
+    """The rows that lead next: by id at first, then in turn those with most links (a text many others
+    were made from) and those of the bucket's smallest components."""
+    degree = links.select("a").unionByName(links.select(F.col("b").alias("a"))).groupBy("a").agg(F.count("*").alias("_degree"))
+    ranked = (waiting.join(degree.withColumnRenamed("a", "_rep"), "_rep", "left")
+              .withColumn("_size", F.count("*").over(Window.partitionBy("_bucket", "_root"))))
+    most, small = F.coalesce("_degree", F.lit(0)).desc(), F.col("_size")
+    order = Window.partitionBy("_bucket").orderBy(*([most] if turn % 2 else [small, most]), "_rep")
+    return (ranked.withColumn("_k", F.row_number().over(order)).filter(F.col("_k") <= max(1, 4 ** (turn - 2)))
+            .select("_bucket", F.col("_rep").alias("_lead"), F.col("_n").alias("_ln"), F.col("_root").alias("_lroot")))
+
+
+def bucket_links(members: DataFrame, verify_pairs, threshold: float) -> DataFrame:
+    """Rows (_bucket, _rep, _n) -> links (a, b) with the components of all links within buckets.
+
+    In each round some rows of every bucket lead: they are held against the bucket's waiting rows of
+    other components, and wait no longer. A bucket is done when its waiting rows are of one
+    component. So every pair of a bucket is compared, or in one component already.
+    """
+    waiting, compared, links, turn = members.withColumn("_root", F.col("_rep")), None, None, 0
+    while not waiting.isEmpty():
+        if links is None:
+            links = members.sparkSession.createDataFrame([], "a long, b long")
+        lead = materialise(_leaders(waiting, turn, links), "leaders")
+        pairs = (waiting.join(lead, "_bucket").filter("_root != _lroot")
+                 # a similarity of at least the threshold needs weights that close
+                 .filter(F.least("_n", "_ln") >= threshold * F.greatest("_n", "_ln"))
+                 .select(F.least("_lead", "_rep").alias("a"), F.greatest("_lead", "_rep").alias("b")).distinct())
+        if compared is not None:
+            pairs = pairs.join(compared, ["a", "b"], "left_anti")
+        pairs = materialise(pairs, "pairs")
+        compared = pairs if compared is None else compared.unionByName(pairs)
+        links = links.unionByName(materialise(verify_pairs(pairs), "links"))
+        rest = (waiting.drop("_root").join(lead.select("_bucket", F.col("_lead").alias("_rep")), ["_bucket", "_rep"], "left_anti")
+                .join(components(links).withColumnRenamed("node", "_rep"), "_rep", "left")
+                .select("_bucket", "_rep", "_n", F.coalesce("root", "_rep").alias("_root")))
+        split = rest.groupBy("_bucket").agg(F.min("_root").alias("x"), F.max("_root").alias("y")).filter("x < y").select("_bucket")
+        waiting = materialise(rest.join(split, "_bucket"), "waiting")
+        turn += 1
+    return links if links is not None else members.select(F.col("_rep").alias("a"), F.col("_rep").alias("b")).limit(0)
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
                     threshold: float = THRESHOLD, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
     """One row per document: its id and ``class_id``, the least id of its class."""
@@ -240,34 +282,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = dealt.groupBy("_bucket").agg(F.count("*").alias("_c")).filter("_c > 1").select("_bucket")
     members = materialise(dealt.join(shared, "_bucket"), "buckets")
     reps = docs.join(same.select(F.col("_rep").alias("_id")), "_id", "left_semi")
-    links = [own.filter("_id != _rep").select(F.col("_rep").alias("a"), F.col("_id").alias("b"))]
-    waiting, compared, leaders = members, None, 1
-    while not waiting.isEmpty():
-        order = Window.partitionBy("_bucket").orderBy("_rep")
-        lead = materialise(waiting.withColumn("_k", F.row_number().over(order)).filter(F.col("_k") <= leaders)
-                           .select("_bucket", F.col("_rep").alias("_lead"), F.col("_n").alias("_ln")), "leaders")
-        pairs = (members.join(lead, "_bucket").filter("_rep != _lead")
-                 # a similarity of at least the threshold needs weights that close
-                 .filter(F.least("_n", "_ln") >= threshold * F.greatest("_n", "_ln"))
-                 .select(F.least("_lead", "_rep").alias("a"), F.greatest("_lead", "_rep").alias("b")).distinct())
-        if compared is not None:
-            pairs = pairs.join(compared, ["a", "b"], "left_anti")
-        pairs = materialise(pairs, "pairs")
-        linked = materialise(verify(pairs, reps, size, threshold), "links")
-        links.append(linked)
-        compared = pairs if compared is None else compared.unionByName(pairs)
-        known = links[1]
-        for more in links[2:]:
-            known = known.unionByName(more)
-        either = known.unionByName(known.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        led = (lead.join(either, F.col("_lead") == F.col("a"))
-               .select("_bucket", F.col("b").alias("_rep"))
-               .unionByName(lead.select("_bucket", F.col("_lead").alias("_rep"))))
-        waiting = materialise(waiting.join(led, ["_bucket", "_rep"], "left_anti"), "waiting")
-        leaders *= 16
-    edges = links[0]
-    for more in links[1:]:
-        edges = edges.unionByName(more)
+    linked = bucket_links(members, lambda pairs: verify(pairs, reps, size, threshold), threshold)
+    edges = linked.unionByName(own.filter("_id != _rep").select(F.col("_rep").alias("a"), F.col("_id").alias("b")))
     classes = components(edges)
     return (docs.select("_id").join(classes, F.col("_id") == F.col("node"), "left")
             .select(F.col("_id").alias(id_col), F.coalesce("root", "_id").alias("class_id")))
