@@ -173,6 +173,31 @@ def row_of(offs: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(offs) - 1), np.diff(offs))
 
 
+# ------------------------------------------------------------------ packed texts
+def packed(docs: DataFrame, *keys: str) -> DataFrame:
+    """``docs`` (the long columns ``keys`` and _text) with the text compressed, for a shuffle."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for b in batches:
+            texts = pa.array([pack(t.encode()) for t in col(b, "_text").to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(col(b, k) for k in keys), texts], names=[*keys, "_packed"])
+
+    return docs.select(*keys, "_text").mapInArrow(run, ", ".join(f"{k} long" for k in keys) + ", _packed binary")
+
+
+def unpacked(batches: Iterator[pa.RecordBatch], work: int = PIECE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Batches of packed texts -> (slice of the batch, its texts) of about ``work`` bytes of text."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    for b in batches:
+        texts, size, first = [], 0, 0
+        for i, raw in enumerate(col(b, "_packed")):
+            texts.append(unpack(raw.as_py()))
+            size += len(texts[-1])
+            if size >= work or i == b.num_rows - 1:
+                yield b.slice(first, len(texts)), texts
+                texts, size, first = [], 0, i + 1
+
+
 # ------------------------------------------------------------------ rows in id order
 def _pack(tops: list[int], with_next: bool):
     """Rows dealt to the range of their id, packed. ``tops[i]`` is the greatest id of range i, which

@@ -29,13 +29,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .common import (LOWER, NOT_SPACE, col, id_text, int_col, mix64, nullable, pieces, prefix, row_of, span_hash,
-                     text_buffer, word_hashes, word_spans)
+from .common import (LOWER, NOT_SPACE, col, id_text, int_col, mix64, nullable, packed, pieces, prefix, row_of,
+                     span_hash, text_buffer, unpacked, word_hashes, word_spans)
 from .graph import components
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -171,31 +170,29 @@ def _sketches(size: int, rows: int, bands: int):
 
 
 # ------------------------------------------------------------------- verification
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pack = zstandard.ZstdCompressor(level=1).compress
-    for b in batches:
-        yield pa.RecordBatch.from_arrays([col(b, "_id"), pa.array([pack(t.encode()) for t in col(b, "_text").to_pylist()],
-                                                                  pa.binary())], names=["_id", "_packed"])
-
-
 def _compare(size: int, threshold: float):
-    """Rows sorted so that a leader's text comes before those held against it -> linked pairs."""
+    """Rows sorted so that a leader's text comes before those held against it -> linked pairs. (A leader
+    has several texts where rows share its id.)"""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor().decompress
-        leader, own = None, None
-        for b in batches:
-            names, roles, ids, raw = (col(b, x).to_pylist() for x in ("_leader", "_role", "_id", "_packed"))
-            texts = [unpack(x) for x in raw]
-            sets, at, _, _ = shingles(pa.array(texts, pa.large_binary()), size)
+        group, own, seen = None, [], set()
+        for b, texts in unpacked(batches):
+            names, salts, roles, ids = (col(b, x).to_pylist() for x in ("_leader", "_salt", "_role", "_id"))
+            sets, at, k1, _ = shingles(pa.array(texts, pa.large_binary()), size)
             found = []
-            for i, (name, role, other) in enumerate(zip(names, roles, ids, strict=True)):
+            for i, (name, salt, role, other) in enumerate(zip(names, salts, roles, ids, strict=True)):
                 mine = sets[at[i]:at[i + 1]]
+                if (name, salt) != group:
+                    group, own, seen = (name, salt), [], set()
                 if role == 0:
-                    leader, own = name, mine
-                elif leader == name:
-                    common = len(np.intersect1d(own, mine, assume_unique=True))
-                    if common >= threshold * (len(own) + len(mine) - common):
+                    if int(k1[i]) not in seen:
+                        seen.add(int(k1[i]))
+                        own.append(np.sort(mine))
+                    continue
+                for lead in own:
+                    common = _common(lead, mine)
+                    if common >= threshold * (len(lead) + len(mine) - common):
                         found.append((name, other))
+                        break
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)],
                                                  names=["a", "b"])
@@ -203,11 +200,19 @@ def _compare(size: int, threshold: float):
     return run
 
 
+def _common(ordered: np.ndarray, other: np.ndarray) -> int:
+    """How many elements of ``other`` are in the sorted array; both hold distinct elements."""
+    if not len(ordered):
+        return 0
+    at = np.minimum(np.searchsorted(ordered, other), len(ordered) - 1)
+    return int((ordered[at] == other).sum())
+
+
 #: Members held against one copy of a leader's text.
 SALT_ROWS = 512
 
 
-def verify(pairs: DataFrame, docs: DataFrame, size: int, threshold: float) -> DataFrame:
+def verify(pairs: DataFrame, texts: DataFrame, size: int, threshold: float) -> DataFrame:
     """The pairs (a, b) of distinct ids whose exact weighted Jaccard similarity reaches the threshold.
 
     A leader's text is sent once per SALT_ROWS members, to as many groups, so that a hot leader is
@@ -218,8 +223,7 @@ def verify(pairs: DataFrame, docs: DataFrame, size: int, threshold: float) -> Da
     sent = (salted.select(F.col("b").alias("_id"), F.col("a").alias("_leader"), "_salt", F.lit(1).alias("_role"))
             .unionByName(salted.select(F.col("a").alias("_id"), F.col("a").alias("_leader"), "_salt",
                                        F.lit(0).alias("_role")).distinct()))
-    packed = docs.mapInArrow(_pack, "_id long, _packed binary").filter("_id is not null")
-    return (sent.join(packed, "_id").repartition("_leader", "_salt")
+    return (sent.join(texts, "_id").repartition("_leader", "_salt")
             .sortWithinPartitions("_leader", "_salt", "_role", "_id")
             .mapInArrow(_compare(size, threshold), "a long, b long").distinct())
 
@@ -281,8 +285,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     dealt = same.select("_rep", "_n", F.explode("_bands").alias("_bucket"))
     shared = dealt.groupBy("_bucket").agg(F.count("*").alias("_c")).filter("_c > 1").select("_bucket")
     members = materialise(dealt.join(shared, "_bucket"), "buckets")
-    reps = docs.join(same.select(F.col("_rep").alias("_id")), "_id", "left_semi")
-    linked = bucket_links(members, lambda pairs: verify(pairs, reps, size, threshold), threshold)
+    texts = materialise(packed(docs, "_id").join(members.select(F.col("_rep").alias("_id")).distinct(), "_id", "left_semi"),
+                        "texts")
+    linked = bucket_links(members, lambda pairs: verify(pairs, texts, size, threshold), threshold)
     edges = linked.unionByName(own.filter("_id != _rep").select(F.col("_rep").alias("a"), F.col("_id").alias("b")))
     classes = components(edges)
     return (docs.select("_id").join(classes, F.col("_id") == F.col("node"), "left")

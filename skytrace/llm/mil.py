@@ -76,7 +76,8 @@ def passages(arr) -> tuple[np.ndarray, np.ndarray]:
     if len(starts):
         data = LOWER[data]
         h = word_hashes(data, starts, ends)
-        words = np.maximum(np.bincount(word_of, minlength=total), 1)
+        held = np.bincount(word_of, minlength=total)
+        words = np.maximum(held, 1)
         length = (ends - starts).astype(float)
         mean = np.bincount(word_of, length, total) / words
         spread = np.sqrt(np.maximum(np.bincount(word_of, length * length, total) / words - mean * mean, 0))
@@ -87,7 +88,7 @@ def passages(arr) -> tuple[np.ndarray, np.ndarray]:
         fresh = np.ones(len(h), bool)
         fresh[1:] = key[order][1:] != key[order][:-1]
         distinct = np.bincount(word_of[order], fresh, total)
-        shape = np.column_stack([np.log1p(words), mean / 10, spread / 10, distinct / words,
+        shape = np.column_stack([np.log1p(held), mean / 10, spread / 10, distinct / words,
                                  np.bincount(word_of, again, total) / words,
                                  np.bincount(word_of, length > 20, total) / words])
         x[:, N_CLASS + PAIR_DIMS:N_CLASS + PAIR_DIMS + N_SHAPE] = shape

@@ -36,7 +36,7 @@ BASE_SCORE = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.9}
 CONTEXT = {"email": "(?i)mail|contact|write|kontakt|correo|courriel", "ip": r"(?i)\bip\b|server|host|adress",
            "card": "(?i)card|visa|master|credit|karte|tarjeta|carte", "phone": r"(?i)phone|call|\btel|mobil|fax",
            "iban": "(?i)iban|bank|konto|account|cuenta|compte"}
-NEAR, BOOST = 40, 0.1
+NEAR, BOOST, BLOCK = 40, 0.1, 256
 _SPANS = "array<struct<kind:string,start:int,`end`:int,score:double,match:string>>"
 
 
@@ -84,11 +84,11 @@ def _confirmed(kind: str, m: Column) -> Column:
 
 
 def spans_of(text: Column, kind: str) -> Column:
-    """Array of (kind, start, end, score, match) of the confirmed spans of one kind in a text."""
-    gaps = F.split(text, PATTERNS[kind], -1)
-    rows = F.arrays_zip(gaps.alias("gap"), F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0)).alias("match"),
-                        F.slice(gaps, F.lit(2), F.size(gaps)).alias("after"))
-    none = F.expr(f"cast(array() as {_SPANS})")
+    """Array of (kind, start, end, score, match) of the confirmed spans of one kind in a text.
+
+    The running sum goes in blocks of BLOCK matches, so that its cost stays near linear in them.
+    """
+    none, nothing = F.expr(f"cast(array() as {_SPANS})"), F.expr(f"cast(array() as array<{_SPANS}>)")
 
     def step(acc, x):
         b = acc["at"] + F.length(x["gap"])
@@ -102,7 +102,22 @@ def spans_of(text: Column, kind: str) -> Column:
                         F.when(kept, F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"])
                         .cast(_SPANS).alias("spans"))
 
-    found = F.aggregate(rows, F.struct(F.lit(0).alias("at"), none.alias("spans")), step, lambda acc: acc["spans"])
+    def block(rows, acc, k):
+        done = F.aggregate(F.slice(rows, k * BLOCK + 1, F.lit(BLOCK)),
+                           F.struct(acc["at"].alias("at"), none.alias("spans")), step)
+        return F.transform(F.array(done), lambda d: F.struct(
+            d["at"].alias("at"), F.concat(acc["blocks"], F.array(d["spans"])).alias("blocks")))[0]
+
+    def all_blocks(gaps, matches):
+        rows = F.arrays_zip(gaps.alias("gap"), matches.alias("match"), F.slice(gaps, F.lit(2), F.size(gaps)).alias("after"))
+        return F.transform(F.array(rows), lambda r: F.flatten(F.aggregate(
+            F.sequence(F.lit(0), F.ceil(F.size(r) / BLOCK).cast("int") - 1),
+            F.struct(F.lit(0).alias("at"), nothing.alias("blocks")), lambda acc, k: block(r, acc, k),
+            lambda acc: acc["blocks"])))[0]
+
+    # a lambda's variable holds what is used twice, so that it is computed once
+    found = F.transform(F.array(F.split(text, PATTERNS[kind], -1)), lambda gaps: all_blocks(
+        gaps, F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))))[0]
     return F.when(F.contains(text, F.lit(NEEDS[kind])), found).otherwise(none) if kind in NEEDS else found
 
 

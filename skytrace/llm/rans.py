@@ -47,8 +47,10 @@ MAGIC = b"SKRN"
 
 # ------------------------------------------------------------------------- rANS
 def scaled(counts: np.ndarray) -> np.ndarray:
-    """Positive counts -> positive frequencies that sum to 2**SCALE."""
+    """Positive counts -> positive frequencies that sum to 2**SCALE (none: none)."""
     total = 1 << SCALE
+    if not len(counts):
+        return np.zeros(0, np.int64)
     f = np.maximum(counts.astype(np.int64) * total // int(counts.sum()), 1)
     extra = int(f.sum()) - total
     if extra < 0:
@@ -299,7 +301,7 @@ def _code(shared, end_id: int, segment: int):
                 docs.append(i)
                 waiting.append(unpack(packed))
                 size += len(waiting[-1])
-                if size >= PIECE_BYTES:
+                if size >= min(PIECE_BYTES, segment):
                     tokenise()
                 if held >= segment:
                     yield from flush()

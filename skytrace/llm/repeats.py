@@ -29,13 +29,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .common import (NOT_SPACE, col, id_text, mix64, pieces, prefix, row_of, span_hash, text_buffer, word_hashes,
-                     word_spans)
+from .common import (NOT_SPACE, col, id_text, mix64, packed, pieces, prefix, row_of, span_hash, text_buffer,
+                     unpacked, word_hashes, word_spans)
 
 WINDOW, GRAM = 20, 8
 #: A place is a window's or segment's first word times PLACE plus the number of windows.
@@ -118,27 +117,6 @@ def _seed(window: int, gram: int):
     return run
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pack = zstandard.ZstdCompressor(level=1).compress
-    for b in batches:
-        yield pa.RecordBatch.from_arrays(
-            [col(b, "_id"), col(b, "_version"), pa.array([pack(t.encode()) for t in col(b, "_text").to_pylist()], pa.binary())],
-            names=["_id", "_version", "_packed"])
-
-
-def _unpacked(batches: Iterator[pa.RecordBatch], work: int = 4 << 20):
-    """Batches of packed texts -> (slice of the batch, list of texts) of bounded size."""
-    unpack = zstandard.ZstdDecompressor().decompress
-    for b in batches:
-        texts, size, first = [], 0, 0
-        for i, raw in enumerate(col(b, "_packed").to_pylist()):
-            texts.append(unpack(raw))
-            size += len(texts[-1])
-            if size >= work or i == b.num_rows - 1:
-                yield b.slice(first, len(texts)), texts
-                texts, size, first = [], 0, i + 1
-
-
 def _places(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, first window, windows) of the batch's lists of places; null lists are empty."""
     lists = col(batch, "_places")
@@ -154,7 +132,7 @@ def _ramp(n: np.ndarray) -> np.ndarray:
 def _extend(window: int):
     """The open segments of documents -> their windows, keyed by the hash of a window's words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, texts in _unpacked(batches):
+        for b, texts in unpacked(batches):
             words, at = _words(pa.array(texts, pa.large_binary()))
             row, start, size = _places(b)
             row, start = np.repeat(row, size), np.repeat(start, size) + _ramp(size)
@@ -169,7 +147,7 @@ def _extend(window: int):
 def _remove(window: int):
     """Documents with their repeated places -> words, maximal repeats and the text that is left."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, texts in _unpacked(batches):
+        for b, texts in unpacked(batches):
             data, offs = text_buffer(pa.array(texts, pa.large_binary()))
             starts, ends, at = word_spans(data, offs, NOT_SPACE)
             row, start, size = _places(b)
@@ -221,11 +199,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                         .select("_id", "_version", "_place", (F.col("_rank") > 1).alias("_repeat")), "segments")
     places = F.collect_list("_place").alias("_places")  # at most the windows of one document
     open_ = found.filter("not _repeat").groupBy("_id", "_version").agg(places)
-    packed = d.mapInArrow(_pack, "_id long, _version long, _packed binary")
-    windows = packed.join(open_, ["_id", "_version"]).mapInArrow(_extend(window), _SEEDS)
+    texts = packed(d, "_id", "_version")
+    windows = texts.join(open_, ["_id", "_version"]).mapInArrow(_extend(window), _SEEDS)
     again = _later(windows).filter("_rank > 1").select("_id", "_version", "_place")
     repeats = found.filter("_repeat").select("_id", "_version", "_place").unionByName(again)
     repeats = materialise(repeats.distinct().groupBy("_id", "_version").agg(places), "repeats")
-    out = packed.join(repeats, ["_id", "_version"], "left").mapInArrow(
+    out = texts.join(repeats, ["_id", "_version"], "left").mapInArrow(
         _remove(window), "_id long, n_words long, n_removed long, repeats array<struct<start:int,`end`:int>>, kept string")
     return out.select(F.nullif("_id", F.lit(_NO_ID)).alias(id_col), "n_words", "n_removed", "repeats", "kept")
