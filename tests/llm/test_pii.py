@@ -54,7 +54,7 @@ def test_long_runs_take_linear_time(docs):
     n = 100_000
     rows = [(1, "a" * n), (2, "1" * n), (3, "1." * n), (4, "+1" * n), (5, "a@" * n), (6, "x@y.z " * 3000), (7, "+" + " 1" * n)]
     out = {r.doc_id: len(r.spans) for r in pii.find_pii(docs(rows)).collect()}
-    assert out == {i: len(brute(t)) if i in (3, 6) else 0 for i, t in rows}
+    assert out == {1: 0, 2: 0, 3: n // 4, 4: 0, 5: 0, 6: 3000, 7: 0}
 
 
 def test_redact(docs, odd):
