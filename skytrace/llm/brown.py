@@ -20,6 +20,7 @@ count is 0. Other columns are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +32,7 @@ from ..session import materialise
 from .common import (LOWER, NOT_SPACE, col, mix64, pieces, row_of, text_buffer, word_hashes, word_spans)
 
 FREQUENT, ENDINGS, CLASSES, SWEEPS, BETA = 1024, 512, 48, 8, 5.0
-KNOWN = 1 << 18
+KNOWN = 1 << 17
 _END = 0x0E4D  # the end token's key; word keys are 64-bit hashes
 
 
@@ -91,6 +92,16 @@ def _successions(shared):
     return run
 
 
+def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counted cells, packed for the way to the driver."""
+    for b in batches:
+        cell, n = np.asarray(col(b, "_cell")), np.asarray(col(b, "_n"))
+        order = np.argsort(cell)
+        raw = np.diff(cell[order], prepend=0).astype("<i4").tobytes() + n[order].astype("<i8").tobytes()
+        yield pa.RecordBatch.from_arrays([pa.array([len(cell)], pa.int32()), pa.array([zlib.compress(raw, 6)])],
+                                         names=["size", "packed"])
+
+
 # ------------------------------------------------------------------------- exchange
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
@@ -190,10 +201,11 @@ def fit(docs: DataFrame, spark) -> tuple[Model, DataFrame]:
     place = np.argsort(key[:top])
     frequent, rank = key[:top][place], place.astype(np.int64)
     shared = spark.sparkContext.broadcast((frequent, rank))
-    cells = (docs.mapInArrow(_successions(shared), "_cell int, _n long").groupBy("_cell").agg(F.sum("_n").alias("_n"))
-             .toPandas())  # at most N_TYPES ** 2 rows
+    cells = docs.mapInArrow(_successions(shared), "_cell int, _n long").groupBy("_cell").agg(F.sum("_n").alias("_n"))
     n = np.zeros(N_TYPES * N_TYPES)
-    n[cells["_cell"].to_numpy(np.int64)] = cells["_n"].to_numpy(float)
+    for r in cells.mapInArrow(_squeeze, "size int, packed binary").collect():  # at most N_TYPES ** 2 cells in all
+        raw = zlib.decompress(r.packed)
+        n[np.cumsum(np.frombuffer(raw, "<i4", r.size))] = np.frombuffer(raw, "<i8", r.size, 4 * r.size)
     # words and tokens of each ending, less the frequent words, which are types themselves
     tail = table.groupBy("_ending").agg(F.sum("_n").alias("n"), F.count("*").alias("w")).toPandas()  # ENDINGS rows
     per = np.zeros((2, N_TYPES))
