@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes handled at once inside a task; a longer single text is a piece of its own.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 
 U64 = np.uint64
 _P = U64(0x9E3779B97F4A7C15 | 1)
@@ -110,7 +110,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """P**i and P**-i modulo 2**64 for i < n."""
     kept = process_cache("powers")
     if kept.get("n", 0) < n:
-        size = 1 << max(16, (n - 1).bit_length())
+        size = -(-n // (1 << 18)) << 18
         for name, p in (("up", _P), ("down", _INV)):
             a = np.full(size, p, np.uint64)
             a[0] = 1

@@ -118,7 +118,7 @@ def _throw(elements: np.ndarray, at: np.ndarray, part: np.ndarray | None, theta:
 
 
 def sketch(elements: np.ndarray, at: np.ndarray, k: int, part: np.ndarray | None = None,
-           work: int = 1_500_000) -> np.ndarray:
+           work: int = 700_000) -> np.ndarray:
     """Signatures (documents x k) of ragged unit-weight elements; ``part`` (0 to 1] gives an element
     less weight than 1. A document without elements has the signature 0."""
     out = np.zeros((len(at) - 1, k), np.uint64)

@@ -30,7 +30,7 @@ from .common import (LOWER, NOT_SPACE, col, id_text, mix64, pieces, row_of, text
 PASSAGE = 32
 SAMPLE, TRAIN_PASSAGES = 4096, 64
 WORD_DIMS, PAIR_DIMS, HIDDEN, GATE = 48, 64, 24, 12
-WORK_BYTES = 2 << 20
+WORK_BYTES = 1 << 20
 
 
 def _classes() -> np.ndarray:

@@ -33,8 +33,8 @@ from .common import BYTE_VALUE, col, pieces, prefix, process_cache, span_hash, t
 
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BLANK = "▁"
-CACHE = 1 << 21
-WORK_BYTES = 2 << 20
+CACHE = 1 << 20
+WORK_BYTES = 1 << 20
 FAR = np.iinfo(np.int64).max
 
 
