@@ -1,35 +1,40 @@
-"""Greedy minimum-gap thinning (rate limit / resample) per key, exact.
+"""Greedy minimum-gap thinning (rate limit / resample) per key, exact, one path for every size.
 
 Semantics, per key in arrival order, starting with ``last = 0``: a row is kept iff
 ``ts < last`` (an unsigned difference wraps, so backward jumps are kept) or
 ``ts - last >= gap``; a kept row sets ``last = ts``. A gap of 0 keeps every row.
 
-This is not a tumbling-window dedupe. A row whose distance to its predecessor is at least
-``gap`` (in either direction) is kept whatever the state and restarts the fold, so restart
-rows cut each key into independent segments. Three exact distributed forms:
-
-* ``single`` (default): hash by key, sort inside partitions, one vectorised pandas pass
-  that finds restarts and folds all segments of an Arrow batch at once (no window);
-* ``segments``: restarts via ``lag`` + running sum; single-row segments decided in SQL,
-  only multi-row segments reach Python;
-* ``chunked`` (hot keys): every key cut into bounded chunks whose transfer tables are
-  stitched per key, then every chunk is folded in parallel from its known entry state.
+1. Rows are range-partitioned and sorted by (keys, order, ts) and written once, with a running
+   row number. Ranges are balanced whatever the order values are, and cut through a hot key.
+2. Each task summarises the stretch of the last key it holds: the state that leaves it if the
+   key starts there (or a row is kept whatever the state), else the state as a function of the
+   one that enters, as rows (value, exit) of the stretch's running extremes.
+3. Per key, the summaries are streamed in row order, which gives each stretch its entry state.
+4. Each task replays its rows from the entry state of its first key (one broadcast row per task).
+
+A kept row's successor is the first later row outside [ts, ts + gap); it is found for all rows at
+once by descending block extremes (n log n in numpy, any order of ts), and the kept rows are
+the path of successors, marked by pointer doubling. Rows travel as Arrow, so keys keep their
+type; null keys are one key. Ties in the order column go by ts; rows without ts are dropped.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_SEG = "_thin_seg"
-_RESTART = "_thin_restart"
-_HEAD = "_thin_head"       # first row of the whole key: state starts at last = 0
-_SINGLE = "_thin_single"
-HOT_ROWS = 1 << 20   # rows per key above which a key is cut into chunks
+from ..session import materialise
+
+#: Rows of one key whose summary a task holds at once; a longer stretch has several.
+STRETCH_ROWS = 1 << 18
+_ROW, _ENTRY = "_thin_row", "_thin_entry"
+_TOP = np.iinfo(np.int64).max
 
 
 def rate_to_gap_us(rate_hz: float) -> int:
@@ -39,397 +44,229 @@ def rate_to_gap_us(rate_hz: float) -> int:
     return max(1, math.ceil(1.0e6 / rate_hz))
 
 
-def fold_keep(ts: np.ndarray, gap: int, head: bool) -> np.ndarray:
-    """Sequential fold of one segment (rows already in arrival order).
-
-    ``head``: the segment starts the key (state ``last = 0``); otherwise its first row is kept.
-    """
-    keep, _ = _fold_runs(np.asarray(ts, dtype=np.int64), np.array([0]), np.array([len(ts)]),
-                         np.array([0 if head else -1], dtype=np.int64), np.array([head]), int(gap))
-    return keep
-
-
-def _fold_runs(ts, starts, ends, init_last, has_init, gap):
-    """Fold many independent runs at once.
-
-    Run r covers ``ts[starts[r]:ends[r]]``. When ``has_init[r]`` the state before the run is
-    ``init_last[r]`` (the key's head uses 0, a run continued from the previous Arrow batch uses
-    the carried state); otherwise the run's first row is a restart row and is kept.
-    Non-decreasing runs are folded together, one ``searchsorted`` per round over a globally
-    monotone re-encoding of the timestamps; other runs fall back to a scalar loop.
-    Returns (keep flags, last kept timestamp per run, the initial state if none was kept).
-    """
+# ---------------------------------------------------------------------------- the fold
+def _first_outside(ts: np.ndarray, start: np.ndarray, stop: np.ndarray, low: np.ndarray, gap: int) -> np.ndarray:
+    """Per query, the first position from ``start`` whose ts is outside [low, low + gap), else ``stop``."""
+    n = len(ts)
+    high = np.where(low > _TOP - gap, _TOP, low + gap)
+    levels = [(ts, ts)]
+    while 2 ** len(levels) <= n:
+        a, b = levels[-1]
+        w = 2 ** (len(levels) - 1)
+        levels.append((np.minimum(a[:-w], a[w:]), np.maximum(b[:-w], b[w:])))
+    pos = start.copy()
+    for k in range(len(levels) - 1, -1, -1):
+        a, b = levels[k]
+        at = np.minimum(pos, len(a) - 1)
+        skip = (pos + 2 ** k <= stop) & (a[at] >= low) & (b[at] < high)
+        pos[skip] += 2 ** k
+    return pos
+
+
+def fold_runs(ts: np.ndarray, starts: np.ndarray, entry: np.ndarray, gap: int) -> tuple[np.ndarray, np.ndarray]:
+    """Fold many runs at once: run r is ``ts[starts[r]:starts[r + 1]]`` and is entered with the state
+    ``entry[r]``. Returns (keep flags, state after each run)."""
     n = len(ts)
-    keep = np.zeros(n, dtype=bool)
-    last_out = np.where(has_init, init_last, np.int64(-1)).astype(np.int64)
-    if n == 0:
-        return keep, last_out
+    keep = np.zeros(n, bool)
+    if not n:
+        return keep, entry.copy()
+    ends = np.append(starts[1:], n)
     if gap <= 0:
         keep[:] = True
-        last_out[:] = ts[ends - 1]
-        return keep, last_out
-    nrun = len(starts)
-    run_of = np.repeat(np.arange(nrun), ends - starts)
-    step_ok = np.ones(n, dtype=bool)
-    step_ok[1:] = ts[1:] >= ts[:-1]
-    step_ok[starts] = True
-    mono = np.logical_and.reduceat(step_ok, starts)
-    first_ts = ts[starts]
-    # an initial state above the first row means a backward start: use the scalar fold
-    mono &= ~(has_init & (init_last > first_ts))
-    done = np.zeros(nrun, dtype=bool)
-    idx = np.nonzero(mono)[0]
-    if len(idx):
-        widths = (ts[ends[idx] - 1] - first_ts[idx]) + gap + 1
-        if float(np.sum(widths.astype(np.float64))) < 2.0 ** 62:
-            base = np.zeros(nrun, dtype=np.int64)
-            base[idx] = np.concatenate(([0], np.cumsum(widths)[:-1]))
-            in_mono = mono[run_of]
-            rows = np.nonzero(in_mono)[0]
-            seq_adj = ts[rows] - first_ts[run_of[rows]] + base[run_of[rows]]
-            pos_of = np.full(n, -1, dtype=np.int64)
-            pos_of[rows] = np.arange(len(rows))
-            r_init = has_init[idx]
-            tgt = np.where(r_init, init_last[idx] + gap - first_ts[idx] + base[idx], base[idx])
-            tgt = np.maximum(tgt, base[idx])  # never search below the run's own start
-            cur = np.searchsorted(seq_adj, tgt, side="left")
-            end_pos = pos_of[ends[idx] - 1] + 1
-            last_kept = np.where(r_init, init_last[idx], np.int64(-1))
-            active = cur < end_pos
-            while active.any():
-                ci = cur[active]
-                gi = rows[ci]
-                keep[gi] = True
-                last_kept[active] = ts[gi]
-                cur[active] = np.searchsorted(seq_adj, seq_adj[ci] + gap, side="left")
-                active = cur < end_pos
-            last_out[idx] = last_kept
-            done[idx] = True
-    for r in np.nonzero(~done)[0]:
-        last = int(init_last[r]) if has_init[r] else None
-        for i in range(starts[r], ends[r]):
-            t = int(ts[i])
-            if last is None or t < last or t - last >= gap:
-                keep[i] = True
-                last = t
-        last_out[r] = -1 if last is None else last
-    return keep, last_out
-
-
-def _partition_fold(keys, ts, gap, cols):
-    """mapInPandas body: rows arrive sorted by (keys, segment, order) inside a partition.
-
-    Only the state ``last`` of the segment that may continue into the next Arrow batch is
-    carried, so memory is one batch whatever the segment length.
-    """
-
-    def run(batches):
-        carry = None  # (key + segment tuple, last state or None)
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            kv = [pdf[k].to_numpy() for k in keys] + [pdf[_SEG].to_numpy()]
-            n = len(pdf)
-            brk = np.zeros(n, dtype=bool)
-            brk[0] = True
-            for arr in kv:
-                brk[1:] |= arr[1:] != arr[:-1]
-            starts = np.nonzero(brk)[0]
-            ends = np.append(starts[1:], n)
-            head = pdf[_HEAD].to_numpy(dtype=bool)[starts]
-            init_last = np.where(head, 0, -1).astype(np.int64)
-            has_init = head.copy()
-            first_key = tuple(arr[0] for arr in kv)
-            if carry is not None and carry[0] == first_key and carry[1] is not None:
-                init_last[0] = carry[1]
-                has_init[0] = True
-            keep, last_out = _fold_runs(pdf[ts].to_numpy(dtype=np.int64), starts, ends,
-                                        init_last, has_init, gap)
-            lo = int(last_out[-1])
-            carry = (tuple(arr[n - 1] for arr in kv), lo if (lo >= 0 or has_init[-1]) else None)
-            if keep.any():
-                yield pdf.loc[keep, cols]
+        return keep, ts[ends - 1]
+    stop = np.repeat(ends, ends - starts)
+    jump = np.append(_first_outside(ts, np.arange(1, n + 1), stop, ts, gap), n)
+    jump[:-1][jump[:-1] == stop] = n  # left the run
+    first = _first_outside(ts, starts, ends, entry, gap)
+    keep = np.zeros(n + 1, bool)
+    keep[first[first < ends]] = True
+    steps = [jump]
+    while (steps[-1] < n).any():
+        steps.append(steps[-1][steps[-1]])
+    for step in reversed(steps):
+        keep[step[np.flatnonzero(keep)]] = True
+    keep = keep[:-1]
+    spots = np.flatnonzero(keep)
+    last = np.searchsorted(spots, ends) - 1
+    some = (last >= 0) & (spots[np.maximum(last, 0)] >= starts) if len(spots) else np.zeros(len(starts), bool)
+    out = entry.copy()
+    out[some] = ts[spots[last[some]]]
+    return keep, out
+
+
+def fold_keep(ts: np.ndarray, gap: int, last: int = 0) -> np.ndarray:
+    """Keep flags of one series in arrival order, entered with the state ``last``."""
+    return fold_runs(np.asarray(ts, np.int64), np.array([0]), np.array([last]), int(gap))[0]
+
+
+def summary(ts: np.ndarray, gap: int) -> tuple[np.ndarray, np.ndarray]:
+    """(value, exit) rows of a stretch: entered with state s, the first value outside [s, s + gap)
+    tells the exit state; without one the state stays s. Only running extremes can be first."""
+    low, high = np.minimum.accumulate(ts), np.maximum.accumulate(ts)
+    new = np.ones(len(ts), bool)
+    new[1:] = (low[1:] < low[:-1]) | (high[1:] > high[:-1])
+    n = len(ts)
+    jump = _first_outside(ts, np.arange(1, n + 1), np.full(n, n), ts, gap)
+    end = np.where(jump >= n, np.arange(n), jump)
+    while not np.array_equal(further := end[end], end):
+        end = further
+    spots = np.flatnonzero(new)
+    # a row kept whatever the state (gap away from its predecessor) leaves nothing to the entry
+    sure = np.flatnonzero(np.abs(np.diff(ts)) >= gap)
+    if len(sure):
+        spots = spots[spots <= sure[0] + 1]
+        if not len(spots) or spots[-1] != sure[0] + 1:
+            spots = np.append(spots, sure[0] + 1)
+    return ts[spots], ts[end[spots]]
+
+
+# ----------------------------------------------------------------------------- batches
+def _changes(batch: pa.RecordBatch, keys: list[str]) -> np.ndarray:
+    """Where the key differs from the row before (null equals null); the first row counts as new."""
+    out = np.zeros(batch.num_rows, bool)
+    out[:1] = True
+    for k in keys:
+        a = batch.column(batch.schema.get_field_index(k))
+        x, y = a.slice(1), a.slice(0, max(len(a) - 1, 0))
+        differs = pc.fill_null(pc.not_equal(x, y), False)
+        out[1:] |= np.asarray(pc.or_(differs, pc.xor(pc.is_null(x), pc.is_null(y))))
+    return out
 
-    return run
 
+def _key(batch: pa.RecordBatch, keys: list[str], row: int) -> tuple:
+    return tuple(batch.column(batch.schema.get_field_index(k))[row].as_py() for k in keys)
 
-def thin(df: DataFrame, keys: list[str], order: str, ts: str, gap_us: int, strategy: str = "auto",
-         hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Rows of ``df`` kept by greedy minimum-gap thinning per ``keys`` in ``order``.
 
-    ``strategy``: "single" (hash by key, in-partition sort, one vectorised fold; no window),
-    "segments" (window-based restart detection; only multi-row segments reach Python),
-    "chunked" (every key cut into bounded chunks, see :func:`thin_chunked`) or "auto"
-    (keys holding more than ``hot_rows`` rows take the chunked path, the others the single
-    pass; decided from a per-key count aggregate).
-    """
-    gap_us = int(gap_us)
-    if gap_us <= 0:
-        return df
-    if strategy == "auto":
-        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        top = counts.agg(F.max("_n").alias("m")).first()
-        if top is None or top["m"] is None or top["m"] <= hot_rows:
-            return thin_single_pass(df, keys, order, ts, gap_us)
-        # only the hot keys take the chunked path; the hot-key table has at most
-        # rows / hot_rows entries and the semi/anti joins are planned (and broadcast only
-        # under AQE's size check) by Spark
-        hot = counts.filter(F.col("_n") > hot_rows).select(*keys)
-        cold = thin_single_pass(df.join(hot, keys, "left_anti"), keys, order, ts, gap_us)
-        warm = thin_chunked(df.join(hot, keys, "left_semi"), keys, order, ts, gap_us, hot_rows)
-        return cold.unionByName(warm)
-    if strategy == "chunked":
-        return thin_chunked(df, keys, order, ts, gap_us, hot_rows)
-    if strategy == "single":
-        return thin_single_pass(df, keys, order, ts, gap_us)
-    w = Window.partitionBy(*keys).orderBy(order)
-    prev = F.lag(ts).over(w)
-    tcol = F.col(ts)
-    marked = (df
-              .withColumn(_HEAD, prev.isNull())
-              .withColumn(_RESTART, prev.isNull() | (F.abs(tcol - prev) >= F.lit(gap_us))))
-    marked = (marked
-              .withColumn(_SEG, F.sum(F.col(_RESTART).cast("long")).over(
-                  w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-              .withColumn(_SINGLE, F.col(_RESTART) & F.coalesce(F.lead(_RESTART).over(w), F.lit(True))))
-    cols = df.columns
-    # single-row segments: kept unless the key's first row is closer than gap to time 0
-    simple = (marked.filter(F.col(_SINGLE))
-              .filter(~F.col(_HEAD) | (tcol >= F.lit(gap_us)) | (tcol < F.lit(0)))
-              .select(*cols))
-    multi = marked.filter(~F.col(_SINGLE))
-    schema = multi.select(*cols).schema
-    # rows stay hash-partitioned by the keys and sorted by (keys, order) from the window, so
-    # the in-partition sort below is already satisfied and the fold adds no exchange
-    folded = (multi.sortWithinPartitions(*keys, _SEG, order)
-              .mapInPandas(_partition_fold(keys, ts, gap_us, cols), schema))
-    return simple.unionByName(folded)
-
-
-def downsample_rate(df: DataFrame, rate_hz: float, keys=("device_id", "message"), order="seq",
-                    ts="ts_us", strategy: str = "auto") -> DataFrame:
-    """Pack-side rate limit: keep at most ``rate_hz`` records per second per key (0 keeps all)."""
-    return thin(df, list(keys), order, ts, rate_to_gap_us(rate_hz), strategy)
+def _longs(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return np.asarray(batch.column(batch.schema.get_field_index(name))).astype(np.int64, copy=False)
 
 
-def resample(df: DataFrame, resample_us: int, keys=("device_id", "message"), order="seq",
-             ts="ts_us", strategy: str = "auto") -> DataFrame:
-    """Unpack-side resample: drop while ``ts - last_kept < resample_us`` (0 keeps all)."""
-    return thin(df, list(keys), order, ts, int(resample_us), strategy)
-
+def _summarise(keys: list[str], gap: int, stretch: int):
+    """Sorted rows (keys, ts, row number) -> summaries of each task's runs of consecutive rows: for its
+    first key the start, for its last key the values and exits. ``_step`` orders them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, own, row0, expected, opened, held = None, None, 0, None, False, []
 
+        def emit():
+            """The held stretch of one key. Its start is announced if it opens a run of rows."""
+            value, exit_ = summary(np.concatenate(held), gap)
+            n = len(value) + 1
+            cols = [c.take(pa.array(np.zeros(n, np.int64))) for c in own.columns]
+            return pa.RecordBatch.from_arrays([
+                *cols, pa.array(np.full(n, row0)), pa.array(np.arange(n)), pa.array(np.full(n, opened)),
+                pa.array(np.append(0, value)), pa.array(np.append(0, exit_))],
+                names=[*keys, _ROW, "_step", "_opened", "_value", "_exit"])
 
+        for b in batches:
+            if not b.num_rows:
+                continue
+            rows, ts, new = _longs(b, _ROW), _longs(b, "_thin_ts"), _changes(b, keys)
+            cut = np.flatnonzero(new | (np.append(expected if expected is not None else rows[0] - 2, rows[:-1] + 1) != rows))
+            cut = np.unique(np.append(0, cut))
+            for a, e in zip(cut, np.append(cut[1:], len(rows)), strict=True):
+                k = _key(b, keys, int(a))
+                fresh = expected != rows[a]  # a new run of rows in this task
+                if held and (fresh or k != key):
+                    yield emit()
+                    held = []
+                if not held:
+                    key, own, row0, opened = k, b.select(keys).slice(int(a), 1), int(rows[a]), fresh
+                held.append(ts[a:e])
+                expected = int(rows[e - 1]) + 1
+                if sum(map(len, held)) >= stretch:
+                    yield emit()
+                    held = []
+        if held:
+            yield emit()
 
-# ----------------------------------------------------------------------------------------
-# Chunked form for hot keys: no task ever holds more than one chunk of one key.
-# ----------------------------------------------------------------------------------------
-
+    return run
 
-def _transfer_table(ts: np.ndarray, gap: int, prev_ts):
-    """Summary of one chunk (rows in arrival order) for the stitch.
 
-    Returns (fixed_exit or None, lo, hi, exits): when the chunk holds a row that is kept
-    whatever the entry state (distance >= gap to its predecessor), the exit state is fixed.
-    Otherwise the exit is F(s): with the nested intervals I_i = (max p[:i] - gap, min p[:i]],
-    the first kept row for entry s is the first i with s outside I_i, and the exit is the
-    last row kept when folding from that row; ``s`` stays when s lies in every I_i.
-    Only prefixes whose interval is still non-empty are stored.
-    """
-    m = len(ts)
-    d_prev = np.empty(m, dtype=np.int64)
-    d_prev[0] = (ts[0] - prev_ts) if prev_ts is not None else 0
-    d_prev[1:] = ts[1:] - ts[:-1]
-    restart = np.abs(d_prev) >= gap
-    if prev_ts is None:
-        restart[0] = False  # head of the key: state 0, handled by the stitch
-    if restart.any():
-        r = int(np.argmax(restart))
-        keep, last = _fold_runs(ts[r:], np.array([0]), np.array([m - r]), np.array([-1], dtype=np.int64),
-                                np.array([False]), gap)
-        return int(last[0]), None, None, None
-    hi = np.minimum.accumulate(ts)
-    lo = np.maximum.accumulate(ts) - gap
-    k = max(int(np.sum(lo < hi)), 1)  # lo rises and hi falls: non-empty intervals form a prefix
-    n_exit = min(k + 1, m)
-    return None, lo[:k], hi[:k], _exits_from(ts, gap, n_exit)
-
-
-def _exits_from(ts: np.ndarray, gap: int, n_exit: int) -> np.ndarray:
-    """For i < n_exit: the last kept timestamp when row i is kept and the fold runs to the end."""
-    m = len(ts)
-    if m == 1 or np.all(ts[1:] >= ts[:-1]):
-        nxt = np.searchsorted(ts, ts + gap, side="left")      # > i because gap > 0
-        jump = np.where(nxt >= m, np.arange(m), nxt)
-        while True:                                           # pointer doubling to the chain end
-            nj = jump[jump]
-            if np.array_equal(nj, jump):
-                break
-            jump = nj
-        return ts[jump[:n_exit]]
-    memo: dict[int, int] = {}
-    out = np.empty(n_exit, dtype=np.int64)
-    for i in range(n_exit):
-        chain, last, j, end = [i], int(ts[i]), i + 1, None
-        while j < m and end is None:
-            t = int(ts[j])
-            if t < last or t - last >= gap:
-                if j in memo:
-                    end = memo[j]
-                else:
-                    chain.append(j)
-                    last = t
-            j += 1
-        end = last if end is None else end
-        for c in chain:
-            memo[c] = end
-        out[i] = end
-    return out
+def _stitch(keys: list[str], gap: int):
+    """Summaries sorted by (keys, row, step) -> (row number that opens a run, entry state)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, state, done = None, 0, True
+        for b in batches:
+            out = []
+            new = _changes(b, keys)
+            if b.num_rows and key is not None and _key(b, keys, 0) == key:
+                new[0] = False
+            for i, (row, step, opened, value, exit_) in enumerate(zip(
+                    _longs(b, _ROW).tolist(), _longs(b, "_step").tolist(), b.column(b.schema.get_field_index("_opened")).to_pylist(),
+                    _longs(b, "_value").tolist(), _longs(b, "_exit").tolist(), strict=True)):
+                if new[i]:
+                    key, state = _key(b, keys, i), 0
+                if step == 0:
+                    done = False
+                    if opened:
+                        out.append((row, state))
+                elif not done and (value < state or value - state >= gap):
+                    state, done = exit_, True
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)],
+                                                 names=[_ROW, _ENTRY])
 
+    return run
 
 
+def _replay(keys: list[str], gap: int, cols: list[str]):
+    """Sorted rows with the entry state at the first row of each run -> the rows that are kept."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, state, expected = None, 0, None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            rows, ts, new = _longs(b, _ROW), _longs(b, "_thin_ts"), _changes(b, keys)
+            opens = np.append(rows[0] != expected, rows[1:] != rows[:-1] + 1)
+            if not opens[0] and _key(b, keys, 0) == key:
+                new[0] = False
+            starts = np.flatnonzero(new | opens)
+            entry = np.zeros(len(starts), np.int64)
+            given = b.column(b.schema.get_field_index(_ENTRY))
+            for i in np.flatnonzero(opens[starts]):
+                known = given[int(starts[i])].as_py()
+                if known is None:
+                    raise ValueError("a run of rows has no entry state")
+                entry[i] = known
+            if not len(starts) or starts[0]:
+                starts, entry = np.append(0, starts), np.append(state, entry)
+            keep, after = fold_runs(ts, starts, entry, gap)
+            key, state, expected = _key(b, keys, b.num_rows - 1), int(after[-1]), int(rows[-1]) + 1
+            if keep.any():
+                yield b.select(cols).filter(pa.array(keep))
 
-def _apply_table(s: int, lo, hi, exits) -> int:
-    """Exit state F(s) of a chunk without restart rows."""
-    inside = (s > lo) & (s <= hi)          # nested: True ... True False ...
-    first_out = int(np.argmin(inside)) if not inside.all() else len(inside)
-    if first_out < len(exits):             # row first_out is the first kept row
-        return int(exits[first_out])
-    return s                               # every row is blocked: nothing kept, state stays
+    return run
 
 
-def thin_chunked(df: DataFrame, keys: list[str], order: str, ts: str, gap_us: int,
-                 rows_per_chunk: int = HOT_ROWS) -> DataFrame:
-    """Exact greedy thinning with every key cut into arrival-order chunks of ~rows_per_chunk.
+def thin(df: DataFrame, keys: list[str], order: str, ts: str, gap_us: int, stretch_rows: int = STRETCH_ROWS) -> DataFrame:
+    """Rows of ``df`` kept by greedy minimum-gap thinning per ``keys`` in ``order``.
 
-    1. per-key statistics (count, order range; map-side partial aggregate) give each key a
-       chunk width in its own order range, so a hot key gets many chunks and a small key one;
-    2. per chunk: the last timestamp (summary table, one row per chunk) -> each chunk learns
-       its predecessor's timestamp with a window over the summary;
-    3. per chunk (bounded group): a transfer table entry-state -> exit-state;
-    4. per key: the tables are stitched in chunk order (one small row per chunk);
-    5. per chunk (bounded group): fold again from the now known entry state.
+    The sorted rows are written to the shared folder when this is called. ``stretch_rows`` bounds
+    what a summary holds; it does not change the result.
     """
     gap = int(gap_us)
     if gap <= 0:
         return df
-    cols = df.columns
-    stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_o0"),
-                                  F.max(order).alias("_o1"))
-    width = F.greatest(F.lit(1), F.ceil((F.col("_o1") - F.col("_o0") + 1) * F.lit(rows_per_chunk) / F.col("_n")))
-    chunked = (df.join(stats, keys)
-               .withColumn("_chunk", F.floor((F.col(order) - F.col("_o0")) / width).cast("bigint"))
-               .drop("_n", "_o0", "_o1"))
-    last = chunked.groupBy(*keys, "_chunk").agg(F.max_by(F.col(ts), F.col(order)).alias("_last_ts"))
-    wk = Window.partitionBy(*keys).orderBy("_chunk")
-    prev = last.select(*keys, "_chunk", F.lag("_last_ts").over(wk).alias("_prev_ts"))
-    with_prev = chunked.join(prev, [*keys, "_chunk"])
-
-    key_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keys).schema.fields)
-    table_schema = (f"{key_schema}, _chunk bigint, _fixed bigint, _lo array<bigint>, _hi array<bigint>, "
-                    f"_exits array<bigint>")
-
-    def summarize(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
-        p = pdf["_prev_ts"].iloc[0]
-        prev_ts = None if pd.isna(p) else int(p)
-        fixed, lo, hi, exits = _transfer_table(pdf[ts].to_numpy(dtype=np.int64), gap, prev_ts)
-        row = {k: pdf[k].iloc[0] for k in keys}
-        row.update({"_chunk": int(pdf["_chunk"].iloc[0]), "_fixed": fixed,
-                    "_lo": None if lo is None else lo.tolist(), "_hi": None if hi is None else hi.tolist(),
-                    "_exits": None if exits is None else exits.tolist()})
-        return pd.DataFrame([row])
-
-    tables = (with_prev.select(*keys, "_chunk", order, ts, "_prev_ts")
-              .groupBy(*keys, "_chunk").applyInPandas(summarize, table_schema))
-
-    entry_schema = f"{key_schema}, _chunk bigint, _entry bigint"
-
-    def stitch(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_chunk")
-        s, out = 0, []
-        for fixed, lo, hi, exits in zip(pdf["_fixed"], pdf["_lo"], pdf["_hi"], pdf["_exits"]):
-            out.append(s)
-            if fixed is not None and not pd.isna(fixed):
-                s = int(fixed)
-            else:
-                s = _apply_table(s, np.asarray(lo, dtype=np.int64), np.asarray(hi, dtype=np.int64),
-                                 np.asarray(exits, dtype=np.int64))
-        res = pdf[keys + ["_chunk"]].copy()
-        res["_entry"] = out
-        return res
-
-    entries = tables.groupBy(*keys).applyInPandas(stitch, entry_schema)
-    schema = df.schema
-
-    def refold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
-        keep, _ = _fold_runs(pdf[ts].to_numpy(dtype=np.int64), np.array([0]), np.array([len(pdf)]),
-                             np.array([int(pdf["_entry"].iloc[0])], dtype=np.int64), np.array([True]), gap)
-        return pdf.loc[keep, cols]
-
-    return (with_prev.drop("_prev_ts").join(entries, [*keys, "_chunk"])
-            .groupBy(*keys, "_chunk").applyInPandas(refold, schema))
-
-
-def _partition_fold_all(keys, order, ts, gap, cols):
-    """mapInPandas body over ALL rows, sorted by (keys, order) inside each partition.
-
-    Restarts (distance to the predecessor >= gap) are found in numpy, each key is cut into
-    segments, and all segments of the batch are folded at once by :func:`_fold_runs`. The
-    carried state across Arrow batches is (key, last kept timestamp, previous timestamp).
-    """
-
-    def run(batches):
-        carry = None  # (key tuple, last state, previous ts)
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            n = len(pdf)
-            kv = [pdf[k].to_numpy() for k in keys]
-            tsv = pdf[ts].to_numpy(dtype=np.int64)
-            new_key = np.zeros(n, dtype=bool)
-            new_key[0] = True
-            for arr in kv:
-                new_key[1:] |= arr[1:] != arr[:-1]
-            first_key = tuple(arr[0] for arr in kv)
-            cont = carry is not None and carry[0] == first_key
-            new_key[0] = not cont
-            prev = np.empty(n, dtype=np.int64)
-            prev[1:] = tsv[:-1]
-            prev[0] = carry[2] if cont else 0
-            has_prev = ~new_key
-            has_prev[0] = cont
-            restart = has_prev & (np.abs(tsv - prev) >= gap)
-            seg_start = new_key | restart
-            if cont:
-                seg_start[0] = True
-            starts = np.nonzero(seg_start)[0]
-            ends = np.append(starts[1:], n)
-            # a segment opened by a new key starts from state 0; the batch's first segment
-            # continues the carried state; a restart row is kept (no initial state)
-            is_head = new_key[starts]
-            init_last = np.where(is_head, 0, -1).astype(np.int64)
-            has_init = is_head.copy()
-            if cont and not restart[0]:
-                init_last[0] = carry[1]
-                has_init[0] = True
-            keep, last_out = _fold_runs(tsv, starts, ends, init_last, has_init, gap)
-            last_key = tuple(arr[n - 1] for arr in kv)
-            lo = int(last_out[-1])
-            if lo < 0 and not has_init[-1]:
-                lo = 0
-            carry = (last_key, lo, int(tsv[-1]))
-            if keep.any():
-                yield pdf.loc[keep, cols]
-
-    return run
+    by = [F.col(c).asc_nulls_first() for c in (*keys, order, ts)]
+    ranged = materialise(df.filter(F.col(ts).isNotNull()).repartitionByRange(*by).sortWithinPartitions(*by)
+                         .withColumn(_ROW, F.monotonically_increasing_id())
+                         .withColumn("_thin_ts", F.col(ts).cast("long")), "thin")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keys).schema.fields)
+    spec = f"{kinds}, {_ROW} long, _step long, _opened boolean, _value long, _exit long"
+    steps = (ranged.select(*keys, _ROW, "_thin_ts").mapInArrow(_summarise(keys, gap, stretch_rows), spec)
+             .repartition(*keys).sortWithinPartitions(*keys, _ROW, "_step"))
+    entries = steps.mapInArrow(_stitch(keys, gap), f"{_ROW} long, {_ENTRY} long")
+    # bounded: one row for each run of rows a reading task holds
+    return (ranged.join(F.broadcast(entries), _ROW, "left")
+            .select(*df.columns, _ROW, "_thin_ts", _ENTRY)
+            .mapInArrow(_replay(keys, gap, df.columns), df.schema))
+
+
+def downsample_rate(df: DataFrame, rate_hz: float, keys=("device_id", "message"), order="seq", ts="ts_us") -> DataFrame:
+    """Pack-side rate limit: keep at most ``rate_hz`` records per second per key (0 keeps all)."""
+    return thin(df, list(keys), order, ts, rate_to_gap_us(rate_hz))
 
 
-def thin_single_pass(df: DataFrame, keys: list[str], order: str, ts: str, gap_us: int) -> DataFrame:
-    """One shuffle (hash by key), one in-partition sort, one vectorised fold; no window."""
-    gap = int(gap_us)
-    if gap <= 0:
-        return df
-    cols = df.columns
-    return (df.repartition(*keys).sortWithinPartitions(*keys, order)
-            .mapInPandas(_partition_fold_all(keys, order, ts, gap, cols), df.schema))
+def resample(df: DataFrame, resample_us: int, keys=("device_id", "message"), order="seq", ts="ts_us") -> DataFrame:
+    """Unpack-side resample: drop while ``ts - last_kept < resample_us`` (0 keeps all)."""
+    return thin(df, list(keys), order, ts, int(resample_us))

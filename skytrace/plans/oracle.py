@@ -13,7 +13,7 @@ from ..sources.derive import CORRUPT_EVERY, raw_sql, wire_layout
 
 HOUR_US = 3_600_000_000
 DAY_US = 24 * HOUR_US
-N = 20
+N = 3
 SLOT = {"GGA": 0, "VTG": 1, "GSA": 2, "NAV_DOP": 3, "NAV_PVT": 4, "NAV_HPPOSECEF": 5, "NAV_HPPOSLLH": 6,
         "NAV_RELPOSNED": 7, "NAV_VELNED": 8}
 DUCK = {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "double": "DOUBLE", "string": "VARCHAR"}
@@ -337,6 +337,10 @@ def oracle_sql() -> dict[str, str]:
     o["thin_48h"] = thin_sql(48 * HOUR_US, ["device_id"])
     o["thin_all"] = thin_sql(1000 * HOUR_US, ["device_id"])
     o["thin_48h_chunked"] = o["thin_48h"]
+    wide = "CASE WHEN device_id % 7 <> 0 THEN device_id + 9007199254740992 ELSE -1 END"
+    o["thin_null_keys"] = ("SELECT nullif(device_id, -1) AS device_id, seq, ts_us FROM ("
+                           + thin_sql(HOUR_US, ["device_id"]).replace("s AS (SELECT device_id,", f"s AS (SELECT {wide} AS device_id,", 1) + ")")
+    o["stream_thin_message"] = thin_sql(6 * HOUR_US, ["device_id", "message"], "parse_result = 'OK'")
     o["stream_thin"] = thin_sql(6 * HOUR_US, ["device_id"])
     o["downsample_rate"] = thin_sql(rate_to_gap_us(1.0 / 3600.0), ["device_id", "message"], "parse_result = 'OK'").replace(
         "SELECT s.device_id, s.message, s.seq, s.ts_us", "SELECT s.device_id, s.message, s.seq, s.ts_us")
@@ -360,12 +364,12 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT device_id, message, seq, CAST(least(cnt, {N}) - rn AS BIGINT) AS idx FROM ({ranked}) WHERE rn <= {N}")
     o["trim_series"] = _with_base(
         f"SELECT device_id, message, seq, idx FROM (SELECT device_id, message, seq, least(cnt, {N}) AS size, "
-        f"CAST(least(cnt, {N}) - rn AS BIGINT) AS idx FROM ({ranked}) WHERE rn <= {N}) WHERE idx >= 2 AND idx < size - 1")
+        f"CAST(least(cnt, {N}) - rn AS BIGINT) AS idx FROM ({ranked}) WHERE rn <= {N}) WHERE idx >= 1 AND idx < size - 1")
     o["buffer_readout"] = _with_base(
         f"SELECT device_id, message, max(CASE WHEN rn = least(cnt, {N}) THEN ts_us END) AS first, "
         f"max(CASE WHEN rn = 1 THEN ts_us END) AS last, CAST(least(max(cnt), {N}) AS BIGINT) AS size, "
         f"CAST({N} - least(max(cnt), {N}) AS BIGINT) AS available, false AS empty, least(max(cnt), {N}) = {N} AS full, "
-        f"coalesce(max(CASE WHEN least(cnt, {N}) - rn = 5 THEN ts_us END), max(CASE WHEN rn = 1 THEN ts_us END)) AS at_5, "
+        f"coalesce(max(CASE WHEN least(cnt, {N}) - rn = 1 THEN ts_us END), max(CASE WHEN rn = 1 THEN ts_us END)) AS at_1, "
         f"CAST(greatest(max(cnt) - {N}, 0) % {N} AS BIGINT) AS \"offset\" FROM ({ranked}) GROUP BY device_id, message")
     o["stream_latest_n"] = o["latest_n"]
     o["elapsed_us"] = _with_base(

@@ -32,9 +32,10 @@ from ..streaming.stream import (csv_fanout_stream, decode_stream, latest_n_strea
 
 HOUR_US = 3_600_000_000
 DAY_US = 24 * HOUR_US
-SERIES_N = 20          # ring capacity used by the checks (the engine default is 2000)
+SERIES_N = 3           # ring capacity used by the checks, small so that rows are evicted (the engine default is 2000)
 RESAMPLE_US = 6 * HOUR_US
 STREAM_GAP_US = 6 * HOUR_US
+LANDING_FILES = 2      # files per drop and per trigger of the streaming checks
 DOWNSAMPLE_HZ = 1.0 / 3600.0
 PACK_US = DAY_US
 
@@ -203,13 +204,22 @@ def _thin_query(gap_us):
     return q
 
 
-CHECK_CHUNK_ROWS = 8   # small chunks so the chunk-stitching path is exercised at test scale
+CHECK_STRETCH_ROWS = 8   # short stretches, so that keys are stitched from many at test scale
 
 
 def q_thin_48h_chunked(spark, sf):
-    """thin_48h through the hot-key path: every device cut into ~8-row chunks, stitched."""
+    """thin_48h with every device's series stitched from stretches of about 8 rows."""
     return thin(_device_series(spark, sf), ["device_id"], "seq", "ts_us", 48 * HOUR_US,
-                strategy="chunked", hot_rows=CHECK_CHUNK_ROWS)
+                stretch_rows=CHECK_STRETCH_ROWS)
+
+
+ID_OFFSET = 1 << 53    # ids that a float key would merge
+
+
+def q_thin_null_keys(spark, sf):
+    """Thinning with a null device (one hot key made of every seventh) and ids above 2**53."""
+    wide = F.when(F.col("device_id") % 7 != 0, F.col("device_id") + F.lit(ID_OFFSET))
+    return thin(_device_series(spark, sf).withColumn("device_id", wide), ["device_id"], "seq", "ts_us", HOUR_US)
 
 
 def _ok_series(spark, sf):
@@ -247,6 +257,19 @@ def q_stream_thin(spark, sf):
     return spark.read.parquet(out)
 
 
+def q_stream_thin_message(spark, sf):
+    """Streaming thinning per device and message of the frames that decode."""
+    land = _landing(spark, sf, "land-thin-message")
+    out, ck = scratch_path(spark, "thin-message-out"), scratch_path(spark, "thin-message-ck")
+    stream = classify(read_frames_stream(spark, land, max_files_per_trigger=LANDING_FILES))
+    ok = stream.filter(F.col("parse_result") == "OK").select("device_id", "message", "seq", "ts_us")
+    kept = thin_stream(ok, ["device_id", "message"], "seq", "ts_us", STREAM_GAP_US)
+    q = (kept.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
 def q_stream_decode(spark, sf):
     land = _landing(spark, sf, "land-decode")
     out, ck = scratch_path(spark, "decode-out"), scratch_path(spark, "decode-ck")
@@ -312,11 +335,11 @@ def q_latest_n(spark, sf):
 
 
 def q_buffer_readout(spark, sf):
-    return buffer_readout(_ok_series(spark, sf), "ts_us", capacity=SERIES_N, at_index=5)
+    return buffer_readout(_ok_series(spark, sf), "ts_us", capacity=SERIES_N, at_index=1)
 
 
 def q_trim_series(spark, sf):
-    return (trim_series(_ok_series(spark, sf), capacity=SERIES_N, drop_oldest=2, drop_newest=1)
+    return (trim_series(_ok_series(spark, sf), capacity=SERIES_N, drop_oldest=1, drop_newest=1)
             .select("device_id", "message", "seq", "idx"))
 
 
@@ -472,6 +495,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "thin_48h": _thin_query(48 * HOUR_US),
         "thin_all": _thin_query(1000 * HOUR_US),
         "thin_48h_chunked": q_thin_48h_chunked,
+        "thin_null_keys": q_thin_null_keys,
+        "stream_thin_message": q_stream_thin_message,
         "downsample_rate": q_downsample_rate,
         "resample_us": q_resample_us,
         "stream_thin": q_stream_thin,

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..operators.classify import classify
-from ..operators.thinning import _fold_runs
+from ..operators.thinning import fold_runs
 
 FRAME_SCHEMA = ("device_id bigint, seq bigint, ts_us bigint, protocol string, start_seq binary, "
                 "body binary, body_len int, truncated boolean, status string")
@@ -59,8 +59,7 @@ def thin_stream(df: DataFrame, keys: list[str], order: str, ts: str, gap_us: int
         last = int(state.get[0]) if state.exists else 0
         tsv = pdf[ts].to_numpy(dtype=np.int64)
         # the batch is one run whose entry state is the stored ``last`` (0 for a new key)
-        keep, last_out = _fold_runs(tsv, np.array([0]), np.array([len(tsv)]),
-                                    np.array([last], dtype=np.int64), np.array([True]), gap)
+        keep, last_out = fold_runs(tsv, np.array([0]), np.array([last], dtype=np.int64), gap)
         state.update((int(last_out[0]),))
         yield pdf.loc[keep, cols]
 

@@ -28,7 +28,7 @@ def sequential(ts, gap):
 
 @pytest.mark.parametrize("ts,gap,exp", CASES)
 def test_fixture_fold(ts, gap, exp):
-    k = fold_keep(np.array(ts), gap, True)
+    k = fold_keep(np.array(ts), gap)
     assert [t for t, x in zip(ts, k) if x] == exp
 
 
@@ -69,71 +69,70 @@ def test_events_counts(spark):
     assert thin(ev, ["device_id"], "seq", "ts_us", 6 * 3_600_000_000).count() == 645
 
 
-@pytest.mark.parametrize("rows_per_chunk", [1, 3, 17])
-def test_chunked_vs_sequential(spark, rows_per_chunk):
-    from skytrace.operators.thinning import thin_chunked
-    rng = random.Random(11 + rows_per_chunk)
+@pytest.mark.parametrize("stretch_rows", [1, 3, 17, 1 << 18])
+def test_stitched_vs_sequential(spark, stretch_rows):
+    rng = random.Random(11 + stretch_rows)
     rows, expect = [], {}
-    for dev in range(12):
+    devices = [None, *(2 ** 53 + i for i in range(5)), -3, 0]
+    for dev in devices:
         t, ts = rng.randint(0, 50), []
-        mono = dev % 2 == 0
-        for _ in range(rng.randint(1, 150)):
+        mono = dev is None or dev % 2 == 0
+        for _ in range(rng.randint(1, 300)):
             t += rng.choice([0, 1, 3, 7, 20, 60] if mono else [0, 1, 3, 7, 20, 60, -5, -40])
             ts.append(max(t, 0))
         expect[dev] = sequential(ts, 25)
-        rows += [(dev, 1000 * dev + i, x) for i, x in enumerate(ts)]
-    df = spark.createDataFrame(rows, "device_id long, seq long, ts_us long")
-    got = {}
-    for r in thin_chunked(df, ["device_id"], "seq", "ts_us", 25, rows_per_chunk).orderBy("device_id", "seq").collect():
-        got.setdefault(r.device_id, []).append(r.ts_us)
-    assert {d: got.get(d, []) for d in expect} == expect
+        rows += [(dev, 1000 + i if i else -10 ** 15, x) for i, x in enumerate(ts)]
+    df = spark.createDataFrame(rows, "device_id long, seq long, ts_us long").repartition(5)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+        got = {}
+        for r in thin(df, ["device_id"], "seq", "ts_us", 25, stretch_rows).collect():
+            got.setdefault(r.device_id, []).append((r.seq, r.ts_us))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert {d: [x for _, x in sorted(got.get(d, []))] for d in devices} == expect
 
 
-def test_chunked_events(spark):
+@pytest.mark.parametrize(("gap", "mono"), [(500_000, False), (10 ** 9, True), (30, True)])
+def test_one_hot_key_is_cut_into_ranges(spark, gap, mono):
+    """A non-monotone key of 200,000 rows, an outlying order value, a gap longer than a stretch."""
     from pyspark.sql import functions as F
 
-    from skytrace.operators.thinning import thin_chunked
-    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select(
-        F.col("user_id").alias("device_id"), F.col("event_id").alias("seq"),
-        F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"))
-    assert thin_chunked(ev, ["device_id"], "seq", "ts_us", 6 * 3_600_000_000, 5).count() == 645
+    from skytrace.operators import thinning
 
-
-def test_single_pass_vs_sequential(spark):
-    from skytrace.operators.thinning import thin_single_pass
-    rng = random.Random(21)
-    rows, expect = [], {}
-    for dev in range(60):
-        t, ts = rng.randint(0, 50), []
-        for _ in range(rng.randint(1, 400)):
-            t += rng.choice([0, 1, 3, 7, 20, 60] if dev % 3 else [0, 1, 3, 7, 20, 60, -5, -40])
-            ts.append(max(t, 0))
-        expect[dev] = sequential(ts, 25)
-        rows += [(dev, i, x) for i, x in enumerate(ts)]
-    df = spark.createDataFrame(rows, "device_id long, seq long, ts_us long")
-    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    for batch in ("7", "10000"):
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
-        for parts in (1, 5):
-            got = {}
-            for r in thin_single_pass(df.repartition(parts), ["device_id"], "seq", "ts_us", 25).collect():
-                got.setdefault(r.device_id, []).append((r.seq, r.ts_us))
-            assert {d: [x for _, x in sorted(got.get(d, []))] for d in expect} == expect
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
-
-
-def test_auto_routes_hot_and_cold_keys(spark):
-    rng = random.Random(31)
-    rows, expect = [], {}
-    for dev in range(10):
-        t, ts = rng.randint(0, 50), []
-        for _ in range(300 if dev < 2 else rng.randint(1, 20)):    # two hot keys, eight small
-            t += rng.choice([0, 1, 3, 7, 20, 60, -5])
-            ts.append(max(t, 0))
-        expect[dev] = sequential(ts, 25)
-        rows += [(dev, i, x) for i, x in enumerate(ts)]
-    df = spark.createDataFrame(rows, "device_id long, seq long, ts_us long")
-    got = {}
-    for r in thin(df, ["device_id"], "seq", "ts_us", 25, strategy="auto", hot_rows=50).collect():
-        got.setdefault(r.device_id, []).append((r.seq, r.ts_us))
-    assert {d: [x for _, x in sorted(got.get(d, []))] for d in expect} == expect
+    rng = np.random.default_rng(5)
+    ts = np.sort(rng.integers(0, 10 ** 7, 200_000)) if mono else rng.integers(0, 10 ** 6, 200_000)
+    last, expect = 0, []
+    for t in ts.tolist():
+        if t < last or t - last >= gap:
+            last = t
+            expect.append(t)
+    import pandas as pd
+    seq = np.arange(len(ts))
+    seq[-1] = 2 ** 60
+    df = spark.createDataFrame(pd.DataFrame({"k": 1, "seq": seq, "ts_us": ts})).repartition(8)
+    sizes = []
+    original = thinning.materialise
+
+    def spy(d, name):
+        out = original(d, name)
+        sizes.extend(r["count"] for r in out.groupBy(F.input_file_name()).count().collect())
+        return out
+
+    thinning.materialise = spy
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = thin(df, ["k"], "seq", "ts_us", gap, stretch_rows=4096).orderBy("seq").collect()
+    finally:
+        thinning.materialise = original
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [r.ts_us for r in got] == expect
+    assert max(sizes) < len(ts) / 4  # the hot key is spread evenly over the ranges
+
+
+def test_rows_without_time_and_empty_tables(spark):
+    df = spark.createDataFrame([(1, 1, None), (1, 2, 50), (None, None, 70), (1, 3, 60)], "device_id long, seq long, ts_us long")
+    got = sorted((tuple(r) for r in thin(df, ["device_id"], "seq", "ts_us", 20).collect()), key=str)
+    assert got == [(1, 2, 50), (None, None, 70)]
+    assert thin(df.limit(0), ["device_id"], "seq", "ts_us", 20).count() == 0
