@@ -407,9 +407,12 @@ def oracle_sql() -> dict[str, str]:
     raw_hex = "CASE WHEN protocol = 'UBX' THEN 'B562' || body_hex ELSE '244750' || body_hex || '0D0A' END"
     o["raw_reemit"] = _with(f"SELECT device_id, e AS seq, {raw_hex} AS raw_hex FROM fx")
     recno = "CAST(row_number() OVER (PARTITION BY device_id ORDER BY e) - 1 AS BIGINT)"
-    o["capture_scan"] = _with(
-        f"SELECT device_id, {recno} AS rec_no, ts_us, CAST(CASE WHEN protocol = 'UBX' THEN 2 + body_len "
-        "ELSE 3 + body_len + 2 END AS BIGINT) AS raw_len FROM fx")
+    o["capture_scan"] = _with(f"SELECT device_id, {recno} AS rec_no, ts_us, {raw_hex} AS raw_hex FROM fx")
+    like = "28" + "1234567890123456".encode().hex().upper() + "29"
+    odd_hex = (f"CASE WHEN protocol = 'UBX' AND length(body_hex) >= 48 THEN 'B562' || substr(body_hex, 1, 8) || '{like}' "
+               f"|| substr(body_hex, 45) ELSE {raw_hex} END")
+    o["capture_headers"] = _with(f"SELECT device_id, {recno} AS rec_no, ts_us, {odd_hex} AS raw_hex FROM fx")
+    o["capture_headers_split"] = o["capture_headers"]
     o["capture_scan_split"] = o["capture_scan"]
     o["deframe"] = _with(
         f"SELECT device_id, {recno} AS rec_no, ts_us, protocol, CASE WHEN protocol = 'UBX' THEN 'B562' ELSE '244750' END "

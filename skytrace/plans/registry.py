@@ -241,7 +241,8 @@ def _landing(spark, sf, name):
     f = frames(spark, sf)
     lo = F.unix_micros(F.lit("2024-01-11 00:00:00").cast("timestamp"))
     hi = F.unix_micros(F.lit("2024-01-21 00:00:00").cast("timestamp"))
-    for cond in [F.col("ts_us") < lo, (F.col("ts_us") >= lo) & (F.col("ts_us") < hi), F.col("ts_us") >= hi]:
+    # frames without a time (a live source's) arrive first
+    for cond in [F.col("ts_us").isNull() | (F.col("ts_us") < lo), (F.col("ts_us") >= lo) & (F.col("ts_us") < hi), F.col("ts_us") >= hi]:
         f.filter(cond).repartition(2).write.mode("append").parquet(land)
     return land
 
@@ -432,12 +433,31 @@ def _captures(spark, sf, name, raw: F.Column | None = None, cut_last: bool = Fal
 
 def q_capture_scan(spark, sf):
     r = _captures(spark, sf, "cap-scan")
-    return r.select("device_id", "rec_no", "ts_us", F.octet_length("raw").cast("bigint").alias("raw_len"))
+    return r.select("device_id", "rec_no", "ts_us", F.hex("raw").alias("raw_hex"))
 
 
 def q_capture_scan_split(spark, sf):
     r = _captures(spark, sf, "cap-split", split=True)
-    return r.select("device_id", "rec_no", "ts_us", F.octet_length("raw").cast("bigint").alias("raw_len"))
+    return r.select("device_id", "rec_no", "ts_us", F.hex("raw").alias("raw_hex"))
+
+
+HEADER_LIKE = b"(1234567890123456)"
+
+
+def _payload_headers(spark, sf, split):
+    """Captures whose longer UBX payloads begin with bytes that look like a record header."""
+    body = F.when((F.col("protocol") == "UBX") & (F.octet_length("body") >= 24), F.concat(
+        F.substring("body", 1, 4), F.lit(HEADER_LIKE), F.expr("substring(body, 23)"))).otherwise(F.col("body"))
+    r = _captures(spark, sf, "cap-headers", raw=raw_frame(F.col("start_seq"), body, F.col("protocol")), split=split)
+    return r.select("device_id", "rec_no", "ts_us", F.hex("raw").alias("raw_hex"))
+
+
+def q_capture_headers(spark, sf):
+    return _payload_headers(spark, sf, split=False)
+
+
+def q_capture_headers_split(spark, sf):
+    return _payload_headers(spark, sf, split=True)
 
 
 def q_deframe(spark, sf):
@@ -519,6 +539,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_fanout": q_csv_fanout,
         "raw_reemit": q_raw_reemit,
         "capture_scan": q_capture_scan,
+        "capture_headers": q_capture_headers,
+        "capture_headers_split": q_capture_headers_split,
         "capture_scan_split": q_capture_scan_split,
         "deframe": q_deframe,
         "deframe_split": q_deframe_split,

@@ -2,7 +2,8 @@
 
 Capture file: a concatenation of records ``(`` + 16 decimal digits (µs) + ``)`` + frame bytes.
 ``binaryFile`` reads each file as one row; the bytes are viewed as ISO-8859-1 text (one char
-per byte, lossless) and split before every header. Each record is then deframed with one
+per byte, lossless) and split before every header; pieces that belong to a UBX frame by its
+declared length are joined again. Each record is then deframed with one
 possessive regular expression that reproduces the byte-wise sync search of a receiver
 parser, including its resync quirk (after a first sync byte the next byte is consumed even
 when it does not match, so ``B5 B5 62`` and ``$$G`` are missed).
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.fields import MAX_LINE
+from ..session import materialise
 
 _HEADER = r"\(\d{16}\)"
 _SPLIT = r"(?=\(\d{16}\))"
@@ -22,6 +24,74 @@ _SYNC = "(?s)^(?:[^µ$]++|µ[^b]|\\$[^GP])*+(µb|\\$[GP].)(.*)$"
 BODY_MAX = MAX_LINE - 1
 
 
+#: No frame reaches further than this many records: a record has at least 18 bytes.
+_REACH = (BODY_MAX + 2) // 18 + 1
+
+
+def _missing(raw):
+    """Bytes a record's UBX frame still needs (0: none; a frame without its length needs all it may)."""
+    r = F.decode(raw, "ISO-8859-1")
+    rest = F.regexp_extract(r, _SYNC, 2)
+    length = F.hex(F.encode(F.substring(rest, 3, 2), "ISO-8859-1"))
+    need = F.least(F.conv(F.concat(F.substring(length, 3, 2), F.substring(length, 1, 2)), 16, 10).cast("int") + 6,
+                   F.lit(BODY_MAX))
+    have = F.length(rest)
+    return (F.when(F.regexp_extract(r, _SYNC, 1) != "µb", 0).when(have < 4, BODY_MAX - have)
+            .otherwise(F.greatest(need - have, F.lit(0))))
+
+
+def _joined(pdf):
+    """Records of one chain, in order -> records with the bytes their frames still needed."""
+    import re
+
+    import pandas as pd
+
+    sync, out = re.compile(_SYNC), []
+    for cid, no, ts, raw in zip(pdf["capture_id"], pdf["rec_no"], pdf["ts_us"], pdf["raw"], strict=True):
+        raw = bytes(raw)
+        if out:
+            m = sync.match(out[-1][3].decode("latin-1"))
+            if m and m[1] == "µb":
+                rest = m[2].encode("latin-1")
+                if len(rest) < 4 or len(rest) < min(int.from_bytes(rest[2:4], "little") + 6, BODY_MAX):
+                    out[-1][3] += b"(%016d)" % ts + raw
+                    out[-1][4].append(no)
+                    continue
+        out.append([cid, no, ts, raw, []])
+    return pd.DataFrame(out, columns=["capture_id", "rec_no", "ts_us", "raw", "_eaten"])
+
+
+def rejoin(records: DataFrame) -> DataFrame:
+    """Undo header splits inside UBX payloads, then number the records of each capture again.
+
+    A frame is read by its declared length, so bytes in it that look like a record header are
+    payload. Only records with a frame too short and the few that such a frame can reach are
+    regrouped (by capture and record number, so a large capture is no hot key); chains of
+    overlapping reaches are walked in order.
+    """
+    whole = materialise(records, "records")
+    short = (whole.withColumn("_missing", _missing(F.col("raw"))).filter("_missing > 0")
+             .select("capture_id", F.explode(F.sequence(F.col("rec_no"), F.col("rec_no") + _REACH)).alias("rec_no")).distinct())
+    w = Window.partitionBy("capture_id").orderBy("rec_no")
+    size = F.octet_length("raw") + 18
+    near = (whole.join(short, ["capture_id", "rec_no"]).withColumn("_at", F.sum(size).over(w) - size)
+            .withColumn("_to", F.col("_at") + size + _missing(F.col("raw"))))
+    reach = F.max("_to").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    sure = reach.isNull() | (reach <= F.col("_at")) | (F.col("rec_no") != F.lag("rec_no").over(w) + 1)
+    chains = near.withColumn("_sure", sure.cast("int")).withColumn("_chain", F.sum("_sure").over(w))
+    spec = "capture_id string, rec_no long, ts_us long, raw binary, _eaten array<long>"
+    fixed = materialise(chains.select("capture_id", "rec_no", "ts_us", "raw", "_chain").groupBy("capture_id", "_chain")
+                        .applyInPandas(_joined, spec).filter("size(_eaten) > 0"), "rejoined")
+    if fixed.isEmpty():
+        return whole
+    eaten = fixed.select("capture_id", F.explode("_eaten").alias("rec_no"))
+    gone = eaten.groupBy("capture_id").agg(F.collect_list("rec_no").alias("_gone"))
+    kept = whole.join(eaten.unionByName(fixed.select("capture_id", "rec_no")), ["capture_id", "rec_no"], "left_anti")
+    out = kept.unionByName(fixed.drop("_eaten")).join(gone, "capture_id", "left")
+    before = F.size(F.filter(F.coalesce("_gone", F.array().cast("array<bigint>")), lambda x: x < F.col("rec_no")))
+    return out.select("capture_id", (F.col("rec_no") - before).cast("bigint").alias("rec_no"), "ts_us", "raw")
+
+
 def scan_captures(spark: SparkSession, path: str, glob: str = "*.cap") -> DataFrame:
     """Records ``(capture_id, rec_no, ts_us, raw BINARY)`` of every capture file under ``path``."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
@@ -32,12 +102,12 @@ def scan_captures(spark: SparkSession, path: str, glob: str = "*.cap") -> DataFr
     arr = arr.withColumn("_skip", F.when(F.col("_pieces")[0].rlike("^" + _HEADER), 0).otherwise(1))
     pieces = arr.select("capture_id", "_skip", F.posexplode("_pieces").alias("_pos", "_piece"))
     recs = pieces.filter(F.col("_pos") >= F.col("_skip"))
-    return recs.select(
+    return rejoin(recs.select(
         "capture_id",
         (F.col("_pos") - F.col("_skip")).cast("bigint").alias("rec_no"),
         F.substring("_piece", 2, 16).cast("bigint").alias("ts_us"),
         F.encode(F.expr("substring(_piece, 19)"), "ISO-8859-1").alias("raw"),
-    )
+    ))
 
 
 def deframe(records: DataFrame) -> DataFrame:
@@ -164,12 +234,12 @@ def scan_captures_split(spark: SparkSession, path: str, glob: str = "*.cap") ->
                                                         == F.col("_total") - 1),
                                        F.concat(F.col("_rec"), F.lit(b"("))).otherwise(F.col("_rec"))))
     text = F.decode(F.col("_rec"), "ISO-8859-1")
-    return rows.select(
+    return rejoin(rows.select(
         F.regexp_extract("_file", r"([^/]+)\.[^./]+$", 1).alias("capture_id"),
         (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_idx")).cast("bigint").alias("rec_no"),
         F.substring(text, 2, 16).cast("bigint").alias("ts_us"),
         F.encode(F.expr("substring(decode(_rec, 'ISO-8859-1'), 19)"), "ISO-8859-1").alias("raw"),
-    )
+    ))
 
 
 def _flush(key, recs, orphan):

@@ -72,3 +72,20 @@ def test_split_reader_matches_whole_file_reader(spark):
             spark.conf.set(k, v)
     a = sorted(map(tuple, scan_captures(spark, tmp).collect()))
     assert a == b and len(a) == 60
+
+
+def test_header_like_payload_stays_in_its_frame(spark):
+    """UBX payloads with header-like bytes, also several in a row, an incomplete frame and a real header after it."""
+    from skytrace.sources.capture import scan_captures_split
+
+    like = b"(1234567890123456)"
+    frame = lambda payload: b"\xb5b\x01\x04" + len(payload).to_bytes(2, "little") + payload + b"\x00\x00"
+    frames = [UBX, frame(like), frame(like * 5 + b"x"), frame(b"ab" + like + b"cd"), b"$GPGGA,1\r\n", frame(like)]
+    data = b"".join(rec(i + 1, f) for i, f in enumerate(frames)) + rec(7, UBX[:8]) + rec(8, b"$GPVTG,1\r\n")
+    tmp = tempfile.mkdtemp(prefix="skytrace-test-")
+    write(tmp, "c1.cap", data)
+    for scan in (scan_captures, scan_captures_split):
+        got = scan(spark, tmp).orderBy("rec_no").collect()
+        assert [bytes(r.raw) for r in got[:6]] == frames and [r.ts_us for r in got[:6]] == [1, 2, 3, 4, 5, 6]
+        # an unfinished frame reads on by its length: what follows is its payload
+        assert [r.rec_no for r in got] == list(range(len(got))) and got[6].raw.startswith(UBX[:8] + b"(0000")
