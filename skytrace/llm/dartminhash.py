@@ -10,10 +10,10 @@ whatever the document's size: those of rank below (k ln k + 2k) / total weight;
 doubled for the documents (about one in eight) that have a coordinate left empty.
 
 Documents with equal words are merged first. BANDS bands of ROWS coordinates deal the others to
-buckets. In rounds, some documents of a bucket lead: they are held by exact similarity against its
-other documents of other components, until its documents are of one component or all have led.
-A group of near copies costs (leaders x members) comparisons, not all pairs; no bucket is cut
-short, no candidate dropped. Classes are the connected components of the links.
+buckets. There, exact similarities are taken to a leading document or two first; only documents of
+components still apart meet in pairs, and of those pairs the ones whose signatures agree nearly
+enough are compared. A group of near copies costs a few comparisons a document, not all pairs; no
+bucket is cut short. Classes are the connected components of the links.
 
 A pair of similarity 0.8 shares no bucket with probability (1 - 0.8**8)**64 = 8e-6.
 
@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
@@ -228,46 +228,124 @@ def verify(pairs: DataFrame, texts: DataFrame, size: int, threshold: float) -> D
             .mapInArrow(_compare(size, threshold), "a long, b long").distinct())
 
 
-def _leaders(waiting: DataFrame, turn: int, links: DataFrame) -> DataFrame:
-    """The rows that lead next: by id at first, then in turn those with most links (a text many others
-    were made from) and those of the bucket's smallest components."""
-    degree = links.select("a").unionByName(links.select(F.col("b").alias("a"))).groupBy("a").agg(F.count("*").alias("_degree"))
-    ranked = (waiting.join(degree.withColumnRenamed("a", "_rep"), "_rep", "left")
-              .withColumn("_size", F.count("*").over(Window.partitionBy("_bucket", "_root"))))
-    most, small = F.coalesce("_degree", F.lit(0)).desc(), F.col("_size")
-    order = Window.partitionBy("_bucket").orderBy(*([most] if turn % 2 else [small, most]), "_rep")
-    return (ranked.withColumn("_k", F.row_number().over(order)).filter(F.col("_k") <= max(1, 4 ** (turn - 2)))
-            .select("_bucket", F.col("_rep").alias("_lead"), F.col("_n").alias("_ln"), F.col("_root").alias("_lroot")))
+def _lead_pairs(waiting: DataFrame, lead: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of each bucket's leader and its waiting rows of other components."""
+    pairs = (waiting.join(lead, "_bucket").filter("_root != _lroot")
+             # a similarity of at least the threshold needs weights that close
+             .filter(F.least("_n", "_ln") >= threshold * F.greatest("_n", "_ln")))
+    return pairs.select(F.least("_lead", "_rep").alias("a"), F.greatest("_lead", "_rep").alias("b")).distinct()
 
 
-def bucket_links(members: DataFrame, verify_pairs, threshold: float) -> DataFrame:
+def _open(rows: DataFrame) -> DataFrame:
+    """The rows of buckets that hold rows of several components."""
+    split = rows.groupBy("_bucket").agg(F.min("_root").alias("_x"), F.max("_root").alias("_y")).filter("_x < _y")
+    return rows.join(split.select("_bucket"), "_bucket")
+
+
+def _rooted(rows: DataFrame, links: DataFrame) -> DataFrame:
+    roots = components(links).select(F.col("node").alias("_rep"), F.col("root").alias("_root"))
+    return rows.drop("_root").join(roots, "_rep", "left").withColumn("_root", F.coalesce("_root", "_rep"))
+
+
+#: Standard errors below the threshold at which an estimated similarity still counts as a candidate.
+MARGIN = 4.5
+#: Rows of a bucket that one block holds.
+BLOCK_ROWS = 1024
+
+
+def _signed(size: int, k: int):
+    """Packed texts -> signatures of one byte per coordinate."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, texts in unpacked(batches, 1 << 20):
+            elements, at, _, _ = shingles(pa.array(texts, pa.large_binary()), size)
+            sig = (sketch(elements, at, k) >> np.uint64(17)).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([col(b, "_id"), pa.array([x.tobytes() for x in sig], pa.binary())],
+                                             names=["_rep", "_sig"])
+
+    return run
+
+
+def _likely(k: int, threshold: float):
+    """Blocks sorted with their leading rows first -> pairs whose signatures agree often enough."""
+    least = k * (threshold - MARGIN * (threshold * (1 - threshold) / k) ** 0.5)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, lead = None, []
+        for b in batches:
+            found = []
+            for key, salt, role, rep, n, root, sig in zip(*(col(b, x).to_pylist() for x in (
+                    "_bucket", "_block", "_role", "_rep", "_n", "_root", "_sig")), strict=True):
+                if (key, salt) != block:
+                    block, lead, table = (key, salt), [], None
+                if role == 0:
+                    lead.append((rep, n, root, np.frombuffer(sig, np.uint8)))
+                    continue
+                if table is None:
+                    reps, ns, roots = (np.array(x) for x in list(zip(*lead, strict=True))[:3])
+                    table = np.stack([x[3] for x in lead])
+                on = np.flatnonzero((roots != root) & (np.minimum(ns, n) >= threshold * np.maximum(ns, n)))
+                agree = (table[on] == np.frombuffer(sig, np.uint8)).sum(1)
+                found += [(min(rep, x), max(rep, x)) for x in reps[on[agree >= least]].tolist()]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*set(found), strict=True)],
+                                                 names=["a", "b"])
+
+    return run
+
+
+def _rest_pairs(rows: DataFrame, texts: DataFrame, size: int, k: int, threshold: float) -> DataFrame:
+    """Likely pairs of rows of different components in one bucket: every row outside a bucket's largest
+    component is sent to all of the bucket's blocks."""
+    rows = materialise(rows, "open-rows")
+    signed = texts.join(rows.select(F.col("_rep").alias("_id")).distinct(), "_id", "left_semi")
+    signed = signed.mapInArrow(_signed(size, k), "_rep long, _sig binary")
+    parts = rows.groupBy("_bucket", "_root").agg(F.count("*").alias("_c"))
+    main = parts.groupBy("_bucket").agg(F.max_by("_root", F.struct("_c", "_root")).alias("_main"), F.sum("_c").alias("_all"))
+    all_ = rows.join(main, "_bucket").withColumn("_blocks", F.ceil(F.col("_all") / BLOCK_ROWS).cast("int")).join(signed, "_rep")
+    member = all_.withColumn("_block", F.pmod(F.xxhash64("_rep"), F.col("_blocks")).cast("int")).withColumn("_role", F.lit(1))
+    lead = (all_.filter("_root != _main").withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+            .withColumn("_role", F.lit(0)))
+    names = ["_bucket", "_block", "_role", "_rep", "_n", "_root", "_sig"]
+    return (member.select(names).unionByName(lead.select(names)).repartition("_bucket", "_block")
+            .sortWithinPartitions("_bucket", "_block", "_role", "_rep")
+            .mapInArrow(_likely(k, threshold), "a long, b long").distinct())
+
+
+def bucket_links(members: DataFrame, texts: DataFrame, size: int, k: int, threshold: float) -> DataFrame:
     """Rows (_bucket, _rep, _n) -> links (a, b) with the components of all links within buckets.
 
-    In each round some rows of every bucket lead: they are held against the bucket's waiting rows of
-    other components, and wait no longer. A bucket is done when its waiting rows are of one
-    component. So every pair of a bucket is compared, or in one component already.
+    1. In every bucket the least id leads: all others are compared with it.
+    2. In buckets of several components the row with most links so far leads (a text that many
+       others were made from joins its copies here).
+    3. In the buckets left over, the rows outside the largest component meet all rows of other
+       components; of these pairs the likely ones are compared.
+    So each pair of a bucket is compared, in one component already, or estimated at MARGIN standard
+    errors below the threshold, which a pair at the threshold is with probability 3e-6.
     """
-    waiting, compared, links, turn = members.withColumn("_root", F.col("_rep")), None, None, 0
-    while not waiting.isEmpty():
-        if links is None:
-            links = members.sparkSession.createDataFrame([], "a long, b long")
-        lead = materialise(_leaders(waiting, turn, links), "leaders")
-        pairs = (waiting.join(lead, "_bucket").filter("_root != _lroot")
-                 # a similarity of at least the threshold needs weights that close
-                 .filter(F.least("_n", "_ln") >= threshold * F.greatest("_n", "_ln"))
-                 .select(F.least("_lead", "_rep").alias("a"), F.greatest("_lead", "_rep").alias("b")).distinct())
-        if compared is not None:
-            pairs = pairs.join(compared, ["a", "b"], "left_anti")
-        pairs = materialise(pairs, "pairs")
-        compared = pairs if compared is None else compared.unionByName(pairs)
-        links = links.unionByName(materialise(verify_pairs(pairs), "links"))
-        rest = (waiting.drop("_root").join(lead.select("_bucket", F.col("_lead").alias("_rep")), ["_bucket", "_rep"], "left_anti")
-                .join(components(links).withColumnRenamed("node", "_rep"), "_rep", "left")
-                .select("_bucket", "_rep", "_n", F.coalesce("root", "_rep").alias("_root")))
-        split = rest.groupBy("_bucket").agg(F.min("_root").alias("x"), F.max("_root").alias("y")).filter("x < y").select("_bucket")
-        waiting = materialise(rest.join(split, "_bucket"), "waiting")
-        turn += 1
-    return links if links is not None else members.select(F.col("_rep").alias("a"), F.col("_rep").alias("b")).limit(0)
+    none = members.sparkSession.createDataFrame([], "a long, b long")
+    if members.isEmpty():
+        return none
+    rows = members.withColumn("_root", F.col("_rep"))
+    lead = rows.groupBy("_bucket").agg(F.min_by(F.struct("_rep", "_n", "_root"), "_rep").alias("x"))
+    lead = lead.select("_bucket", F.col("x._rep").alias("_lead"), F.col("x._n").alias("_ln"), F.col("x._root").alias("_lroot"))
+    pairs = materialise(_lead_pairs(rows, lead, threshold), "pairs")
+    links = materialise(verify(pairs, texts, size, threshold), "links")
+    rows = materialise(_open(_rooted(rows, links)), "waiting")
+    if rows.isEmpty():
+        return links
+    degree = (links.select(F.col("a").alias("_rep")).unionByName(links.select(F.col("b").alias("_rep")))
+              .groupBy("_rep").agg(F.count("*").alias("_degree")))
+    rank = F.struct(F.coalesce("_degree", F.lit(0)).alias("d"), (-F.col("_rep")).alias("r"))
+    lead = (rows.join(degree, "_rep", "left").groupBy("_bucket")
+            .agg(F.max_by(F.struct("_rep", "_n", "_root"), rank).alias("x")))
+    lead = lead.select("_bucket", F.col("x._rep").alias("_lead"), F.col("x._n").alias("_ln"), F.col("x._root").alias("_lroot"))
+    more = materialise(_lead_pairs(rows, lead, threshold).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    pairs, links = pairs.unionByName(more), links.unionByName(materialise(verify(more, texts, size, threshold), "links"))
+    rows = materialise(_open(_rooted(rows, links)), "waiting")
+    if rows.isEmpty():
+        return links
+    rest = _rest_pairs(rows, texts, size, k, threshold).join(pairs, ["a", "b"], "left_anti")
+    return links.unionByName(materialise(verify(materialise(rest, "pairs"), texts, size, threshold), "links"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
@@ -287,7 +365,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = materialise(dealt.join(shared, "_bucket"), "buckets")
     texts = materialise(packed(docs, "_id").join(members.select(F.col("_rep").alias("_id")).distinct(), "_id", "left_semi"),
                         "texts")
-    linked = bucket_links(members, lambda pairs: verify(pairs, texts, size, threshold), threshold)
+    linked = bucket_links(members, texts, size, rows * bands, threshold)
     edges = linked.unionByName(own.filter("_id != _rep").select(F.col("_rep").alias("a"), F.col("_id").alias("b")))
     classes = components(edges)
     return (docs.select("_id").join(classes, F.col("_id") == F.col("node"), "left")

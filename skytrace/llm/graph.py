@@ -24,7 +24,7 @@ def components(edges: DataFrame) -> DataFrame:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = (both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .filter("u != v").distinct())
+                 .filter("u != v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         e = materialise(large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                         .unionByName(low.select("u", F.col("m").alias("v"))).filter("u != v").distinct(), "edges")
