@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 from ..functions import fields as FT
 from ..functions import sqltext
+from ..session import materialise
+from .state import latest_n
+from .thinning import resample
 
 _PACK_TYPE = {"u4": "bigint", "u2": "bigint", "u1": "bigint", "i4": "int", "i2": "int", "i1": "int"}
 
@@ -115,6 +118,37 @@ def series_long(classified: DataFrame, kind: str = "signals", compat: bool = Tru
     return out
 
 
+def unpack_series(packs: DataFrame, kind: str = "signals", resample_us: int = 0, capacity: int = 2000) -> DataFrame:
+    """Long value series ``(device_id, message, field, idx, value)`` from a pack table.
+
+    The records of all lists are resampled per (device, message) in pack order, the newest
+    ``capacity`` of each are kept, and their fields unpivoted. ``idx`` is the position among the
+    kept ones, 0 = oldest. Thinning and retention run on one narrow table of record times; the
+    values are joined to it by (device, message, pack, position).
+    """
+    lists = {m: packs.select("device_id", "pack_id", F.posexplode(FT.PACK_LIST[m]).alias("pos", "r")) for m in FT.ALL_MESSAGES}
+    times = None
+    for m, rows in lists.items():
+        t = rows.select("device_id", F.lit(m).alias("message"), (F.col("pack_id") * (1 << 32) + F.col("pos")).alias("seq"),
+                        F.col("r._inner_timestamp").alias("ts_us"))
+        times = t if times is None else times.unionByName(t)
+    kept = latest_n(resample(times, resample_us), capacity=capacity).select("device_id", "message", "seq", "idx")
+    kept = materialise(kept, "retained")
+    out = None
+    for m, rows in lists.items():
+        rec = {"_inner_timestamp": "r._inner_timestamp"} | {n: f"r.`{n}`" for n, _ in pack_fields(m)}
+        items = _series_values(m, rec, kind)
+        if not items:
+            continue
+        mine = kept.filter(F.col("message") == m).drop("message")
+        cols = (rows.withColumn("seq", F.col("pack_id") * (1 << 32) + F.col("pos")).join(mine, ["device_id", "seq"])
+                .select("device_id", F.lit(FT.SERIES_LABEL[m]).alias("message"), "idx", *[F.expr(v).alias(n) for n, v in items]))
+        part = (cols.unpivot(["device_id", "message", "idx"], [n for n, _ in items], "field", "value")
+                .select("device_id", "message", "field", "idx", "value"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def series_pivot(series: DataFrame, message: str) -> DataFrame:
     """Rebuild the table of one message from its long signals: one row per (device_id, idx)."""
     label = FT.SERIES_LABEL[message]

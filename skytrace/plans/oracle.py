@@ -395,6 +395,16 @@ def oracle_sql() -> dict[str, str]:
     o["pack_build"] = _with_base(
         f"SELECT device_id, CAST(pack_id AS BIGINT) AS pack_id, message, CAST(count(*) AS BIGINT) AS n, "
         f"min(ts_us) AS first_ts, max(ts_us) AS last_ts FROM ({okm}) GROUP BY ALL")
+    o["pack_build_rate"] = (f"SELECT device_id, CAST(ts_us // {DAY_US} AS BIGINT) AS pack_id, message, CAST(count(*) AS BIGINT) AS n, "
+                            f"min(ts_us) AS first_ts, max(ts_us) AS last_ts FROM ({o['downsample_rate']}) GROUP BY ALL")
+    labels = ", ".join(f"('{m}', '{FT.SERIES_LABEL[m]}')" for m in FT.ALL_MESSAGES)
+    for kind in ("signals", "strings", "enums"):
+        o[f"unpack_{kind}"] = (
+            f"SELECT g.device_id, g.message, g.field, CAST(least(k.cnt, {N}) - k.rn AS BIGINT) AS idx, g.value FROM ({o[kind + '_long']}) g "
+            "JOIN (SELECT r.device_id, l.label, r.seq, count(*) OVER (PARTITION BY r.device_id, r.message) AS cnt, "
+            "row_number() OVER (PARTITION BY r.device_id, r.message ORDER BY r.seq DESC) AS rn "
+            f"FROM ({o['resample_us']}) r JOIN (VALUES {labels}) l(m, label) ON l.m = r.message) k "
+            f"ON k.device_id = g.device_id AND k.label = g.message AND k.seq = g.idx WHERE k.rn <= {N}")
     o["pack_explode"] = _with_base(
         f"SELECT device_id, CAST(pack_id AS BIGINT) AS pack_id, message, "
         f"CAST(row_number() OVER (PARTITION BY device_id, pack_id, message ORDER BY seq) - 1 AS BIGINT) AS pos, "

@@ -19,7 +19,7 @@ from ..operators.classify import classify
 from ..operators.decode import decode
 from ..operators.pack import pack_build, pack_entries, pack_sizes
 from ..operators.report import decode_quality
-from ..operators.reshape import series_long, series_pivot
+from ..operators.reshape import series_long, series_pivot, unpack_series
 from ..operators.state import buffer_readout, elapsed_us, latest_n, latest_state, trim_series
 from ..operators.thinning import downsample_rate, resample, thin
 from ..session import scratch_path
@@ -370,7 +370,24 @@ def q_pack_sizes(spark, sf):
 
 
 def q_pack_build(spark, sf):
-    packs = pack_build(lake(spark, sf), PACK_US)
+    return _pack_ends(pack_build(lake(spark, sf), PACK_US))
+
+
+def q_pack_build_rate(spark, sf):
+    """Packs of rate-limited records."""
+    return _pack_ends(pack_build(lake(spark, sf), PACK_US, DOWNSAMPLE_HZ))
+
+
+def _unpack_query(kind):
+    """Packs -> resample -> newest SERIES_N per device and message -> long series."""
+    def q(spark, sf):
+        path = scratch_path(spark, "packs")
+        pack_build(lake(spark, sf), PACK_US).write.parquet(path)
+        return unpack_series(spark.read.parquet(path), kind, RESAMPLE_US, SERIES_N)
+    return q
+
+
+def _pack_ends(packs):
     parts = []
     for m in FT.ALL_MESSAGES:
         lst = F.col(FT.PACK_LIST[m])
@@ -534,6 +551,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "enums_long": q_enums_long,
         "series_pivot": q_series_pivot,
         "pack_build": q_pack_build,
+        "pack_build_rate": q_pack_build_rate,
+        "unpack_signals": _unpack_query("signals"),
+        "unpack_strings": _unpack_query("strings"),
+        "unpack_enums": _unpack_query("enums"),
         "pack_sizes": q_pack_sizes,
         "pack_explode": q_pack_explode,
         "csv_fanout": q_csv_fanout,
