@@ -97,14 +97,6 @@ def ubx_checksum_ok(body: Column, compat: bool = True) -> Column:
     return F.when(length + 6 > MAX_LINE, F.lit(False)).otherwise(ok)
 
 
-def le_hex(value: Column, wire: str) -> Column:
-    """Little-endian hex text of an integer column for wire type ``wire`` (two's complement)."""
-    n = WIRE_BYTES[wire]
-    u = F.pmod(value.cast("bigint"), F.lit(1 << (8 * n)))
-    be = F.lpad(F.hex(u), 2 * n, "0")
-    return F.concat(*[F.substr(be, F.lit(2 * k + 1), F.lit(2)) for k in reversed(range(n))]) if n > 1 else be
-
-
 def _checksum_batch(body):
     """Vectorised Fletcher check over an Arrow batch of UBX bodies (NULL -> NULL)."""
     n = len(body)

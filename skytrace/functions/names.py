@@ -54,9 +54,3 @@ def message_code(protocol: Column, message: Column) -> Column:
     for i, m in enumerate(UBX_MESSAGES):
         expr = expr.when((protocol == "UBX") & (message == m), F.lit(i))
     return expr.otherwise(F.lit(-1))
-
-
-def names_dimension(spark: SparkSession) -> DataFrame:
-    """The 9 supported messages as a tiny dimension (protocol, code, message)."""
-    rows = [("NMEA", i, m) for i, m in enumerate(NMEA_MESSAGES)] + [("UBX", i, m) for i, m in enumerate(UBX_MESSAGES)]
-    return spark.createDataFrame(rows, "protocol string, code int, message string")

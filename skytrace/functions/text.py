@@ -37,40 +37,12 @@ def numeric_prefix(s: Column) -> Column:
         F.coalesce(m.try_cast("double"), F.lit(0.0)))
 
 
-def integer_prefix_u8(s: Column) -> Column:
-    """C strtol(base 10) stored into an unsigned byte, as SMALLINT (NULL stays NULL)."""
-    m = F.regexp_extract(s, _LONG_RE, 1)
-    v = m.try_cast("bigint")
-    # strtol saturates on overflow
-    sat = F.when(m.startswith("-"), F.lit(-(1 << 63))).otherwise(F.lit((1 << 63) - 1))
-    v = F.when(m == "", F.lit(0)).otherwise(F.coalesce(v, sat))
-    return F.when(s.isNull(), F.lit(None)).otherwise(F.pmod(v, F.lit(256))).cast("smallint")
-
-
-def first_char(tokens: Column, k: int) -> Column:
-    """Character at the start of token k as C reads ``ch[0]``.
-
-    Empty token followed by more tokens -> ','; empty last token -> '' (the terminator);
-    missing token -> NULL.
-    """
-    t = token(tokens, k)
-    is_last = F.size(tokens) == F.lit(k + 1)
-    return F.when(t.isNull(), F.lit(None).cast("string")).when(t != "", F.substring(t, 1, 1)).when(
-        is_last, F.lit("")).otherwise(F.lit(","))
-
-
 def deg_min_to_deg(v: Column) -> Column:
     """ddmm.mmmm -> decimal degrees: d = floor(v/100); d + (v - d*100)/60."""
     d = F.floor(v / F.lit(100.0)).cast("double")
     return d + (v - d * F.lit(100.0)) / F.lit(60.0)
 
 
-def time_field(line: Column) -> Column:
-    """The 9 characters after the first comma (the raw copy of token 1, which may cross commas)."""
-    pos = F.instr(line, ",")
-    return F.when(pos > 0, F.substring(line, pos + 1, 9))
-
-
 def nmea_checksum_ok(start_seq: Column, line: Column) -> Column:
     """Diagnostic only: XOR of the characters between '$' and '*' equals the hex after '*'."""
     text = F.concat(F.substring(latin1(start_seq), 2, 2), line)

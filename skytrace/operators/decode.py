@@ -25,8 +25,3 @@ def decode(classified: DataFrame, message: str, compat: bool = True) -> DataFram
     rows = classified.filter((F.col("message") == message) & (F.col("parse_result") == "OK"))
     return rows.select(F.col("device_id"), F.col("seq"), F.col("ts_us").alias("_timestamp"),
                        *message_columns(message, F.col("body"), compat))
-
-
-def decode_struct(message: str, body: Column, compat: bool = True) -> Column:
-    """All decoded fields of a message as one struct column (for wide latest-state tables)."""
-    return F.struct(*message_columns(message, body, compat))

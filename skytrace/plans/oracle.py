@@ -410,8 +410,12 @@ def oracle_sql() -> dict[str, str]:
         f"CAST(row_number() OVER (PARTITION BY device_id, pack_id, message ORDER BY seq) - 1 AS BIGINT) AS pos, "
         f"ts_us AS _inner_timestamp FROM ({okm})")
     # sinks and sources
-    o["csv_fanout"] = _with_base(
-        f"SELECT 'GPS_' || {msg} AS output, count(*) AS rows FROM pb WHERE parse_result = 'OK' AND slot <= 8 GROUP BY ALL")
+    outputs = []
+    for m in FT.ALL_MESSAGES:
+        head = ",".join(["_timestamp", *FT.columns(m)])
+        outputs.append(f"SELECT 'GPS_{m}.csv' AS output, '{head}' AS line UNION ALL SELECT 'GPS_{m}.csv', line "
+                       f"FROM ({o['format_' + m.replace('NAV_', '').lower()]})")
+    o["csv_fanout"] = " UNION ALL ".join(outputs)
     o["stream_csv_fanout"] = o["csv_fanout"]
     o["stream_quality"] = o["decode_quality"]
     raw_hex = "CASE WHEN protocol = 'UBX' THEN 'B562' || body_hex ELSE '244750' || body_hex || '0D0A' END"

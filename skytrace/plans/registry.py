@@ -23,7 +23,7 @@ from ..operators.reshape import series_long, series_pivot, unpack_series
 from ..operators.state import buffer_readout, elapsed_us, latest_n, latest_state, trim_series
 from ..operators.thinning import downsample_rate, resample, thin
 from ..session import scratch_path
-from ..sinks.csv import csv_fanout, format_rows, write_frame_lake
+from ..sinks.csv import csv_fanout, format_rows, header_line, write_frame_lake
 from ..sinks.raw import capture_record, raw_frame, write_captures
 from ..sources.capture import deframe, scan_captures, scan_captures_split
 from ..sources.derive import frames_from_events
@@ -305,12 +305,7 @@ def q_stream_csv_fanout(spark, sf):
     land = _landing(spark, sf, "land-csv")
     out, ck = scratch_path(spark, "csvs-out"), scratch_path(spark, "csvs-ck")
     csv_fanout_stream(spark, land, out, ck, max_files_per_trigger=2)
-    counts = None
-    for m in FT.ALL_MESSAGES:
-        c = (spark.read.option("header", True).option("sep", "\u0001").csv(f"{out}/GPS_{m}")
-             .agg(F.count(F.lit(1)).alias("rows")).select(F.lit(f"GPS_{m}").alias("output"), "rows"))
-        counts = c if counts is None else counts.unionByName(c)
-    return counts
+    return _csv_lines(spark, out)
 
 
 # ------------------------------------------------------------------------- state / series
@@ -408,13 +403,20 @@ def q_pack_explode(spark, sf):
 def q_csv_fanout(spark, sf):
     out = scratch_path(spark, "csv")
     lake(spark, sf)
-    paths = csv_fanout(spark, _LAKES[(spark.sparkContext.applicationId, sf.rstrip("/"))], out)
-    counts = None
-    for m, p in paths.items():
-        c = (spark.read.option("header", True).option("sep", "\u0001").csv(p)
-             .agg(F.count(F.lit(1)).alias("rows")).select(F.lit(f"GPS_{m}").alias("output"), "rows"))
-        counts = c if counts is None else counts.unionByName(c)
-    return counts
+    csv_fanout(spark, _LAKES[(spark.sparkContext.applicationId, sf.rstrip("/"))], out)
+    return _csv_lines(spark, out)
+
+
+def _csv_lines(spark, out):
+    """(output, line) of the nine CSV outputs: the header once, and all rows."""
+    lines = None
+    for m in FT.ALL_MESSAGES:
+        text = spark.read.option("recursiveFileLookup", True).text(f"{out}/GPS_{m}.csv")
+        head = F.col("value") == header_line(m)
+        both = text.filter(head).distinct().unionByName(text.filter(~head))
+        part = both.select(F.lit(f"GPS_{m}.csv").alias("output"), F.col("value").alias("line"))
+        lines = part if lines is None else lines.unionByName(part)
+    return lines
 
 
 def _format_query(message):

@@ -1,4 +1,4 @@
-"""Per-message CSV outputs (``GPS_<NAME>``) with fixed C-printf row formatting.
+"""Per-message CSV outputs (``GPS_<NAME>.csv``) with fixed C-printf row formatting.
 
 Numbers are rendered with ``format_string`` using the printf formats of the output contract
 (``%.9f`` for NMEA numbers, per-field formats for UBX). Java rounds exact decimal ties
@@ -52,7 +52,7 @@ def write_frame_lake(classified: DataFrame, path: str) -> None:
 
 
 def csv_fanout(spark: SparkSession, lake: str, out: str, compat: bool = True) -> dict[str, str]:
-    """Nine ``GPS_<NAME>`` CSV outputs (overwrite, header = `_timestamp` + fields in order).
+    """Nine ``GPS_<NAME>.csv`` CSV outputs (overwrite, header = `_timestamp` + fields in order).
 
     Each output scans only its own ``message=`` partition of the frame lake. The row text is
     pre-formatted, so the single output column is named after the whole header line and the
@@ -63,7 +63,7 @@ def csv_fanout(spark: SparkSession, lake: str, out: str, compat: bool = True) ->
     for m in FT.ALL_MESSAGES:
         dec = decode(frames.filter(F.col("message") == m), m, compat)
         rows = format_rows(dec, m).select(F.col("line").alias(header_line(m)))
-        p = f"{out.rstrip('/')}/GPS_{m}"
+        p = f"{out.rstrip('/')}/GPS_{m}.csv"
         (rows.write.mode("overwrite").option("header", True).option("sep", "\u0001")
          .option("quote", "\u0000").option("escapeQuotes", False).option("quoteAll", False)
          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)

@@ -113,7 +113,8 @@ def latest_n_stream(df: DataFrame, keys: list[str], order: str, capacity: int) -
 
 def csv_fanout_stream(spark: SparkSession, landing: str, out: str, checkpoint: str,
                       max_files_per_trigger: int | None = None) -> None:
-    """Per-message CSV outputs appended by every micro-batch (``foreachBatch``)."""
+    """Per-message CSV outputs ``GPS_<NAME>.csv``, one folder per micro-batch (``foreachBatch``): a
+    micro-batch that is run again overwrites what it wrote."""
     from ..functions import fields as FT
     from ..operators.decode import decode
     from ..sinks.csv import format_rows, header_line
@@ -124,10 +125,10 @@ def csv_fanout_stream(spark: SparkSession, landing: str, out: str, checkpoint: s
         cls = classify(batch).persist()
         for m in FT.ALL_MESSAGES:
             rows = format_rows(decode(cls, m), m).select(F.col("line").alias(header_line(m)))
-            (rows.write.mode("append").option("header", True).option("sep", "\u0001")
+            (rows.write.mode("overwrite").option("header", True).option("sep", "\u0001")
              .option("quote", "\u0000").option("escapeQuotes", False)
              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-             .csv(f"{out.rstrip('/')}/GPS_{m}"))
+             .csv(f"{out.rstrip('/')}/GPS_{m}.csv/batch-{epoch}"))
         cls.unpersist()
 
     (frames.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
