@@ -433,9 +433,10 @@ def oracle_sql() -> dict[str, str]:
         "AS start_hex, body_hex, CAST(body_len AS BIGINT) AS body_len, false AS truncated, 'OK' AS status FROM fx")
     o["deframe_split"] = o["deframe"]
     full = "(length(text) + 1 + 200 + (e * 7) % 150)"
+    wide = "(body_len + 200 + (e * 7) % 150)"
     o["deframe_truncate"] = _with(
-        f"SELECT device_id, {recno} AS rec_no, CAST(least({full}, 299) AS BIGINT) AS body_len, {full} >= 299 AS truncated, "
-        "'OK' AS status FROM fx WHERE protocol = 'NMEA'")
+        f"SELECT device_id, {recno} AS rec_no, CAST(least(CASE WHEN protocol = 'NMEA' THEN {full} ELSE {wide} END, 299) AS BIGINT) AS body_len, "
+        f"CASE WHEN protocol = 'NMEA' THEN {full} >= 299 ELSE {wide} > 299 END AS truncated, 'OK' AS status FROM fx")
     o["deframe_incomplete"] = _with(
         "SELECT device_id, status, count(*) AS records FROM (SELECT device_id, CASE WHEN e = max(e) OVER "
         "(PARTITION BY device_id) THEN 'INCOMPLETE' ELSE 'OK' END AS status FROM fx) GROUP BY ALL")

@@ -495,10 +495,16 @@ def q_deframe_split(spark, sf):
 
 
 def q_deframe_truncate(spark, sf):
-    pad = F.expr("repeat('Z', 200 + cast(pmod(seq * 7, 150) as int))")
+    text = "repeat('Z', 200 + cast(pmod(seq * 7, 150) as int))"
+    pad = F.expr(text)
+    # a UBX frame grows in its payload, with the length it declares
+    le16 = F.expr("unhex(lpad(hex(octet_length(body) - 6 + octet_length(" + text + ")), 4, '0'))")
+    ubx = F.concat(F.col("start_seq"), F.substring("body", 1, 2), F.substring(le16, 2, 1), F.substring(le16, 1, 1),
+                   F.expr("substring(body, 5, octet_length(body) - 6)"), F.encode(pad, "ISO-8859-1"),
+                   F.expr("substring(body, octet_length(body) - 1, 2)"))
     raw = F.when(F.col("protocol") == "NMEA",
                  F.concat(F.col("start_seq"), F.col("body"), F.encode(F.concat(F.lit(","), pad), "ISO-8859-1"),
-                          F.lit(bytes([13, 10]))))
+                          F.lit(bytes([13, 10])))).otherwise(ubx)
     d = deframe(_captures(spark, sf, "cap-trunc", raw=raw))
     return d.select("device_id", "rec_no", F.col("body_len").cast("bigint").alias("body_len"), "truncated", "status")
 
