@@ -184,9 +184,12 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, label_col: str = "
     y = np.array([r._y for r in rows], float)
     if len(rows) < 2 or y.min() == y.max():
         return (ones / n) if n else 0.5
-    bags = [np.frombuffer(bytes(r._bag), "<f4").reshape(-1, N_FEATURES).astype(float) for r in rows]
-    every = np.concatenate(bags)
-    model = Attention(every.mean(0), np.maximum(every.std(0), 1e-3))
+    bags = [np.frombuffer(r._bag, "<f4").reshape(-1, N_FEATURES) for r in rows]
+    del rows
+    many = sum(map(len, bags))
+    mean = sum(b.sum(0, dtype=float) for b in bags) / many
+    spread = np.sqrt(sum(((b - mean) ** 2).sum(0) for b in bags) / many)
+    model = Attention(mean, np.maximum(spread, 1e-3))
     model.fit(bags, y)
     share = min(max(ones / n, 1e-3), 1 - 1e-3)
     model.p["b"] = model.p["b"] + np.log(share / (1 - share)) - np.log(y.mean() / (1 - y.mean()))
