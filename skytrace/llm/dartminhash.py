@@ -247,27 +247,30 @@ def _rooted(rows: DataFrame, links: DataFrame) -> DataFrame:
     return rows.drop("_root").join(roots, "_rep", "left").withColumn("_root", F.coalesce("_root", "_rep"))
 
 
-#: Standard errors below the threshold at which an estimated similarity still counts as a candidate.
-MARGIN = 4.5
+#: Coordinates, of which two bits are kept, for estimates of similarity, and the standard errors below
+#: the threshold at which an estimate still makes a candidate.
+ESTIMATE, MARGIN = 2048, 4.5
 #: Rows of a bucket that one block holds.
 BLOCK_ROWS = 1024
 
 
-def _signed(size: int, k: int):
-    """Packed texts -> signatures of one byte per coordinate."""
+def _signed(size: int):
+    """Packed texts -> signatures of two bits per coordinate."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, texts in unpacked(batches, 1 << 20):
             elements, at, _, _ = shingles(pa.array(texts, pa.large_binary()), size)
-            sig = (sketch(elements, at, k) >> np.uint64(17)).astype(np.uint8)
+            bits = (sketch(elements, at, ESTIMATE) >> np.uint64(17)).astype(np.uint8) & 3
+            sig = (bits.reshape(-1, ESTIMATE // 4, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(2, dtype=np.uint8)
             yield pa.RecordBatch.from_arrays([col(b, "_id"), pa.array([x.tobytes() for x in sig], pa.binary())],
                                              names=["_rep", "_sig"])
 
     return run
 
 
-def _likely(k: int, threshold: float):
+def _likely(threshold: float):
     """Blocks sorted with their leading rows first -> pairs whose signatures agree often enough."""
-    least = k * (threshold - MARGIN * (threshold * (1 - threshold) / k) ** 0.5)
+    agree = threshold + (1 - threshold) / 4  # other coordinates agree in two bits by chance
+    most = ESTIMATE * (1 - agree + MARGIN * (agree * (1 - agree) / ESTIMATE) ** 0.5)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, lead = None, []
@@ -278,14 +281,15 @@ def _likely(k: int, threshold: float):
                 if (key, salt) != block:
                     block, lead, table = (key, salt), [], None
                 if role == 0:
-                    lead.append((rep, n, root, np.frombuffer(sig, np.uint8)))
+                    lead.append((rep, n, root, np.frombuffer(sig, np.uint64)))
                     continue
                 if table is None:
                     reps, ns, roots = (np.array(x) for x in list(zip(*lead, strict=True))[:3])
                     table = np.stack([x[3] for x in lead])
                 on = np.flatnonzero((roots != root) & (np.minimum(ns, n) >= threshold * np.maximum(ns, n)))
-                agree = (table[on] == np.frombuffer(sig, np.uint8)).sum(1)
-                found += [(min(rep, x), max(rep, x)) for x in reps[on[agree >= least]].tolist()]
+                differ = table[on] ^ np.frombuffer(sig, np.uint64)
+                differ = np.bitwise_count((differ | differ >> np.uint64(1)) & np.uint64(0x5555555555555555)).sum(1)
+                found += [(min(rep, x), max(rep, x)) for x in reps[on[differ <= most]].tolist()]
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*set(found), strict=True)],
                                                  names=["a", "b"])
@@ -293,12 +297,12 @@ def _likely(k: int, threshold: float):
     return run
 
 
-def _rest_pairs(rows: DataFrame, texts: DataFrame, size: int, k: int, threshold: float) -> DataFrame:
+def _rest_pairs(rows: DataFrame, texts: DataFrame, size: int, threshold: float) -> DataFrame:
     """Likely pairs of rows of different components in one bucket: every row outside a bucket's largest
     component is sent to all of the bucket's blocks."""
     rows = materialise(rows, "open-rows")
     signed = texts.join(rows.select(F.col("_rep").alias("_id")).distinct(), "_id", "left_semi")
-    signed = signed.mapInArrow(_signed(size, k), "_rep long, _sig binary")
+    signed = signed.mapInArrow(_signed(size), "_rep long, _sig binary")
     parts = rows.groupBy("_bucket", "_root").agg(F.count("*").alias("_c"))
     main = parts.groupBy("_bucket").agg(F.max_by("_root", F.struct("_c", "_root")).alias("_main"), F.sum("_c").alias("_all"))
     all_ = rows.join(main, "_bucket").withColumn("_blocks", F.ceil(F.col("_all") / BLOCK_ROWS).cast("int")).join(signed, "_rep")
@@ -308,10 +312,10 @@ def _rest_pairs(rows: DataFrame, texts: DataFrame, size: int, k: int, threshold:
     names = ["_bucket", "_block", "_role", "_rep", "_n", "_root", "_sig"]
     return (member.select(names).unionByName(lead.select(names)).repartition("_bucket", "_block")
             .sortWithinPartitions("_bucket", "_block", "_role", "_rep")
-            .mapInArrow(_likely(k, threshold), "a long, b long").distinct())
+            .mapInArrow(_likely(threshold), "a long, b long").distinct())
 
 
-def bucket_links(members: DataFrame, texts: DataFrame, size: int, k: int, threshold: float) -> DataFrame:
+def bucket_links(members: DataFrame, texts: DataFrame, size: int, threshold: float) -> DataFrame:
     """Rows (_bucket, _rep, _n) -> links (a, b) with the components of all links within buckets.
 
     1. In every bucket the least id leads: all others are compared with it.
@@ -344,7 +348,7 @@ def bucket_links(members: DataFrame, texts: DataFrame, size: int, k: int, thresh
     rows = materialise(_open(_rooted(rows, links)), "waiting")
     if rows.isEmpty():
         return links
-    rest = _rest_pairs(rows, texts, size, k, threshold).join(pairs, ["a", "b"], "left_anti")
+    rest = _rest_pairs(rows, texts, size, threshold).join(pairs, ["a", "b"], "left_anti")
     return links.unionByName(materialise(verify(materialise(rest, "pairs"), texts, size, threshold), "links"))
 
 
@@ -365,7 +369,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = materialise(dealt.join(shared, "_bucket"), "buckets")
     texts = materialise(packed(docs, "_id").join(members.select(F.col("_rep").alias("_id")).distinct(), "_id", "left_semi"),
                         "texts")
-    linked = bucket_links(members, texts, size, rows * bands, threshold)
+    linked = bucket_links(members, texts, size, threshold)
     edges = linked.unionByName(own.filter("_id != _rep").select(F.col("_rep").alias("a"), F.col("_id").alias("b")))
     classes = components(edges)
     return (docs.select("_id").join(classes, F.col("_id") == F.col("node"), "left")
