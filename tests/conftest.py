@@ -5,10 +5,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-FRAME_SCHEMA = ("device_id long, seq long, ts_us long, protocol string, start_seq binary, body binary, "
-                "body_len int, truncated boolean, status string")
-
-
 @pytest.fixture(scope="session")
 def spark():
     from pyspark.sql import SparkSession
@@ -17,14 +13,3 @@ def spark():
          .config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     yield s
-
-
-def make_frames(spark, rows):
-    """rows: (protocol, body bytes[, ts_us]) -> frame DataFrame on device 1 in order."""
-    out = []
-    for i, r in enumerate(rows):
-        proto, body = r[0], r[1]
-        ts = r[2] if len(r) > 2 else 1_000_000 + i
-        start = bytes([0xB5, 0x62]) if proto == "UBX" else b"$GP"
-        out.append((1, i, ts, proto, start, body, len(body), False, "OK"))
-    return spark.createDataFrame(out, FRAME_SCHEMA)

@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import make_frames
+from frame_rows import make_frames
 from skytrace.operators.classify import classify
 from skytrace.operators.decode import decode
 
