@@ -356,9 +356,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     threshold: float = THRESHOLD, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
     """One row per document: its id and ``class_id``, the least id of its class."""
     docs = id_text(docs, id_col, text_col)
-    seen = materialise(docs.mapInArrow(_sketches(size, rows, bands),
-                                       "_id long, _k1 long, _k2 long, _n long, _bands array<long>"), "sketches")
-    usable = seen.filter("_id is not null and _n > 0")
+    # rows without id go first: a batch sketches only the first of equal texts, which must be kept
+    seen = materialise(docs.filter("_id is not null").mapInArrow(_sketches(size, rows, bands),
+                       "_id long, _k1 long, _k2 long, _n long, _bands array<long>"), "sketches")
+    usable = seen.filter("_n > 0")
     # equal word sequences: one representative each
     same = materialise(usable.groupBy("_k1", "_k2").agg(
         F.min("_id").alias("_rep"), F.max("_n").alias("_n"),

@@ -5,6 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from llm_texts import prose
+from pyspark.sql import functions as F
 
 from skytrace.llm import dartminhash as dmh
 from skytrace.llm.graph import components
@@ -83,6 +84,13 @@ def test_classes_match_brute_force(docs, odd, rows_bands):
     assert sorted(((r.doc_id, r.class_id) for r in out), key=str) == brute(rows)
 
 
+def test_a_row_without_id_does_not_take_the_bands_of_its_copies(docs):
+    base = prose(9, 200)
+    rows = [(None, base), (1, base), (2, base), (3, changed(base, 2, 1))]
+    out = dmh.near_duplicates(docs(rows).coalesce(1).orderBy(F.asc_nulls_first("doc_id"))).collect()
+    assert sorted(((r.doc_id, r.class_id) for r in out), key=str) == brute(rows)
+
+
 def test_a_large_group_of_near_copies_costs_leaders_not_pairs(docs, spark):
     base = prose(9, 150)
     rows = [(i, changed(base, 2, i)) for i in range(400)]
