@@ -1,17 +1,20 @@
 """Brown class-based bigram language model: P(w | w') = P(class(w) | class(w')) P(w | class(w)).
 
-Counts of all words of all training documents are a distributed table. Exchange clustering works
-on a bounded set of types: the FREQUENT commonest words by themselves, every other word (and
-any unseen one) by its ending, hashed to ENDINGS types, and the end token. Each task counts the
-successions of types over all its text; their sum is a matrix of fixed size, on which the exchange
-runs: types move, one at a time, to the class that raises the likelihood of the class bigrams
-most, until a sweep moves none or SWEEPS are done. The end token keeps a class of its own.
+Counts of all words of all training documents are a distributed table. Exchange clustering starts
+on a bounded set of types: the FREQUENT commonest words by themselves, every other word by its ending,
+hashed to ENDINGS types, and the end token. Each task counts the successions of types over all its
+text; on their sum, types move, one at a time, to the class that raises the likelihood of the class
+bigrams most, until a sweep moves none or SWEEPS are done. From these classes every word of the
+vocabulary moves by its own successions: in a sweep all words choose at once, in tasks, by their counts
+per neighbouring class; a sweep that lowers the likelihood is not taken and the next lets fewer words
+move. A word beyond the KNOWN commonest has its class in a distributed table; endings stand for unseen
+words only. The end token keeps a class of its own.
 
 Transitions are smoothed towards the class shares, (n(c', c) + BETA p(c)) / (n(c') + BETA), and
 emissions by (n(w) + 0.1) / (n(c) + 0.1 (words of c + 1)). A document starts after an end token.
 
-Scoring looks up the commonest words in a broadcast table of at most KNOWN rows; the counts of
-all others are joined by word hash, so the vocabulary may grow without bound.
+Scoring looks up the commonest words in a broadcast table of at most KNOWN rows; the counts and classes
+of all others are joined by word hash, so the vocabulary may grow without bound.
 
 Defined cases: null and empty texts have the end token only. Repeated rows keep one row each. A
 null id counts as the empty text in the choice of training rows. Without training rows every
@@ -20,6 +23,7 @@ count is 0. Other columns are not read.
 
 from __future__ import annotations
 
+import gc
 import zlib
 from collections.abc import Iterator
 
@@ -33,6 +37,8 @@ from .common import (LOWER, NOT_SPACE, col, mix64, pieces, row_of, text_buffer,
 
 FREQUENT, ENDINGS, CLASSES, SWEEPS, BETA = 1024, 512, 48, 8, 5.0
 KNOWN = 1 << 17
+#: Sweeps over the whole vocabulary at most, and the rise of the log likelihood a token that ends them.
+VOCABULARY_SWEEPS, LEAST_RISE = 4, 1e-3
 _END = 0x0E4D  # the end token's key; word keys are 64-bit hashes
 
 
@@ -168,16 +174,345 @@ class Model:
         self.cls = exchange(successions) if successions.any() else np.append(np.ones(N_TYPES - 1, np.int64), 0)
         one = np.zeros((N_TYPES, CLASSES))
         one[np.arange(N_TYPES), self.cls] = 1
-        g = one.T @ successions @ one
+        self.word_cls = np.zeros(len(known), np.int64)
+        self.base = np.log10(tokens + 0.1 * (words + 1))
+        self.learn(one.T @ successions @ one, one.T @ type_tokens, one.T @ type_words)
+
+    def learn(self, g: np.ndarray, size: np.ndarray, many: np.ndarray) -> None:
+        """Probabilities from the class successions and the tokens and words of the classes."""
         share = (g.sum(0) + 1 / CLASSES) / (g.sum() + 1)
         self.step = np.log10((g + BETA * share) / (g.sum(1, keepdims=True) + BETA))
-        size, many = one.T @ type_tokens, one.T @ type_words
         self.spread = np.log10(size + 0.1 * (many + 1))
-        self.base = np.log10(tokens + 0.1 * (words + 1))
+
+
+# ----------------------------------------------------------- sweeps over the whole vocabulary
+#: Classes are codes of a word's cells: what follows it (c), what stands before (CLASSES + c), itself.
+_OWN, _STATE = 2 * CLASSES, 128
+_STRIDE, _RANGE, _CHUNK = 2 * CLASSES + 1, 1024, 512
+_CELLS = "_range int, _size int, _packed binary"
+
+
+def _find(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Places of keys in the sorted array, -1 for those it does not hold."""
+    if not len(known):
+        return np.full(len(keys), -1, np.int64)
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    return np.where(known[at] == keys, at, -1)
+
+
+def _tokens(b: pa.RecordBatch, known: np.ndarray):
+    """(places, keys) of all tokens, with an end token (place len(known)) after each text, and of those before."""
+    keys, _, at = _words(col(b, "_text"))
+    place = np.insert(_find(known, keys), at[1:], len(known))
+    keys = np.insert(keys, at[1:], np.uint64(_END))
+    return (place, keys), (np.append(len(known), place[:-1]), np.append(np.uint64(_END), keys[:-1]))
+
+
+def _tail_edges(shared):
+    """Successions of the words that are not known: _side 0 what follows _key, 1 what stands before; the
+    neighbour is a known word or the end (_head) or another such word (_head -1, _other)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for b in pieces(batches):
+            (place, key), (place0, key0) = _tokens(b, known)
+            t, t0 = np.flatnonzero(place < 0), np.flatnonzero(place0 < 0)
+            word = np.concatenate([key[t], key0[t0]])
+            side = np.repeat(np.array([1, 0], np.int32), [len(t), len(t0)])
+            head = np.concatenate([place0[t], place[t0]]).astype(np.int32)
+            other = np.where(head < 0, np.concatenate([key0[t], key[t0]]), np.uint64(0))
+            same = mix64(mix64(word ^ mix64(other + np.uint64(7))) + (2 * (head + 1) + side).astype(np.uint64))
+            _, first, n = np.unique(same, return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(word[first].view(np.int64)), pa.array(side[first]), pa.array(head[first]),
+                 pa.array(other[first].view(np.int64)), pa.array(n)], names=["_key", "_side", "_head", "_other", "_n"])
+
+    return run
+
+
+def _packed_cells(total: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Cells of known words that are not 0, a row for each range of words."""
+    wide = _RANGE * _STRIDE
+    for k in range(0, len(total), wide):
+        cell = np.flatnonzero(total[k:k + wide])
+        if len(cell):
+            raw = np.diff(cell, prepend=0).astype("<i4").tobytes() + total[k:k + wide][cell].astype("<i8").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([k // wide], pa.int32()), pa.array([len(cell)], pa.int32()),
+                                              pa.array([zlib.compress(raw, 1)])], names=["_range", "_size", "_packed"])
+
+
+def _text_cells(shared):
+    """Cells of known words from their successions among themselves."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, cls = shared.value
+        total = np.zeros((len(known) + 1) * _STRIDE, np.int32)  # a task has less than 2**31 tokens
+        for b in pieces(batches):
+            (place, _), (before, _) = _tokens(b, known)
+            on = (place >= 0) & (before >= 0)
+            place, before = place[on], before[on]
+            for cell in (before * _STRIDE + cls[place], place * _STRIDE + CLASSES + cls[before],
+                         place[place == before] * _STRIDE + _OWN):
+                np.add.at(total, cell, 1)
+        yield from _packed_cells(total)
+
+    return run
+
+
+def _head_cells(known: int):
+    """Cells of known words from successions with the other words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((known + 1) * _STRIDE, np.int64)
+        for b in batches:
+            side, head, cls, n = (np.asarray(col(b, x)) for x in ("_side", "_head", "_cls", "_n"))
+            np.add.at(total, head.astype(np.int64) * _STRIDE + (1 - side) * CLASSES + cls, n)
+        yield from _packed_cells(total)
+
+    return run
+
+
+def _messages(shared):
+    """Edges with the class of _key -> counts for the cells of the words that are not known."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cls = shared.value[1]
+        for b in batches:
+            key, side, head, other, c, n = (np.asarray(col(b, x)) for x in ("_key", "_side", "_head", "_other", "_cls", "_n"))
+            to = np.where(head >= 0, key, other)
+            code = np.where(head >= 0, side * CLASSES + cls[np.maximum(head, 0)], (1 - side) * CLASSES + c)
+            own = np.flatnonzero((head < 0) & (side == 0) & (other == key))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.append(to, key[own])), pa.array(np.append(n * 256 + code, n[own] * 256 + _OWN))],
+                names=["_key", "_m"])
+
+    return run
+
+
+def _gains(g: np.ndarray, r: np.ndarray, q: np.ndarray, own: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """Part of the gain of words with the row counts r for every class, diagonals left out."""
+    out = np.zeros(r.shape)
+    w, j = np.nonzero(r)
+    if not len(w):
+        return out
+    n = r[w, j][:, None]
+    base = g.T[j]  # column j of the matrix, less what the word itself has in it
+    base[np.arange(len(w)), a[w]] -= r[w, j]
+    same = np.flatnonzero(j == a[w])
+    base[same] -= q[w[same]]
+    base[same, j[same]] -= own[w[same]]
+    more = _xlogx(base + n) - _xlogx(base)
+    more[np.arange(len(w)), j] = 0
+    first = np.flatnonzero(np.diff(w, prepend=-1))
+    out[w[first]] = np.add.reduceat(more, first)
+    return out
+
+
+def best_classes(g: np.ndarray, a: np.ndarray, word: np.ndarray, code: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The class of the most likelihood for each word of class ``a``, by its cells (word, code, n), all others
+    staying where they are. ``g`` has the counts of class successions, these words in class ``a``. An
+    empty class is no choice: it fits each single word best, and as words choose at once all would go there."""
+    rows = len(a)
+    cells = np.bincount(word * _STRIDE + code, n, rows * _STRIDE).reshape(rows, _STRIDE)
+    r, q, own, at = cells[:, :CLASSES], cells[:, CLASSES:_OWN], cells[:, _OWN], np.arange(rows)
+    r[at, a] -= own
+    q[at, a] -= own
+    gain = _gains(g, r, q, own, a) + _gains(g.T, q, r, own, a)
+    diag = np.repeat(np.diagonal(g)[None], rows, 0)
+    diag[at, a] -= r[at, a] + q[at, a] + own
+    gain += _xlogx(diag + r + q + own[:, None]) - _xlogx(diag)
+    for x, total in ((r, g.sum(1)), (q, g.sum(0))):  # other words' share of the sums of rows and columns
+        many = (x.sum(1) + own)[:, None]
+        rest = np.repeat(total[None], rows, 0)
+        rest[at, a] -= many[:, 0]
+        gain -= _xlogx(rest + many) - _xlogx(rest)
+    gain[:, 0] = -np.inf
+    gain[(g.sum(0) + g.sum(1) == 0) & (np.arange(CLASSES) != a[:, None])] = -np.inf
+    k = gain.argmax(1)
+    return np.where(gain[at, k] > gain[at, a] + 1e-9, k, a)
+
+
+def _may_move(keys: np.ndarray, sweep: int, share: int) -> np.ndarray:
+    return mix64(keys + np.uint64(sweep + 1)) % np.uint64(share) == 0
+
+
+def _choose_heads(shared, sweep: int, share: int):
+    """Packed cells by range -> (_place, _cls) of known words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, cls, g = shared.value
+
+        def chosen(k, total):
+            total = total.reshape(_RANGE, _STRIDE)
+            places = np.arange(k * _RANGE, min((k + 1) * _RANGE, len(known)))
+            places = places[_may_move(known[places], sweep, share)]
+            for i in range(0, len(places), _CHUNK):
+                own = places[i:i + _CHUNK]
+                cells = total[own - k * _RANGE]
+                word, code = np.nonzero(cells)
+                best = best_classes(g, cls[own], word, code, cells[word, code])
+                yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), pa.array(best.astype(np.int32))],
+                                                 names=["_place", "_cls"])
+
+        at, total = None, None
+        for b in batches:
+            for k, size, packed in zip(*(col(b, x).to_pylist() for x in ("_range", "_size", "_packed")), strict=True):
+                if k != at:
+                    if at is not None:
+                        yield from chosen(at, total)
+                    at, total = k, np.zeros(_RANGE * _STRIDE, np.int64)
+                raw = zlib.decompress(packed)
+                total[np.cumsum(np.frombuffer(raw, "<i4", size))] += np.frombuffer(raw, "<i8", size, 4 * size)
+        if at is not None:
+            yield from chosen(at, total)
+
+    return run
+
+
+def _choose_tails(shared, sweep: int, share: int):
+    """(_key, its counts) -> (_key, _n, _cls) of the words that are not known."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        g = shared.value[2]
+        for whole in batches:
+            for i in range(0, whole.num_rows, _CHUNK):
+                b = whole.slice(i, _CHUNK)
+                key, lists = np.asarray(col(b, "_key")), col(b, "_ms")
+                m, word = np.asarray(lists.flatten()), row_of(np.append(0, np.cumsum(np.asarray(lists.value_lengths()))))
+                code, n = m & 255, m >> 8
+                state = code >= _STATE
+                cls, count = np.ones(len(key), np.int64), np.zeros(len(key), np.int64)
+                cls[word[state]], count[word[state]] = code[state] - _STATE, n[state]
+                best = best_classes(g, cls, word[~state], code[~state], n[~state])
+                cls = np.where(_may_move(key.view(np.uint64), sweep, share), best, cls)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(count), pa.array(cls.astype(np.int32))],
+                                                 names=["_key", "_n", "_cls"])
+
+    return run
+
+
+def _matrix(shared, of_text: bool):
+    """Counts of class successions among known words (texts), or of them with others (edges)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, cls = shared.value
+        total = np.zeros(CLASSES * CLASSES)
+        for b in pieces(batches) if of_text else batches:
+            if of_text:
+                (place, _), (before, _) = _tokens(b, known)
+                on = (place >= 0) & (before >= 0)
+                x, y, n = cls[before[on]], cls[place[on]], None
+            else:
+                side, head, c, n = (np.asarray(col(b, k)) for k in ("_side", "_head", "_cls", "_n"))
+                x, y = np.where(side, cls[head], c), np.where(side, c, cls[head])
+            total += np.bincount(x * CLASSES + y, n, len(total))
+        cell = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(total[cell].astype(np.int64))], names=["_cell", "_n"])
+
+    return run
+
+
+def _likelihood(g: np.ndarray) -> float:
+    return float(_xlogx(g).sum() - _xlogx(g.sum(0)).sum() - _xlogx(g.sum(1)).sum())
+
+
+def _joined(edges: DataFrame, tails: DataFrame) -> DataFrame:
+    """The edges with the present class of _key, written once for the matrix and the next sweep."""
+    return materialise(edges.drop("_cls").join(tails.select("_key", "_cls"), "_key"), "edges")
+
+
+def _drop(*tables: DataFrame) -> None:
+    """Deletes written tables that are no longer read, and lets Spark delete the shuffles nobody holds."""
+    jvm = tables[0].sparkSession._jvm
+    conf = tables[0].sparkSession._jsc.hadoopConfiguration()
+    for folder in {name.rsplit("/", 1)[0] for t in tables for name in t.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+    gc.collect()
+    jvm.System.gc()
+
+
+def _class_matrix(docs: DataFrame, with_class: DataFrame, tails: DataFrame, known: np.ndarray, cls: np.ndarray) -> np.ndarray:
+    shared = docs.sparkSession.sparkContext.broadcast((known, cls))
+    seconds = tails.select(F.col("_key").alias("_other"), F.col("_cls").alias("_next"))
+    among = (with_class.filter("_head < 0 and _side = 0").join(seconds, "_other")
+             .groupBy((F.col("_cls") * CLASSES + F.col("_next")).cast("long").alias("_cell")).agg(F.sum("_n").alias("_n")))
+    cells = (docs.mapInArrow(_matrix(shared, True), "_cell long, _n long")
+             .unionByName(with_class.filter("_head >= 0").mapInArrow(_matrix(shared, False), "_cell long, _n long"))
+             .unionByName(among))
+    g = np.zeros(CLASSES * CLASSES)
+    for r in cells.groupBy("_cell").agg(F.sum("_n").alias("_n")).collect():  # at most CLASSES ** 2 rows
+        g[r[0]] = r[1]
+    return g.reshape(CLASSES, CLASSES)
+
+
+def _sweep(docs: DataFrame, with_class: DataFrame, tails: DataFrame, known: np.ndarray, cls: np.ndarray, g: np.ndarray,
+           sweep: int, share: int) -> tuple[np.ndarray, DataFrame]:
+    """All words (one in ``share``) move to their best class at once."""
+    sc = docs.sparkSession.sparkContext
+    shared, state = sc.broadcast((known, cls)), sc.broadcast((known, cls, g))
+    cells = docs.mapInArrow(_text_cells(shared), _CELLS).unionByName(
+        with_class.filter("_head >= 0").mapInArrow(_head_cells(len(known)), _CELLS))
+    moved = (cells.repartition("_range").sortWithinPartitions("_range")
+             .mapInArrow(_choose_heads(state, sweep, share), "_place int, _cls int").toPandas())  # at most KNOWN rows
+    heads = cls.copy()
+    heads[moved["_place"].to_numpy()] = moved["_cls"].to_numpy()
+    counts = with_class.mapInArrow(_messages(shared), "_key long, _m long").unionByName(
+        tails.select("_key", (F.col("_n") * 256 + _STATE + F.col("_cls")).alias("_m")))
+    tails = (counts.groupBy("_key").agg(F.collect_list("_m").alias("_ms"))
+             .mapInArrow(_choose_tails(state, sweep, share), "_key long, _n long, _cls int"))
+    return heads, materialise(tails, "classes")
+
+
+def _first_classes(shared):
+    """Counted words that are not known, with the class of their ending to begin with."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, ending_cls = shared.value
+        for b in batches:
+            key = np.asarray(col(b, "_key"))
+            on = np.flatnonzero((_find(known, key.view(np.uint64)) < 0) & (key != _END))
+            cls = ending_cls[np.asarray(col(b, "_ending"))[on]]
+            yield pa.RecordBatch.from_arrays([pa.array(key[on]), pa.array(np.asarray(col(b, "_n"))[on]),
+                                              pa.array(cls.astype(np.int32))], names=["_key", "_n", "_cls"])
+
+    return run
+
+
+def settle(model: Model, docs: DataFrame, table: DataFrame, ending: np.ndarray) -> DataFrame:
+    """Sweeps over all training words from the classes of the model's types; the model gets the classes of
+    the known words (``ending`` has their endings) and the probabilities, the result the classes of all others
+    (_key, _n, _cls)."""
+    sc, known = docs.sparkSession.sparkContext, model.known
+    rank = _find(model.frequent, known)
+    cls = model.cls[FREQUENT + ending]
+    cls[rank >= 0] = model.cls[model.rank[rank[rank >= 0]]]
+    cls = np.append(cls, 0)
+    first = sc.broadcast((known, model.cls[FREQUENT:FREQUENT + ENDINGS]))
+    tails = materialise(table.mapInArrow(_first_classes(first), "_key long, _n long, _cls int"), "classes")
+    edges = docs.mapInArrow(_tail_edges(sc.broadcast(known)), "_key long, _side int, _head int, _other long, _n long")
+    edges = edges.groupBy("_key", "_side", "_head", "_other").agg(F.sum("_n").alias("_n"))
+    edges = _joined(edges, tails)
+    g, share = _class_matrix(docs, edges, tails, known, cls), 1
+    for sweep in range(VOCABULARY_SWEEPS):
+        heads, others = _sweep(docs, edges, tails, known, cls, g, sweep, share)
+        more = _joined(edges, others)
+        then = _class_matrix(docs, more, others, known, heads)
+        rise = _likelihood(then) - _likelihood(g)
+        if rise <= 0:  # too many moved at once
+            share *= 4
+            _drop(more, others)
+            continue
+        _drop(edges, tails)
+        cls, edges, tails, g = heads, more, others, then
+        if share == 1 and rise < LEAST_RISE * g.sum():
+            break
+    _drop(edges)
+    size = np.bincount(cls[:-1], model.counts, CLASSES)
+    many = np.bincount(cls[:-1], minlength=CLASSES).astype(float)
+    for r in tails.groupBy("_cls").agg(F.sum("_n").alias("n"), F.count("*").alias("w")).collect():  # CLASSES rows
+        size[r[0]] += r.n
+        many[r[0]] += r.w
+    size[0], many[0] = model.end, 1 if model.end else 0
+    model.word_cls = cls[:-1]
+    model.learn(g, size, many)
+    return tails
 
 
 def fit(docs: DataFrame, spark) -> tuple[Model, DataFrame]:
-    """Training documents (_text) -> model and the table of all word counts (_key, _n)."""
+    """Training documents (_text) -> model and the table of the other words (_key, _n, _cls)."""
     counted = docs.mapInArrow(_count, "_key long, _ending int, _n long")
     table = materialise(counted.groupBy("_key").agg(F.max("_ending").alias("_ending"), F.sum("_n").alias("_n")), "words")
     table = table.filter("_n > 0")
@@ -219,34 +554,71 @@ def fit(docs: DataFrame, spark) -> tuple[Model, DataFrame]:
     per[:, -1] = end, 1 if end else 0
     model = Model(key[order], count[order], frequent, rank, n.reshape(N_TYPES, N_TYPES), per[0], per[1],
                   int(tokens or 0), int(words))
-    return model, table.select("_key", "_n")
+    if not words:
+        return model, table.select("_key", "_n", F.lit(0).alias("_cls"))
+    return model, settle(model, docs, table, best["_ending"].to_numpy(np.int64)[order])
 
 
 def _score(shared):
+    """Per text: counts and logs of its known words, the class of every token (a byte each; that of the ending
+    for words not known), and the distinct words not known with how often and where they stand."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = shared.value
         for b in pieces(batches):
             keys, ending, at = _words(col(b, "_text"))
-            token, before = _with_ends(_types(keys, ending, m.frequent, m.rank), at)
-            cls = m.cls[token]
-            row = row_of(at + np.arange(len(at)))
-            by_class = np.bincount(row, m.step[m.cls[before], cls] - m.spread[cls], b.num_rows)
-            spot = np.minimum(np.searchsorted(m.known, keys), max(len(m.known) - 1, 0))
-            hit = m.known[spot] == keys if len(m.known) else np.zeros(len(keys), bool)
+            spot = _find(m.known, keys)
+            hit = spot >= 0
             word_row = row_of(at)
+            cls = m.cls[FREQUENT + ending]
+            cls[hit] = m.word_cls[spot[hit]]
+            path = np.insert(cls, at[1:], 0).astype(np.uint8).tobytes()
+            ends = at + np.arange(len(at))
             end_logs = np.full(b.num_rows, np.log10(m.end + 0.1))
             logs = np.bincount(word_row[hit], np.log10(m.counts[spot[hit]] + 0.1), b.num_rows) + end_logs
             n_known = np.bincount(word_row[hit], minlength=b.num_rows) + (1 if m.end else 0)
-            rest = keys[~hit].view(np.int64)
-            cut = np.append(0, np.cumsum(np.bincount(word_row[~hit], minlength=b.num_rows)))
+            rest = np.flatnonzero(~hit)
+            rest = rest[np.lexsort((rest, keys[rest], word_row[rest]))]
+            key, row = keys[rest].view(np.int64), word_row[rest]
+            fresh = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (row[1:] != row[:-1]))[:len(key)])
+            times = np.diff(np.append(fresh, len(key)))
+            place = (rest - at[row]).astype("<i4").tobytes()
+            per_row = np.append(0, np.cumsum(np.bincount(row, minlength=b.num_rows)))
+            cut = pa.array(np.append(0, np.cumsum(np.bincount(row[fresh], minlength=b.num_rows))), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [col(b, "_row"), pa.array(np.diff(at) + 1), pa.array(n_known.astype(np.int64)), pa.array(logs),
-                 pa.array(by_class), pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(rest))],
-                names=["_row", "_tokens", "_known", "_logs", "_classes", "_rest"])
+                 pa.array([path[x:y] for x, y in zip(ends[:-1], ends[1:], strict=True)], pa.binary()),
+                 pa.ListArray.from_arrays(cut, pa.array(key[fresh])), pa.ListArray.from_arrays(cut, pa.array(times)),
+                 pa.array([place[4 * x:4 * y] for x, y in zip(per_row[:-1], per_row[1:], strict=True)], pa.binary()),
+                 pa.array(np.diff(per_row))],
+                names=["_row", "_tokens", "_known", "_logs", "_path", "_rest", "_times", "_places", "_others"])
 
     return run
 
 
+def _class_logs(shared):
+    """Texts with their words found by the join (number in _rest x 64 + class) -> log probability of the classes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m: Model = shared.value
+        for b in batches:
+            logs = []
+            for path, found, times, places in zip(*(col(b, x) for x in ("_path", "_found_at", "_times", "_places")), strict=True):
+                cls = np.frombuffer(path.as_py(), np.uint8).astype(np.int64)
+                if found.is_valid:
+                    at, many = np.asarray(found.values), np.asarray(times.values)
+                    new = np.full(len(many), -1)
+                    new[at >> 6] = at & 63
+                    new = np.repeat(new, many)
+                    cls[np.frombuffer(places.as_py(), "<i4")[new >= 0]] = new[new >= 0]
+                logs.append((m.step[np.append(0, cls[:-1]), cls] - m.spread[cls]).sum())
+            yield pa.RecordBatch.from_arrays([*(col(b, x) for x in _PASSED), pa.array(logs, pa.float64())],
+                                             names=[*_PASSED, "_classes"])
+
+    return run
+
+
+_PASSED = ["_id", "_train", "_tokens", "_known", "_logs", "_others", "_found", "_more"]
+
+
 def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, training, n_tokens, n_known, train_tokens, base_score (smoothed
     unigrams) and score (the class model), log10 probabilities of the whole text."""
@@ -255,18 +627,23 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
                     F.coalesce(docs[text_col], F.lit("")).alias("_text"))
     model, counts = fit(d.filter("_train").select("_text"), spark)
     shared = spark.sparkContext.broadcast(model)
-    kinds = "_tokens long, _known long, _logs double, _classes double, _rest array<long>"
+    kinds = ("_tokens long, _known long, _logs double, _path binary, _rest array<long>, _times array<long>, "
+             "_places binary, _others long")
     rows = d.select(F.struct("_id", "_train", F.monotonically_increasing_id().alias("_key")).alias("_row"), "_text")
     part = materialise(rows.mapInArrow(_score(shared), f"_row {rows.schema['_row'].dataType.simpleString()}, {kinds}")
-                       .select("_row.*", "_tokens", "_known", "_logs", "_classes", "_rest"), "scores")
-    # the words that are not among the commonest: their counts by a join, unseen ones count 0
-    rare = (part.select(F.col("_key").alias("_doc"), F.explode("_rest").alias("_key"))
-            .groupBy("_doc", "_key").agg(F.count("*").alias("_times")))
+                       .select("_row.*", "_tokens", "_known", "_logs", "_path", "_rest", "_times", "_places", "_others"), "scores")
+    # the words that are not among the commonest: counts and classes by a join, unseen ones count 0
+    rare = (part.select(F.col("_key").alias("_doc"), "_times", F.posexplode("_rest").alias("_at", "_key"))
+            .select("_doc", "_at", "_key", F.col("_times")[F.col("_at")].alias("_many")))
     found = (rare.join(counts, "_key").groupBy("_doc")
-             .agg(F.sum("_times").alias("_found"), F.sum(F.col("_times") * F.log10(F.col("_n") + 0.1)).alias("_more")))
+             .agg(F.sum("_many").alias("_found"), F.sum(F.col("_many") * F.log10(F.col("_n") + 0.1)).alias("_more"),
+                  F.collect_list(F.col("_at").cast("long") * 64 + F.col("_cls")).alias("_found_at")))
     out = part.join(found, F.col("_key") == F.col("_doc"), "left")
+    out = out.select(*_PASSED, "_path", "_times", "_places", "_found_at")
+    types = {f.name: f.dataType.simpleString() for f in out.schema}
+    out = out.mapInArrow(_class_logs(shared), ", ".join(f"{c} {types[c]}" for c in _PASSED) + ", _classes double")
     seen = F.coalesce("_found", F.lit(0))
-    logs = F.col("_logs") + F.coalesce("_more", F.lit(0.0)) - (F.size("_rest") - seen)  # log10(0.1) each
+    logs = F.col("_logs") + F.coalesce("_more", F.lit(0.0)) - (F.col("_others") - seen)  # log10(0.1) each
     return out.select(F.col("_id").alias(id_col), F.col("_train").alias("training"), F.col("_tokens").alias("n_tokens"),
                       (F.col("_known") + seen).alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"),
                       (logs - F.col("_tokens") * F.lit(float(model.base))).alias("base_score"),

@@ -2,6 +2,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_texts import prose
 from pyspark.sql import functions as F
@@ -65,3 +66,47 @@ def test_nothing_to_learn_from(docs):
     out = brown.score(docs([(1, "a b"), (2, None)]), F.lit(False)).collect()
     assert [(r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in sorted(out)] == [(3, 0, 0, 0.0), (1, 0, 0, 0.0)]
     assert brown.score(docs([(1, "a")]).limit(0), F.lit(True)).count() == 0
+
+
+def test_words_move_to_the_class_of_most_likelihood():
+    rng = np.random.default_rng(5)
+    types, top = 40, 6
+    n = rng.poisson(0.7, (types, types)).astype(float)
+    cls = np.append(rng.integers(1, top, types - 1), 0)
+
+    def matrix(c):
+        g = np.zeros((brown.CLASSES, brown.CLASSES))
+        np.add.at(g, (c[:, None].repeat(types, 1), c[None].repeat(types, 0)), n)
+        return g
+
+    word, code, count = [], [], []
+    for w in range(types - 1):
+        for v in range(types):
+            word += [w, w]
+            code += [cls[v], brown.CLASSES + cls[v]]
+            count += [n[w, v], n[v, w]]
+        word, code, count = word + [w], code + [brown._OWN], count + [n[w, w]]
+    got = brown.best_classes(matrix(cls), cls[:-1], np.array(word), np.array(code), np.array(count))
+    for w in range(types - 1):
+        def at(c, w=w):
+            other = cls.copy()
+            other[w] = c
+            return brown._likelihood(matrix(other))
+
+        assert at(got[w]) == pytest.approx(max(at(c) for c in range(1, top)))
+
+
+def test_rare_words_of_one_ending_get_classes_by_their_successions(docs, spark, monkeypatch):
+    monkeypatch.setattr(brown, "KNOWN", 40)  # nearly all words with the ending "ing" are beyond the commonest
+    rng = np.random.default_rng(2)
+    pair = lambda i: f"the n{i}ing" if rng.random() < 0.5 else f"they v{i}ing"
+    texts = [" ".join(pair(rng.integers(rng.choice([15, 300]))) for _ in range(60)) for _ in range(60)]
+    model, others = brown.fit(docs(texts).select(F.col("text").alias("_text")), spark)
+    cls = {r["_key"]: r["_cls"] for r in others.collect()}
+    seen = sorted({w for t in texts for w in t.split() if w.endswith("ing")})
+    keys, _, _ = brown._words(pa.array([" ".join(seen)]))
+    of = {w: cls[k] for w, k in zip(seen, keys.view(np.int64).tolist(), strict=True) if k in cls}
+    nouns, verbs = ({c for w, c in of.items() if w[0] == x} for x in "nv")
+    assert len(of) > 400 and not nouns & verbs
+    df = docs(texts + [texts[0]])
+    assert all(math.isfinite(r.score) and r.score < 0 for r in brown.score(df, F.lit(True)).collect())
