@@ -168,6 +168,20 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return span_hash(prefix(BYTE_VALUE[data]), starts, ends)
 
 
+def same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the ``size`` bytes from ``a`` equal those from ``b``, eight bytes a round. ``data`` has 8 spare bytes."""
+    eight = np.ndarray((len(data) - 7,), "<u8", data.data, strides=(1,))
+    low = (np.uint64(1) << (np.arange(8, dtype=np.uint64) * np.uint64(8))) - np.uint64(1)
+    equal, live, at = np.ones(len(a), bool), np.arange(len(a)), 0
+    while len(live):
+        left = size[live] - at
+        differ = eight[a[live] + at] ^ eight[b[live] + at]
+        differ = np.where(left >= 8, differ, differ & low[np.clip(left, 0, 7)])
+        equal[live[differ != 0]] = False
+        live, at = live[(differ == 0) & (left > 8)], at + 8
+    return equal
+
+
 def row_of(offs: np.ndarray) -> np.ndarray:
     """Row number of every element of a ragged array with these offsets."""
     return np.repeat(np.arange(len(offs) - 1), np.diff(offs))

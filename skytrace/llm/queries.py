@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import brown, cdc, dartminhash, mil, pii, rans, repeats, suffix, urls, wfst
+from . import audit, brown, cdc, dartminhash, mil, pii, rans, repeats, suffix, urls, vamana, variants, wfst
 from .common import crc_mod, table
 
 
@@ -165,5 +165,49 @@ def op10_sentencepiece(spark, sf_dir):
     return wfst.encode(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
-QUERIES = {"op6_class_lm": op6_class_lm, "op5_quality": op5_quality, "op3_substring_dedup": op3_substring_dedup, "op1_near_dedup": op1_near_dedup, "op10_sentencepiece": op10_sentencepiece, "op9_token_files": op9_token_files, "op7_decontamination": op7_decontamination, "op2_fingerprints": op2_fingerprints, "op4_url_rules": op4_url_rules, "op8_pii": op8_pii}
-SQL = {"op3_substring_dedup": SQL3, "op7_decontamination": SQL7, "op4_url_rules": SQL4, "op8_pii": SQL8}
+def op11_neighbours(spark, sf_dir):
+    return vamana.nearest(table(spark, sf_dir, "embeddings"), F.col("_id") % 20 == 0, 20)
+
+
+def op12_filter_audit(spark, sf_dir):
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+SQL12 = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws, min(doc_id) OVER (PARTITION BY t) AS first FROM d),
+marks AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+fails AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    (len(ws) < 200)::INT + 2 * (100 * len(list_distinct(ws)) < 50 * len(ws))::INT
+    + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t))::INT
+    + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(w.doc_id > first, false)::INT AS m
+  FROM w LEFT JOIN marks ON marks.doc_id = w.doc_id),
+masks AS (SELECT part, m, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM fails GROUP BY part, m),
+f(c, b) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders AS (SELECT a.c || b.c || c.c || d.c || e.c AS o, [a.b, b.b, c.b, d.b, e.b] AS bits FROM f a, f b, f c, f d, f e
+  WHERE a.b | b.b | c.b | d.b | e.b = 31),
+steps AS (SELECT o, step, bits[step] AS own, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS prior
+  FROM (SELECT o, bits, unnest([1, 2, 3, 4, 5]) AS step FROM orders)),
+done AS (SELECT part, o AS filter_order, step::INT AS step, own,
+    sum(n) FILTER (m & (prior | own) = 0) AS kept, sum(n) FILTER (m & own > 0 AND m & prior = 0) AS removed,
+    sum(n) FILTER (m & own > 0 AND m & prior > 0) AS redundant, sum(n) FILTER (m = own) AS unique_fails,
+    sum(good) FILTER (m & own > 0 AND m & prior = 0) AS good_lost,
+    sum(toxic) FILTER (m & own > 0 AND m & prior = 0) AS toxic_lost
+  FROM masks, steps GROUP BY ALL)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+  coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+  coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+  coalesce(sum(removed) OVER (PARTITION BY part, own), 0)::BIGINT AS shapley
+FROM done
+"""
+
+
+def op13_spelling(spark, sf_dir):
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_fingerprints, op3_substring_dedup, op4_url_rules, op5_quality,
+                                   op6_class_lm, op7_decontamination, op8_pii, op9_token_files, op10_sentencepiece,
+                                   op11_neighbours, op12_filter_audit, op13_spelling)}
+SQL = {"op3_substring_dedup": SQL3, "op7_decontamination": SQL7, "op4_url_rules": SQL4, "op8_pii": SQL8,
+       "op12_filter_audit": SQL12}
