@@ -1,18 +1,20 @@
 """Raw frame re-emission and binary capture files.
 
-Spark has no writer for raw binary files, so capture files are written by the executors
-themselves through ``pyarrow.fs`` (works for local, HDFS and object-store URIs): the frame
-table is hash-partitioned by capture, sorted by arrival inside each partition, and every
-task streams its captures to ``<dir>/<capture_id>.cap``. A retried task rewrites the same
-file with the same bytes, so executor loss is harmless.
+Captures are written by the ``capture`` data source: the frame table is hash-partitioned by capture and sorted by
+arrival inside each partition, every task streams its captures to a folder of its own attempt, and when all
+tasks have succeeded the files are moved to ``<dir>/<capture_id>.cap``. A task that fails or is run twice
+leaves no file.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow.fs as pafs
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.capture_source import CaptureSource
+
 CRLF = bytes([13, 10])
 
 
@@ -27,40 +29,36 @@ def capture_record(ts_us: Column, raw: Column) -> Column:
 
 
 def write_captures(frames: DataFrame, out_dir: str, capture_col: str = "capture_id",
-                   order: str = "seq", record_col: str = "record") -> DataFrame:
-    """Write one capture file per ``capture_col`` value; returns (capture_id, path, records, bytes).
+                   order: str = "seq", record_col: str = "record") -> None:
+    """Write one capture file per ``capture_col`` value under ``out_dir``; files of other captures there stay.
 
     ``frames`` must carry ``capture_col``, ``order`` and a BINARY ``record_col`` holding the
-    full capture record. The returned DataFrame is lazy: the files are written when it runs.
+    full capture record.
     """
-    base = out_dir.rstrip("/")
+    frames.sparkSession.dataSource.register(CaptureSource)
+    rows = frames.select(F.col(capture_col).cast("string").alias("capture_id"), F.col(order).alias("_order"),
+                         F.col(record_col).alias("record"))
+    (rows.repartition("capture_id").sortWithinPartitions("capture_id", "_order").select("capture_id", "record")
+     .write.format("capture").option("path", out_dir).mode("append").save())
 
-    def write(batches):
-        import pyarrow.fs as pafs
 
-        fs, root = pafs.FileSystem.from_uri(base)
-        fs.create_dir(root, recursive=True)
-        cur, stream, n, size = None, None, 0, 0
-        stats = []
+def grow_captures(spark: SparkSession, source: str, target: str, share: float) -> None:
+    """Bring every capture of ``target`` to the first ``share`` of its bytes in ``source``, each file at once (written
+    beside, then moved). For trials of growing captures."""
+    def copy(batches):
         for pdf in batches:
-            for cid, rec in zip(pdf[capture_col].to_numpy(), pdf[record_col].to_numpy()):
-                if cid != cur:
-                    if stream is not None:
-                        stream.close()
-                        stats.append((cur, f"{base}/{cur}.cap", n, size))
-                    cur, n, size = cid, 0, 0
-                    stream = fs.open_output_stream(f"{root}/{cid}.cap")
-                b = bytes(rec)
-                stream.write(b)
-                n += 1
-                size += len(b)
-        if stream is not None:
-            stream.close()
-            stats.append((cur, f"{base}/{cur}.cap", n, size))
-        if stats:
-            yield pd.DataFrame(stats, columns=["capture_id", "path", "records", "bytes"])
+            fs, root = pafs.FileSystem.from_uri(target)
+            fs.create_dir(root, recursive=True)
+            for path, size in zip(pdf["path"], pdf["length"], strict=True):
+                here, name = pafs.FileSystem.from_uri(path)
+                part = f"{root}/_part-{TaskContext.get().taskAttemptId()}"
+                left = int(size * share)
+                with here.open_input_stream(name) as src, fs.open_output_stream(part) as out:
+                    while left and (block := src.read(min(left, 1 << 20))):
+                        out.write(block)
+                        left -= len(block)
+                fs.move(part, f"{root}/{name.rsplit('/', 1)[-1]}")
+            yield pdf[["path"]]
 
-    return (frames.select(F.col(capture_col).cast("string").alias(capture_col), order, record_col)
-            .repartition(capture_col)
-            .sortWithinPartitions(capture_col, order)
-            .mapInPandas(write, "capture_id string, path string, records long, bytes long"))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.cap").load(source).select("path", "length")
+    files.repartition(8).mapInPandas(copy, "path string").write.format("noop").mode("overwrite").save()

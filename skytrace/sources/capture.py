@@ -1,12 +1,9 @@
-"""Capture-file scan and deframing as Spark expressions.
+"""Capture-file scan and deframing.
 
-Capture file: a concatenation of records ``(`` + 16 decimal digits (µs) + ``)`` + frame bytes.
-``binaryFile`` reads each file as one row; the bytes are viewed as ISO-8859-1 text (one char
-per byte, lossless) and split before every header; pieces that belong to a UBX frame by its
-declared length are joined again. Each record is then deframed with one
-possessive regular expression that reproduces the byte-wise sync search of a receiver
-parser, including its resync quirk (after a first sync byte the next byte is consumed even
-when it does not match, so ``B5 B5 62`` and ``$$G`` are missed).
+``scan_captures`` reads captures through the byte-range data source (``capture_source``), so a file of any
+size is many tasks; ``deframe`` takes the first frame of each record with one possessive regular
+expression that reproduces the byte-wise sync search of a receiver parser, including its resync quirk (after a
+first sync byte the next byte is consumed even when it does not match, so ``B5 B5 62`` and ``$$G`` are missed).
 """
 
 from __future__ import annotations
@@ -14,100 +11,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.fields import MAX_LINE
-from ..session import materialise
+from .capture_source import RANGE_BYTES, CaptureSource
+from .records import BODY_MAX
 
-_HEADER = r"\(\d{16}\)"
-_SPLIT = r"(?=\(\d{16}\))"
 # possessive skip of non-sync bytes, then the UBX (B5 62) or NMEA ($ G|P x) start sequence
-_SYNC = "(?s)^(?:[^µ$]++|µ[^b]|\\$[^GP])*+(µb|\\$[GP].)(.*)$"
-BODY_MAX = MAX_LINE - 1
+_TO_SYNC = "(?s)^(?:[^µ$]++|µ[^b]|\\$[^GP])*+(?:µb|\\$[GP].)"
 
 
-#: No frame reaches further than this many records: a record has at least 18 bytes.
-_REACH = (BODY_MAX + 2) // 18 + 1
+def _source(reader, path: str, glob: str, range_bytes: int):
+    return reader.format("capture").option("path", path).option("glob", glob).option("rangeBytes", str(range_bytes))
 
 
-def _missing(raw):
-    """Bytes a record's UBX frame still needs (0: none; a frame without its length needs all it may)."""
-    r = F.decode(raw, "ISO-8859-1")
-    rest = F.regexp_extract(r, _SYNC, 2)
-    length = F.hex(F.encode(F.substring(rest, 3, 2), "ISO-8859-1"))
-    need = F.least(F.conv(F.concat(F.substring(length, 3, 2), F.substring(length, 1, 2)), 16, 10).cast("int") + 6,
-                   F.lit(BODY_MAX))
-    have = F.length(rest)
-    return (F.when(F.regexp_extract(r, _SYNC, 1) != "µb", 0).when(have < 4, BODY_MAX - have)
-            .otherwise(F.greatest(need - have, F.lit(0))))
+def scan_captures(spark: SparkSession, path: str, glob: str = "*.cap", range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Records ``(capture_id, rec_no, ts_us, raw BINARY)`` of every capture file under ``path``.
 
-
-def _joined(pdf):
-    """Records of one chain, in order -> records with the bytes their frames still needed."""
-    import re
-
-    import pandas as pd
-
-    sync, out = re.compile(_SYNC), []
-    for cid, no, ts, raw in zip(pdf["capture_id"], pdf["rec_no"], pdf["ts_us"], pdf["raw"], strict=True):
-        raw = bytes(raw)
-        if out:
-            m = sync.match(out[-1][3].decode("latin-1"))
-            if m and m[1] == "µb":
-                rest = m[2].encode("latin-1")
-                if len(rest) < 4 or len(rest) < min(int.from_bytes(rest[2:4], "little") + 6, BODY_MAX):
-                    out[-1][3] += b"(%016d)" % ts + raw
-                    out[-1][4].append(no)
-                    continue
-        out.append([cid, no, ts, raw, []])
-    return pd.DataFrame(out, columns=["capture_id", "rec_no", "ts_us", "raw", "_eaten"])
-
-
-def rejoin(records: DataFrame) -> DataFrame:
-    """Undo header splits inside UBX payloads, then number the records of each capture again.
-
-    A frame is read by its declared length, so bytes in it that look like a record header are
-    payload. Only records with a frame too short and the few that such a frame can reach are
-    regrouped (by capture and record number, so a large capture is no hot key); chains of
-    overlapping reaches are walked in order.
+    ``rec_no`` counts a file's records from 0: a first pass counts the records of each range, and the running sum over
+    a file's ranges (16 bytes a range, one range for ``range_bytes`` of input) is broadcast to the second.
     """
-    whole = materialise(records, "records")
-    short = (whole.withColumn("_missing", _missing(F.col("raw"))).filter("_missing > 0")
-             .select("capture_id", F.explode(F.sequence(F.col("rec_no"), F.col("rec_no") + _REACH)).alias("rec_no")).distinct())
-    w = Window.partitionBy("capture_id").orderBy("rec_no")
-    size = F.octet_length("raw") + 18
-    near = (whole.join(short, ["capture_id", "rec_no"]).withColumn("_at", F.sum(size).over(w) - size)
-            .withColumn("_to", F.col("_at") + size + _missing(F.col("raw"))))
-    reach = F.max("_to").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    sure = reach.isNull() | (reach <= F.col("_at")) | (F.col("rec_no") != F.lag("rec_no").over(w) + 1)
-    chains = near.withColumn("_sure", sure.cast("int")).withColumn("_chain", F.sum("_sure").over(w))
-    spec = "capture_id string, rec_no long, ts_us long, raw binary, _eaten array<long>"
-    fixed = materialise(chains.select("capture_id", "rec_no", "ts_us", "raw", "_chain").groupBy("capture_id", "_chain")
-                        .applyInPandas(_joined, spec).filter("size(_eaten) > 0"), "rejoined")
-    if fixed.isEmpty():
-        return whole
-    eaten = fixed.select("capture_id", F.explode("_eaten").alias("rec_no"))
-    gone = eaten.groupBy("capture_id").agg(F.collect_list("rec_no").alias("_gone"))
-    kept = whole.join(eaten.unionByName(fixed.select("capture_id", "rec_no")), ["capture_id", "rec_no"], "left_anti")
-    out = kept.unionByName(fixed.drop("_eaten")).join(gone, "capture_id", "left")
-    before = F.size(F.filter(F.coalesce("_gone", F.array().cast("array<bigint>")), lambda x: x < F.col("rec_no")))
-    return out.select("capture_id", (F.col("rec_no") - before).cast("bigint").alias("rec_no"), "ts_us", "raw")
+    spark.dataSource.register(CaptureSource)
+    recs = _source(spark.read, path, glob, range_bytes).load()
+    counts = _source(spark.read, path, glob, range_bytes).option("counts", "true").load()
+    before = Window.partitionBy("file_key").orderBy("range_start").rowsBetween(Window.unboundedPreceding, -1)
+    first = counts.select("file_key", "range_start", F.coalesce(F.sum("records").over(before), F.lit(0)).alias("_first"))
+    return (recs.join(F.broadcast(first), ["file_key", "range_start"])
+            .select("capture_id", (F.col("_first") + F.col("nth")).alias("rec_no"), "ts_us", "raw"))
 
 
-def scan_captures(spark: SparkSession, path: str, glob: str = "*.cap") -> DataFrame:
-    """Records ``(capture_id, rec_no, ts_us, raw BINARY)`` of every capture file under ``path``."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-             .select(F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1).alias("capture_id"),
-                     F.decode("content", "ISO-8859-1").alias("_text")))
-    arr = files.select("capture_id", F.split("_text", _SPLIT).alias("_pieces"))
-    # a leading piece without header (junk before the first record) is not a record
-    arr = arr.withColumn("_skip", F.when(F.col("_pieces")[0].rlike("^" + _HEADER), 0).otherwise(1))
-    pieces = arr.select("capture_id", "_skip", F.posexplode("_pieces").alias("_pos", "_piece"))
-    recs = pieces.filter(F.col("_pos") >= F.col("_skip"))
-    return rejoin(recs.select(
-        "capture_id",
-        (F.col("_pos") - F.col("_skip")).cast("bigint").alias("rec_no"),
-        F.substring("_piece", 2, 16).cast("bigint").alias("ts_us"),
-        F.encode(F.expr("substring(_piece, 19)"), "ISO-8859-1").alias("raw"),
-    ))
+def stream_captures(spark: SparkSession, path: str, glob: str = "*.cap", range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Stream of the records ``(capture_id, offset, ts_us, raw)`` of growing captures. ``offset`` is the header's place
+    in the file, hence the arrival order. A record is delivered when the next one has begun or its frame is
+    complete at the file's end; bytes behind a frame delivered so are not part of ``raw``."""
+    spark.dataSource.register(CaptureSource)
+    return _source(spark.readStream, path, glob, range_bytes).load().select("capture_id", "offset", "ts_us", "raw")
 
 
 def deframe(records: DataFrame) -> DataFrame:
@@ -118,132 +53,28 @@ def deframe(records: DataFrame) -> DataFrame:
     NMEA body = text after the 3-byte start up to the first CR LF; every CR is dropped, an LF
     without CR is content; cut at 299 bytes.
     """
-    r = F.decode(F.col("raw"), "ISO-8859-1")
-    sync = F.regexp_extract(r, _SYNC, 1)
-    rest = F.regexp_extract(r, _SYNC, 2)
-    is_ubx = sync == "µb"
-    is_nmea = sync.startswith("$")
+    # each step is a column of its own, so that the one match is evaluated once
+    r = records.withColumn("_r", F.decode("raw", "ISO-8859-1"))
+    r = r.withColumn("_to", F.regexp_extract("_r", _TO_SYNC, 0))
+    r = r.withColumn("_rest", F.expr("substring(_r, length(_to) + 1)")).withColumn(
+        "protocol", F.when(F.col("_to").endswith("µb"), F.lit("UBX")).when(F.col("_to") != "", F.lit("NMEA")))
+    is_ubx, is_nmea = F.col("protocol") == "UBX", F.col("protocol") == "NMEA"
     # UBX length from rest chars 3-4 (little endian)
-    len_hex = F.hex(F.encode(F.substring(rest, 3, 2), "ISO-8859-1"))
-    ubx_len = F.conv(F.concat(F.substring(len_hex, 3, 2), F.substring(len_hex, 1, 2)), 16, 10).cast("int")
-    need = ubx_len + 6
-    ubx_have = F.length(rest)
-    ubx_trunc = need > BODY_MAX
-    ubx_ok = (ubx_have >= 4) & (ubx_have >= F.least(need, F.lit(BODY_MAX)))
-    ubx_body = F.substring(rest, 1, F.least(need, F.lit(BODY_MAX)))
-    # NMEA: first CR LF ends the sentence
-    term = F.instr(rest, "\r\n")
-    content = F.when(term > 0, F.expr("substring(_rest, 1, _term - 1)")).otherwise(rest)
-    stored = F.regexp_replace(content, "\r", "")
-    nmea_trunc = F.length(stored) >= BODY_MAX
-    nmea_ok = (term > 0) | nmea_trunc
-    nmea_body = F.substring(stored, 1, BODY_MAX)
-    df = records.withColumn("_rest", rest).withColumn("_term", term)
-    body = F.when(is_ubx, ubx_body).when(is_nmea, nmea_body)
-    status = (F.when(~(is_ubx | is_nmea), F.lit("NO_FRAME"))
-              .when(is_ubx & ~ubx_ok, F.lit("INCOMPLETE"))
-              .when(is_nmea & ~nmea_ok, F.lit("INCOMPLETE"))
-              .otherwise(F.lit("OK")))
-    out = (df.withColumn("status", status)
-           .withColumn("protocol", F.when(is_ubx, F.lit("UBX")).when(is_nmea, F.lit("NMEA")))
-           .withColumn("start_seq", F.when(is_ubx | is_nmea, F.encode(sync, "ISO-8859-1")))
-           .withColumn("body", F.when(F.col("status") == "OK", F.encode(body, "ISO-8859-1")))
-           .withColumn("truncated", F.when(F.col("status") == "OK",
-                                           F.when(is_ubx, ubx_trunc).otherwise(nmea_trunc)))
-           .withColumn("body_len", F.octet_length("body"))
-           .drop("_rest", "_term"))
-    return out
-
-
-def scan_captures_split(spark: SparkSession, path: str, glob: str = "*.cap") -> DataFrame:
-    """Splittable capture scan: same output as :func:`scan_captures`, no file held by one task.
-
-    The text source with ``lineSep='('`` cuts files at every ``(`` byte and keeps raw bytes,
-    so large captures are read in parallel splits. Pieces that do not start with 16 digits +
-    ``)`` are payload bytes that contained ``(``: they are glued back onto the record before
-    them, inside the split; a split's leading fragments go to the last record of the previous
-    split through a one-row-per-split table, which also numbers the records per file.
-    """
-    import pandas as pd
-
-    pieces = (spark.read.option("lineSep", "(").option("pathGlobFilter", glob).text(path)
-              .select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_bs"),
-                      F.col("_metadata.file_size").alias("_fsize"),
-                      F.monotonically_increasing_id().alias("_mid"), F.col("value").cast("binary").alias("_raw")))
-    # the line reader drops an empty record after a final '(': detect it from the file size
-    # (one row per file) and give the byte back to the file's last record
-    ends_open = (pieces.groupBy("_file")
-                 .agg((F.sum(F.octet_length("_raw")) + F.count(F.lit(1)) - 1 < F.first("_fsize")).alias("_open")))
-    schema = "_file string, _bs bigint, _kind string, _idx bigint, _bytes binary"
-
-    def merge(batches):
-        out = []
-        cur_key, recs, orphan, first_in_split = None, [], [], True
-        for pdf in batches:
-            for f, bs, raw in zip(pdf["_file"], pdf["_bs"], pdf["_raw"]):
-                raw = bytes(raw)
-                key = (f, int(bs))
-                if key != cur_key:
-                    if cur_key is not None:
-                        out.extend(_flush(cur_key, recs, orphan))
-                    cur_key, recs, orphan, first_in_split = key, [], [], True
-                is_head = len(raw) >= 17 and raw[:16].isdigit() and raw[16:17] == b")"
-                if is_head:
-                    recs.append(bytearray(b"(" + raw))
-                elif first_in_split and key[1] == 0 and not recs and not orphan:
-                    pass                                   # junk before the file's first record
-                elif recs:
-                    recs[-1] += b"(" + raw                 # payload contained '('
-                else:
-                    orphan.append(raw)                     # belongs to the previous split
-                first_in_split = False
-        if cur_key is not None:
-            out.extend(_flush(cur_key, recs, orphan))
-        if out:
-            yield pd.DataFrame(out, columns=["_file", "_bs", "_kind", "_idx", "_bytes"])
-
-    parts = (pieces.drop("_fsize").sortWithinPartitions("_file", "_bs", "_mid").mapInPandas(merge, schema))
-    recs = parts.filter(F.col("_kind") == "R")
-    orph = parts.filter(F.col("_kind") == "O")
-    # one row per split: record count, running offset, and the previous split of the file
-    splits = recs.groupBy("_file", "_bs").agg(F.count(F.lit(1)).alias("_n"))
-    splits = splits.unionByName(orph.select("_file", "_bs", F.lit(0).cast("bigint").alias("_n"))) \
-        .groupBy("_file", "_bs").agg(F.sum("_n").alias("_n"))
-    wf = Window.partitionBy("_file").orderBy("_bs")
-    before = wf.rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.select("_file", "_bs", "_n",
-                           F.sum("_n").over(before).alias("_off"),
-                           F.sum("_n").over(Window.partitionBy("_file")).alias("_total"),
-                           F.last(F.when(F.col("_n") > 0, F.col("_bs")), ignorenulls=True).over(before).alias("_tgt_bs"),
-                           F.last(F.when(F.col("_n") > 0, F.col("_n")), ignorenulls=True).over(before).alias("_tgt_n"))
-    # orphans attach to the last record of the closest earlier split holding records; a
-    # record longer than a split collects the fragments of every split it covers, in order
-    frags = (orph.join(splits, ["_file", "_bs"])
-             .select("_file", F.col("_tgt_bs").alias("_t_bs"), (F.col("_tgt_n") - 1).alias("_t_idx"),
-                     F.struct(F.col("_bs").alias("bs"), F.decode("_bytes", "ISO-8859-1").alias("t")).alias("_f")))
-    tail = (frags.groupBy("_file", "_t_bs", "_t_idx")
-            .agg(F.array_join(F.transform(F.sort_array(F.collect_list("_f")), lambda x: x["t"]), "(").alias("_tail"))
-            .select("_file", F.col("_t_bs").alias("_bs"), F.col("_t_idx").alias("_idx"),
-                    F.encode("_tail", "ISO-8859-1").alias("_tail")))
-    rows = (recs.join(splits.select("_file", "_bs", "_off", "_total"), ["_file", "_bs"])
-            .join(tail, ["_file", "_bs", "_idx"], "left")
-            .join(ends_open, ["_file"], "left")
-            .withColumn("_rec", F.when(F.col("_tail").isNull(), F.col("_bytes"))
-                        .otherwise(F.concat(F.col("_bytes"), F.lit(b"("), F.col("_tail"))))
-            .withColumn("_rec", F.when(F.col("_open") & (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_idx")
-                                                        == F.col("_total") - 1),
-                                       F.concat(F.col("_rec"), F.lit(b"("))).otherwise(F.col("_rec"))))
-    text = F.decode(F.col("_rec"), "ISO-8859-1")
-    return rejoin(rows.select(
-        F.regexp_extract("_file", r"([^/]+)\.[^./]+$", 1).alias("capture_id"),
-        (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_idx")).cast("bigint").alias("rec_no"),
-        F.substring(text, 2, 16).cast("bigint").alias("ts_us"),
-        F.encode(F.expr("substring(decode(_rec, 'ISO-8859-1'), 19)"), "ISO-8859-1").alias("raw"),
-    ))
-
-
-def _flush(key, recs, orphan):
-    out = [(key[0], key[1], "R", i, bytes(r)) for i, r in enumerate(recs)]
-    if orphan:
-        out.append((key[0], key[1], "O", -1, b"(".join(orphan)))
-    return out
+    length = F.expr("ascii(substring(_rest, 3, 1)) + 256 * ascii(substring(_rest, 4, 1))")
+    r = r.withColumn("_need", F.when(is_ubx, length + 6)).withColumn("_term", F.when(is_nmea, F.instr("_rest", "\r\n")))
+    content = F.expr("CASE WHEN _term > 0 THEN substring(_rest, 1, _term - 1) ELSE _rest END")
+    r = r.withColumn("_text", F.when(is_nmea, F.regexp_replace(content, "\r", "")))
+    cut = F.least("_need", F.lit(BODY_MAX))
+    ubx_ok = (F.length("_rest") >= 4) & (F.length("_rest") >= cut)
+    long = F.length("_text") >= BODY_MAX
+    r = r.withColumn("status", F.when(F.col("protocol").isNull(), F.lit("NO_FRAME"))
+                     .when(is_ubx & ~ubx_ok | is_nmea & ~((F.col("_term") > 0) | long), F.lit("INCOMPLETE")).otherwise(F.lit("OK")))
+    whole = F.col("status") == "OK"
+    body = F.when(is_ubx, F.substring("_rest", F.lit(1), cut)).otherwise(F.substring("_text", 1, BODY_MAX))
+    return (r.withColumn("start_seq", F.when(is_ubx, F.lit(b"\xb5b"))
+                         .when(is_nmea, F.encode(F.expr("right(_to, 3)"), "ISO-8859-1")))
+            .withColumn("body", F.when(whole, F.encode(body, "ISO-8859-1")))
+            .withColumn("truncated", F.when(whole, F.when(is_ubx, F.col("_need") > BODY_MAX).otherwise(long)))
+            .withColumn("body_len", F.octet_length("body"))
+            .drop("_r", "_to", "_rest", "_need", "_term", "_text")
+            .select(*records.columns, "status", "protocol", "start_seq", "body", "truncated", "body_len"))
