@@ -69,6 +69,20 @@ def pack_entries(packs: DataFrame) -> DataFrame:
             .select("device_id", "pack_id", "message", "pos", "_inner_timestamp"))
 
 
+def pack_long(packs: DataFrame) -> DataFrame:
+    """Every field of every packed record: ``(device_id, pack_id, message, pos, field, value, text)``, numbers in
+    ``value`` (DOUBLE) and strings in ``text``. Each list is a branch that reads its own column alone."""
+    out = None
+    for m in FT.ALL_MESSAGES:
+        fields = [("_inner_timestamp", "bigint"), *pack_fields(m)]
+        items = ", ".join(f"named_struct('field', '{n}', 'value', " + (f"CAST(NULL AS DOUBLE), 'text', r.`{n}`)" if t == "string" else
+                          f"CAST(r.`{n}` AS DOUBLE), 'text', CAST(NULL AS STRING))") for n, t in fields)
+        part = (packs.select("device_id", "pack_id", F.posexplode(FT.PACK_LIST[m]).alias("pos", "r"))
+                .select("device_id", "pack_id", F.lit(m).alias("message"), F.col("pos").cast("bigint").alias("pos"), F.expr(f"inline(array({items}))")))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def pack_sizes(packs: DataFrame) -> DataFrame:
     """List sizes per pack as ``(device_id, pack_id, message, n)``."""
     stack = ", ".join(f"'{m}', cast(size({FT.PACK_LIST[m]}) as bigint)" for m in FT.ALL_MESSAGES)

@@ -155,3 +155,26 @@ def series_pivot(series: DataFrame, message: str) -> DataFrame:
     names = ["_timestamp"] + [n for n, t in pack_fields(message) if t != "string"]
     return (series.filter(F.col("message") == label)
             .groupBy("device_id", "idx").pivot("field", names).agg(F.first("value")))
+
+
+def aligned_series(classified: DataFrame, capacity: int = 2000, compat: bool = True, messages=None) -> DataFrame:
+    """Per device a ``map<message, map<field, array<double>>>`` (column ``series``) of the newest ``capacity`` records of
+    each message, oldest first. All arrays of a message are aligned: element k of any field belongs to
+    element k of its ``_timestamp``. Retention is cut per (device, message) before anything is grouped."""
+    ok = classified.filter((F.col("parse_result") == "OK") & F.col("message").isNotNull())
+    kept = latest_n(ok.select("device_id", "message", "seq", "ts_us", "body"), capacity=capacity)
+    out = None
+    for m in messages or FT.ALL_MESSAGES:
+        items = _series_values(m, pack_values(m, compat), "signals")
+        rows = kept.filter(F.col("message") == m).select("device_id", F.struct("idx", *[F.expr(v).alias(n) for n, v in items]).alias("_r"))
+        rows = rows.groupBy("device_id").agg(F.sort_array(F.collect_list("_r")).alias("_rs"))
+        arrays = F.map_from_arrays(F.array(*[F.lit(n) for n, _ in items]), F.array(*[F.col(f"_rs.`{n}`") for n, _ in items]))
+        part = rows.select("device_id", F.struct(F.lit(FT.SERIES_LABEL[m]).alias("key"), arrays.alias("value")).alias("_entry"))
+        out = part if out is None else out.unionByName(part)
+    return out.groupBy("device_id").agg(F.map_from_entries(F.collect_list("_entry")).alias("series"))
+
+
+def series_slice(series: Column, message: str, field: str, start: int, n: int) -> Column:
+    """Up to ``n`` values of one field from position ``start`` (0 = oldest) of an aligned series; null without the field."""
+    values = F.try_element_at(F.try_element_at(series, F.lit(message)), F.lit(field))
+    return F.slice(values, start + 1, n)

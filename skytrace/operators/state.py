@@ -8,14 +8,11 @@ from pyspark.sql import functions as F
 
 from ..functions import sqltext
 from ..functions.fields import RING_CAPACITY
-
-
-CHUNK_SEQ = 1 << 20
+from .scan import running_last
 
 
 def latest_state(classified: DataFrame, selection: dict[str, list[str]], per_field: bool = True,
-                 keys=("device_id",), order: str = "seq", compat: bool = True,
-                 chunk: int = CHUNK_SEQ) -> DataFrame:
+                 keys=("device_id",), order: str = "seq", compat: bool = True) -> DataFrame:
     """At every frame, the most recent decoded value of each selected (message, field).
 
     ``per_field=True`` carries every field forward on its own, so a sentence with missing
@@ -23,46 +20,24 @@ def latest_state(classified: DataFrame, selection: dict[str, list[str]], per_fie
     behaviour); ``per_field=False`` takes the latest record of each message as a whole.
     Output columns: keys, ``seq``, ``ts_us``, ``<message>_<field>``.
 
-    Skew-safe form of a running "last non-null": the arrival order is cut into chunks of
-    ``chunk`` sequence numbers; the running value is computed per (key, chunk) window, and
-    the value carried into each chunk is the last non-null of the earlier chunks, taken from
-    a per-(key, chunk) summary (one row per chunk). No task ever holds more than one chunk
-    of one key, however hot the device.
+    Frames are decoded once; the carry is a two-pass scan over physical ranges (``scan``), so no task
+    holds more than a range of one key, however hot the device and whatever its sequence numbers.
     """
     keys = list(keys)
     ok = F.col("parse_result") == "OK"
-    names, values = [], []
+    columns = []
     for msg, fields in selection.items():
         vals = sqltext.values(msg, compat)
         hit = ok & (F.col("message") == msg)
         if per_field:
-            for f in fields:
-                names.append(f"{msg}_{f}")
-                values.append(F.when(hit, F.expr(vals[f])))
-        else:
-            names.append(f"_rec_{msg}")
-            values.append(F.when(hit, F.expr("named_struct(" + ", ".join(f"'{f}', {vals[f]}" for f in fields) + ")")))
-    base = classified.select(*keys, order, "ts_us", *[v.alias(n) for n, v in zip(names, values)])
-    base = base.withColumn("_chunk", F.floor(F.col(order) / F.lit(chunk)).cast("bigint"))
-    w = (Window.partitionBy(*keys, "_chunk").orderBy(order)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    run = base.select(*keys, order, "ts_us", "_chunk",
-                      *[F.last(n, ignorenulls=True).over(w).alias(n) for n in names])
-    # last non-null of each chunk, then of all earlier chunks (small table: one row per chunk)
-    summ = base.groupBy(*keys, "_chunk").agg(
-        *[F.max_by(F.col(n), F.when(F.col(n).isNotNull(), F.col(order))).alias(n) for n in names])
-    wc = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = summ.select(*keys, "_chunk", *[F.last(n, ignorenulls=True).over(wc).alias(f"_in_{n}") for n in names])
-    joined = run.join(carry, [*keys, "_chunk"], "left")
-    out = [F.col(k) for k in keys] + [F.col(order), F.col("ts_us")]
-    for n in names:
-        v = F.coalesce(F.col(n), F.col(f"_in_{n}"))
-        if n.startswith("_rec_"):
-            msg = n[5:]
-            out.extend(v[f].alias(f"{msg}_{f}") for f in selection[msg])
+            columns += [F.when(hit, F.expr(vals[f])).alias(f"{msg}_{f}") for f in fields]
         else:
-            out.append(v.alias(n))
-    return joined.select(*out)
+            columns.append(F.when(hit, F.expr("named_struct(" + ", ".join(f"'{f}', {vals[f]}" for f in fields) + ")")).alias(msg))
+    rows = classified.select(*keys, order, "ts_us", *columns)
+    carried = running_last(rows, keys, order, rows.columns[len(keys) + 2:])
+    if per_field:
+        return carried
+    return carried.select(*keys, order, "ts_us", *[F.col(m)[f].alias(f"{m}_{f}") for m, fl in selection.items() for f in fl])
 
 
 def _ranked(df: DataFrame, keys, order):

@@ -371,7 +371,21 @@ def oracle_sql() -> dict[str, str]:
         f"CAST({N} - least(max(cnt), {N}) AS BIGINT) AS available, false AS empty, least(max(cnt), {N}) = {N} AS full, "
         f"coalesce(max(CASE WHEN least(cnt, {N}) - rn = 1 THEN ts_us END), max(CASE WHEN rn = 1 THEN ts_us END)) AS at_1, "
         f"CAST(greatest(max(cnt) - {N}, 0) % {N} AS BIGINT) AS \"offset\" FROM ({ranked}) GROUP BY device_id, message")
-    o["stream_latest_n"] = o["latest_n"]
+    o["stream_latest_n"] = _with(
+        f"SELECT device_id, message, seq, idx, ts_us, protocol, body_hex FROM (SELECT device_id, message, e AS seq, ts_us, protocol, body_hex, "
+        f"CAST(least(count(*) OVER (PARTITION BY device_id, message), {N}) - row_number() OVER (PARTITION BY device_id, message ORDER BY e DESC) "
+        f"AS BIGINT) AS idx FROM fx WHERE parse_result = 'OK') WHERE idx >= 0")
+    every, records = [], []
+    for m in FT.ALL_MESSAGES:
+        every += [f"last_value(CASE WHEN {_ok(m)} THEN {x} END IGNORE NULLS) {w} AS \"{m}_{f}\"" for f, x in expected(m)]
+        whole = "struct_pack(" + ", ".join(f"\"{f}\" := {x}" for f, x in expected(m)) + ")"
+        records.append((m, f"last_value(CASE WHEN {_ok(m)} THEN {whole} END IGNORE NULLS) {w} AS \"{m}\""))
+    o["latest_state_all"] = _with_base(f"SELECT device_id, e AS seq, ts_us, {', '.join(every)} FROM pb")
+    o["stream_latest_state"] = o["latest_state_all"]
+    o["latest_record_all"] = _with_base(
+        "SELECT device_id, seq, ts_us, " + ", ".join(f"\"{m}\".\"{f}\" AS \"{m}_{f}\"" for m in FT.ALL_MESSAGES for f, _ in expected(m))
+        + f" FROM (SELECT device_id, e AS seq, ts_us, {', '.join(x for _, x in records)} FROM pb)")
+    o["stream_arrival"] = f"WITH {BASE} SELECT device_id, e AS seq, e % 5 = 0 AS stamped, CASE WHEN e % 5 <> 0 THEN ts_us END AS ts_us FROM base"
     o["elapsed_us"] = _with_base(
         "SELECT device_id, e AS seq, ts_us - first_value(ts_us) OVER (PARTITION BY device_id ORDER BY e "
         "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS elapsed_us FROM base")
@@ -384,6 +398,17 @@ def oracle_sql() -> dict[str, str]:
     dop = [("_timestamp", "CAST(ts_us AS DOUBLE)")] + [(n, f"CAST({x} AS DOUBLE)") for n, x in expected("NAV_DOP")]
     o["series_pivot"] = _with_base(
         "SELECT device_id, e AS idx, " + ", ".join(f"{x} AS \"{n}\"" for n, x in dop) + f" FROM pb WHERE {_ok('NAV_DOP')}")
+    for m in FT.ALL_MESSAGES:
+        if m != "NAV_DOP":
+            ex = dict(expected(m))
+            items = [("_timestamp", "CAST(ts_us AS DOUBLE)")] + [(n, _pack_value(m, n, ex[n])) for n, t in _numbers(m)]
+            o["series_pivot_" + m.replace("NAV_", "").lower()] = _with_base(
+                "SELECT device_id, e AS idx, " + ", ".join(f"{x} AS \"{n}\"" for n, x in items) + f" FROM pb WHERE {_ok(m)}")
+    newest = (f"SELECT g.device_id, g.message, g.field, CAST(least(r.cnt, {N}) - r.rn AS BIGINT) AS idx, CAST(r.ts_us AS DOUBLE) AS timestamp, g.value "
+              f"FROM ({o['signals_long']}) g JOIN ({_with_base(ranked)}) r ON r.device_id = g.device_id AND r.seq = g.idx WHERE r.rn <= {N}")
+    o["aligned_series"] = newest
+    o["series_slice"] = (f"SELECT device_id, message, field, idx - 1 AS k, value FROM ({newest}) WHERE idx IN (1, 2) AND (message, field) IN "
+                         "(('GGA', 'latitude'), ('PVT', 'lon'), ('DOP', 'gDOP'), ('VELNED', 'speed'))")
     # packs
     okm = f"SELECT device_id, ts_us // {DAY_US} AS pack_id, {msg} AS message, e AS seq, ts_us FROM pb WHERE parse_result = 'OK'"
     names = ", ".join(f"('{m}')" for m in FT.ALL_MESSAGES)
@@ -409,6 +434,10 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT device_id, CAST(pack_id AS BIGINT) AS pack_id, message, "
         f"CAST(row_number() OVER (PARTITION BY device_id, pack_id, message ORDER BY seq) - 1 AS BIGINT) AS pos, "
         f"ts_us AS _inner_timestamp FROM ({okm})")
+    o["pack_fields"] = _with_base(_pack_rows("SELECT * FROM pb WHERE parse_result = 'OK'"))
+    kept = f"SELECT pb.* FROM pb JOIN ({o['downsample_rate']}) k ON k.seq = pb.e"
+    o["pack_fields_rate"] = _with_base(_pack_rows(kept))
+    o["stream_packs_rate"] = o["pack_fields_rate"]
     # sinks and sources
     outputs = []
     for m in FT.ALL_MESSAGES:
@@ -432,6 +461,19 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT device_id, {recno} AS rec_no, ts_us, protocol, CASE WHEN protocol = 'UBX' THEN 'B562' ELSE '244750' END "
         "AS start_hex, body_hex, CAST(body_len AS BIGINT) AS body_len, false AS truncated, 'OK' AS status FROM fx")
     o["deframe_split"] = o["deframe"]
+    o["stream_capture"] = _with(
+        "SELECT device_id, ts_us, protocol, CASE WHEN protocol = 'UBX' THEN 'B562' ELSE '244750' END "
+        "AS start_hex, body_hex, CAST(body_len AS BIGINT) AS body_len, false AS truncated, 'OK' AS status FROM fx")
+    # a record is lost when an odd number of cut frames stand right before it: the last of them is read on into it
+    o["capture_unfinished"] = _with(
+        f"SELECT device_id, CAST(row_number() OVER (PARTITION BY device_id ORDER BY e) - 1 AS BIGINT) AS rec_no, ts_us, "
+        "own || CASE WHEN cut AND behind IS NOT NULL THEN behind ELSE '' END AS raw_hex, "
+        "CASE WHEN cut AND behind IS NULL THEN 'INCOMPLETE' ELSE 'OK' END AS status FROM ("
+        "SELECT *, rn - 1 - coalesce(max(CASE WHEN NOT cut THEN rn END) OVER (PARTITION BY device_id ORDER BY e "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cuts, lead('28' || hex(printf('%016d', ts_us)) || '29' || own) "
+        "OVER (PARTITION BY device_id ORDER BY e) AS behind FROM ("
+        "SELECT device_id, e, ts_us, protocol = 'UBX' AND e % 5 = 0 AS cut, row_number() OVER (PARTITION BY device_id ORDER BY e) AS rn, "
+        f"CASE WHEN protocol = 'UBX' AND e % 5 = 0 THEN left({raw_hex}, length({raw_hex}) - 16) ELSE {raw_hex} END AS own FROM fx)) WHERE cuts % 2 = 0")
     full = "(length(text) + 1 + 200 + (e * 7) % 150)"
     wide = "(body_len + 200 + (e * 7) % 150)"
     o["deframe_truncate"] = _with(
@@ -474,3 +516,25 @@ def _string_parts() -> list[str]:
             parts.append(f"SELECT device_id, '{FT.SERIES_LABEL[m]}' AS message, '{name}' AS field, e AS idx, "
                          f"CAST({ex[name]} AS VARCHAR) AS value FROM pb WHERE {_ok(m)}")
     return parts
+
+
+def _numbers(message: str) -> list[tuple[str, str]]:
+    from ..operators.reshape import pack_fields
+    return [(n, t) for n, t in pack_fields(message) if t != "string"]
+
+
+def _pack_rows(rows: str) -> str:
+    """Every field of every record of daily packs of ``rows`` (columns of pb)."""
+    from ..operators.reshape import pack_fields
+    parts = []
+    for m in FT.ALL_MESSAGES:
+        ex = dict(expected(m))
+        fields = [("_inner_timestamp", "CAST(ts_us AS DOUBLE)", "NULL")]
+        fields += [(n, "NULL", ex[n]) if t == "string" else (n, _pack_value(m, n, ex[n]), "NULL") for n, t in pack_fields(m)]
+        parts.append(
+            f"SELECT device_id, CAST(ts_us // {DAY_US} AS BIGINT) AS pack_id, '{m}' AS message, "
+            f"CAST(row_number() OVER (PARTITION BY device_id, ts_us // {DAY_US} ORDER BY e) - 1 AS BIGINT) AS pos, "
+            "unnest([" + ", ".join(f"'{n}'" for n, _, _ in fields) + "]) AS field, "
+            "unnest([" + ", ".join(f"CAST({v} AS DOUBLE)" for _, v, _ in fields) + "]) AS value, "
+            "unnest([" + ", ".join(f"CAST({t} AS VARCHAR)" for _, _, t in fields) + f"]) AS text FROM ({rows}) WHERE slot = {SLOT[m]}")
+    return " UNION ALL ".join(parts)

@@ -17,18 +17,20 @@ from ..functions.names import fix_mode_name, message_code, message_name, parse_r
 from ..functions.text import deg_min_to_deg, latin1, nmea_checksum_ok, numeric_prefix, token, tokenize
 from ..operators.classify import classify
 from ..operators.decode import decode
-from ..operators.pack import pack_build, pack_entries, pack_sizes
+from ..operators.pack import pack_build, pack_entries, pack_long, pack_sizes
 from ..operators.report import decode_quality
-from ..operators.reshape import series_long, series_pivot, unpack_series
+from ..operators.reshape import aligned_series, series_long, series_pivot, series_slice, unpack_series
 from ..operators.state import buffer_readout, elapsed_us, latest_n, latest_state, trim_series
 from ..operators.thinning import downsample_rate, resample, thin
 from ..session import scratch_path
 from ..sinks.csv import csv_fanout, format_rows, header_line, write_frame_lake
-from ..sinks.raw import capture_record, raw_frame, write_captures
-from ..sources.capture import deframe, scan_captures, scan_captures_split
+from ..sinks.raw import capture_record, grow_captures, raw_frame, write_captures
+from ..sources.capture import deframe, scan_captures, stream_captures
+from ..sources.capture_source import RANGE_BYTES
 from ..sources.derive import frames_from_events
-from ..streaming.stream import (csv_fanout_stream, decode_stream, latest_n_stream, read_frames_stream,
-                                report_stream, thin_stream)
+from ..streaming.state import current_records, latest_records, latest_state_stream, rate_packs, run_to_table
+from ..streaming.stream import (FRAME_SCHEMA, csv_fanout_stream, decode_stream, read_frames_stream, report_stream,
+                                run_available_now, thin_stream)
 
 HOUR_US = 3_600_000_000
 DAY_US = 24 * HOUR_US
@@ -287,18 +289,82 @@ def q_stream_quality(spark, sf):
 
 
 def q_stream_latest_n(spark, sf):
+    """The newest SERIES_N whole records per device and message, kept in list state."""
     land = _landing(spark, sf, "land-ring")
     out, ck = scratch_path(spark, "ring-out"), scratch_path(spark, "ring-ck")
-    stream = classify(read_frames_stream(spark, land, max_files_per_trigger=2))
-    ok = stream.filter(F.col("parse_result") == "OK").select("device_id", "message", "seq")
-    ring = latest_n_stream(ok, ["device_id", "message"], "seq", SERIES_N)
-    q = (ring.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
-    rows = spark.read.parquet(out)
-    top = F.max("version").over(Window.partitionBy("device_id", "message"))
-    return rows.withColumn("_top", top).filter(F.col("version") == F.col("_top")).select(
-        "device_id", "message", "seq", "idx")
+    stream = classify(read_frames_stream(spark, land, max_files_per_trigger=2)).filter(F.col("parse_result") == "OK")
+    rows = stream.select("device_id", "message", "seq", "ts_us", "protocol", F.hex("body").alias("body_hex"))
+    run_to_table(latest_records(rows, ["device_id", "message"], "seq", SERIES_N), out, ck)
+    return current_records(spark.read.parquet(out), ["device_id", "message"])
+
+
+def _all_fields():
+    return {m: FT.columns(m) for m in FT.ALL_MESSAGES}
+
+
+def q_stream_latest_state(spark, sf):
+    """latest_state over all fields of the nine messages, as a stream of several micro-batches."""
+    land = _landing(spark, sf, "land-latest")
+    out, ck = scratch_path(spark, "latest-out"), scratch_path(spark, "latest-ck")
+    frames_in = classify(read_frames_stream(spark, land, max_files_per_trigger=2))
+    run_to_table(latest_state_stream(frames_in, _all_fields(), per_field=True), out, ck)
+    return spark.read.parquet(out)
+
+
+def q_stream_packs_rate(spark, sf):
+    """Streaming packs of rate-limited records; a frame far in the future closes the last windows."""
+    land = _landing(spark, sf, "land-packs")
+    out, ck = scratch_path(spark, "packs-out"), scratch_path(spark, "packs-ck")
+    packs = rate_packs(classify(read_frames_stream(spark, land, max_files_per_trigger=2)), DOWNSAMPLE_HZ)
+    run_to_table(packs, out, ck)
+    later = (frames(spark, sf).groupBy().agg(F.max("ts_us").alias("last")).select(
+        F.lit(-1).cast("bigint").alias("device_id"), F.lit(-1).cast("bigint").alias("seq"),
+        (F.col("last") + F.lit(10 * DAY_US)).alias("ts_us"), F.lit("NMEA").alias("protocol"), F.lit(b"$GP").alias("start_seq"),
+        F.lit(b"GGA,1").alias("body"), F.lit(5).alias("body_len"), F.lit(False).alias("truncated"), F.lit("OK").alias("status")))
+    later.write.mode("append").parquet(land)
+    run_to_table(packs, out, ck)
+    return pack_long(spark.read.parquet(out).filter("device_id >= 0"))
+
+
+def q_stream_arrival(spark, sf):
+    """Frames of a live source carry no time: every fifth has its time removed and is stamped at arrival."""
+    land, out, ck = scratch_path(spark, "land-live"), scratch_path(spark, "live-out"), scratch_path(spark, "live-ck")
+    given = F.when(F.col("seq") % 5 != 0, F.col("ts_us"))
+    frames(spark, sf).withColumn("ts_us", given).repartition(4).write.parquet(land)
+    began = spark.range(1).select(F.unix_micros(F.current_timestamp())).first()[0]
+    run_available_now(read_frames_stream(spark, land, max_files_per_trigger=2), out, ck)
+    late = F.unix_micros(F.current_timestamp())
+    stamped = (F.col("ts_us") >= F.lit(began)) & (F.col("ts_us") <= late)
+    return spark.read.schema(FRAME_SCHEMA).parquet(out).select(
+        "device_id", "seq", stamped.alias("stamped"), F.when(~stamped, F.col("ts_us")).alias("ts_us"))
+
+
+GROWTH = [0.31, 0.67, 1.0]     # shares of a capture after each step of its growth; cuts fall inside frames
+
+
+def q_stream_capture(spark, sf):
+    """Captures that grow while a stream reads them, in steps that end in the middle of frames."""
+    whole = _write_captures(spark, sf, "cap-whole")
+    land, out, ck = scratch_path(spark, "cap-live"), scratch_path(spark, "cap-live-out"), scratch_path(spark, "cap-live-ck")
+    for share in GROWTH:
+        grow_captures(spark, whole, land, share)
+        run_available_now(stream_captures(spark, land, range_bytes=SMALL_RANGE), out, ck)
+    rows = deframe(_device(spark.read.parquet(out)))
+    return rows.select("device_id", "ts_us", "protocol", F.hex("start_seq").alias("start_hex"), F.hex("body").alias("body_hex"),
+                       F.col("body_len").cast("bigint").alias("body_len"), "truncated", "status")
+
+
+UNFINISHED_EVERY, LOST_BYTES = 5, 8
+
+
+def q_capture_unfinished(spark, sf):
+    """Every fifth UBX frame loses its last bytes: a frame is read by its declared length, so the record behind it is lost."""
+    whole = raw_frame(F.col("start_seq"), F.col("body"), F.col("protocol"))
+    cut = (F.col("protocol") == "UBX") & (F.col("seq") % UNFINISHED_EVERY == 0)
+    raw = F.when(cut, F.substring(whole, F.lit(1), F.octet_length(whole) - LOST_BYTES)).otherwise(whole)
+    r = _captures(spark, sf, "cap-unfinished", raw=raw, split=True)
+    d = deframe(r)
+    return d.select("device_id", "rec_no", "ts_us", F.hex("raw").alias("raw_hex"), "status")
 
 
 def q_stream_csv_fanout(spark, sf):
@@ -326,6 +392,16 @@ def q_latest_state(spark, sf):
     return latest_state(lake(spark, sf), LATEST_SELECTION, per_field=True)
 
 
+def q_latest_state_all(spark, sf):
+    """Every field of the nine messages, each carried forward on its own."""
+    return latest_state(lake(spark, sf), _all_fields(), per_field=True)
+
+
+def q_latest_record_all(spark, sf):
+    """Every field of the nine messages, of the latest record of each message as a whole."""
+    return latest_state(lake(spark, sf), _all_fields(), per_field=False)
+
+
 def q_latest_n(spark, sf):
     return latest_n(_ok_series(spark, sf), capacity=SERIES_N).select("device_id", "message", "seq", "idx")
 
@@ -359,6 +435,29 @@ def q_series_pivot(spark, sf):
     return series_pivot(series_long(lake(spark, sf), "signals", messages=["NAV_DOP"]), "NAV_DOP")
 
 
+def _pivot_query(message):
+    def q(spark, sf):
+        return series_pivot(series_long(lake(spark, sf), "signals", messages=[message]), message)
+    return q
+
+
+def q_aligned_series(spark, sf):
+    """The aligned series of every device, flattened; ``timestamp`` is the aligned element of ``_timestamp``."""
+    rows = aligned_series(lake(spark, sf), capacity=SERIES_N).select("device_id", F.explode("series").alias("message", "fields"))
+    rows = rows.select("device_id", "message", F.col("fields")["_timestamp"].alias("_times"), F.explode("fields").alias("field", "_values"))
+    rows = rows.select("device_id", "message", "field", "_times", F.posexplode("_values").alias("idx", "value"))
+    return rows.select("device_id", "message", "field", F.col("idx").cast("bigint").alias("idx"), F.col("_times")[F.col("idx")].alias("timestamp"), "value")
+
+
+def q_series_slice(spark, sf):
+    """Lookup by slice: two elements from position 1 of a few fields of every device."""
+    rows = aligned_series(lake(spark, sf), capacity=SERIES_N)
+    wanted = [("GGA", "latitude"), ("PVT", "lon"), ("DOP", "gDOP"), ("VELNED", "speed")]
+    parts = [F.struct(F.lit(m).alias("message"), F.lit(f).alias("field"), series_slice(F.col("series"), m, f, 1, 2).alias("vs")) for m, f in wanted]
+    rows = rows.select("device_id", F.inline(F.array(*parts)))
+    return rows.select("device_id", "message", "field", F.posexplode("vs").alias("k", "value")).withColumn("k", F.col("k").cast("bigint"))
+
+
 # ---------------------------------------------------------------------------------- packs
 def q_pack_sizes(spark, sf):
     return pack_sizes(pack_build(lake(spark, sf), PACK_US))
@@ -373,6 +472,15 @@ def q_pack_build_rate(spark, sf):
     return _pack_ends(pack_build(lake(spark, sf), PACK_US, DOWNSAMPLE_HZ))
 
 
+def _pack_long_query(rate_hz):
+    """Packs written, read back, and every field of every packed record listed."""
+    def q(spark, sf):
+        path = scratch_path(spark, "packs")
+        pack_build(lake(spark, sf), PACK_US, rate_hz).write.parquet(path)
+        return pack_long(spark.read.parquet(path))
+    return q
+
+
 def _unpack_query(kind):
     """Packs -> resample -> newest SERIES_N per device and message -> long series."""
     def q(spark, sf):
@@ -431,7 +539,11 @@ def q_raw_reemit(spark, sf):
                     .alias("raw_hex"))
 
 
-def _captures(spark, sf, name, raw: F.Column | None = None, cut_last: bool = False, split: bool = False):
+SMALL_RANGE = 4096     # bytes of a read range of the _split queries, so that a capture is many ranges at test scale
+
+
+def _write_captures(spark, sf, name, raw: F.Column | None = None, cut_last: bool = False) -> str:
+    """Captures ``dev<device_id>.cap`` of all frames in a new folder."""
     f = frames(spark, sf)
     raw = raw if raw is not None else raw_frame(F.col("start_seq"), F.col("body"), F.col("protocol"))
     rec = capture_record(F.col("ts_us"), raw)
@@ -442,12 +554,18 @@ def _captures(spark, sf, name, raw: F.Column | None = None, cut_last: bool = Fal
                      F.expr("substring(_rec, 1, 18 + (octet_length(_rec) - 18) div 2)")).otherwise(F.col("_rec"))
         f = f.join(last_seq, "device_id").withColumn("_rec", capture_record(F.col("ts_us"), raw))
     d = scratch_path(spark, name)
-    recs = (f.select(F.format_string("dev%d", F.col("device_id")).alias("capture_id"), "seq", rec.alias("record"))
-            .filter(F.col("record").isNotNull()))
-    # the files are written by the executors; the noop sink only drives the job
-    write_captures(recs, d).write.format("noop").mode("overwrite").save()
-    r = scan_captures_split(spark, d) if split else scan_captures(spark, d)
-    return r.withColumn("device_id", F.regexp_extract("capture_id", r"(\d+)$", 1).cast("bigint"))
+    write_captures(f.select(F.format_string("dev%d", F.col("device_id")).alias("capture_id"), "seq", rec.alias("record"))
+                   .filter(F.col("record").isNotNull()), d)
+    return d
+
+
+def _device(records):
+    return records.withColumn("device_id", F.regexp_extract("capture_id", r"(\d+)$", 1).cast("bigint"))
+
+
+def _captures(spark, sf, name, raw: F.Column | None = None, cut_last: bool = False, split: bool = False):
+    d = _write_captures(spark, sf, name, raw, cut_last)
+    return _device(scan_captures(spark, d, range_bytes=SMALL_RANGE if split else RANGE_BYTES))
 
 
 def q_capture_scan(spark, sf):
@@ -548,8 +666,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_decode": q_stream_decode,
         "stream_quality": q_stream_quality,
         "stream_latest_n": q_stream_latest_n,
+        "stream_latest_state": q_stream_latest_state,
+        "stream_packs_rate": q_stream_packs_rate,
+        "stream_arrival": q_stream_arrival,
+        "stream_capture": q_stream_capture,
+        "capture_unfinished": q_capture_unfinished,
         "stream_csv_fanout": q_stream_csv_fanout,
         "latest_state": q_latest_state,
+        "latest_state_all": q_latest_state_all,
+        "latest_record_all": q_latest_record_all,
         "latest_n": q_latest_n,
         "buffer_readout": q_buffer_readout,
         "trim_series": q_trim_series,
@@ -558,6 +683,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "strings_long": q_strings_long,
         "enums_long": q_enums_long,
         "series_pivot": q_series_pivot,
+        "aligned_series": q_aligned_series,
+        "series_slice": q_series_slice,
+        "pack_fields": _pack_long_query(0),
+        "pack_fields_rate": _pack_long_query(DOWNSAMPLE_HZ),
         "pack_build": q_pack_build,
         "pack_build_rate": q_pack_build_rate,
         "unpack_signals": _unpack_query("signals"),
@@ -577,5 +706,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "deframe_incomplete": q_deframe_incomplete,
     })
     for m in FT.ALL_MESSAGES:
+        if m != "NAV_DOP":
+            q["series_pivot_" + m.replace("NAV_", "").lower()] = _pivot_query(m)
         q["format_" + m.replace("NAV_", "").lower()] = _format_query(m)
     return q

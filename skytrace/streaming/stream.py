@@ -85,32 +85,6 @@ def report_stream(spark: SparkSession, landing: str, out: str, checkpoint: str,
      .trigger(availableNow=True).start().awaitTermination())
 
 
-def latest_n_stream(df: DataFrame, keys: list[str], order: str, capacity: int) -> DataFrame:
-    """Latest-N retention with bounded list state per key (at most ``capacity`` entries).
-
-    Every micro-batch emits the key's current ring (``idx`` 0 = oldest) tagged with a
-    per-key version; readers keep the highest version per key.
-    """
-    out_schema = df.select(*keys).schema.simpleString()[len("struct<"):-1]
-    out_schema = f"{out_schema},{order}:bigint,idx:bigint,version:bigint"
-
-    def push(key, pdfs, state):
-        pdf = pd.concat(list(pdfs), ignore_index=True)
-        seqs = list(state.get[0]) if state.exists else []
-        version = int(state.get[1]) + 1 if state.exists else 0
-        allv = np.sort(np.concatenate([np.asarray(seqs, dtype=np.int64), pdf[order].to_numpy(dtype=np.int64)]))
-        ring = allv[-capacity:]
-        state.update((ring.tolist(), version))
-        res = pd.DataFrame({order: ring, "idx": np.arange(len(ring), dtype=np.int64)})
-        for i, k in enumerate(keys):
-            res.insert(i, k, key[i])
-        res["version"] = version
-        yield res
-
-    return df.groupBy(*keys).applyInPandasWithState(push, out_schema, f"seqs array<bigint>, version bigint",
-                                                    "append", GroupStateTimeout.NoTimeout)
-
-
 def csv_fanout_stream(spark: SparkSession, landing: str, out: str, checkpoint: str,
                       max_files_per_trigger: int | None = None) -> None:
     """Per-message CSV outputs ``GPS_<NAME>.csv``, one folder per micro-batch (``foreachBatch``): a
@@ -143,13 +117,18 @@ def pack_stream(classified: DataFrame, pack: str = "1 day", delay: str = "1 hour
     end; the state is the set of open windows, bounded by ``delay`` and the pack size.
     Output schema = batch ``pack_build`` (``pack_id`` = window start in whole packs).
     """
+    ok = (classified.filter((F.col("parse_result") == "OK") & F.col("message").isNotNull())
+          .withColumn("_et", F.timestamp_micros(F.col("ts_us")))
+          .withWatermark("_et", delay))
+    return _windowed_packs(ok, pack, compat)
+
+
+def _windowed_packs(ok: DataFrame, pack: str, compat: bool) -> DataFrame:
+    """Packs of the event-time (``_et``) windows of a watermarked stream."""
     from ..functions import fields as FT
     from ..operators.reshape import pack_record
 
     pack_us = int(spark_interval_us(pack))
-    ok = (classified.filter((F.col("parse_result") == "OK") & F.col("message").isNotNull())
-          .withColumn("_et", F.timestamp_micros(F.col("ts_us")))
-          .withWatermark("_et", delay))
     aggs = []
     for m in FT.ALL_MESSAGES:
         rec = pack_record(m, F.col("body"), F.col("ts_us"), compat)
