@@ -52,15 +52,35 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, tidy: bool = False) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts the lineage, and a lost
-    executor repeats only its own tasks."""
+    executor repeats only its own tasks. ``tidy`` lets Spark delete the write's shuffle files as soon as it ends
+    (for operators that write many tables in turn)."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(_TIDY, "false")
+    if tidy:
+        spark.conf.set(_TIDY, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if tidy:
+            spark.conf.set(_TIDY, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of materialised tables that are no longer read."""
+    for t in tables:
+        for folder in {name.rsplit("/", 1)[0] for name in t.inputFiles()}:
+            if "/skytrace/" in folder:
+                p = t.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+                p.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def _delete_on_exit(spark: SparkSession, path: str) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
