@@ -1,14 +1,17 @@
 """Brown class-based bigram language model: P(w | w') = P(class(w) | class(w')) P(w | class(w)).
 
-Counts of all words of all training documents are a distributed table. Exchange clustering starts
-on a bounded set of types: the FREQUENT commonest words by themselves, every other word by its ending,
-hashed to ENDINGS types, and the end token. Each task counts the successions of types over all its
-text; on their sum, types move, one at a time, to the class that raises the likelihood of the class
-bigrams most, until a sweep moves none or SWEEPS are done. From these classes every word of the
-vocabulary moves by its own successions: in a sweep all words choose at once, in tasks, by their counts
-per neighbouring class; a sweep that lowers the likelihood is not taken and the next lets fewer words
-move. A word beyond the KNOWN commonest has its class in a distributed table; endings stand for unseen
-words only. The end token keeps a class of its own.
+Counts of all words of all training documents are a distributed table. One pass over the texts counts every
+succession of two words: those among the KNOWN commonest words as packed tables by ranges of words, those of
+all others as one row a word with its neighbours. All that follows reads these tables, never the texts.
+
+Exchange clustering starts on a bounded set of types: the FREQUENT commonest words by themselves, every other
+word by its ending, hashed to ENDINGS types, and the end token. Types move, one at a time, to the class that
+raises the likelihood of the class bigrams most, until a sweep moves none or SWEEPS are done. From these
+classes every word of the vocabulary moves by its own successions: in a sweep the counts per neighbouring
+class (the cells) of all words are formed in tasks, then all words choose at once, in tasks; a sweep that lowers the
+likelihood is not taken and the next lets fewer words move. The class matrix is a sum of the cells. A
+word beyond the known ones has its class in its row and hears of the classes of its like by messages to its key;
+endings stand for unseen words only. The end token keeps a class of its own.
 
 Transitions are smoothed towards the class shares, (n(c', c) + BETA p(c)) / (n(c') + BETA), and
 emissions by (n(w) + 0.1) / (n(c) + 0.1 (words of c + 1)). A document starts after an end token.
@@ -17,13 +20,12 @@ Scoring looks up the commonest words in a broadcast table of at most KNOWN rows;
 of all others are joined by word hash, so the vocabulary may grow without bound.
 
 Defined cases: null and empty texts have the end token only. Repeated rows keep one row each. A
-null id counts as the empty text in the choice of training rows. Without training rows every
-count is 0. Other columns are not read.
+null id counts as the empty text in the choice of training rows. Without training rows, or without any row, every
+count is 0. Texts of any length are read whole. Other columns are not read.
 """
 
 from __future__ import annotations
 
-import gc
 import zlib
 from collections.abc import Iterator
 
@@ -32,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialise
+from ..session import discard, materialise
 from .common import (LOWER, NOT_SPACE, col, mix64, pieces, row_of, text_buffer, word_hashes, word_spans)
 
 FREQUENT, ENDINGS, CLASSES, SWEEPS, BETA = 1024, 512, 48, 8, 5.0
@@ -65,39 +67,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array(np.append(n, b.num_rows))], names=["_key", "_ending", "_n"])
 
 
-def _types(keys: np.ndarray, ending: np.ndarray, frequent: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Type numbers: rank of a frequent word, FREQUENT + ending otherwise. ``frequent`` is sorted."""
-    if not len(frequent):
-        return ending + FREQUENT
-    at = np.minimum(np.searchsorted(frequent, keys), len(frequent) - 1)
-    return np.where(frequent[at] == keys, rank[at], ending + FREQUENT)
-
-
 N_TYPES = FREQUENT + ENDINGS + 1
 
 
-def _with_ends(types: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Types of all tokens, an end token after each text; and the type before each (an end at first)."""
-    token = np.insert(types, at[1:], N_TYPES - 1)
-    return token, np.append(N_TYPES - 1, token[:-1])
-
-
-def _successions(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, rank = shared.value
-        total = np.zeros(N_TYPES * N_TYPES, np.int64)
-        for b in pieces(batches):
-            keys, ending, at = _words(col(b, "_text"))
-            token, before = _with_ends(_types(keys, ending, frequent, rank), at)
-            total += np.bincount(before * N_TYPES + token, minlength=len(total))
-        cell = np.flatnonzero(total)
-        for k in range(0, len(cell), 100_000):
-            part = cell[k:k + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], names=["_cell", "_n"])
-
-    return run
-
-
 def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counted cells, packed for the way to the driver."""
     for b in batches:
@@ -167,9 +139,9 @@ def exchange(n: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) -> np.
 class Model:
     """What scoring needs, of fixed size: the commonest words, classes and log probabilities."""
 
-    def __init__(self, known: np.ndarray, counts: np.ndarray, frequent: np.ndarray, rank: np.ndarray,
-                 successions: np.ndarray, type_tokens: np.ndarray, type_words: np.ndarray, tokens: int, words: int):
-        self.known, self.counts, self.frequent, self.rank = known, counts, frequent, rank
+    def __init__(self, known: np.ndarray, counts: np.ndarray, successions: np.ndarray, type_tokens: np.ndarray,
+                 type_words: np.ndarray, tokens: int, words: int):
+        self.known, self.counts = known, counts
         self.tokens, self.end = tokens, type_tokens[-1]
         self.cls = exchange(successions) if successions.any() else np.append(np.ones(N_TYPES - 1, np.int64), 0)
         one = np.zeros((N_TYPES, CLASSES))
@@ -187,9 +159,9 @@ class Model:
 
 # ----------------------------------------------------------- sweeps over the whole vocabulary
 #: Classes are codes of a word's cells: what follows it (c), what stands before (CLASSES + c), itself.
-_OWN, _STATE = 2 * CLASSES, 128
-_STRIDE, _RANGE, _CHUNK = 2 * CLASSES + 1, 1024, 512
-_CELLS = "_range int, _size int, _packed binary"
+_OWN, _STRIDE = 2 * CLASSES, 2 * CLASSES + 1
+#: Known words of a packed row, words that choose at once, pairs a task counts before it hands them on.
+_RANGE, _CHUNK, _HELD = 256, 512, 1 << 21
 
 
 def _find(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -200,91 +172,343 @@ def _find(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(known[at] == keys, at, -1)
 
 
-def _tokens(b: pa.RecordBatch, known: np.ndarray):
-    """(places, keys) of all tokens, with an end token (place len(known)) after each text, and of those before."""
-    keys, _, at = _words(col(b, "_text"))
-    place = np.insert(_find(known, keys), at[1:], len(known))
-    keys = np.insert(keys, at[1:], np.uint64(_END))
-    return (place, keys), (np.append(len(known), place[:-1]), np.append(np.uint64(_END), keys[:-1]))
+class _Pairs:
+    """Successions of known words (and the end) counted in a task: codes before * (known + 1) + after."""
+
+    def __init__(self, words: int):
+        self.words, self.parts, self.size = words, [], 0
+
+    def add(self, before: np.ndarray, after: np.ndarray) -> None:
+        code, n = np.unique(before * self.words + after, return_counts=True)
+        self.parts.append((code, n))
+        self.size += len(code)
+        if self.size > _HELD and len(self.parts) > 1:
+            self.parts = [_summed(*(np.concatenate(x) for x in zip(*self.parts, strict=True)))]
+            self.size = len(self.parts[0][0])
+
+    def take(self) -> Iterator[pa.RecordBatch]:
+        """Packed, a row for each range of words and side: with what follows the words (0), with what stands before (1)."""
+        if not self.parts:
+            return
+        code, n = _summed(*(np.concatenate(x) for x in zip(*self.parts, strict=True)))
+        self.parts, self.size = [], 0
+        turned = code % self.words * self.words + code // self.words
+        order = np.argsort(turned, kind="stable")
+        for side, c, m in ((0, code, n), (1, turned[order], n[order])):
+            yield from _packed(c, m, _RANGE * self.words, side)
+
+
+def _summed(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(code, kind="stable")
+    code, n = code[order], n[order]
+    first = np.flatnonzero(np.append(True, code[1:] != code[:-1])[:len(code)])
+    return code[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def _packed(code: np.ndarray, n: np.ndarray, wide: int, side: int) -> Iterator[pa.RecordBatch]:
+    """Sorted counted codes as rows (_range, _side, _size, _packed); a range has ``wide`` codes."""
+    cuts = np.flatnonzero(np.append(True, code[1:] // wide != code[:-1] // wide)[:len(code)])
+    for i, j in zip(cuts, np.append(cuts[1:], len(code)), strict=True):
+        k = int(code[i] // wide)
+        raw = np.diff(code[i:j] - k * wide, prepend=0).astype("<i4").tobytes() + n[i:j].astype("<i8").tobytes()
+        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([side], pa.int32()), pa.array([j - i], pa.int32()),
+                                          pa.array([zlib.compress(raw, 1)])], names=["_range", "_side", "_size", "_packed"])
+
+
+def _unpacked(size: int, packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    raw = zlib.decompress(packed)
+    return np.cumsum(np.frombuffer(raw, "<i4", size).astype(np.int64)), np.frombuffer(raw, "<i8", size, 4 * size)
+
+
+def _rows(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
+    for b in batches:
+        yield from zip(*(col(b, x).to_pylist() for x in names), strict=True)
+
+
+# a word beyond the known ones is a row: _heads has (place * 2 + side, count) of its successions with known words, _others
+# (key, count * 1024 + ending * 2 + side) of those with other such words; side 0: what follows it, 1: what stands before
+_HEAD = np.dtype([("head", "<i4"), ("n", "<i4")])
+_OTHER = np.dtype([("key", "<i8"), ("n", "<i8")])
+_CELL = np.dtype([("code", "<i4"), ("n", "<i8")])
+_TAIL = "_key long, _n long, _cls int, _heads binary, _others binary"
+
+
+def _lists(owner: np.ndarray, records: np.ndarray, rows: int) -> pa.Array:
+    """A binary array of the records of each row; ``owner`` ascends."""
+    cut = np.searchsorted(owner, np.arange(rows + 1)) * records.dtype.itemsize
+    return pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(cut.astype(np.int32)), pa.py_buffer(records.tobytes())])
 
 
-def _tail_edges(shared):
-    """Successions of the words that are not known: _side 0 what follows _key, 1 what stands before; the
-    neighbour is a known word or the end (_head) or another such word (_head -1, _other)."""
+def _records(arr: pa.Array, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """(row, record) of all records of a binary array; nulls have none."""
+    data, offs = text_buffer(arr)
+    return np.repeat(np.arange(len(offs) - 1), np.diff(offs) // kind.itemsize), np.frombuffer(data.tobytes(), kind)
+
+
+def _collect_pairs(shared):
+    """The one pass over the texts: packed successions of known words, and of the others a row a word (_key set)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
+        end = len(known)
+        pairs = _Pairs(end + 1)
         for b in pieces(batches):
-            (place, key), (place0, key0) = _tokens(b, known)
+            keys, ending, at = _words(col(b, "_text"))
+            place = np.insert(_find(known, keys), at[1:], end)
+            key = np.insert(keys, at[1:], np.uint64(_END)).view(np.int64)
+            ending = np.insert(ending, at[1:], 0)
+            place0, key0, ending0 = np.append(end, place[:-1]), np.append(_END, key[:-1]), np.append(0, ending[:-1])
+            both = (place >= 0) & (place0 >= 0)
+            pairs.add(place0[both], place[both])
+            # from the side of each word that is not known
             t, t0 = np.flatnonzero(place < 0), np.flatnonzero(place0 < 0)
             word = np.concatenate([key[t], key0[t0]])
-            side = np.repeat(np.array([1, 0], np.int32), [len(t), len(t0)])
-            head = np.concatenate([place0[t], place[t0]]).astype(np.int32)
-            other = np.where(head < 0, np.concatenate([key0[t], key[t0]]), np.uint64(0))
-            same = mix64(mix64(word ^ mix64(other + np.uint64(7))) + (2 * (head + 1) + side).astype(np.uint64))
-            _, first, n = np.unique(same, return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(word[first].view(np.int64)), pa.array(side[first]), pa.array(head[first]),
-                 pa.array(other[first].view(np.int64)), pa.array(n)], names=["_key", "_side", "_head", "_other", "_n"])
+            own = np.concatenate([ending[t], ending0[t0]])
+            side = np.repeat([1, 0], [len(t), len(t0)])
+            head = np.concatenate([place0[t], place[t0]])
+            other, its = np.concatenate([key0[t], key[t0]]), np.concatenate([ending0[t], ending[t0]])
+            uniq, first, row = np.unique(word, return_index=True, return_inverse=True)
+            if len(uniq):
+                to_head = head >= 0
+                code, n = _summed(row[to_head] * (2 * end + 2) + head[to_head] * 2 + side[to_head], np.ones(to_head.sum(), np.int64))
+                heads = np.empty(len(code), _HEAD)
+                heads["head"], heads["n"] = code % (2 * end + 2), n
+                r, o = row[~to_head], np.empty((~to_head).sum(), _OTHER)
+                o["key"], o["n"] = other[~to_head], 1024 + its[~to_head] * 2 + side[~to_head]
+                order = np.argsort(r, kind="stable")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.nulls(len(uniq), pa.int32()), pa.nulls(len(uniq), pa.int32()), pa.nulls(len(uniq), pa.int32()),
+                     pa.nulls(len(uniq), pa.binary()), pa.array(uniq), pa.array(own[first].astype(np.int32)),
+                     _lists(code // (2 * end + 2), heads, len(uniq)), _lists(r[order], o[order], len(uniq))], names=_COLLECTED)
+            if pairs.size > _HELD:
+                yield from _wide(pairs.take())
+        yield from _wide(pairs.take())
 
     return run
 
 
-def _packed_cells(total: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Cells of known words that are not 0, a row for each range of words."""
-    wide = _RANGE * _STRIDE
-    for k in range(0, len(total), wide):
-        cell = np.flatnonzero(total[k:k + wide])
-        if len(cell):
-            raw = np.diff(cell, prepend=0).astype("<i4").tobytes() + total[k:k + wide][cell].astype("<i8").tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([k // wide], pa.int32()), pa.array([len(cell)], pa.int32()),
-                                              pa.array([zlib.compress(raw, 1)])], names=["_range", "_size", "_packed"])
+_COLLECTED = ["_range", "_side", "_size", "_packed", "_key", "_ending", "_heads", "_others"]
+
+
+def _wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()),
+                                          pa.nulls(1, pa.binary())], names=_COLLECTED)
+
+
+def _merge_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed rows sorted by range and side -> one row for each."""
+    at, parts = None, []
+
+    def merged():
+        code, n = _summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+        raw = np.diff(code, prepend=0).astype("<i4").tobytes() + n.astype("<i8").tobytes()
+        return pa.RecordBatch.from_arrays([pa.array([at[0]], pa.int32()), pa.array([at[1]], pa.int32()), pa.array([len(code)], pa.int32()),
+                                           pa.array([zlib.compress(raw, 1)])], names=["_range", "_side", "_size", "_packed"])
+
+    for k, side, size, packed in _rows(batches, "_range", "_side", "_size", "_packed"):
+        if at != (k, side):
+            if parts:
+                yield merged()
+            at, parts = (k, side), []
+        parts.append(_unpacked(size, packed))
+    if parts:
+        yield merged()
+
+
+def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables cut between keys, from batches sorted by _key."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        key = np.asarray(col(b, "_key"))
+        cut = int(np.searchsorted(key, key[-1]))
+        if cut:
+            yield pa.Table.from_batches([*held, b.slice(0, cut)]).combine_chunks()
+            held = []
+        elif held and np.asarray(col(held[-1], "_key"))[-1] != key[0]:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held = []
+        held.append(b.slice(cut))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _merge_tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of words (with counts, or with successions), sorted by _key -> one row a word; _cls is the ending for now."""
+    for t in _by_key(batches):
+        key, first, word = np.unique(np.asarray(t["_key"]), return_index=True, return_inverse=True)
+        n = np.zeros(len(key), np.int64)
+        np.add.at(n, word, np.asarray(t["_n"].fill_null(0)))
+        row, heads = _records(t["_heads"], _HEAD)
+        code, many = _summed(word[row] * (1 << 32) + heads["head"], heads["n"].astype(np.int64))
+        heads = np.empty(len(code), _HEAD)
+        heads["head"], heads["n"] = code & 0xFFFFFFFF, many
+        row2, others = _records(t["_others"], _OTHER)
+        # equal neighbours are summed: by (word, neighbour, ending and side)
+        order = np.lexsort((others["n"] & 1023, others["key"], word[row2]))
+        w, k, f, m = word[row2][order], others["key"][order], (others["n"] & 1023)[order], (others["n"] >> 10)[order]
+        new = np.flatnonzero(np.append(True, (w[1:] != w[:-1]) | (k[1:] != k[:-1]) | (f[1:] != f[:-1]))[:len(w)])
+        out = np.empty(len(new), _OTHER)
+        if len(new):
+            out["key"], out["n"] = k[new], np.add.reduceat(m, new) * 1024 + f[new]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(key), pa.array(n), t["_ending"].combine_chunks().take(pa.array(first)), _lists(code >> 32, heads, len(key)),
+             _lists(w[new], out, len(key))], names=["_key", "_n", "_cls", "_heads", "_others"])
+
 
+def _cells_matrix(total: np.ndarray) -> Iterator[pa.RecordBatch]:
+    code = np.flatnonzero(total)
+    for k in range(0, len(code), 100_000):
+        part = code[k:k + 100_000]
+        yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], names=["_cell", "_n"])
 
-def _text_cells(shared):
-    """Cells of known words from their successions among themselves."""
+
+def _type_pairs(shared):
+    """Successions among known words -> counts of successions of types."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, cls = shared.value
-        total = np.zeros((len(known) + 1) * _STRIDE, np.int32)  # a task has less than 2**31 tokens
-        for b in pieces(batches):
-            (place, _), (before, _) = _tokens(b, known)
-            on = (place >= 0) & (before >= 0)
-            place, before = place[on], before[on]
-            for cell in (before * _STRIDE + cls[place], place * _STRIDE + CLASSES + cls[before],
-                         place[place == before] * _STRIDE + _OWN):
-                np.add.at(total, cell, 1)
-        yield from _packed_cells(total)
+        types = shared.value
+        total = np.zeros(N_TYPES * N_TYPES, np.int64)
+        for k, size, packed in _rows(batches, "_range", "_size", "_packed"):
+            code, n = _unpacked(size, packed)
+            a, b = types[k * _RANGE + code // len(types)], types[code % len(types)]
+            total += np.bincount(a * N_TYPES + b, n, len(total)).astype(np.int64)
+        yield from _cells_matrix(total)
 
     return run
 
 
-def _head_cells(known: int):
-    """Cells of known words from successions with the other words."""
+def _type_tails(shared):
+    """The same of the successions of other words; those of two such words are counted once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((known + 1) * _STRIDE, np.int64)
+        types = shared.value
+        total = np.zeros(N_TYPES * N_TYPES, np.int64)
         for b in batches:
-            side, head, cls, n = (np.asarray(col(b, x)) for x in ("_side", "_head", "_cls", "_n"))
-            np.add.at(total, head.astype(np.int64) * _STRIDE + (1 - side) * CLASSES + cls, n)
-        yield from _packed_cells(total)
+            own = FREQUENT + np.asarray(col(b, "_cls")).astype(np.int64)
+            row, h = _records(col(b, "_heads"), _HEAD)
+            side, head = h["head"] & 1, types[h["head"] >> 1]
+            x, y = np.where(side, head, own[row]), np.where(side, own[row], head)
+            row2, o = _records(col(b, "_others"), _OTHER)
+            after = (o["n"] & 1) == 0
+            x = np.append(x, own[row2][after])
+            y = np.append(y, FREQUENT + (o["n"][after] >> 1 & 511))
+            total += np.bincount(x * N_TYPES + y, np.append(h["n"], o["n"][after] >> 10), len(total)).astype(np.int64)
+        yield from _cells_matrix(total)
 
     return run
 
 
-def _messages(shared):
-    """Edges with the class of _key -> counts for the cells of the words that are not known."""
+def _send(first, choose):
+    """Rows of words -> the rows with their class, and for each succession with another such word a message to it
+    (_m = count * 256 + code). ``first`` gives the classes to begin with; ``choose`` moves the words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cls = shared.value[1]
         for b in batches:
-            key, side, head, other, c, n = (np.asarray(col(b, x)) for x in ("_key", "_side", "_head", "_other", "_cls", "_n"))
-            to = np.where(head >= 0, key, other)
-            code = np.where(head >= 0, side * CLASSES + cls[np.maximum(head, 0)], (1 - side) * CLASSES + c)
-            own = np.flatnonzero((head < 0) & (side == 0) & (other == key))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.append(to, key[own])), pa.array(np.append(n * 256 + code, n[own] * 256 + _OWN))],
-                names=["_key", "_m"])
+            key = np.asarray(col(b, "_key"))
+            cls = first.value[np.asarray(col(b, "_cls"))] if first is not None else choose(b)
+            row, o = _records(col(b, "_others"), _OTHER)
+            side, n = o["n"] & 1, o["n"] >> 10
+            self_ = (o["key"] == key[row]) & (side == 0)
+            to = np.append(o["key"], key[row][self_])
+            code = np.append((1 - side) * CLASSES + cls[row], np.full(self_.sum(), _OWN))
+            n = np.append(n, n[self_])
+            count = pa.nulls(len(to), pa.int64())
+            yield pa.RecordBatch.from_arrays([col(b, "_key"), col(b, "_n"), pa.array(cls.astype(np.int32)), col(b, "_heads"), col(b, "_others"),
+                                              pa.nulls(len(key), pa.int64())], names=_SENT)
+            yield pa.RecordBatch.from_arrays([pa.array(to), count, pa.nulls(len(to), pa.int32()), pa.nulls(len(to), pa.binary()),
+                                              pa.nulls(len(to), pa.binary()), pa.array(n * 256 + code)], names=_SENT)
+
+    return run
+
+
+_SENT = ["_key", "_n", "_cls", "_heads", "_others", "_m"]
+
+
+def _receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows and messages sorted by (_key, messages last) -> the rows with the cells the messages make."""
+    for t in _by_key(batches):
+        message = np.asarray(t["_m"].is_valid())
+        own = t.filter(pa.array(~message)).combine_chunks()
+        key = np.asarray(own["_key"])
+        m = np.asarray(t["_m"].fill_null(0))[message]
+        code, n = _summed(np.searchsorted(key, np.asarray(t["_key"])[message]) * 256 + (m & 255), m >> 8)
+        cells = np.empty(len(code), _CELL)
+        cells["code"], cells["n"] = code & 255, n
+        cols = [own[x].combine_chunks() for x in ("_key", "_n", "_cls", "_heads", "_others")]
+        yield pa.RecordBatch.from_arrays([*cols, _lists(code >> 8, cells, len(key))],
+                                         names=["_key", "_n", "_cls", "_heads", "_others", "_cells"])
+
+
+def _exchanged(tails: DataFrame, send) -> DataFrame:
+    """Rows with classes and with the cells from one another, written. A word's rows meet in one task, streamed."""
+    kinds = "_key long, _n long, _cls int, _heads binary, _others binary, _m long"
+    n = int(tails.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialise(tails.mapInArrow(send, kinds).repartition(n, "_key").sortWithinPartitions("_key", F.col("_m").isNotNull())
+                       .mapInArrow(_receive, _TAIL + ", _cells binary"), "tails", tidy=True)
+
+
+def _head_sums(shared):
+    """Successions among known words -> their cells, and (range -1) the class matrix."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cls = shared.value
+        g = np.zeros(CLASSES * CLASSES)
+        for k, side, size, packed in _rows(batches, "_range", "_side", "_size", "_packed"):
+            code, n = _unpacked(size, packed)
+            w, v = code // len(cls), code % len(cls)
+            if side == 0:
+                g += np.bincount(cls[k * _RANGE + w] * CLASSES + cls[v], n, len(g))
+            total = np.bincount(w * _STRIDE + side * CLASSES + cls[v], n, _RANGE * _STRIDE)
+            if side == 0:
+                same = v == k * _RANGE + w
+                total[w[same] * _STRIDE + _OWN] += n[same]
+            at = np.flatnonzero(total)
+            yield from _packed(at + k * _RANGE * _STRIDE, total[at].astype(np.int64), _RANGE * _STRIDE, 0)
+        yield from _matrix_row(g)
 
     return run
 
 
+def _tail_sums(shared):
+    """Rows of the other words with their cells -> what they add to the known words' cells and to the class matrix."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cls = shared.value
+        g = np.zeros(CLASSES * CLASSES)
+        total = np.zeros(len(cls) * _STRIDE, np.int32)  # a task has less than 2**31 tokens
+        for b in batches:
+            own = np.asarray(col(b, "_cls")).astype(np.int64)
+            row, h = _records(col(b, "_heads"), _HEAD)
+            side, head = (h["head"] & 1).astype(np.int64), h["head"] >> 1
+            spot, n = _summed(head * np.int64(_STRIDE) + (1 - side) * CLASSES + own[row], h["n"].astype(np.int64))
+            total[spot] += n.astype(np.int32)
+            x, y = np.where(side, cls[head], own[row]), np.where(side, own[row], cls[head])
+            g += np.bincount(x * CLASSES + y, h["n"], len(g))
+            row2, c = _records(col(b, "_cells"), _CELL)
+            before = (c["code"] >= CLASSES) & (c["code"] < _OWN)
+            g += np.bincount((c["code"][before] - CLASSES) * CLASSES + own[row2][before], c["n"][before], len(g))
+        at = np.flatnonzero(total)
+        yield from _packed(at, total[at].astype(np.int64), _RANGE * _STRIDE, 0)
+        yield from _matrix_row(g)
+
+    return run
+
+
+def _matrix_row(g: np.ndarray) -> Iterator[pa.RecordBatch]:
+    at = np.flatnonzero(g)
+    for b in _packed(at, g[at].astype(np.int64), len(g), 0):
+        yield b.set_column(0, "_range", pa.array([-1], pa.int32()))
+
+
+def _sums(pairs: DataFrame, tails: DataFrame, cls: np.ndarray) -> tuple[DataFrame, np.ndarray]:
+    """(packed cells of the known words, class matrix) under the present classes."""
+    shared = pairs.sparkSession.sparkContext.broadcast(cls)
+    spec = "_range int, _side int, _size int, _packed binary"
+    cells = materialise(pairs.mapInArrow(_head_sums(shared), spec).unionByName(tails.mapInArrow(_tail_sums(shared), spec)), "cells", tidy=True)
+    g = np.zeros(CLASSES * CLASSES)
+    for r in cells.filter("_range = -1").collect():  # a row a task, at most CLASSES ** 2 numbers each
+        code, n = _unpacked(r["_size"], r["_packed"])
+        g[code] += n
+    return cells, g.reshape(CLASSES, CLASSES)
+
+
 def _gains(g: np.ndarray, r: np.ndarray, q: np.ndarray, own: np.ndarray, a: np.ndarray) -> np.ndarray:
     """Part of the gain of words with the row counts r for every class, diagonals left out."""
     out = np.zeros(r.shape)
@@ -328,12 +552,16 @@ def best_classes(g: np.ndarray, a: np.ndarray, word: np.ndarray, code: np.ndarra
     return np.where(gain[at, k] > gain[at, a] + 1e-9, k, a)
 
 
+def _likelihood(g: np.ndarray) -> float:
+    return float(_xlogx(g).sum() - _xlogx(g.sum(0)).sum() - _xlogx(g.sum(1)).sum())
+
+
 def _may_move(keys: np.ndarray, sweep: int, share: int) -> np.ndarray:
     return mix64(keys + np.uint64(sweep + 1)) % np.uint64(share) == 0
 
 
 def _choose_heads(shared, sweep: int, share: int):
-    """Packed cells by range -> (_place, _cls) of known words."""
+    """Packed cells sorted by range -> (_place, _cls) of known words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, cls, g = shared.value
 
@@ -341,165 +569,72 @@ def _choose_heads(shared, sweep: int, share: int):
             total = total.reshape(_RANGE, _STRIDE)
             places = np.arange(k * _RANGE, min((k + 1) * _RANGE, len(known)))
             places = places[_may_move(known[places], sweep, share)]
-            for i in range(0, len(places), _CHUNK):
-                own = places[i:i + _CHUNK]
-                cells = total[own - k * _RANGE]
-                word, code = np.nonzero(cells)
-                best = best_classes(g, cls[own], word, code, cells[word, code])
-                yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), pa.array(best.astype(np.int32))],
-                                                 names=["_place", "_cls"])
+            cells = total[places - k * _RANGE]
+            word, code = np.nonzero(cells)
+            best = best_classes(g, cls[places], word, code, cells[word, code])
+            return pa.RecordBatch.from_arrays([pa.array(places.astype(np.int32)), pa.array(best.astype(np.int32))], names=["_place", "_cls"])
 
         at, total = None, None
-        for b in batches:
-            for k, size, packed in zip(*(col(b, x).to_pylist() for x in ("_range", "_size", "_packed")), strict=True):
-                if k != at:
-                    if at is not None:
-                        yield from chosen(at, total)
-                    at, total = k, np.zeros(_RANGE * _STRIDE, np.int64)
-                raw = zlib.decompress(packed)
-                total[np.cumsum(np.frombuffer(raw, "<i4", size))] += np.frombuffer(raw, "<i8", size, 4 * size)
+        for k, size, packed in _rows(batches, "_range", "_size", "_packed"):
+            if k != at:
+                if at is not None:
+                    yield chosen(at, total)
+                at, total = k, np.zeros(_RANGE * _STRIDE, np.int64)
+            code, n = _unpacked(size, packed)
+            total[code] += n
         if at is not None:
-            yield from chosen(at, total)
+            yield chosen(at, total)
 
     return run
 
 
 def _choose_tails(shared, sweep: int, share: int):
-    """(_key, its counts) -> (_key, _n, _cls) of the words that are not known."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        g = shared.value[2]
-        for whole in batches:
-            for i in range(0, whole.num_rows, _CHUNK):
-                b = whole.slice(i, _CHUNK)
-                key, lists = np.asarray(col(b, "_key")), col(b, "_ms")
-                m, word = np.asarray(lists.flatten()), row_of(np.append(0, np.cumsum(np.asarray(lists.value_lengths()))))
-                code, n = m & 255, m >> 8
-                state = code >= _STATE
-                cls, count = np.ones(len(key), np.int64), np.zeros(len(key), np.int64)
-                cls[word[state]], count[word[state]] = code[state] - _STATE, n[state]
-                best = best_classes(g, cls, word[~state], code[~state], n[~state])
-                cls = np.where(_may_move(key.view(np.uint64), sweep, share), best, cls)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(count), pa.array(cls.astype(np.int32))],
-                                                 names=["_key", "_n", "_cls"])
-
-    return run
-
-
-def _matrix(shared, of_text: bool):
-    """Counts of class successions among known words (texts), or of them with others (edges)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, cls = shared.value
-        total = np.zeros(CLASSES * CLASSES)
-        for b in pieces(batches) if of_text else batches:
-            if of_text:
-                (place, _), (before, _) = _tokens(b, known)
-                on = (place >= 0) & (before >= 0)
-                x, y, n = cls[before[on]], cls[place[on]], None
-            else:
-                side, head, c, n = (np.asarray(col(b, k)) for k in ("_side", "_head", "_cls", "_n"))
-                x, y = np.where(side, cls[head], c), np.where(side, c, cls[head])
-            total += np.bincount(x * CLASSES + y, n, len(total))
-        cell = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(total[cell].astype(np.int64))], names=["_cell", "_n"])
-
-    return run
-
-
-def _likelihood(g: np.ndarray) -> float:
-    return float(_xlogx(g).sum() - _xlogx(g.sum(0)).sum() - _xlogx(g.sum(1)).sum())
-
-
-def _joined(edges: DataFrame, tails: DataFrame) -> DataFrame:
-    """The edges with the present class of _key, written once for the matrix and the next sweep."""
-    return materialise(edges.drop("_cls").join(tails.select("_key", "_cls"), "_key"), "edges")
-
-
-def _drop(*tables: DataFrame) -> None:
-    """Deletes written tables that are no longer read, and lets Spark delete the shuffles nobody holds."""
-    jvm = tables[0].sparkSession._jvm
-    conf = tables[0].sparkSession._jsc.hadoopConfiguration()
-    for folder in {name.rsplit("/", 1)[0] for t in tables for name in t.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
-    gc.collect()
-    jvm.System.gc()
-
-
-def _class_matrix(docs: DataFrame, with_class: DataFrame, tails: DataFrame, known: np.ndarray, cls: np.ndarray) -> np.ndarray:
-    shared = docs.sparkSession.sparkContext.broadcast((known, cls))
-    seconds = tails.select(F.col("_key").alias("_other"), F.col("_cls").alias("_next"))
-    among = (with_class.filter("_head < 0 and _side = 0").join(seconds, "_other")
-             .groupBy((F.col("_cls") * CLASSES + F.col("_next")).cast("long").alias("_cell")).agg(F.sum("_n").alias("_n")))
-    cells = (docs.mapInArrow(_matrix(shared, True), "_cell long, _n long")
-             .unionByName(with_class.filter("_head >= 0").mapInArrow(_matrix(shared, False), "_cell long, _n long"))
-             .unionByName(among))
-    g = np.zeros(CLASSES * CLASSES)
-    for r in cells.groupBy("_cell").agg(F.sum("_n").alias("_n")).collect():  # at most CLASSES ** 2 rows
-        g[r[0]] = r[1]
-    return g.reshape(CLASSES, CLASSES)
-
-
-def _sweep(docs: DataFrame, with_class: DataFrame, tails: DataFrame, known: np.ndarray, cls: np.ndarray, g: np.ndarray,
-           sweep: int, share: int) -> tuple[np.ndarray, DataFrame]:
-    """All words (one in ``share``) move to their best class at once."""
-    sc = docs.sparkSession.sparkContext
-    shared, state = sc.broadcast((known, cls)), sc.broadcast((known, cls, g))
-    cells = docs.mapInArrow(_text_cells(shared), _CELLS).unionByName(
-        with_class.filter("_head >= 0").mapInArrow(_head_cells(len(known)), _CELLS))
-    moved = (cells.repartition("_range").sortWithinPartitions("_range")
-             .mapInArrow(_choose_heads(state, sweep, share), "_place int, _cls int").toPandas())  # at most KNOWN rows
-    heads = cls.copy()
-    heads[moved["_place"].to_numpy()] = moved["_cls"].to_numpy()
-    counts = with_class.mapInArrow(_messages(shared), "_key long, _m long").unionByName(
-        tails.select("_key", (F.col("_n") * 256 + _STATE + F.col("_cls")).alias("_m")))
-    tails = (counts.groupBy("_key").agg(F.collect_list("_m").alias("_ms"))
-             .mapInArrow(_choose_tails(state, sweep, share), "_key long, _n long, _cls int"))
-    return heads, materialise(tails, "classes")
-
-
-def _first_classes(shared):
-    """Counted words that are not known, with the class of their ending to begin with."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, ending_cls = shared.value
-        for b in batches:
-            key = np.asarray(col(b, "_key"))
-            on = np.flatnonzero((_find(known, key.view(np.uint64)) < 0) & (key != _END))
-            cls = ending_cls[np.asarray(col(b, "_ending"))[on]]
-            yield pa.RecordBatch.from_arrays([pa.array(key[on]), pa.array(np.asarray(col(b, "_n"))[on]),
-                                              pa.array(cls.astype(np.int32))], names=["_key", "_n", "_cls"])
-
-    return run
-
-
-def settle(model: Model, docs: DataFrame, table: DataFrame, ending: np.ndarray) -> DataFrame:
-    """Sweeps over all training words from the classes of the model's types; the model gets the classes of
-    the known words (``ending`` has their endings) and the probabilities, the result the classes of all others
-    (_key, _n, _cls)."""
-    sc, known = docs.sparkSession.sparkContext, model.known
-    rank = _find(model.frequent, known)
-    cls = model.cls[FREQUENT + ending]
-    cls[rank >= 0] = model.cls[model.rank[rank[rank >= 0]]]
-    cls = np.append(cls, 0)
-    first = sc.broadcast((known, model.cls[FREQUENT:FREQUENT + ENDINGS]))
-    tails = materialise(table.mapInArrow(_first_classes(first), "_key long, _n long, _cls int"), "classes")
-    edges = docs.mapInArrow(_tail_edges(sc.broadcast(known)), "_key long, _side int, _head int, _other long, _n long")
-    edges = edges.groupBy("_key", "_side", "_head", "_other").agg(F.sum("_n").alias("_n"))
-    edges = _joined(edges, tails)
-    g, share = _class_matrix(docs, edges, tails, known, cls), 1
+    """The classes that rows of other words move to."""
+    def choose(b: pa.RecordBatch) -> np.ndarray:
+        _, heads, g = shared.value
+        key, cls = np.asarray(col(b, "_key")), np.asarray(col(b, "_cls")).astype(np.int64)
+        row, h = _records(col(b, "_heads"), _HEAD)
+        row2, c = _records(col(b, "_cells"), _CELL)
+        word = np.append(row, row2)
+        code = np.append((h["head"] & 1) * CLASSES + heads[h["head"] >> 1], c["code"])
+        n = np.append(h["n"].astype(np.int64), c["n"])
+        order = np.argsort(word, kind="stable")
+        word, code, n = word[order], code[order], n[order]
+        out = cls.copy()
+        for i in range(0, len(key), _CHUNK):
+            a, z = np.searchsorted(word, (i, i + _CHUNK))
+            out[i:i + _CHUNK] = best_classes(g, cls[i:i + _CHUNK], word[a:z] - i, code[a:z], n[a:z])
+        return np.where(_may_move(key.view(np.uint64), sweep, share), out, cls)
+
+    return choose
+
+
+def settle(model: Model, pairs: DataFrame, tails: DataFrame, cls: np.ndarray) -> DataFrame:
+    """Sweeps over all training words from the classes ``cls`` of the known words and the end, and those of the others'
+    endings. The model gets the classes of the known words and the probabilities, the result those of all
+    others (_key, _n, _cls). A sweep reads only the tables of successions, counted once."""
+    sc, known = pairs.sparkSession.sparkContext, model.known
+    begin = sc.broadcast(model.cls[FREQUENT:FREQUENT + ENDINGS])
+    tails = _exchanged(tails, _send(begin, None))
+    cells, g = _sums(pairs, tails, cls)
+    share = 1
     for sweep in range(VOCABULARY_SWEEPS):
-        heads, others = _sweep(docs, edges, tails, known, cls, g, sweep, share)
-        more = _joined(edges, others)
-        then = _class_matrix(docs, more, others, known, heads)
+        state = sc.broadcast((known, cls, g))
+        moved = (cells.filter("_range >= 0").repartition("_range").sortWithinPartitions("_range")
+                 .mapInArrow(_choose_heads(state, sweep, share), "_place int, _cls int").toPandas())  # at most KNOWN rows
+        heads = cls.copy()
+        heads[moved["_place"].to_numpy()] = moved["_cls"].to_numpy()
+        others = _exchanged(tails, _send(None, _choose_tails(state, sweep, share)))
+        more, then = _sums(pairs, others, heads)
         rise = _likelihood(then) - _likelihood(g)
         if rise <= 0:  # too many moved at once
             share *= 4
-            _drop(more, others)
+            discard(more, others)
             continue
-        _drop(edges, tails)
-        cls, edges, tails, g = heads, more, others, then
+        discard(cells, tails)
+        cls, tails, cells, g = heads, others, more, then
         if share == 1 and rise < LEAST_RISE * g.sum():
             break
-    _drop(edges)
     size = np.bincount(cls[:-1], model.counts, CLASSES)
     many = np.bincount(cls[:-1], minlength=CLASSES).astype(float)
     for r in tails.groupBy("_cls").agg(F.sum("_n").alias("n"), F.count("*").alias("w")).collect():  # CLASSES rows
@@ -508,55 +643,92 @@ def settle(model: Model, docs: DataFrame, table: DataFrame, ending: np.ndarray)
     size[0], many[0] = model.end, 1 if model.end else 0
     model.word_cls = cls[:-1]
     model.learn(g, size, many)
-    return tails
+    return tails.select("_key", "_n", "_cls")
+
+
+def commonest(table: DataFrame, most: int) -> DataFrame:
+    """The ``most`` commonest words, or a few less: all above a least (count, key), found by histograms of counts and
+    then of key prefixes, which alone reach the driver. Of equal counts smaller keys come first."""
+    taken, open_, left = F.lit(False), F.col("_key") != _END, most
+    prefix = lambda bits: -F.shiftright("_key", 64 - bits)
+    for level in (F.floor(32 * F.log2("_n")).cast("long"), F.col("_n"), prefix(16), prefix(32)):
+        sizes = table.filter(open_).groupBy(level.alias("g")).agg(F.count("*").alias("c")).collect()  # 65536 rows at most
+        cut = None
+        for r in sorted(sizes, reverse=True):
+            if r.c > left:
+                cut = r.g
+                break
+            left -= r.c
+        if cut is None:
+            return table.filter(taken | open_)
+        taken, open_ = taken | (open_ & (level > cut)), open_ & (level == cut)
+    return table.filter(taken)
+
+
+_FOUND = "_range int, _side int, _size int, _packed binary, _key long, _ending int, _heads binary, _others binary"
+
+
+def successions(docs: DataFrame, table: DataFrame, known: np.ndarray) -> tuple[DataFrame, DataFrame]:
+    """All successions of the texts, counted in one pass and written: those among known words packed by ranges of
+    words, and a row for each other word (its class is its ending for now)."""
+    shared = docs.sparkSession.sparkContext.broadcast(known)
+    found = materialise(docs.mapInArrow(_collect_pairs(shared), _FOUND), "found", tidy=True)
+    spec = "_range int, _side int, _size int, _packed binary"
+    pairs = materialise(found.filter("_range is not null").select("_range", "_side", "_size", "_packed").repartition("_range", "_side")
+                        .sortWithinPartitions("_range", "_side").mapInArrow(_merge_pairs, spec), "pairs", tidy=True)
+    words = table.filter(F.col("_key") != _END).select("_key", "_ending", "_n")
+    rows = found.filter("_key is not null").select("_key", "_ending", "_heads", "_others").unionByName(
+        words.mapInArrow(_not_known(shared), "_key long, _ending int, _n long"), allowMissingColumns=True)
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tails = materialise(rows.repartition(n, "_key").sortWithinPartitions("_key").mapInArrow(_merge_tails, _TAIL), "tails", tidy=True)
+    discard(found)
+    return pairs, tails
+
+
+def _not_known(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(_find(shared.value, np.asarray(col(b, "_key")).view(np.uint64)) < 0))
+
+    return run
 
 
 def fit(docs: DataFrame, spark) -> tuple[Model, DataFrame]:
     """Training documents (_text) -> model and the table of the other words (_key, _n, _cls)."""
     counted = docs.mapInArrow(_count, "_key long, _ending int, _n long")
-    table = materialise(counted.groupBy("_key").agg(F.max("_ending").alias("_ending"), F.sum("_n").alias("_n")), "words")
+    table = materialise(counted.groupBy("_key").agg(F.max("_ending").alias("_ending"), F.sum("_n").alias("_n")), "words", tidy=True)
     table = table.filter("_n > 0")
     tokens, words = table.agg(F.sum("_n"), F.count("*")).first()
-    # the commonest words: all above the least grade of counts that at most KNOWN words reach
-    grade = F.floor(32 * F.log2("_n"))
-    sizes = table.filter(F.col("_key") != _END).groupBy(grade.alias("g")).agg(F.count("*").alias("c")).collect()  # < 2048 rows
-    cut, total = 1 << 30, 0
-    for r in sorted(sizes, reverse=True):
-        total += r.c
-        if total > KNOWN:
-            break
-        cut = r.g
-    best = (table.filter((F.col("_key") != _END) & (grade >= cut)).toPandas()  # at most KNOWN rows
-            .sort_values(["_n", "_key"], ascending=[False, True], ignore_index=True))
+    best = commonest(table, KNOWN).toPandas().sort_values(["_n", "_key"], ascending=[False, True], ignore_index=True)
     end = table.filter(F.col("_key") == _END).agg(F.sum("_n")).first()[0] or 0
     key = best["_key"].to_numpy(np.int64).view(np.uint64)
-    count = best["_n"].to_numpy(np.int64)
+    count, ending = best["_n"].to_numpy(np.int64), best["_ending"].to_numpy(np.int64)
     order = np.argsort(key)
     top = min(FREQUENT, len(key))
-    place = np.argsort(key[:top])
-    frequent, rank = key[:top][place], place.astype(np.int64)
-    shared = spark.sparkContext.broadcast((frequent, rank))
-    cells = docs.mapInArrow(_successions(shared), "_cell int, _n long").groupBy("_cell").agg(F.sum("_n").alias("_n"))
-    n = np.zeros(N_TYPES * N_TYPES)
-    for r in cells.mapInArrow(_squeeze, "size int, packed binary").collect():  # at most N_TYPES ** 2 cells in all
-        raw = zlib.decompress(r.packed)
-        n[np.cumsum(np.frombuffer(raw, "<i4", r.size))] = np.frombuffer(raw, "<i8", r.size, 4 * r.size)
     # words and tokens of each ending, less the frequent words, which are types themselves
     tail = table.groupBy("_ending").agg(F.sum("_n").alias("n"), F.count("*").alias("w")).toPandas()  # ENDINGS rows
     per = np.zeros((2, N_TYPES))
     for e, m, w in tail.itertuples(index=False):
         if e >= 0:
             per[:, FREQUENT + e] = m, w
-    ending = best["_ending"].to_numpy(np.int64)[:top]
-    np.add.at(per[0], FREQUENT + ending, -count[:top])
-    np.add.at(per[1], FREQUENT + ending, -1)
+    np.add.at(per[0], FREQUENT + ending[:top], -count[:top])
+    np.add.at(per[1], FREQUENT + ending[:top], -1)
     per[0, :top], per[1, :top] = count[:top], 1
     per[:, -1] = end, 1 if end else 0
-    model = Model(key[order], count[order], frequent, rank, n.reshape(N_TYPES, N_TYPES), per[0], per[1],
-                  int(tokens or 0), int(words))
+    n = np.zeros(N_TYPES * N_TYPES)
+    if words:
+        pairs, tails = successions(docs, table, key[order])
+        types = np.append(np.where(order < top, order, FREQUENT + ending[order]), N_TYPES - 1)
+        shared, spec = spark.sparkContext.broadcast(types), "_cell int, _n long"
+        cells = (pairs.filter("_side = 0").mapInArrow(_type_pairs(shared), spec)
+                 .unionByName(tails.mapInArrow(_type_tails(shared), spec)).groupBy("_cell").agg(F.sum("_n").alias("_n")))
+        for r in cells.mapInArrow(_squeeze, "size int, packed binary").collect():  # at most N_TYPES ** 2 cells in all
+            raw = zlib.decompress(r.packed)
+            n[np.cumsum(np.frombuffer(raw, "<i4", r.size))] = np.frombuffer(raw, "<i8", r.size, 4 * r.size)
+    model = Model(key[order], count[order], n.reshape(N_TYPES, N_TYPES), per[0], per[1], int(tokens or 0), int(words))
     if not words:
         return model, table.select("_key", "_n", F.lit(0).alias("_cls"))
-    return model, settle(model, docs, table, best["_ending"].to_numpy(np.int64)[order])
+    return model, settle(model, pairs, tails, model.cls[types])
 
 
 def _score(shared):

@@ -37,8 +37,7 @@ def test_scores_match_brute_force(docs, odd, monkeypatch):
 def test_class_probabilities_sum_to_one():
     rng = np.random.default_rng(1)
     n = rng.poisson(0.02, (brown.N_TYPES, brown.N_TYPES)).astype(float)
-    m = brown.Model(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), n,
-                    n.sum(0), (n.sum(0) > 0).astype(float), int(n.sum()), 5)
+    m = brown.Model(np.zeros(0, np.uint64), np.zeros(0, np.int64), n, n.sum(0), (n.sum(0) > 0).astype(float), int(n.sum()), 5)
     assert np.allclose((10 ** m.step).sum(1), 1)
 
 
@@ -110,3 +109,51 @@ def test_rare_words_of_one_ending_get_classes_by_their_successions(docs, spark,
     assert len(of) > 400 and not nouns & verbs
     df = docs(texts + [texts[0]])
     assert all(math.isfinite(r.score) and r.score < 0 for r in brown.score(df, F.lit(True)).collect())
+
+
+def test_score_equals_brute_force_from_the_fitted_classes(docs, spark, monkeypatch):
+    """The fitted classes of all words, with transitions, sizes and probabilities counted anew from the texts."""
+    monkeypatch.setattr(brown, "KNOWN", 30)
+    rows = [(i, prose(i, 40, vocabulary=120)) for i in range(60)] + [(61, None), (62, prose(3, 40) + " ahead unseen ahead")]
+    train = [(i, t) for i, t in rows if i % 4]
+    model, others = brown.fit(docs(train).select(F.coalesce("text", F.lit("")).alias("_text")), spark)
+    counts = Counter(w for _, t in train for w in tokens(t))
+    words = sorted(w for w in counts if w)
+    key = dict(zip(words, brown._words(pa.array([" ".join(words)]))[0].tolist(), strict=True))
+    of = dict(zip(model.known.tolist(), model.word_cls.tolist(), strict=True))
+    of |= {r["_key"] % (1 << 64): r["_cls"] for r in others.collect()}
+    cls = {w: of[k] for w, k in key.items()} | {None: 0}  # every training word has a class
+    g, size, many = np.zeros((brown.CLASSES, brown.CLASSES)), np.zeros(brown.CLASSES), np.zeros(brown.CLASSES)
+    for _, t in train:
+        ts = tokens(t)
+        for a, b in zip([None, *ts], ts, strict=False):
+            g[cls[a], cls[b]] += 1
+    for w, c in counts.items():
+        size[cls[w]] += c
+        many[cls[w]] += 1
+    share = (g.sum(0) + 1 / brown.CLASSES) / (g.sum() + 1)
+    step = (g + brown.BETA * share) / (g.sum(1, keepdims=True) + brown.BETA)
+
+    def unseen(w):
+        e = brown._words(pa.array([w]))[1][0]
+        return model.cls[brown.FREQUENT + e]
+
+    df = docs(rows)
+    for r in brown.score(df, F.col("doc_id") % 4 != 0).collect():
+        want, before = 0.0, 0
+        for w in tokens(dict(rows)[r.doc_id]):
+            c = cls[w] if w in cls else unseen(w)
+            want += math.log10(step[before, c] * (counts[w] + 0.1) / (size[c] + 0.1 * (many[c] + 1)))
+            before = c
+        assert r.score == pytest.approx(want, rel=1e-9)
+
+
+def test_the_commonest_words_are_exact_in_a_flat_vocabulary(spark):
+    rng = np.random.default_rng(1)
+    keys = rng.integers(-2 ** 63, 2 ** 63 - 1, 3000)
+    rows = [(int(k), 0, int(n)) for k, n in zip(keys, rng.choice([1, 5, 5, 5, 300], 3000), strict=True)] + [(brown._END, -1, 9)]
+    table = spark.createDataFrame(rows, "_key long, _ending int, _n long")
+    order = sorted((-n, k) for k, _, n in rows if k != brown._END)
+    for most in (0, 1, 700, 2000, 5000):
+        got = {r["_key"] for r in brown.commonest(table, most).collect()}
+        assert got == {k for _, k in order[:most]}
