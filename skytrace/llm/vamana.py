@@ -264,9 +264,9 @@ def build(rows: DataFrame, k: int, shard: int = SHARD) -> DataFrame:
     # rank() drops no tie of equal ids; the set drops repeated rows
     points = materialise(
         rows.select("_id", "_vector", F.dense_rank().over(own).alias("_k")).filter(F.col("_k") <= k + 1)
-        .groupBy("_vector").agg(F.array_sort(F.collect_set("_id")).alias("_ids")), "points")
+        .groupBy("_vector").agg(F.array_sort(F.collect_set("_id")).alias("_ids"))
+        .select("_ids", "_vector", F.size("_vector").alias("_size"), _grade("_vector").alias("_grade")), "points")
     kind = ["_size", "_grade"]
-    points = points.select("_ids", "_vector", F.size("_vector").alias("_size"), _grade("_vector").alias("_grade"))
     shards = points.groupBy(*kind).agg(F.ceil(F.count("*") / shard).alias("_shards"))  # a row for each grade that occurs
     share = F.pmod(F.xxhash64("_vector"), F.col("_shards"))
     dealt = points.join(F.broadcast(shards), kind).select(
