@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import discard, materialise
-from .common import (LOWER, NOT_SPACE, col, mix64, pieces, row_of, text_buffer, word_hashes, word_spans)
+from .common import LOWER, NOT_SPACE, byte_hashes, col, mix64, pieces, row_of, text_buffer, word_spans
 
 FREQUENT, ENDINGS, CLASSES, SWEEPS, BETA = 1024, 512, 48, 8, 5.0
 KNOWN = 1 << 17
@@ -49,7 +49,7 @@ def _words(arr):
     data, offs = text_buffer(arr)
     data = LOWER[data]
     starts, ends, at = word_spans(data, offs, NOT_SPACE)
-    keys = word_hashes(data, starts, ends)
+    keys = byte_hashes(data, starts, ends)
     tail = np.zeros(len(keys), np.uint64)
     for k in (1, 2, 3):
         have = ends - k >= starts
@@ -207,6 +207,8 @@ def _summed(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _packed(code: np.ndarray, n: np.ndarray, wide: int, side: int) -> Iterator[pa.RecordBatch]:
     """Sorted counted codes as rows (_range, _side, _size, _packed); a range has ``wide`` codes."""
+    if not len(code):
+        return
     cuts = np.flatnonzero(np.append(True, code[1:] // wide != code[:-1] // wide)[:len(code)])
     for i, j in zip(cuts, np.append(cuts[1:], len(code)), strict=True):
         k = int(code[i] // wide)
