@@ -7,6 +7,7 @@ belongs to the word class of each contract used here, so byte runs equal code-po
 
 from __future__ import annotations
 
+import hashlib
 import sys
 import types
 from collections.abc import Iterator
@@ -16,6 +17,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Text bytes handled at once inside a task; a longer single text is a piece of its own.
 PIECE_BYTES = 2 << 20
@@ -34,6 +36,21 @@ def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return df.select(df[id_col].cast("long").alias("_id"), F.coalesce(df[text_col], F.lit("")).alias("_text"))
 
 
+def named(column: str) -> Column:
+    """A column by its own name, whatever characters it has."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def whole_row(docs: DataFrame) -> Column:
+    """All columns as struct ``_row``, which no name inside can clash with."""
+    return F.struct(*[named(c) for c in docs.columns]).alias("_row")
+
+
+def row_and(rows: DataFrame, kinds: str) -> StructType:
+    """The schema of ``_row`` followed by the columns ``kinds``."""
+    return StructType([rows.schema["_row"], *StructType.fromDDL(kinds).fields])
+
+
 def crc_mod(id_col: Column, mod: int) -> Column:
     """crc32 of the id written as text, modulo ``mod``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % mod
@@ -168,6 +185,32 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return span_hash(prefix(BYTE_VALUE[data]), starts, ends)
 
 
+#: Longer spans are hashed one by one.
+_LONG_SPAN = 1 << 10
+
+
+def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte spans, mixed eight bytes a round. Unlike a polynomial modulo 2**64, equal hashes of
+    different spans cannot be built from the spans' structure."""
+    size = ends - starts
+    h = mix64(size.astype(np.uint64) * _P)
+    if not len(starts):
+        return h
+    padded = np.append(data, np.zeros(8, np.uint8))
+    eight = np.ndarray((len(data) + 1,), "<u8", padded.data, strides=(1,))
+    low = np.append((np.uint64(1) << (np.arange(8, dtype=np.uint64) * np.uint64(8))) - np.uint64(1), ~np.uint64(0))
+    for i in np.flatnonzero(size > _LONG_SPAN):
+        h[i] = int.from_bytes(hashlib.blake2b(data[starts[i]:ends[i]].tobytes(), digest_size=8).digest(), "little")
+    live = np.flatnonzero((size > 0) & (size <= _LONG_SPAN))
+    at, left, state = starts[live], size[live], h[live]
+    while len(live):
+        state = mix64(state ^ ((eight[at] & low[np.minimum(left, 8)]) * _P))
+        h[live] = state
+        on = left > 8
+        live, at, left, state = live[on], at[on] + 8, left[on] - 8, state[on]
+    return h
+
+
 def same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Whether the ``size`` bytes from ``a`` equal those from ``b``, eight bytes a round. ``data`` has 8 spare bytes."""
     eight = np.ndarray((len(data) - 7,), "<u8", data.data, strides=(1,))
@@ -239,8 +282,8 @@ def _pack(tops: list[int], with_next: bool):
 def in_id_order(docs: DataFrame, with_next: bool = False, n_ranges: int | None = None) -> DataFrame:
     """(_id, _text) -> (_range, _copy, _id, _packed), with one shuffle of packed texts and no global sort.
 
-    Ids are cut to ranges at quantiles (by default two for each shuffle partition); a task holds
-    whole ranges, ascending, each sorted by id. ``with_next`` sorts by descending id and ends a
+    Ids are cut to ranges at quantiles (by default two for each shuffle partition); range r is partition r, so
+    ids ascend over the partitions, and each is sorted by id. ``with_next`` sorts by descending id and ends a
     range with copies (_copy = 1) of the rows of which the first follows its last row in the
     whole table's descending order (after the table's last: its first).
     """
@@ -250,4 +293,4 @@ def in_id_order(docs: DataFrame, with_next: bool = False, n_ranges: int | None =
     tops = sorted({*(cuts or []), top} - {None})  # ids of the table, so no range is empty
     by = F.desc_nulls_last("_id") if with_next else F.asc_nulls_first("_id")
     return (docs.mapInArrow(_pack(tops, with_next), "_range long, _copy int, _id long, _packed binary")
-            .repartition("_range").sortWithinPartitions("_range", "_copy", by, "_packed"))
+            .repartitionById(max(len(tops), 1), F.col("_range").cast("int")).sortWithinPartitions("_range", "_copy", by, "_packed"))

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialise
 from .common import (LOWER, NOT_SPACE, col, id_text, int_col, mix64, nullable, packed, pieces, prefix, row_of,
-                     span_hash, text_buffer, unpacked, word_hashes, word_spans)
+                     span_hash, text_buffer, unpacked, whole_row, word_hashes, word_spans)
 from .graph import components
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -381,6 +381,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     """The documents less all but the one of least id of each class; rows without id stay."""
     classes = near_duplicates(docs, id_col, text_col, **options).toDF("_id", "_class")
     kept = classes.filter("_id = _class").select("_id").distinct()
-    rows = docs.select(docs[id_col].cast("long").alias("_id"), F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
+    rows = docs.select(docs[id_col].cast("long").alias("_id"), whole_row(docs))
     first = rows.join(kept, "_id").dropDuplicates(["_id"]).unionByName(rows.filter("_id is null"))
     return first.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import (LOWER, NOT_SPACE, col, id_text, mix64, pieces, row_of, text_buffer, word_hashes, word_spans)
+from .common import (LOWER, NOT_SPACE, col, id_text, mix64, pieces, row_and, row_of, text_buffer, whole_row, word_hashes, word_spans)
 
 PASSAGE = 32
 SAMPLE, TRAIN_PASSAGES = 4096, 64
@@ -211,10 +211,10 @@ def _score(shared, column: str):
 
 def score(docs: DataFrame, model, text_col: str = "text", column: str = "_score") -> DataFrame:
     """Every document as struct ``_row`` with its score, 0 to 1. No shuffle."""
-    out = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"),
+    out = docs.select(whole_row(docs),
                       F.coalesce(docs[text_col], F.lit("")).alias("_text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return out.mapInArrow(_score(shared, column), f"_row {out.schema['_row'].dataType.simpleString()}, {column} double")
+    return out.mapInArrow(_score(shared, column), row_and(out, f"{column} double"))
 
 
 def keep_good(docs: DataFrame, model, text_col: str = "text", least: float = 0.7) -> DataFrame:

@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import whole_row
+
 #: Kinds of the base contract, in its order; iban is what the method adds.
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "iban")
@@ -132,7 +134,7 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents with each confirmed span replaced by its kind in brackets. Overlapping spans
     become one replacement, named by the one that starts first. Null texts stay null."""
     text = F.col("_text")
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), docs[text_col].alias("_text"))
+    rows = docs.select(whole_row(docs), docs[text_col].alias("_text"))
     spans = F.array_sort(F.transform(F.concat(*[spans_of(text, k) for k in KINDS]),
                                      lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
                                                         s["kind"].alias("kind"))))

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .common import BYTE_VALUE, PIECE_BYTES, col, id_text, in_id_order, prefix, process_cache, span_hash, text_buffer
+from .common import PIECE_BYTES, byte_hashes, col, id_text, in_id_order, process_cache, text_buffer
 
 SCALE = 17
 LANES = 2048
@@ -46,9 +46,14 @@ MAGIC = b"SKRN"
 
 
 # ------------------------------------------------------------------------- rANS
+def scale_of(symbols: int) -> int:
+    """Bits of a frequency table: SCALE, more where the symbols would not leave room to share."""
+    return max(SCALE, int(symbols).bit_length() + 1)
+
+
 def scaled(counts: np.ndarray) -> np.ndarray:
-    """Positive counts -> positive frequencies that sum to 2**SCALE (none: none)."""
-    total = 1 << SCALE
+    """Positive counts -> positive frequencies that sum to 2**scale_of(their number) (none: none)."""
+    total = 1 << scale_of(len(counts))
     if not len(counts):
         return np.zeros(0, np.int64)
     f = np.maximum(counts.astype(np.int64) * total // int(counts.sum()), 1)
@@ -73,11 +78,12 @@ def encode(slot: np.ndarray, freq: np.ndarray, lanes: int = LANES) -> tuple[np.n
     state = np.full(lanes, LOW, np.uint64)
     steps = -(-len(slot) // lanes)
     words = []
-    shift, bits = np.uint64(32), np.uint64(SCALE)
+    scale = scale_of(len(freq))
+    shift, bits = np.uint64(32), np.uint64(scale)
     for k in range(steps - 1, -1, -1):
         s = slot[k * lanes:(k + 1) * lanes]
         x, fs = state[:len(s)], f[s]
-        full = x >= (fs << np.uint64(63 - SCALE))
+        full = x >= (fs << np.uint64(63 - scale))
         words.append(x[full][::-1].astype(np.uint32))
         x = np.where(full, x >> shift, x)
         q = x // fs
@@ -87,12 +93,13 @@ def encode(slot: np.ndarray, freq: np.ndarray, lanes: int = LANES) -> tuple[np.n
 
 def decode(n: int, symbols: np.ndarray, freq: np.ndarray, lookup: np.ndarray, states: np.ndarray,
            words: np.ndarray) -> np.ndarray:
-    """The ids of one block; ``lookup`` has the table entry of each of the 2**SCALE slots."""
+    """The ids of one block; ``lookup`` has the table entry of each slot."""
     f = freq.astype(np.uint64)
     start = (np.cumsum(f) - f).astype(np.uint64)
     out = np.empty(n, np.uint32)
     state, lanes, at = states.copy(), len(states), 0
-    mask, bits, shift = np.uint64((1 << SCALE) - 1), np.uint64(SCALE), np.uint64(32)
+    scale = scale_of(len(freq))
+    mask, bits, shift = np.uint64((1 << scale) - 1), np.uint64(scale), np.uint64(32)
     for k in range(-(-n // lanes) if lanes else 0):
         x = state[:min(lanes, n - k * lanes)]
         low = x & mask
@@ -134,7 +141,7 @@ def write_segment(ids: np.ndarray, ends: np.ndarray, block: int = BLOCK) -> byte
         offsets.append(len(body[-1]))
         a, d = e, to
     packed = zlib.compress(np.diff(symbols, prepend=0).astype("<u4").tobytes() + freq.astype("<u4").tobytes(), 1)
-    head = struct.pack(_HEAD, MAGIC, 1, SCALE, len(symbols), len(cuts), len(packed)) + packed \
+    head = struct.pack(_HEAD, MAGIC, 1, scale_of(len(symbols)), len(symbols), len(cuts), len(packed)) + packed \
         + np.cumsum(offsets).astype("<u8").tobytes()
     return head + struct.pack("<I", zlib.crc32(head)) + b"".join(body)
 
@@ -153,7 +160,7 @@ def read_segment(raw: bytes, only: list[int] | None = None) -> Iterator[tuple[np
         raise ValueError("not a segment of this format")
     _, version, scale, n_sym, n_blocks, n_packed = struct.unpack_from(_HEAD, raw)
     top = _HEAD_SIZE + n_packed + 8 * n_blocks
-    if version != 1 or scale != SCALE or struct.unpack_from("<I", raw, top)[0] != zlib.crc32(raw[:top]):
+    if version != 1 or scale != scale_of(n_sym) or struct.unpack_from("<I", raw, top)[0] != zlib.crc32(raw[:top]):
         raise ValueError("a segment's head does not match its checksum")
     table = np.frombuffer(zlib.decompress(raw[_HEAD_SIZE:_HEAD_SIZE + n_packed]), "<u4").astype(np.int64)
     symbols, freq = np.cumsum(table[:n_sym]), table[n_sym:]
@@ -236,7 +243,7 @@ class Encoder:
         cut[len(data)] = False
         starts = np.flatnonzero(cut)
         stops = np.append(starts[1:], len(data))
-        code, keys = pd.factorize(span_hash(prefix(BYTE_VALUE[data]), starts, stops))
+        code, keys = pd.factorize(byte_hashes(data, starts, stops))
         if len(self.keys) + len(keys) > self.cache:
             self._reset()
         new = np.flatnonzero(~np.isin(keys, self.keys, assume_unique=True))

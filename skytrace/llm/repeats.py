@@ -33,8 +33,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .common import (NOT_SPACE, col, id_text, mix64, packed, pieces, prefix, row_of, span_hash, text_buffer,
-                     unpacked, word_hashes, word_spans)
+from .common import (NOT_SPACE, byte_hashes, col, id_text, mix64, packed, pieces, prefix, row_of, span_hash, text_buffer,
+                     unpacked, word_spans)
 
 WINDOW, GRAM = 20, 8
 #: A place is a window's or segment's first word times PLACE plus the number of windows.
@@ -93,7 +93,7 @@ def _again(key: np.ndarray, ids: np.ndarray, versions: np.ndarray, place: np.nda
 def _words(arr) -> tuple[np.ndarray, np.ndarray]:
     data, offs = text_buffer(arr)
     starts, ends, at = word_spans(data, offs, NOT_SPACE)
-    return word_hashes(data, starts, ends), at
+    return byte_hashes(data, starts, ends), at
 
 
 def _rows(anchor, segment, ids, versions, place) -> pa.RecordBatch:

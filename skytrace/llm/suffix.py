@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, LOWER, col, pieces, row_of, text_buffer, word_hashes, word_spans
+from .common import ALNUM, LOWER, byte_hashes, col, pieces, row_and, row_of, text_buffer, whole_row, word_spans
 
 DEPTH = 13
 BLOCK_BYTES = 32 << 20
@@ -38,7 +38,7 @@ def _words(arr) -> tuple[np.ndarray, np.ndarray]:
     data, offs = text_buffer(arr)
     data = LOWER[data]
     starts, ends, at = word_spans(data, offs, ALNUM)
-    return word_hashes(data, starts, ends), at
+    return byte_hashes(data, starts, ends), at
 
 
 def _keys(ids: np.ndarray, pos: np.ndarray, stop: np.ndarray) -> np.ndarray:
@@ -162,13 +162,12 @@ def contamination(docs: DataFrame, items: DataFrame, text_col: str = "text", ite
     """Every document as struct ``_row`` with n_words, n_hit (words inside a window's occurrence),
     matches (longest verbatim matches with their places) and contaminated."""
     spark = docs.sparkSession
-    out = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"),
+    out = docs.select(whole_row(docs),
                       F.coalesce(docs[text_col], F.lit("")).alias("_text"))
-    row = out.schema["_row"].dataType.simpleString()
     found = [spark.sparkContext.broadcast(b) for b in blocks(items, item_id, item_text, block_bytes)]
     for k, b in enumerate(found):
         last = k == len(found) - 1
-        spec = f"_row {row}, " + ("n_words long, n_hit long" if last else "_text string") + f", _found {_MATCH}"
+        spec = row_and(out, ("n_words long, n_hit long" if last else "_text string") + f", _found {_MATCH}")
         out = out.mapInArrow(_search(b, last), spec)
     return out.select("_row", "n_words", "n_hit", F.col("_found").alias("matches"),
                       ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))

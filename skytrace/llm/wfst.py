@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_VALUE, col, pieces, prefix, process_cache, span_hash, text_buffer
+from .common import byte_hashes, col, named, pieces, process_cache, row_and, text_buffer
 
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BLANK = "▁"
@@ -91,6 +91,7 @@ class Model:
 
     def __init__(self, raw: bytes):
         self.pieces, self.scores, self.types = [], [], []
+        self.pairs: dict[str, np.ndarray] = {}
         trainer, normaliser = {}, {}
         for number, value in _fields(raw):
             if number == 1:
@@ -294,9 +295,9 @@ class Model:
 
     def _fits_cached(self, a: np.ndarray, b: np.ndarray, skip: np.ndarray) -> np.ndarray:
         """``fits`` through a direct-mapped table of pairs seen before; -1 (no path) fits nothing."""
-        kept = process_cache("piece-pairs")
-        if kept.get("of") != len(self.left):
-            kept.update(of=len(self.left), keys=np.full(1 << 21, -1, np.int64), ok=np.zeros(1 << 21, bool))
+        kept = self.pairs  # the model's own: other models in the process have other pairs
+        if not kept:
+            kept.update(keys=np.full(1 << 21, -1, np.int64), ok=np.zeros(1 << 21, bool))
         live = np.flatnonzero(~skip & (a >= 0))
         x, y = a[live], b[live]
         key = x * len(self.left) + y
@@ -369,7 +370,7 @@ class Encoder:
         cut[len(data)] = False
         starts = np.flatnonzero(cut)
         stops = np.append(starts[1:], len(data))
-        code, keys = pd.factorize(span_hash(prefix(BYTE_VALUE[data]), starts, stops))
+        code, keys = pd.factorize(byte_hashes(data, starts, stops))
         if len(self.keys) + len(keys) > self.cache:
             self._reset()
         new = np.flatnonzero(~np.isin(keys, self.keys, assume_unique=True))
@@ -412,7 +413,7 @@ def encode(docs: DataFrame, model_file: str, text_col: str = "text", keep: tuple
     """One row per document: the columns ``keep``, n_pieces, ids, decoded_sha256 of the text the ids
     decode to, and lossless (whether that is the text, blanks for U+2581). No shuffle."""
     shared = _shared(docs, model_file)
-    rows = docs.select(F.struct(*[docs[c] for c in keep]).alias("_row"),
+    rows = docs.select(F.struct(*[named(c) for c in keep]).alias("_row"),
                        F.coalesce(docs[text_col], F.lit("")).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -428,8 +429,7 @@ def encode(docs: DataFrame, model_file: str, text_col: str = "text", keep: tuple
                 pa.array([t == s.replace(BLANK, " ") for t, s in zip(back, texts, strict=True)], pa.bool_()),
             ], names=["_row", "n_pieces", "ids", "decoded_sha256", "lossless"])
 
-    return rows.mapInArrow(run, f"_row {rows.schema['_row'].dataType.simpleString()}, n_pieces long, ids array<int>, "
-                                "decoded_sha256 string, lossless boolean").select("_row.*", "n_pieces", "ids", "decoded_sha256", "lossless")
+    return rows.mapInArrow(run, row_and(rows, "n_pieces long, ids array<int>, decoded_sha256 string, lossless boolean")).select("_row.*", "n_pieces", "ids", "decoded_sha256", "lossless")
 
 
 def decode(rows: DataFrame, model_file: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
