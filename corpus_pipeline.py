@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skytrace.llm import dartminhash, mil, pii, queries, suffix, wfst
-from skytrace.llm.common import table
+from skytrace.llm.common import named, table
 from skytrace.session import materialise
 
 
@@ -33,7 +33,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data by its kind; n_chars follows the text (null for a null text)."""
-    return pii.redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return pii.redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(*[named(c) for c in docs.columns])
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
