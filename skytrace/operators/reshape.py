@@ -129,7 +129,7 @@ def unpack_series(packs: DataFrame, kind: str = "signals", resample_us: int = 0,
     lists = {m: packs.select("device_id", "pack_id", F.posexplode(FT.PACK_LIST[m]).alias("pos", "r")) for m in FT.ALL_MESSAGES}
     times = None
     for m, rows in lists.items():
-        t = rows.select("device_id", F.lit(m).alias("message"), (F.col("pack_id") * (1 << 32) + F.col("pos")).alias("seq"),
+        t = rows.select("device_id", F.lit(m).alias("message"), F.struct("pack_id", "pos").alias("seq"),
                         F.col("r._inner_timestamp").alias("ts_us"))
         times = t if times is None else times.unionByName(t)
     kept = latest_n(resample(times, resample_us), capacity=capacity).select("device_id", "message", "seq", "idx")
@@ -141,7 +141,7 @@ def unpack_series(packs: DataFrame, kind: str = "signals", resample_us: int = 0,
         if not items:
             continue
         mine = kept.filter(F.col("message") == m).drop("message")
-        cols = (rows.withColumn("seq", F.col("pack_id") * (1 << 32) + F.col("pos")).join(mine, ["device_id", "seq"])
+        cols = (rows.withColumn("seq", F.struct("pack_id", "pos")).join(mine, ["device_id", "seq"])
                 .select("device_id", F.lit(FT.SERIES_LABEL[m]).alias("message"), "idx", *[F.expr(v).alias(n) for n, v in items]))
         part = (cols.unpivot(["device_id", "message", "idx"], [n for n, _ in items], "field", "value")
                 .select("device_id", "message", "field", "idx", "value"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import sqltext
 from ..functions.fields import RING_CAPACITY
+from ..session import materialise
 from .scan import running_last
 
 
@@ -68,8 +69,9 @@ def buffer_readout(df: DataFrame, value: str, keys=("device_id", "message"), ord
     ``(pushes - N)+ mod N``.
     """
     keys = list(keys)
+    df = materialise(df.select(*dict.fromkeys([*keys, order, value])), "pushed")  # read twice, computed once
     pushes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("pushes"))
-    kept = latest_n(df.select(*keys, order, value), keys, order, capacity)
+    kept = latest_n(df, keys, order, capacity)
     agg = kept.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("size"),
         F.min_by(F.col(value), F.col(order)).alias("first"),

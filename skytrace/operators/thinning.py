@@ -4,13 +4,14 @@ Semantics, per key in arrival order, starting with ``last = 0``: a row is kept i
 ``ts < last`` (an unsigned difference wraps, so backward jumps are kept) or
 ``ts - last >= gap``; a kept row sets ``last = ts``. A gap of 0 keeps every row.
 
-1. Rows are range-partitioned and sorted by (keys, order, ts) and written once, with a running
-   row number. Ranges are balanced whatever the order values are, and cut through a hot key.
-2. Each task summarises the stretch of the last key it holds: the state that leaves it if the
-   key starts there (or a row is kept whatever the state), else the state as a function of the
-   one that enters, as rows (value, exit) of the stretch's running extremes.
-3. Per key, the summaries are streamed in row order, which gives each stretch its entry state.
-4. Each task replays its rows from the entry state of its first key (one broadcast row per task).
+1. The input is evaluated once: its rows, or where there are further columns all of it with a row id, are written.
+2. (keys, order, ts) are range-partitioned and sorted; ranges are balanced whatever the order values are, and cut
+   through a hot key. One Python pass folds every key that begins in a range; its kept rows are decided. The
+   first key of a range may have begun in another one: its rows stay open, and their stretch is summarised as
+   a function of the state that enters, as rows (value, exit) of its running extremes. Decided, open and
+   summary rows are written together; dropped rows are not.
+3. Per key, the summaries are streamed in range order, which gives each range its entry state.
+4. Open rows are replayed range by range from that state (one broadcast row a range).
 
 A kept row's successor is the first later row outside [ts, ts + gap); it is found for all rows at
 once by descending block extremes (n log n in numpy, any order of ts), and the kept rows are
@@ -26,14 +27,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ..session import materialise
 
 #: Rows of one key whose summary a task holds at once; a longer stretch has several.
 STRETCH_ROWS = 1 << 18
-_ROW, _ENTRY = "_thin_row", "_thin_entry"
+_ROW, _ENTRY, _ID = "_thin_row", "_thin_entry", "_thin_id"
 _TOP = np.iinfo(np.int64).max
 
 
@@ -141,97 +144,136 @@ def _longs(batch: pa.RecordBatch, name: str) -> np.ndarray:
     return np.asarray(batch.column(batch.schema.get_field_index(name))).astype(np.int64, copy=False)
 
 
-def _summarise(keys: list[str], gap: int, stretch: int):
-    """Sorted rows (keys, ts, row number) -> summaries of each task's runs of consecutive rows: for its
-    first key the start, for its last key the values and exits. ``_step`` orders them."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, own, row0, expected, opened, held = None, None, 0, None, False, []
-
-        def emit():
-            """The held stretch of one key. Its start is announced if it opens a run of rows."""
-            value, exit_ = summary(np.concatenate(held), gap)
-            n = len(value) + 1
-            cols = [c.take(pa.array(np.zeros(n, np.int64))) for c in own.columns]
-            return pa.RecordBatch.from_arrays([
-                *cols, pa.array(np.full(n, row0)), pa.array(np.arange(n)), pa.array(np.full(n, opened)),
-                pa.array(np.append(0, value)), pa.array(np.append(0, exit_))],
-                names=[*keys, _ROW, "_step", "_opened", "_value", "_exit"])
+#: Marks of written rows, and kinds of summary rows.
+DECIDED, OPEN, SUMMARY = 1, 2, 3
+RANGE_HEAD, STRETCH_HEAD, VALUE, KNOWN = 0, 1, 2, 3
+_EXTRA = {"_mark": pa.int32(), "_part": pa.int32(), _ROW: pa.int64(), "_kind": pa.int32(), "_value": pa.int64(), "_exit": pa.int64()}
+_EXTRA_DDL = f"_mark int, _part int, {_ROW} long, _kind int, _value long, _exit long"
+
+
+def _named(batch: pa.RecordBatch, name: str):
+    return batch.column(batch.schema.get_field_index(name))
+
+
+class _Range:
+    """The rows of one range, in order: keys that begin in it are folded at once, its first key stays open."""
+
+    def __init__(self, part: int, keys: list[str], cols: list[str], gap: int, stretch: int):
+        self.part, self.keys, self.cols, self.gap, self.stretch = part, keys, cols, gap, stretch
+        self.key, self.state, self.first = None, 0, True
+        self.rows = self.steps = 0
+        self.held: list[np.ndarray] = []
+        self.own = None
+
+    def _out(self, batch: pa.RecordBatch, mark: int, **extra) -> pa.RecordBatch:
+        n = batch.num_rows
+        extra |= {"_mark": np.full(n, mark, np.int32), "_part": np.full(n, self.part, np.int32)}
+        more = [pa.array(extra[c], t) if c in extra else pa.nulls(n, t) for c, t in _EXTRA.items()]
+        return pa.RecordBatch.from_arrays([*(_named(batch, c) for c in self.cols), *more], names=[*self.cols, *_EXTRA])
+
+    def _summary(self, kind: list[int], value, exit_) -> pa.RecordBatch:
+        same = self.own.take(pa.array(np.zeros(len(kind), np.int64)))
+        steps = np.arange(self.steps, self.steps + len(kind))
+        self.steps += len(kind)
+        return self._out(same, SUMMARY, **{_ROW: steps, "_kind": kind, "_value": value, "_exit": exit_})
+
+    def close(self) -> pa.RecordBatch:
+        """The summary of the open rows since the last one."""
+        value, exit_ = summary(np.concatenate(self.held), self.gap)
+        kind = [STRETCH_HEAD if self.steps else RANGE_HEAD] + [VALUE] * len(value)
+        self.held = []
+        return self._summary(kind, np.append(0, value), np.append(0, exit_))
+
+    def feed(self, b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        ts, new = _longs(b, "_thin_ts"), _changes(b, self.keys)
+        new[0] = self.key is not None and _key(b, self.keys, 0) != self.key
+        at = 0
+        if self.first:
+            if self.own is None:
+                self.own = b.slice(0, 1)
+            at = int(new.argmax()) if new.any() else b.num_rows
+            if at:
+                yield self._out(b.slice(0, at), OPEN, **{_ROW: np.arange(self.rows, self.rows + at)})
+                self.held.append(ts[:at])
+                if sum(map(len, self.held)) >= self.stretch:
+                    yield self.close()
+            if at < b.num_rows:
+                if self.held:
+                    yield self.close()
+                self.first = False
+        self.rows += at
+        if at < b.num_rows:
+            starts = np.flatnonzero(new[at:])
+            entry = np.zeros(len(starts), np.int64)
+            if not len(starts) or starts[0]:
+                starts, entry = np.append(0, starts), np.append(self.state, entry)
+            keep, after = fold_runs(ts[at:], starts, entry, self.gap)
+            self.state, self.own = int(after[-1]), b.slice(b.num_rows - 1)
+            if keep.any():
+                yield self._out(b.slice(at).filter(pa.array(keep)), DECIDED)
+        self.key = _key(b, self.keys, b.num_rows - 1)
+
+    def end(self) -> Iterator[pa.RecordBatch]:
+        if self.held:
+            yield self.close()
+        if not self.first:  # the last key began in this range, so the state it leaves is known
+            yield self._summary([KNOWN], [0], [self.state])
+
 
+def _fold(keys: list[str], cols: list[str], gap: int, stretch: int):
+    """Sorted rows of one range -> its decided, open and summary rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here = _Range(TaskContext.get().partitionId(), keys, cols, gap, stretch)
         for b in batches:
-            if not b.num_rows:
-                continue
-            rows, ts, new = _longs(b, _ROW), _longs(b, "_thin_ts"), _changes(b, keys)
-            cut = np.flatnonzero(new | (np.append(expected if expected is not None else rows[0] - 2, rows[:-1] + 1) != rows))
-            cut = np.unique(np.append(0, cut))
-            for a, e in zip(cut, np.append(cut[1:], len(rows)), strict=True):
-                k = _key(b, keys, int(a))
-                fresh = expected != rows[a]  # a new run of rows in this task
-                if held and (fresh or k != key):
-                    yield emit()
-                    held = []
-                if not held:
-                    key, own, row0, opened = k, b.select(keys).slice(int(a), 1), int(rows[a]), fresh
-                held.append(ts[a:e])
-                expected = int(rows[e - 1]) + 1
-                if sum(map(len, held)) >= stretch:
-                    yield emit()
-                    held = []
-        if held:
-            yield emit()
+            if b.num_rows:
+                yield from here.feed(b)
+        yield from here.end()
 
     return run
 
 
 def _stitch(keys: list[str], gap: int):
-    """Summaries sorted by (keys, row, step) -> (row number that opens a run, entry state)."""
+    """Summaries sorted by (keys, _part, step) -> (_part, state that enters the range's first key)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, state, done = None, 0, True
         for b in batches:
-            out = []
-            new = _changes(b, keys)
-            if b.num_rows and key is not None and _key(b, keys, 0) == key:
-                new[0] = False
-            for i, (row, step, opened, value, exit_) in enumerate(zip(
-                    _longs(b, _ROW).tolist(), _longs(b, "_step").tolist(), b.column(b.schema.get_field_index("_opened")).to_pylist(),
-                    _longs(b, "_value").tolist(), _longs(b, "_exit").tolist(), strict=True)):
-                if new[i]:
-                    key, state = _key(b, keys, i), 0
-                if step == 0:
+            if not b.num_rows:
+                continue
+            out, new = [], _changes(b, keys)
+            new[0] = key is None or _key(b, keys, 0) != key
+            for fresh, part, kind, value, exit_ in zip(new.tolist(), *(_named(b, c).to_pylist() for c in ("_part", "_kind", "_value", "_exit")), strict=True):
+                state = 0 if fresh else state
+                if kind == KNOWN:
+                    state = exit_
+                elif kind == VALUE:
+                    if not done and (value < state or value - state >= gap):
+                        state, done = exit_, True
+                else:
                     done = False
-                    if opened:
-                        out.append((row, state))
-                elif not done and (value < state or value - state >= gap):
-                    state, done = exit_, True
+                    if kind == RANGE_HEAD:
+                        out.append((part, state))
+            key = _key(b, keys, b.num_rows - 1)
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)],
-                                                 names=[_ROW, _ENTRY])
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int32(), pa.int64()), strict=True)],
+                                                 names=["_part", _ENTRY])
 
     return run
 
 
-def _replay(keys: list[str], gap: int, cols: list[str]):
-    """Sorted rows with the entry state at the first row of each run -> the rows that are kept."""
+def _replay(gap: int, cols: list[str]):
+    """Open rows sorted by (_part, row), each with the state that enters its range -> those that are kept."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, state, expected = None, 0, None
+        part, state = None, 0
         for b in batches:
             if not b.num_rows:
                 continue
-            rows, ts, new = _longs(b, _ROW), _longs(b, "_thin_ts"), _changes(b, keys)
-            opens = np.append(rows[0] != expected, rows[1:] != rows[:-1] + 1)
-            if not opens[0] and _key(b, keys, 0) == key:
-                new[0] = False
-            starts = np.flatnonzero(new | opens)
-            entry = np.zeros(len(starts), np.int64)
-            given = b.column(b.schema.get_field_index(_ENTRY))
-            for i in np.flatnonzero(opens[starts]):
-                known = given[int(starts[i])].as_py()
-                if known is None:
-                    raise ValueError("a run of rows has no entry state")
-                entry[i] = known
+            parts, ts, given = _longs(b, "_part"), _longs(b, "_thin_ts"), _longs(b, _ENTRY)
+            starts = np.flatnonzero(np.append(parts[0] != part, parts[1:] != parts[:-1]))
+            entry = given[starts]
             if not len(starts) or starts[0]:
                 starts, entry = np.append(0, starts), np.append(state, entry)
             keep, after = fold_runs(ts, starts, entry, gap)
-            key, state, expected = _key(b, keys, b.num_rows - 1), int(after[-1]), int(rows[-1]) + 1
+            part, state = parts[-1], int(after[-1])
             if keep.any():
                 yield b.select(cols).filter(pa.array(keep))
 
@@ -241,25 +283,34 @@ def _replay(keys: list[str], gap: int, cols: list[str]):
 def thin(df: DataFrame, keys: list[str], order: str, ts: str, gap_us: int, stretch_rows: int = STRETCH_ROWS) -> DataFrame:
     """Rows of ``df`` kept by greedy minimum-gap thinning per ``keys`` in ``order``.
 
-    The sorted rows are written to the shared folder when this is called. ``stretch_rows`` bounds
+    The input and the folded rows are written to the shared folder when this is called. Columns other than ``keys``,
+    ``order`` and ``ts`` do not take part: they are joined back to the rows that are kept. ``stretch_rows`` bounds
     what a summary holds; it does not change the result.
     """
     gap = int(gap_us)
     if gap <= 0:
         return df
+    narrow = list(dict.fromkeys([*keys, order, ts]))
+    wide = [c for c in df.columns if c not in narrow]
+    base = df.filter(F.col(ts).isNotNull())
+    if wide:
+        base = base.withColumn(_ID, F.monotonically_increasing_id())
+        narrow = [*narrow, _ID]
+    base = materialise(base, "thin-input")
     by = [F.col(c).asc_nulls_first() for c in (*keys, order, ts)]
-    ranged = materialise(df.filter(F.col(ts).isNotNull()).repartitionByRange(*by).sortWithinPartitions(*by)
-                         .withColumn(_ROW, F.monotonically_increasing_id())
-                         .withColumn("_thin_ts", F.col(ts).cast("long")), "thin")
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keys).schema.fields)
-    spec = f"{kinds}, {_ROW} long, _step long, _opened boolean, _value long, _exit long"
-    steps = (ranged.select(*keys, _ROW, "_thin_ts").mapInArrow(_summarise(keys, gap, stretch_rows), spec)
-             .repartition(*keys).sortWithinPartitions(*keys, _ROW, "_step"))
-    entries = steps.mapInArrow(_stitch(keys, gap), f"{_ROW} long, {_ENTRY} long")
-    # bounded: one row for each run of rows a reading task holds
-    return (ranged.join(F.broadcast(entries), _ROW, "left")
-            .select(*df.columns, _ROW, "_thin_ts", _ENTRY)
-            .mapInArrow(_replay(keys, gap, df.columns), df.schema))
+    rows = base.select(*narrow, F.col(ts).cast("long").alias("_thin_ts"))
+    cols = rows.columns
+    spec = StructType([*(StructField(f.name, f.dataType) for f in rows.schema), *StructType.fromDDL(_EXTRA_DDL).fields])
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    folded = materialise(rows.repartitionByRange(n, *by).sortWithinPartitions(*by).mapInArrow(_fold(keys, cols, gap, stretch_rows), spec), "thin")
+    steps = folded.filter(F.col("_mark") == SUMMARY).select(*keys, "_part", _ROW, "_kind", "_value", "_exit")
+    entries = (steps.repartition(*keys).sortWithinPartitions(*keys, "_part", _ROW)
+               .mapInArrow(_stitch(keys, gap), f"_part int, {_ENTRY} long"))  # one row a range
+    open_ = folded.filter(F.col("_mark") == OPEN).select(*cols, "_part", _ROW).join(F.broadcast(entries), "_part")
+    replayed = (open_.repartition("_part").sortWithinPartitions("_part", _ROW)
+                .mapInArrow(_replay(gap, cols), StructType([StructField(f.name, f.dataType) for f in rows.schema])))
+    kept = folded.filter(F.col("_mark") == DECIDED).select(*cols).unionByName(replayed)
+    return base.join(kept.select(_ID), _ID, "left_semi").select(*df.columns) if wide else kept.select(*df.columns)
 
 
 def downsample_rate(df: DataFrame, rate_hz: float, keys=("device_id", "message"), order="seq", ts="ts_us") -> DataFrame:

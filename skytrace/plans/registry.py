@@ -29,8 +29,8 @@ from ..sources.capture import deframe, scan_captures, stream_captures
 from ..sources.capture_source import RANGE_BYTES
 from ..sources.derive import frames_from_events
 from ..streaming.state import current_records, latest_records, latest_state_stream, rate_packs, run_to_table
-from ..streaming.stream import (FRAME_SCHEMA, csv_fanout_stream, decode_stream, read_frames_stream, report_stream,
-                                run_available_now, thin_stream)
+from ..streaming.stream import (FRAME_SCHEMA, csv_fanout_stream, decode_stream, latest_report, read_frames_stream,
+                                report_stream, run_available_now, thin_stream)
 
 HOUR_US = 3_600_000_000
 DAY_US = 24 * HOUR_US
@@ -285,7 +285,7 @@ def q_stream_quality(spark, sf):
     land = _landing(spark, sf, "land-report")
     out, ck = scratch_path(spark, "report-out"), scratch_path(spark, "report-ck")
     report_stream(spark, land, out, ck, max_files_per_trigger=2)
-    return spark.read.parquet(out)
+    return latest_report(spark, out)
 
 
 def q_stream_latest_n(spark, sf):

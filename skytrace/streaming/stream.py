@@ -72,19 +72,28 @@ def report_stream(spark: SparkSession, landing: str, out: str, checkpoint: str,
     """Decode-quality report as a streaming aggregate (complete mode).
 
     The state is one count per (device, protocol, message, result): bounded by the number of
-    groups, not by the data. Each micro-batch overwrites the report table.
+    groups, not by the data. Each micro-batch writes a report of its own (``epoch=<n>``), so that there is a whole
+    one at any time; ``latest_report`` reads the last that was finished.
     """
     frames = read_frames_stream(spark, landing, max_files_per_trigger)
     agg = (classify(frames).groupBy("device_id", "protocol", "message", "parse_result")
            .agg(F.count(F.lit(1)).alias("frames")))
 
     def write(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
+        batch.write.mode("overwrite").parquet(f"{out.rstrip('/')}/epoch={epoch}")
 
     (agg.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint)
      .trigger(availableNow=True).start().awaitTermination())
 
 
+def latest_report(spark: SparkSession, out: str) -> DataFrame:
+    """The report of the last micro-batch that was written to its end."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{out.rstrip('/')}/epoch=*/_SUCCESS")
+    done = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p) or []
+    epochs = [int(f.getPath().getParent().getName().split("=")[1]) for f in done]
+    return spark.read.parquet(f"{out.rstrip('/')}/epoch={max(epochs)}")
+
+
 def csv_fanout_stream(spark: SparkSession, landing: str, out: str, checkpoint: str,
                       max_files_per_trigger: int | None = None) -> None:
     """Per-message CSV outputs ``GPS_<NAME>.csv``, one folder per micro-batch (``foreachBatch``): a
