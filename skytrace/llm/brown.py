@@ -224,7 +224,9 @@ def _unpacked(size: int, packed: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 def _rows(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
     for b in batches:
-        yield from zip(*(col(b, x).to_pylist() for x in names), strict=True)
+        columns = [col(b, x) for x in names]
+        for i in range(b.num_rows):  # a packed value at a time
+            yield tuple(c[i].as_py() for c in columns)
 
 
 # a word beyond the known ones is a row: _heads has (place * 2 + side, count) of its successions with known words, _others
@@ -511,25 +513,59 @@ def _sums(pairs: DataFrame, tails: DataFrame, cls: np.ndarray) -> tuple[DataFram
     return cells, g.reshape(CLASSES, CLASSES)
 
 
+#: Counts up to this one have their logarithms in tables.
+_SMALL = 16
+_tables: dict = {}
+
+
+def _tabled(g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """x log x of g[i, j] + n, and of the column sums + n, for small counts n; kept for the last two matrices."""
+    kept = _tables.get(id(g))
+    if kept is None or kept[0] is not g:
+        if len(_tables) > 3:  # two matrices, one of them turned, and their tables
+            _tables.clear()
+        n = np.arange(_SMALL + 1)
+        kept = _tables[id(g)] = (g, _xlogx(g.T[None] + n[:, None, None]), _xlogx(g.sum(1)[None] + n[:, None]))
+    return kept[1:]
+
+
 def _gains(g: np.ndarray, r: np.ndarray, q: np.ndarray, own: np.ndarray, a: np.ndarray) -> np.ndarray:
-    """Part of the gain of words with the row counts r for every class, diagonals left out."""
+    """Part of the gain of words with the row counts r for every class, diagonals left out. Only where a word's own
+    counts are in a cell, or its counts are large, is a logarithm taken anew."""
     out = np.zeros(r.shape)
     w, j = np.nonzero(r)
     if not len(w):
         return out
-    n = r[w, j][:, None]
-    base = g.T[j]  # column j of the matrix, less what the word itself has in it
-    base[np.arange(len(w)), a[w]] -= r[w, j]
-    same = np.flatnonzero(j == a[w])
-    base[same] -= q[w[same]]
-    base[same, j[same]] -= own[w[same]]
-    more = _xlogx(base + n) - _xlogx(base)
+    n, own_class = r[w, j], a[w]
+    logs, _ = _tabled(g)
+    few = np.minimum(n, _SMALL).astype(np.int64)
+    more = logs[few, j] - logs[0, j]
+    anew = np.flatnonzero((n > _SMALL) | (j == own_class))
+    if len(anew):
+        m, base = n[anew, None], g.T[j[anew]].copy()  # column j of the matrix, less what the word itself has in it
+        at = np.arange(len(anew))
+        base[at, own_class[anew]] -= n[anew]
+        same = np.flatnonzero(j[anew] == own_class[anew])
+        base[same] -= q[w[anew[same]]]
+        base[same, j[anew[same]]] -= own[w[anew[same]]]
+        more[anew] = _xlogx(base + m) - _xlogx(base)
+    rest = np.flatnonzero((n <= _SMALL) & (j != own_class))
+    before = g[own_class[rest], j[rest]]  # with the word's own count in it
+    more[rest, own_class[rest]] = _xlogx(before) - _xlogx(before - n[rest])
     more[np.arange(len(w)), j] = 0
     first = np.flatnonzero(np.diff(w, prepend=-1))
     out[w[first]] = np.add.reduceat(more, first)
     return out
 
 
+def _turned(g: np.ndarray) -> np.ndarray:
+    """The transposed matrix, one object for each matrix, so that its table is found again."""
+    kept = _tables.get("turned")
+    if kept is None or kept[0] is not g:
+        _tables["turned"] = kept = (g, np.ascontiguousarray(g.T))
+    return kept[1]
+
+
 def best_classes(g: np.ndarray, a: np.ndarray, word: np.ndarray, code: np.ndarray, n: np.ndarray) -> np.ndarray:
     """The class of the most likelihood for each word of class ``a``, by its cells (word, code, n), all others
     staying where they are. ``g`` has the counts of class successions, these words in class ``a``. An
@@ -539,15 +575,22 @@ def best_classes(g: np.ndarray, a: np.ndarray, word: np.ndarray, code: np.ndarra
     r, q, own, at = cells[:, :CLASSES], cells[:, CLASSES:_OWN], cells[:, _OWN], np.arange(rows)
     r[at, a] -= own
     q[at, a] -= own
-    gain = _gains(g, r, q, own, a) + _gains(g.T, q, r, own, a)
-    diag = np.repeat(np.diagonal(g)[None], rows, 0)
-    diag[at, a] -= r[at, a] + q[at, a] + own
-    gain += _xlogx(diag + r + q + own[:, None]) - _xlogx(diag)
-    for x, total in ((r, g.sum(1)), (q, g.sum(0))):  # other words' share of the sums of rows and columns
-        many = (x.sum(1) + own)[:, None]
-        rest = np.repeat(total[None], rows, 0)
-        rest[at, a] -= many[:, 0]
-        gain -= _xlogx(rest + many) - _xlogx(rest)
+    turned = _turned(g)
+    gain = _gains(g, r, q, own, a) + _gains(turned, q, r, own, a)
+    both, diag = r + q + own[:, None], np.diagonal(g)
+    touched = both != 0
+    touched[at, a] = True
+    word_, class_ = np.nonzero(touched)  # elsewhere nothing is added
+    base = diag[class_] - np.where(class_ == a[word_], both[word_, class_], 0)
+    gain[word_, class_] += _xlogx(base + both[word_, class_]) - _xlogx(base)
+    for x, matrix, total in ((r, g, g.sum(1)), (q, turned, g.sum(0))):  # other words' share of the sums of rows and columns
+        many = x.sum(1) + own
+        _, logs = _tabled(matrix)
+        change = logs[np.minimum(many, _SMALL).astype(np.int64)] - logs[0]
+        large = np.flatnonzero(many > _SMALL)
+        change[large] = _xlogx(total + many[large, None]) - _xlogx(total)
+        change[at, a] = _xlogx(total[a]) - _xlogx(total[a] - many)
+        gain -= change
     gain[:, 0] = -np.inf
     gain[(g.sum(0) + g.sum(1) == 0) & (np.arange(CLASSES) != a[:, None])] = -np.inf
     k = gain.argmax(1)
