@@ -1,15 +1,14 @@
 """Independent SQL oracles (DuckDB dialect) for the registered queries.
 
 The oracle never decodes bytes: it recomputes the expected values from ``events`` with the
-same generation formulas (``sources.derive``) and the field tables, using plain arithmetic,
+generation formulas and the field tables of ``contract``, which the engine does not use, with plain arithmetic,
 ``printf`` and window functions. UBX bytes and Fletcher checksums are rebuilt arithmetically.
 """
 
 from __future__ import annotations
 
-from ..functions import fields as FT
-from ..operators.thinning import rate_to_gap_us
-from ..sources.derive import CORRUPT_EVERY, raw_sql, wire_layout
+from . import contract as FT
+from .contract import CORRUPT_EVERY, pack_fields, raw_sql, wire_layout
 
 HOUR_US = 3_600_000_000
 DAY_US = 24 * HOUR_US
@@ -342,7 +341,7 @@ def oracle_sql() -> dict[str, str]:
                            + thin_sql(HOUR_US, ["device_id"]).replace("s AS (SELECT device_id,", f"s AS (SELECT {wide} AS device_id,", 1) + ")")
     o["stream_thin_message"] = thin_sql(6 * HOUR_US, ["device_id", "message"], "parse_result = 'OK'")
     o["stream_thin"] = thin_sql(6 * HOUR_US, ["device_id"])
-    o["downsample_rate"] = thin_sql(rate_to_gap_us(1.0 / 3600.0), ["device_id", "message"], "parse_result = 'OK'").replace(
+    o["downsample_rate"] = thin_sql(HOUR_US, ["device_id", "message"], "parse_result = 'OK'").replace(
         "SELECT s.device_id, s.message, s.seq, s.ts_us", "SELECT s.device_id, s.message, s.seq, s.ts_us")
     o["resample_us"] = thin_sql(6 * HOUR_US, ["device_id", "message"], "parse_result = 'OK'")
     # state
@@ -493,7 +492,6 @@ def _pack_value(message: str, name: str, x: str) -> str:
 
 
 def _signal_parts() -> list[str]:
-    from ..operators.reshape import pack_fields
     parts = []
     for m in FT.ALL_MESSAGES:
         ex = dict(expected(m))
@@ -519,13 +517,11 @@ def _string_parts() -> list[str]:
 
 
 def _numbers(message: str) -> list[tuple[str, str]]:
-    from ..operators.reshape import pack_fields
     return [(n, t) for n, t in pack_fields(message) if t != "string"]
 
 
 def _pack_rows(rows: str) -> str:
     """Every field of every record of daily packs of ``rows`` (columns of pb)."""
-    from ..operators.reshape import pack_fields
     parts = []
     for m in FT.ALL_MESSAGES:
         ex = dict(expected(m))

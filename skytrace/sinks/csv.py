@@ -1,9 +1,7 @@
 """Per-message CSV outputs (``GPS_<NAME>.csv``) with fixed C-printf row formatting.
 
-Numbers are rendered with ``format_string`` using the printf formats of the output contract
-(``%.9f`` for NMEA numbers, per-field formats for UBX). Java rounds exact decimal ties
-half-up where C rounds the binary value; only values whose shortest decimal form ends in a
-5 just past the printed precision can differ.
+Doubles are rounded as C rounds them, from their exact binary value (``fixed_text``); Java's formatter rounds the shortest
+decimal form instead and differs on ties.
 """
 
 from __future__ import annotations
@@ -21,21 +19,71 @@ def field_formats(message: str) -> list[str]:
     return list(FT.NMEA_FORMATS[message])
 
 
-def _fmt(fmt: str, c: Column) -> Column:
-    quoted = fmt.startswith('"')
+_SPLIT = 134217729.0  # 2**27 + 1: splits a double into two halves whose products are exact
+
+
+def _halves(x: float) -> tuple[float, float]:
+    high = _SPLIT * x - (_SPLIT * x - x)
+    return high, x - high
+
+
+def fixed_text(df: DataFrame, digits: dict[str, int]) -> DataFrame:
+    """``df`` with every double column of ``digits`` replaced by its text with that many decimals, the exact binary value
+    rounded half to even as C's ``%.<n>f`` does. Native expressions only: the fraction times 10^n is formed as a double
+    and its exact error (Dekker's product), and the nearest integer is corrected by exact comparisons. Exact below
+    2^63; beyond it the digits of Java's formatter are kept. Null stays null."""
+    def part(name: str, c: str):
+        return F.col(f"`_{name}_{c}`")
+
+    out = df
+    steps = [
+        lambda c, n: {"a": F.abs(F.col(f"`{c}`"))},
+        lambda c, n: {"w": F.floor(part("a", c)), "f": part("a", c) - F.floor(part("a", c)).cast("double")},
+        lambda c, n: {"p": part("f", c) * F.lit(10.0 ** n), "s": F.lit(_SPLIT) * part("f", c)},
+        lambda c, n: {"h": part("s", c) - (part("s", c) - part("f", c)), "r": F.rint(part("p", c))},
+        lambda c, n: {"l": part("f", c) - part("h", c), "d": part("p", c) - part("r", c)},
+        lambda c, n: {"e": -(((part("h", c) * _halves(10.0 ** n)[0] - part("p", c)) + part("h", c) * _halves(10.0 ** n)[1]
+                              + part("l", c) * _halves(10.0 ** n)[0]) + part("l", c) * _halves(10.0 ** n)[1])},
+        lambda c, n: {"n": part("r", c).cast("bigint") + _correction(part("d", c), part("e", c), part("r", c).cast("bigint") % 2 != 0)},
+    ]
+    for step in steps:
+        out = out.withColumns({f"_{k}_{c}": v for c, n in digits.items() for k, v in step(c, n).items()})
+    texts = {}
+    for c, n in digits.items():
+        x, carry = F.col(f"`{c}`"), part("n", c) == 10 ** n
+        minus = (x < 0) | (x.cast("string") == "-0.0")
+        number = F.concat((part("w", c) + carry.cast("bigint")).cast("string"), F.lit("."),
+                          F.lpad(F.when(carry, 0).otherwise(part("n", c)).cast("string"), n, "0"))
+        texts[c] = (F.when(F.isnan(x), F.lit("nan")).when(part("a", c) == float("inf"), F.when(x < 0, F.lit("-inf")).otherwise(F.lit("inf")))
+                    .when(part("a", c) >= 2.0 ** 63, F.format_string(f"%.{n}f", x))
+                    .when(x.isNotNull(), F.concat(F.when(minus, F.lit("-")).otherwise(F.lit("")), number)))
+    return out.withColumns(texts).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def _correction(d: Column, e: Column, odd: Column) -> Column:
+    """What to add to the nearest integer r of p, where d = p - r and the exact product is p - e: 1 where the product is
+    more than a half above r, -1 where it is more than a half below; on ties the odd r moves."""
+    up, down = d - 0.5, d + 0.5  # exact
+    return F.when((up > e) | ((up == e) & odd), 1).when((down < e) | ((down == e) & odd), -1).otherwise(0)
+
+
+def _digits(fmt: str) -> int | None:
+    """Decimals of a C float format, None for other formats."""
     inner = fmt.strip('"')
-    v = F.format_string(inner, c)
-    if quoted:
-        v = F.concat(F.lit('"'), v, F.lit('"'))
-    return F.when(c.isNull(), F.lit("")).otherwise(v)
+    if not inner.endswith("f"):
+        return None
+    return int(inner[2:-1]) if "." in inner else 6
 
 
 def format_rows(decoded: DataFrame, message: str) -> DataFrame:
     """``(device_id, seq, line)``: the CSV row text of each decoded record (NULL -> empty)."""
-    parts = [_fmt("%d", F.col("_timestamp"))]
-    for name, fmt in zip(FT.columns(message), field_formats(message)):
-        parts.append(_fmt(fmt, F.col(name)))
-    return decoded.select("device_id", "seq", F.concat_ws(",", *parts).alias("line"))
+    formats = dict(zip(FT.columns(message), field_formats(message), strict=True))
+    texts = fixed_text(decoded, {c: _digits(f) for c, f in formats.items() if _digits(f) is not None})
+    parts = [F.col("_timestamp").cast("string")]
+    for name, fmt in formats.items():
+        v = F.col(f"`{name}`").cast("string")
+        parts.append(F.coalesce(F.concat(F.lit('"'), v, F.lit('"')) if fmt.startswith('"') else v, F.lit("")))
+    return texts.select("device_id", "seq", F.concat_ws(",", *parts).alias("line"))
 
 
 def header_line(message: str) -> str:

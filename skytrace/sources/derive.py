@@ -20,32 +20,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.fields import PVT_SPEC_WIDTH, UBX_FIELDS, UBX_IDS, UBX_PAYLOAD_LEN, WIRE_BYTES
+from ..plans.contract import CORRUPT_EVERY, UBX_IDS, UBX_PAYLOAD_LEN, WIRE_BYTES, wire_layout
 
 SLOTS = ["GGA", "VTG", "GSA", "NAV_DOP", "NAV_PVT", "NAV_HPPOSECEF", "NAV_HPPOSLLH",
          "NAV_RELPOSNED", "NAV_VELNED", "UBX_OTHER", "NMEA_OTHER"]
-CORRUPT_EVERY = 97
-
-
-def raw_sql(i: int, wire: str) -> str:
-    """Raw integer of field number ``i`` with wire type ``wire`` (SQL valid in Spark and DuckDB)."""
-    return {
-        "u4": f"(e + {i} * v)",
-        "u2": f"((v + {i}) % 65536)",
-        "u1": f"((e + {i}) % 256)",
-        "i4": f"(s * 60000 + {i})",
-        "i2": f"(s + {i})",
-        "i1": f"((e + {i}) % 256 - 128)",
-    }[wire]
-
-
-def wire_layout(message: str) -> list[tuple[str, int, str, str]]:
-    """(name, offset, encode wire, raw SQL) of each field as a receiver writes it."""
-    out = []
-    for i, f in enumerate(UBX_FIELDS[message]):
-        wire = PVT_SPEC_WIDTH.get(f.name, f.wire) if message == "NAV_PVT" else f.wire
-        out.append((f.name, f.offset, wire, raw_sql(i, wire)))
-    return out
 
 
 def _le_hex_sql(value_sql: str, wire: str) -> str:

@@ -70,3 +70,34 @@ def test_stream_packs_equal_batch_packs(spark):
     got = sorted(map(tuple, pack_sizes(spark.read.parquet(out).filter("device_id >= 0")).collect()))
     want = sorted(map(tuple, pack_sizes(pack_build(R.classified(spark, SF), R.PACK_US)).collect()))
     assert got == want and len(want) > 0
+
+
+def test_decimals_are_rounded_from_the_binary_value(spark):
+    """Ties and near ties as C rounds them: Python's % operator is the same correctly rounded printf."""
+    import random
+
+    from skytrace.sinks.csv import fixed_text
+    rng = random.Random(3)
+    xs = [0.125, 1.005, 0.5, 1.5, 2.5, -0.0, 0.0, -1e-12, 1e-7, 0.0000005, 0.0000015, 2.0 ** -20, 123456789.123456789, 0.9999999999, 999999.9999995,
+          -3.0000005, 2.0 ** 52 + 0.5, 2.0 ** 62, 1 / 3, 5e-324, float("nan"), float("inf"), float("-inf"), None]
+    xs += [rng.choice([1, -1]) * rng.getrandbits(53) * 2.0 ** -rng.randrange(20, 80) for _ in range(3000)]
+    xs += [(2 * rng.getrandbits(30) + 1) / 2 ** rng.randrange(1, 11) for _ in range(3000)]  # many exact ties
+    xs += [float(f"{rng.randrange(10 ** 6)}.{rng.randrange(10 ** 7):07d}5") for _ in range(2000)]
+    df = spark.createDataFrame([(i, x, x, x) for i, x in enumerate(xs)], "i int, a double, b double, c double")
+    for r in fixed_text(df, {"a": 6, "b": 9, "c": 1}).collect():
+        x = xs[r.i]
+        want = [None] * 3 if x is None else [f % x for f in ("%.6f", "%.9f", "%.1f")]
+        assert [r.a, r.b, r.c] == want, x
+
+
+def test_a_changed_offset_in_the_engine_shows(spark, monkeypatch):
+    """The oracle and the frames are stated apart from the engine's tables."""
+    import dataclasses
+
+    from oracle_check import compare
+
+    from skytrace.functions import fields as FT
+    assert compare(spark, SF, ["decode_velned"])["decode_velned"][0] == "OK"
+    wrong = [dataclasses.replace(f, offset=f.offset + 1) if f.name == "speed" else f for f in FT.UBX_FIELDS["NAV_VELNED"]]
+    monkeypatch.setitem(FT.UBX_FIELDS, "NAV_VELNED", wrong)
+    assert compare(spark, SF, ["decode_velned"])["decode_velned"][0] == "MISMATCH"
