@@ -14,7 +14,8 @@ streams through its ranges with one row carried over. Texts are shuffled once, p
 Defined cases: null text is the empty text, whose fingerprint is empty; two empty
 fingerprints are alike (1), an empty and another are not (0). Rows with one doc_id follow each
 other in a fixed order of their texts. A null doc_id sorts as the lowest. A table with one
-row is its own neighbour. Other columns are not read.
+row is its own neighbour; one without rows gives none. Texts of any length are read whole, and edited and
+fingerprinted one by one beyond WORK_CHARS. Other columns are not read.
 """
 
 from __future__ import annotations

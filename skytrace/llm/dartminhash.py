@@ -20,7 +20,8 @@ A pair of similarity 0.8 shares no bucket with probability (1 - 0.8**8)**64 = 8e
 Defined cases: words are split at ASCII white space, A-Z lower-cased. A text of one to four words is
 one shingle. A text without words (null, empty) is like no other: its class is its own id. Rows with
 one doc_id are one node, hence in one class. A row without id has a null class. Ties take the least
-id. Other columns are not read.
+id. Texts of any length are sketched whole, one at a time beyond a piece's bytes. An empty table gives no
+rows. Other columns are not read.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ of each. The intercept is then moved to the labels' true shares. Scoring reads e
 Defined cases: null and empty texts are one empty passage. Documents with the same text have the
 same score. Labels other than 0 and 1 and null ids are not learned from; a document labelled
 both counts as 0; with fewer than two labels to learn from, all scores are the share of label 1
-(0.5 without any). Repeated rows keep one row each. Other columns are not read.
+(0.5 without any). Repeated rows keep one row each, an empty table gives none. Texts of any length are scored by all
+their passages. Other columns are not read.
 """
 
 from __future__ import annotations

@@ -20,7 +20,8 @@ Texts travel packed, once to the documents' open segments and once to their repe
 
 Defined cases: null and short texts have no windows. A null doc_id counts as the lowest. Rows with
 one doc_id and different texts are ordered by the texts' checksum, rows with equal texts too get
-equal results (neither is earlier). Other columns are not read.
+equal results (neither is earlier). Texts of any length are read whole. An empty table gives no rows. Other
+columns are not read.
 """
 
 from __future__ import annotations

@@ -20,7 +20,8 @@ Only distinct urls are swept; copies of a url get its result back by a join.
 Defined cases: a null url or one without ``://`` has empty host and path. A url no rule fits gets
 a null rule and the default verdict. Of rules with the same host and path, one that blocks wins.
 Null hosts or paths in rules count as empty, rules with an empty host fit no url, and rules
-without a verdict are ignored. Repeated pages keep one row each. Other columns are not read.
+without a verdict are ignored. Repeated pages keep one row each. Urls of any length are whole. No pages: no
+rows; no rules: every url gets the default verdict. Other columns are not read.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ by numpy: the n-th round relaxes the arcs that end at each segment's n-th charac
 keeps the results of at most CACHE segments between batches.
 
 Defined cases: null and empty texts have no ids and decode to the empty text. Ids of control
-pieces decode to nothing, the unknown piece to " ⁇ ". Other columns are not read by encode.
+pieces decode to nothing, the unknown piece to " ⁇ ". Texts of any length are solved whole. Repeated rows keep
+one row each, an empty table gives none. Other columns are not read by encode.
 """
 
 from __future__ import annotations
