@@ -3,6 +3,12 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame. All but the last keep the columns
 of documents; a stage's result is written and read again before the next one starts, so a lost
 executor repeats only tasks of one stage.
+
+Defined cases, for every stage: an empty table gives an empty table. Null and empty texts have the results their operator
+states: the classifier's score of an empty text decides whether they stay, they are like no other text, not
+contaminated, hold no personal data and have no pieces. Repeated rows of one id are one group in near_dedup, of
+which one row stays; a row without id stays there. Texts of any length are whole. Columns of any other name
+pass through all stages but the last, which returns doc_id, lang, source and the pieces.
 """
 
 from __future__ import annotations
