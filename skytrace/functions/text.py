@@ -1,8 +1,5 @@
-"""Lenient NMEA text parsing as Spark column expressions.
-
-Mirrors C ``strtod``/``strtol`` prefix parsing: leading blanks, the longest numeric prefix,
-0 when nothing parses (``0.9*1F`` -> 0.9, empty token -> 0). Hexadecimal floats are not
-recognised (documented deviation); ``inf``/``nan`` are.
+"""Sentence text as Spark column expressions: bytes as characters, tokens, the diagnostic NMEA checksum.
+(Numbers in tokens are read by ``sqltext``.)
 """
 
 from __future__ import annotations
@@ -10,11 +7,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_BLANK = r"[ \t\n\x0B\f\r]*"
-_DOUBLE_RE = "^" + _BLANK + r"([+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:inf(?:inity)?|nan)))"
-_LONG_RE = "^" + _BLANK + r"([+-]?[0-9]+)"
-
-
 def latin1(body: Column) -> Column:
     """Frame bytes as a string with one character per byte."""
     return F.decode(body, "ISO-8859-1")
@@ -30,19 +22,6 @@ def token(tokens: Column, k: int) -> Column:
     return F.try_element_at(tokens, F.lit(k + 1))
 
 
-def numeric_prefix(s: Column) -> Column:
-    """C strtod: longest leading decimal number as DOUBLE, 0.0 if none (NULL stays NULL)."""
-    m = F.regexp_extract(s, _DOUBLE_RE, 1)
-    return F.when(s.isNull(), F.lit(None).cast("double")).otherwise(
-        F.coalesce(m.try_cast("double"), F.lit(0.0)))
-
-
-def deg_min_to_deg(v: Column) -> Column:
-    """ddmm.mmmm -> decimal degrees: d = floor(v/100); d + (v - d*100)/60."""
-    d = F.floor(v / F.lit(100.0)).cast("double")
-    return d + (v - d * F.lit(100.0)) / F.lit(60.0)
-
-
 def nmea_checksum_ok(start_seq: Column, line: Column) -> Column:
     """Diagnostic only: XOR of the characters between '$' and '*' equals the hex after '*'."""
     text = F.concat(F.substring(latin1(start_seq), 2, 2), line)

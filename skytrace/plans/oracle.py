@@ -388,6 +388,10 @@ def oracle_sql() -> dict[str, str]:
     o["elapsed_us"] = _with_base(
         "SELECT device_id, e AS seq, ts_us - first_value(ts_us) OVER (PARTITION BY device_id ORDER BY e "
         "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS elapsed_us FROM base")
+    o["latest_n_clustered"] = o["latest_n"]
+    o["elapsed_us_clustered"] = _with_base(
+        "SELECT device_id, e AS seq, ts_us - first_value(ts_us) OVER (PARTITION BY device_id ORDER BY e "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS elapsed_us FROM pb WHERE parse_result = 'OK'")
     # long series
     o["signals_long"] = _with_base(" UNION ALL ".join(_signal_parts()))
     o["strings_long"] = _with_base(" UNION ALL ".join(_string_parts()))

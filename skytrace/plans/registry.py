@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import fields as FT
-from ..functions.binary import le_int, padded_hex, ubx_checksum_ok_vectorized, ubx_header
+from ..functions import sqltext
+from ..functions.binary import ubx_checksum_ok_vectorized, ubx_header
 from ..functions.names import fix_mode_name, message_code, message_name, parse_result_name
-from ..functions.text import deg_min_to_deg, latin1, nmea_checksum_ok, numeric_prefix, token, tokenize
+from ..functions.text import latin1, nmea_checksum_ok, tokenize
 from ..operators.classify import classify
 from ..operators.decode import decode
 from ..operators.pack import pack_build, pack_entries, pack_long, pack_sizes
@@ -23,7 +24,7 @@ from ..operators.reshape import aligned_series, series_long, series_pivot, serie
 from ..operators.state import buffer_readout, elapsed_us, latest_n, latest_state, trim_series
 from ..operators.thinning import downsample_rate, resample, thin
 from ..session import scratch_path
-from ..sinks.csv import csv_fanout, format_rows, header_line, write_frame_lake
+from ..sinks.csv import csv_fanout, format_rows, header_line, write_clustered, write_frame_lake
 from ..sinks.raw import capture_record, grow_captures, raw_frame, write_captures
 from ..sources.capture import deframe, scan_captures, stream_captures
 from ..sources.capture_source import RANGE_BYTES
@@ -46,7 +47,7 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/events.parquet")
 
 
-_FRAME_TABLES: dict[tuple[str, str], str] = {}
+_FRAME_TABLES: dict[tuple, str] = {}
 
 
 def frames(spark: SparkSession, sf: str) -> DataFrame:
@@ -55,27 +56,32 @@ def frames(spark: SparkSession, sf: str) -> DataFrame:
     Every operator starts from a frame table; materialising the derived one keeps each
     query's plan to the operator itself and cuts the lineage back to ``events``.
     """
-    key = (spark.sparkContext.applicationId, sf.rstrip("/"))
+    key = _version(spark, sf)
     path = _FRAME_TABLES.get(key)
     if path is None:
         path = scratch_path(spark, "frames")
-        # the derivation is one very wide projection: whole-stage codegen only burns time
-        # compiling it before falling back, so it is switched off for this write alone
-        prev = spark.conf.get("spark.sql.codegen.wholeStage", "true")
-        spark.conf.set("spark.sql.codegen.wholeStage", "false")
-        try:
-            frames_from_events(events(spark, sf)).write.mode("overwrite").parquet(path)
-        finally:
-            spark.conf.set("spark.sql.codegen.wholeStage", prev)
+        # the derivation is one very wide projection: whole-stage codegen only burns time compiling it before
+        # falling back, so it is off in the session of this write
+        own = spark.newSession()
+        for k, v in (("spark.sql.codegen.wholeStage", "false"), ("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))):
+            own.conf.set(k, v)
+        frames_from_events(events(own, sf)).write.parquet(path)
         _FRAME_TABLES[key] = path
     return spark.read.parquet(path)
 
 
+def _version(spark: SparkSession, sf: str) -> tuple:
+    """What a derived table is kept under: the application, the table's path, and when and how large it was written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf.rstrip('/')}/events.parquet")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return spark.sparkContext.applicationId, sf.rstrip("/"), fs.getFileStatus(path).getModificationTime(), fs.getContentSummary(path).getLength()
+
+
 def classified(spark: SparkSession, sf: str) -> DataFrame:
     return classify(frames(spark, sf))
 
 
-_LAKES: dict[tuple[str, str], str] = {}
+_LAKES: dict[tuple, str] = {}
 
 
 def lake(spark: SparkSession, sf: str) -> DataFrame:
@@ -83,7 +89,7 @@ def lake(spark: SparkSession, sf: str) -> DataFrame:
 
     Per-message operators (reshape, packs, CSV fan-out) read it with partition pruning.
     """
-    key = (spark.sparkContext.applicationId, sf.rstrip("/"))
+    key = _version(spark, sf)
     path = _LAKES.get(key)
     if path is None:
         path = scratch_path(spark, "lake")
@@ -110,9 +116,7 @@ def q_match_nmea(spark, sf):
 
 def q_match_ubx(spark, sf):
     c = classified(spark, sf).filter(F.col("protocol") == "UBX")
-    hx = padded_hex(F.col("body"))
-    return c.select("device_id", "seq", le_int(hx, 0, "u1").alias("cls"), le_int(hx, 1, "u1").alias("msg_id"),
-                    "message")
+    return c.select("device_id", "seq", _le(0, "u1").alias("cls"), _le(1, "u1").alias("msg_id"), "message")
 
 
 def q_match_unsupported(spark, sf):
@@ -148,6 +152,10 @@ def q_parse_result_names(spark, sf):
             .select("parse_code", parse_result_name(F.col("parse_code")).alias("parse_result"), "frames"))
 
 
+def _le(offset: int, wire: str) -> F.Column:
+    return F.expr(sqltext.le_int(sqltext.padded_hex(), offset, wire))
+
+
 def _decode_query(message):
     def q(spark, sf):
         return decode(classified(spark, sf), message)
@@ -156,10 +164,8 @@ def _decode_query(message):
 
 def q_le_fields(spark, sf):
     c = classified(spark, sf).filter((F.col("protocol") == "UBX") & (F.col("parse_result") == "OK"))
-    hx = padded_hex(F.col("body"))
-    return c.select("device_id", "seq", le_int(hx, 0, "u1").alias("u1_0"), le_int(hx, 2, "u2").alias("u2_2"),
-                    le_int(hx, 4, "u4").alias("u4_4"), le_int(hx, 4, "i4").alias("i4_4"),
-                    le_int(hx, 4, "i1").alias("i1_4"), le_int(hx, 5, "i2").alias("i2_5"))
+    return c.select("device_id", "seq", _le(0, "u1").alias("u1_0"), _le(2, "u2").alias("u2_2"), _le(4, "u4").alias("u4_4"),
+                    _le(4, "i4").alias("i4_4"), _le(4, "i1").alias("i1_4"), _le(5, "i2").alias("i2_5"))
 
 
 def _nmea_tokens(spark, sf):
@@ -173,16 +179,14 @@ def q_tokenize_sentence(spark, sf):
 
 def q_numeric_prefix(spark, sf):
     t = _nmea_tokens(spark, sf).filter(F.col("k") >= 1)
-    return t.select("device_id", "seq", F.col("k").cast("bigint").alias("k"), numeric_prefix(F.col("token")).alias("value"))
+    return t.select("device_id", "seq", F.col("k").cast("bigint").alias("k"), F.expr(sqltext.numeric_prefix("token")).alias("value"))
 
 
 def q_deg_min_to_deg(spark, sf):
-    c = classified(spark, sf).filter(F.col("message") == "GGA")
-    toks = tokenize(latin1(F.col("body")))
-    lat = numeric_prefix(token(toks, 2))
-    lon = numeric_prefix(token(toks, 4))
-    return c.select("device_id", "seq", lat.alias("lat_raw"), deg_min_to_deg(lat).alias("latitude"),
-                    lon.alias("lon_raw"), deg_min_to_deg(lon).alias("longitude"))
+    c = classified(spark, sf).filter(F.col("message") == "GGA").withColumn("tokens", tokenize(latin1(F.col("body"))))
+    t = c.select("device_id", "seq", F.col("tokens")[2].alias("t2"), F.col("tokens")[4].alias("t4"))
+    t = t.select("device_id", "seq", F.expr(sqltext.numeric_prefix("t2")).alias("lat_raw"), F.expr(sqltext.numeric_prefix("t4")).alias("lon_raw"))
+    return t.select("*", F.expr(sqltext.deg_min_to_deg("lat_raw")).alias("latitude"), F.expr(sqltext.deg_min_to_deg("lon_raw")).alias("longitude"))
 
 
 def q_fix_state_name(spark, sf):
@@ -191,7 +195,8 @@ def q_fix_state_name(spark, sf):
 
 def q_fix_mode_name(spark, sf):
     c = classified(spark, sf).filter(F.col("message") == "GSA")
-    mode = numeric_prefix(token(tokenize(latin1(F.col("body"))), 2)).cast("bigint")
+    c = c.withColumn("token", tokenize(latin1(F.col("body")))[2])
+    mode = F.expr(sqltext.numeric_prefix("token")).cast("bigint")
     return c.select("device_id", "seq", mode.alias("fix_mode"), fix_mode_name(mode).alias("fix_mode_name"))
 
 
@@ -419,6 +424,32 @@ def q_elapsed_us(spark, sf):
     return elapsed_us(_device_series(spark, sf)).select("device_id", "seq", "elapsed_us")
 
 
+BUCKETS = 8
+_CLUSTERED: dict[tuple, str] = {}
+
+
+def clustered(spark: SparkSession, sf: str) -> DataFrame:
+    """The frames that decode, bucketed by device and sorted by arrival."""
+    key = _version(spark, sf)
+    if key not in _CLUSTERED:
+        path = scratch_path(spark, "by-device")
+        name = "frames_" + path.rsplit("-", 1)[-1]
+        write_clustered(lake(spark, sf).filter(F.col("parse_result") == "OK").select("device_id", "message", "seq", "ts_us", "body"),
+                        path, name, ["device_id"], "seq", BUCKETS)
+        _CLUSTERED[key] = name
+    return spark.table(_CLUSTERED[key])
+
+
+def q_elapsed_us_clustered(spark, sf):
+    """elapsed_us of the frames that decode, over the clustered table: no exchange of frames."""
+    return elapsed_us(clustered(spark, sf).select("device_id", "seq", "ts_us")).select("device_id", "seq", "elapsed_us")
+
+
+def q_latest_n_clustered(spark, sf):
+    """latest_n over the clustered table: no exchange of frames."""
+    return latest_n(clustered(spark, sf).select("device_id", "message", "seq"), capacity=SERIES_N)
+
+
 def q_signals_long(spark, sf):
     return series_long(lake(spark, sf), "signals")
 
@@ -511,7 +542,7 @@ def q_pack_explode(spark, sf):
 def q_csv_fanout(spark, sf):
     out = scratch_path(spark, "csv")
     lake(spark, sf)
-    csv_fanout(spark, _LAKES[(spark.sparkContext.applicationId, sf.rstrip("/"))], out)
+    csv_fanout(spark, _LAKES[_version(spark, sf)], out)
     return _csv_lines(spark, out)
 
 
@@ -679,6 +710,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "buffer_readout": q_buffer_readout,
         "trim_series": q_trim_series,
         "elapsed_us": q_elapsed_us,
+        "elapsed_us_clustered": q_elapsed_us_clustered,
+        "latest_n_clustered": q_latest_n_clustered,
         "signals_long": q_signals_long,
         "strings_long": q_strings_long,
         "enums_long": q_enums_long,

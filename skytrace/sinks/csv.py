@@ -37,7 +37,7 @@ def fixed_text(df: DataFrame, digits: dict[str, int]) -> DataFrame:
 
     out = df
     steps = [
-        lambda c, n: {"a": F.abs(F.col(f"`{c}`"))},
+        lambda c, n: {"a": F.when(_plain(F.col(f"`{c}`")), F.abs(F.col(f"`{c}`"))).otherwise(0.0)},
         lambda c, n: {"w": F.floor(part("a", c)), "f": part("a", c) - F.floor(part("a", c)).cast("double")},
         lambda c, n: {"p": part("f", c) * F.lit(10.0 ** n), "s": F.lit(_SPLIT) * part("f", c)},
         lambda c, n: {"h": part("s", c) - (part("s", c) - part("f", c)), "r": F.rint(part("p", c))},
@@ -54,12 +54,16 @@ def fixed_text(df: DataFrame, digits: dict[str, int]) -> DataFrame:
         minus = (x < 0) | (x.cast("string") == "-0.0")
         number = F.concat((part("w", c) + carry.cast("bigint")).cast("string"), F.lit("."),
                           F.lpad(F.when(carry, 0).otherwise(part("n", c)).cast("string"), n, "0"))
-        texts[c] = (F.when(F.isnan(x), F.lit("nan")).when(part("a", c) == float("inf"), F.when(x < 0, F.lit("-inf")).otherwise(F.lit("inf")))
-                    .when(part("a", c) >= 2.0 ** 63, F.format_string(f"%.{n}f", x))
+        texts[c] = (F.when(F.isnan(x), F.lit("nan")).when(F.abs(x) == float("inf"), F.when(x < 0, F.lit("-inf")).otherwise(F.lit("inf")))
+                    .when(~_plain(x), F.format_string(f"%.{n}f", x))
                     .when(x.isNotNull(), F.concat(F.when(minus, F.lit("-")).otherwise(F.lit("")), number)))
     return out.withColumns(texts).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
+def _plain(x: Column) -> Column:
+    return ~F.isnan(x) & (F.abs(x) < 2.0 ** 63)
+
+
 def _correction(d: Column, e: Column, odd: Column) -> Column:
     """What to add to the nearest integer r of p, where d = p - r and the exact product is p - e: 1 where the product is
     more than a half above r, -1 where it is more than a half below; on ties the odd r moves."""
@@ -94,9 +98,10 @@ def write_frame_lake(classified: DataFrame, path: str) -> None:
     """Classified frames written once, partitioned by message (enables partition pruning).
 
     All frames are kept (unmatched ones land in the NULL partition), so every downstream
-    operator can start from the lake instead of classifying (and checksumming) again.
+    operator can start from the lake instead of classifying (and checksumming) again. Rows are rebalanced by message
+    first, so that a partition is a few files of even size however many tasks classified, and a frequent message is split.
     """
-    classified.write.mode("overwrite").partitionBy("message").parquet(path)
+    classified.hint("rebalance", "message").write.mode("overwrite").partitionBy("message").parquet(path)
 
 
 def csv_fanout(spark: SparkSession, lake: str, out: str, compat: bool = True) -> dict[str, str]:
@@ -118,3 +123,12 @@ def csv_fanout(spark: SparkSession, lake: str, out: str, compat: bool = True) ->
          .csv(p))
         paths[m] = p
     return paths
+
+
+def write_clustered(frames: DataFrame, path: str, name: str, keys: list[str], order: str, buckets: int) -> DataFrame:
+    """Frames written once as table ``name`` in ``buckets`` files by ``keys``, each sorted by (keys, ``order``): aggregates,
+    joins and windows by the keys then need no exchange of the frames. All rows of a key are in one
+    bucket, so this is for tables of many devices of like size."""
+    (frames.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys, order).option("path", path).format("parquet")
+     .mode("overwrite").saveAsTable(name))
+    return frames.sparkSession.table(name)

@@ -24,3 +24,16 @@ def test_report_aggregates_partially(spark):
 def test_latest_n_uses_group_limit(spark):
     plan = _plan(R.queries()["latest_n"](spark, SF))
     assert "WindowGroupLimit" in plan
+
+
+def test_clustered_frames_need_no_exchange(spark):
+    for name in ("elapsed_us_clustered", "latest_n_clustered"):
+        plan = _plan(R.queries()[name](spark, SF))
+        assert "Exchange" not in plan or "BroadcastExchange" in plan and "Exchange hashpartitioning" not in plan, name
+        assert "Bucketed: true" in plan
+
+
+def test_latest_state_decodes_once(spark):
+    """The scan over physical ranges reads written rows; no window over frames, whatever their sequence numbers."""
+    plan = _plan(R.queries()["latest_state_all"](spark, SF))
+    assert "ArrowEvalPython" not in plan and "Exchange rangepartitioning" not in plan
