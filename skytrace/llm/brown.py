@@ -1,8 +1,8 @@
 """Brown class-based bigram language model: P(w | w') = P(class(w) | class(w')) P(w | class(w)).
 
 Counts of all words of all training documents are a distributed table. One pass over the texts counts every
-succession of two words: those among the KNOWN commonest words as packed tables by ranges of words, those of
-all others as one row a word with its neighbours. All that follows reads these tables, never the texts.
+succession of two words: those among the KNOWN commonest words as packed rows by ranges of words, those of
+all others as packed rows by ranges of their hashes. All that follows reads these tables, never the texts.
 
 Exchange clustering starts on a bounded set of types: the FREQUENT commonest words by themselves, every other
 word by its ending, hashed to ENDINGS types, and the end token. Types move, one at a time, to the class that
@@ -10,7 +10,7 @@ raises the likelihood of the class bigrams most, until a sweep moves none or SWE
 classes every word of the vocabulary moves by its own successions: in a sweep the counts per neighbouring
 class (the cells) of all words are formed in tasks, then all words choose at once, in tasks; a sweep that lowers the
 likelihood is not taken and the next lets fewer words move. The class matrix is a sum of the cells. A
-word beyond the known ones has its class in its row and hears of the classes of its like by messages to its key;
+word beyond the known ones has its class in its block and hears of the classes of its like by messages to its block;
 endings stand for unseen words only. The end token keeps a class of its own.
 
 Transitions are smoothed towards the class shares, (n(c', c) + BETA p(c)) / (n(c') + BETA), and
@@ -59,12 +59,32 @@ def _words(arr):
 
 # ------------------------------------------------------------------------- counting
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in pieces(batches):
+    held, size = [], 0
+
+    def counted():
+        key, ending, n = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.argsort(key, kind="stable")
+        key, ending, n = key[order], ending[order], n[order]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1])[:len(key)])
+        return key[first], ending[first], np.add.reduceat(n, first)
+
+    def out():
+        key, ending, n = counted()
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(ending.astype(np.int32)), pa.array(n)], names=["_key", "_ending", "_n"])
+
+    for b in pieces(batches, max_bytes=WORK_BYTES):
         keys, ending, _ = _words(col(b, "_text"))
         key, first, n = np.unique(keys, return_index=True, return_counts=True)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(key.view(np.int64), _END)), pa.array(np.append(ending[first], -1).astype(np.int32)),
-             pa.array(np.append(n, b.num_rows))], names=["_key", "_ending", "_n"])
+        held.append((np.append(key.view(np.int64), _END), np.append(ending[first], -1), np.append(n, b.num_rows)))
+        size += len(key)
+        if size > _HELD:
+            held = [counted()]
+            size = len(held[0][0])
+            if size > _HELD // 2:
+                yield out()
+                held, size = [], 0
+    if held:
+        yield out()
 
 
 N_TYPES = FREQUENT + ENDINGS + 1
@@ -161,7 +181,9 @@ class Model:
 #: Classes are codes of a word's cells: what follows it (c), what stands before (CLASSES + c), itself.
 _OWN, _STRIDE = 2 * CLASSES, 2 * CLASSES + 1
 #: Known words of a packed row, words that choose at once, pairs a task counts before it hands them on.
-_RANGE, _CHUNK, _HELD = 256, 512, 1 << 21
+_RANGE, _CHUNK, _HELD = 256, 512, 1 << 20
+#: Other words of a packed row, bytes of text at once.
+_BLOCK_WORDS, WORK_BYTES = 1024, 1 << 20
 
 
 def _find(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -229,33 +251,142 @@ def _rows(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
             yield tuple(c[i].as_py() for c in columns)
 
 
-# a word beyond the known ones is a row: _heads has (place * 2 + side, count) of its successions with known words, _others
-# (key, count * 1024 + ending * 2 + side) of those with other such words; side 0: what follows it, 1: what stands before
-_HEAD = np.dtype([("head", "<i4"), ("n", "<i4")])
-_OTHER = np.dtype([("key", "<i8"), ("n", "<i8")])
-_CELL = np.dtype([("code", "<i4"), ("n", "<i8")])
-_TAIL = "_key long, _n long, _cls int, _heads binary, _others binary"
-
+class _Sum:
+    """Counts by code, compacted as they come."""
 
-def _lists(owner: np.ndarray, records: np.ndarray, rows: int) -> pa.Array:
-    """A binary array of the records of each row; ``owner`` ascends."""
-    cut = np.searchsorted(owner, np.arange(rows + 1)) * records.dtype.itemsize
-    return pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(cut.astype(np.int32)), pa.py_buffer(records.tobytes())])
+    def __init__(self):
+        self.parts, self.size = [], 0
 
+    def add(self, code: np.ndarray, n: np.ndarray) -> None:
+        self.parts.append((code, n))
+        self.size += len(code)
+        if self.size > _HELD:
+            self.parts = [self.total()]
+            self.size = len(self.parts[0][0])
 
-def _records(arr: pa.Array, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
-    """(row, record) of all records of a binary array; nulls have none."""
-    data, offs = text_buffer(arr)
-    return np.repeat(np.arange(len(offs) - 1), np.diff(offs) // kind.itemsize), np.frombuffer(data.tobytes(), kind)
+    def total(self) -> tuple[np.ndarray, np.ndarray]:
+        if not self.parts:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return _summed(*(np.concatenate(x) for x in zip(*self.parts, strict=True)))
 
 
-def _collect_pairs(shared):
-    """The one pass over the texts: packed successions of known words, and of the others a row a word (_key set)."""
+# ---- words beyond the known ones, many to a packed row (a block of the hash range)
+#: heads: (place * 2 + side, count) of a word's successions with known words; others: (key, count * 1024 + ending * 2 +
+#: side) of those with other such words; side 0: what follows the word, 1: what stands before; cells: (code, count)
+_HEAD = np.dtype([("head", "<i4"), ("n", "<i4")])
+_OTHER = np.dtype([("key", "<i8"), ("n", "<i8")])
+_CELL = np.dtype([("code", "<i4"), ("n", "<i4")])
+_MESSAGE = np.dtype([("key", "<i8"), ("m", "<i8")])
+
+
+class _Block:
+    """Words sorted by key, with their counts, classes and records; ``*_of`` is the word of each record, ascending."""
+
+    def __init__(self, key, n, cls, heads_of, heads, others_of, others, cells_of=None, cells=None):
+        self.key, self.n, self.cls = key, n, cls
+        self.heads_of, self.heads, self.others_of, self.others = heads_of, heads, others_of, others
+        self.cells_of = np.zeros(0, np.int64) if cells_of is None else cells_of
+        self.cells = np.zeros(0, _CELL) if cells is None else cells
+
+    def pack(self, i: int = 0, j: int | None = None) -> bytes:
+        """Words i to j."""
+        j = len(self.key) if j is None else j
+        counts, records = [], []
+        for of, rec in ((self.heads_of, self.heads), (self.others_of, self.others), (self.cells_of, self.cells)):
+            a, z = np.searchsorted(of, (i, j))
+            counts.append(np.bincount(of[a:z] - i, minlength=j - i).astype("<i4"))
+            records.append(rec[a:z])
+        return b"".join([np.array([j - i, *map(len, records)], "<i4").tobytes(), self.key[i:j].astype("<i8").tobytes(),
+                         self.n[i:j].astype("<i8").tobytes(), self.cls[i:j].astype("<i4").tobytes(),
+                         *(c.tobytes() for c in counts), *(r.tobytes() for r in records)])
+
+    @staticmethod
+    def unpack(raw: bytes) -> _Block:
+        w, *sizes = np.frombuffer(raw, "<i4", 4).tolist()
+        at = 16
+        out = []
+        for kind in ("<i8", "<i8", "<i4", "<i4", "<i4", "<i4"):
+            out.append(np.frombuffer(raw, kind, w, at))
+            at += w * np.dtype(kind).itemsize
+        records = []
+        for kind, size in zip((_HEAD, _OTHER, _CELL), sizes, strict=True):
+            records.append(np.frombuffer(raw, kind, size, at))
+            at += size * kind.itemsize
+        of = [np.repeat(np.arange(w), c) for c in out[3:]]
+        return _Block(out[0], out[1], out[2].astype(np.int64), of[0], records[0], of[1], records[1], of[2], records[2])
+
+
+def _block_of(key: np.ndarray, blocks: int) -> np.ndarray:
+    """The block of a key: its place in the range of hashes."""
+    return (((key.view(np.uint64) >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)).astype(np.int64)
+
+
+def _by_block(key: np.ndarray, blocks: int) -> Iterator[tuple[int, int, int]]:
+    """(block, first, end) of keys that stand block by block."""
+    if not len(key):
+        return
+    of = _block_of(key, blocks)
+    cuts = np.flatnonzero(np.append(True, of[1:] != of[:-1])[:len(of)])
+    yield from zip(of[cuts].tolist(), cuts.tolist(), np.append(cuts[1:], len(of)).tolist(), strict=True)
+
+
+def _combined(blocks: list[_Block], n_blocks: int) -> _Block:
+    """Blocks of successions as one: words in order of block and key, equal records summed, counts of the words anew."""
+    key = np.concatenate([b.key for b in blocks])
+    shift = np.cumsum([0] + [len(b.key) for b in blocks])
+    order = np.lexsort((key, _block_of(key, n_blocks)))
+    new = np.append(True, key[order][1:] != key[order][:-1])[:len(key)]
+    word = np.empty(len(key), np.int64)
+    word[order] = np.cumsum(new) - 1
+    first = order[new]
+    n = np.zeros(len(first), np.int64)
+    h = np.concatenate([b.heads for b in blocks])
+    of, many = _summed(word[np.concatenate([b.heads_of + x for b, x in zip(blocks, shift, strict=False)])] * (1 << 32) + h["head"],
+                       h["n"].astype(np.int64))
+    heads = np.empty(len(of), _HEAD)
+    heads["head"], heads["n"] = of & 0xFFFFFFFF, many
+    after = (heads["head"] & 1) == 0
+    np.add.at(n, (of >> 32)[after], many[after])  # each occurrence is followed by one token
+    o = np.concatenate([b.others for b in blocks])
+    w = word[np.concatenate([b.others_of + x for b, x in zip(blocks, shift, strict=False)])]
+    order = np.lexsort((o["n"] & 1023, o["key"], w))
+    w, k, f, m = w[order], o["key"][order], (o["n"] & 1023)[order], (o["n"] >> 10)[order]
+    new = np.flatnonzero(np.append(True, (w[1:] != w[:-1]) | (k[1:] != k[:-1]) | (f[1:] != f[:-1]))[:len(w)])
+    others = np.empty(len(new), _OTHER)
+    if len(new):
+        others["key"], others["n"] = k[new], np.add.reduceat(m, new) * 1024 + f[new]
+        np.add.at(n, w[new][(f[new] & 1) == 0], (others["n"] >> 10)[(f[new] & 1) == 0])
+    return _Block(key[first], n, np.concatenate([b.cls for b in blocks])[first], of >> 32, heads, w[new], others)
+
+
+_FOUND = "_range int, _side int, _size int, _packed binary, _block int"
+
+
+def _found_block(block: int, raw: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.nulls(1, pa.int32())] * 3 + [pa.array([raw], pa.binary()), pa.array([block], pa.int32())],
+                                      names=["_range", "_side", "_size", "_packed", "_block"])
+
+
+def _collect_pairs(shared, blocks: int):
+    """The one pass over the texts: packed successions of known words by ranges, and of all others by blocks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         end = len(known)
-        pairs = _Pairs(end + 1)
-        for b in pieces(batches):
+        pairs, held, edges = _Pairs(end + 1), [], 0
+
+        def tails():
+            nonlocal held, edges
+            if held:
+                whole = _combined(held, blocks)
+                for b, i, j in _by_block(whole.key, blocks):
+                    yield _found_block(b, whole.pack(i, j))
+            held, edges = [], 0
+
+        def heads():
+            for b in pairs.take():
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.nulls(1, pa.int32())], names=[*b.schema.names, "_block"])
+
+        for b in pieces(batches, max_bytes=WORK_BYTES):
             keys, ending, at = _words(col(b, "_text"))
             place = np.insert(_find(known, keys), at[1:], end)
             key = np.insert(keys, at[1:], np.uint64(_END)).view(np.int64)
@@ -265,38 +396,55 @@ def _collect_pairs(shared):
             pairs.add(place0[both], place[both])
             # from the side of each word that is not known
             t, t0 = np.flatnonzero(place < 0), np.flatnonzero(place0 < 0)
-            word = np.concatenate([key[t], key0[t0]])
-            own = np.concatenate([ending[t], ending0[t0]])
-            side = np.repeat([1, 0], [len(t), len(t0)])
-            head = np.concatenate([place0[t], place[t0]])
-            other, its = np.concatenate([key0[t], key[t0]]), np.concatenate([ending0[t], ending[t0]])
-            uniq, first, row = np.unique(word, return_index=True, return_inverse=True)
-            if len(uniq):
-                to_head = head >= 0
-                code, n = _summed(row[to_head] * (2 * end + 2) + head[to_head] * 2 + side[to_head], np.ones(to_head.sum(), np.int64))
-                heads = np.empty(len(code), _HEAD)
-                heads["head"], heads["n"] = code % (2 * end + 2), n
-                r, o = row[~to_head], np.empty((~to_head).sum(), _OTHER)
-                o["key"], o["n"] = other[~to_head], 1024 + its[~to_head] * 2 + side[~to_head]
-                order = np.argsort(r, kind="stable")
-                yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(len(uniq), pa.int32()), pa.nulls(len(uniq), pa.int32()), pa.nulls(len(uniq), pa.int32()),
-                     pa.nulls(len(uniq), pa.binary()), pa.array(uniq), pa.array(own[first].astype(np.int32)),
-                     _lists(code // (2 * end + 2), heads, len(uniq)), _lists(r[order], o[order], len(uniq))], names=_COLLECTED)
+            word, first, row = np.unique(np.concatenate([key[t], key0[t0]]), return_index=True, return_inverse=True)
+            if len(word):
+                side = np.repeat([1, 0], [len(t), len(t0)])
+                head = np.concatenate([place0[t], place[t0]])
+                other, its = np.concatenate([key0[t], key[t0]]), np.concatenate([ending0[t], ending[t0]])
+                order = np.argsort(row, kind="stable")
+                row, side, head, other, its = row[order], side[order], head[order], other[order], its[order]
+                to = head >= 0
+                h, o = np.empty(to.sum(), _HEAD), np.empty((~to).sum(), _OTHER)
+                h["head"], h["n"] = head[to] * 2 + side[to], 1
+                o["key"], o["n"] = other[~to], 1024 + its[~to] * 2 + side[~to]
+                held.append(_Block(word, np.zeros(len(word), np.int64), np.concatenate([ending[t], ending0[t0]])[first], row[to], h, row[~to], o))
+                edges += len(row)
+            if edges > _HELD:
+                yield from tails()
             if pairs.size > _HELD:
-                yield from _wide(pairs.take())
-        yield from _wide(pairs.take())
+                yield from heads()
+        yield from tails()
+        yield from heads()
 
     return run
 
 
-_COLLECTED = ["_range", "_side", "_size", "_packed", "_key", "_ending", "_heads", "_others"]
+def _merge_blocks(blocks: int):
+    """Blocks of successions sorted by _block -> one row a block; a word's class is its ending for now."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, parts = None, []
 
+        def merged():
+            return _block_row([at], [0], [_combined(parts, blocks).pack()])
+
+        for b, raw in _rows(batches, "_block", "_packed"):
+            if b != at:
+                if parts:
+                    yield merged()
+                at, parts = b, []
+            parts.append(_Block.unpack(raw))
+        if parts:
+            yield merged()
+
+    return run
 
-def _wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        yield pa.RecordBatch.from_arrays([*b.columns, pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()),
-                                          pa.nulls(1, pa.binary())], names=_COLLECTED)
+
+_TAIL = "_block int, _kind int, _packed binary"
+
+
+def _block_row(block: list[int], kind: list[int], raw: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), pa.array(kind, pa.int32()), pa.array(raw, pa.binary())],
+                                      names=["_block", "_kind", "_packed"])
 
 
 def _merge_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,65 +467,19 @@ def _merge_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield merged()
 
 
-def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Tables cut between keys, from batches sorted by _key."""
-    held: list[pa.RecordBatch] = []
-    for b in batches:
-        if not b.num_rows:
-            continue
-        key = np.asarray(col(b, "_key"))
-        cut = int(np.searchsorted(key, key[-1]))
-        if cut:
-            yield pa.Table.from_batches([*held, b.slice(0, cut)]).combine_chunks()
-            held = []
-        elif held and np.asarray(col(held[-1], "_key"))[-1] != key[0]:
-            yield pa.Table.from_batches(held).combine_chunks()
-            held = []
-        held.append(b.slice(cut))
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks()
-
-
-def _merge_tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of words (with counts, or with successions), sorted by _key -> one row a word; _cls is the ending for now."""
-    for t in _by_key(batches):
-        key, first, word = np.unique(np.asarray(t["_key"]), return_index=True, return_inverse=True)
-        n = np.zeros(len(key), np.int64)
-        np.add.at(n, word, np.asarray(t["_n"].fill_null(0)))
-        row, heads = _records(t["_heads"], _HEAD)
-        code, many = _summed(word[row] * (1 << 32) + heads["head"], heads["n"].astype(np.int64))
-        heads = np.empty(len(code), _HEAD)
-        heads["head"], heads["n"] = code & 0xFFFFFFFF, many
-        row2, others = _records(t["_others"], _OTHER)
-        # equal neighbours are summed: by (word, neighbour, ending and side)
-        order = np.lexsort((others["n"] & 1023, others["key"], word[row2]))
-        w, k, f, m = word[row2][order], others["key"][order], (others["n"] & 1023)[order], (others["n"] >> 10)[order]
-        new = np.flatnonzero(np.append(True, (w[1:] != w[:-1]) | (k[1:] != k[:-1]) | (f[1:] != f[:-1]))[:len(w)])
-        out = np.empty(len(new), _OTHER)
-        if len(new):
-            out["key"], out["n"] = k[new], np.add.reduceat(m, new) * 1024 + f[new]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(key), pa.array(n), t["_ending"].combine_chunks().take(pa.array(first)), _lists(code >> 32, heads, len(key)),
-             _lists(w[new], out, len(key))], names=["_key", "_n", "_cls", "_heads", "_others"])
-
-
-def _cells_matrix(total: np.ndarray) -> Iterator[pa.RecordBatch]:
-    code = np.flatnonzero(total)
+def _cells_matrix(code: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
     for k in range(0, len(code), 100_000):
-        part = code[k:k + 100_000]
-        yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], names=["_cell", "_n"])
+        yield pa.RecordBatch.from_arrays([pa.array(code[k:k + 100_000].astype(np.int32)), pa.array(n[k:k + 100_000])], names=["_cell", "_n"])
 
 
 def _type_pairs(shared):
     """Successions among known words -> counts of successions of types."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = shared.value
-        total = np.zeros(N_TYPES * N_TYPES, np.int64)
+        types, total = shared.value, _Sum()
         for k, size, packed in _rows(batches, "_range", "_size", "_packed"):
             code, n = _unpacked(size, packed)
-            a, b = types[k * _RANGE + code // len(types)], types[code % len(types)]
-            total += np.bincount(a * N_TYPES + b, n, len(total)).astype(np.int64)
-        yield from _cells_matrix(total)
+            total.add(types[k * _RANGE + code // len(types)] * N_TYPES + types[code % len(types)], n)
+        yield from _cells_matrix(*total.total())
 
     return run
 
@@ -385,69 +487,84 @@ def _type_pairs(shared):
 def _type_tails(shared):
     """The same of the successions of other words; those of two such words are counted once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = shared.value
-        total = np.zeros(N_TYPES * N_TYPES, np.int64)
-        for b in batches:
-            own = FREQUENT + np.asarray(col(b, "_cls")).astype(np.int64)
-            row, h = _records(col(b, "_heads"), _HEAD)
-            side, head = h["head"] & 1, types[h["head"] >> 1]
-            x, y = np.where(side, head, own[row]), np.where(side, own[row], head)
-            row2, o = _records(col(b, "_others"), _OTHER)
-            after = (o["n"] & 1) == 0
-            x = np.append(x, own[row2][after])
-            y = np.append(y, FREQUENT + (o["n"][after] >> 1 & 511))
-            total += np.bincount(x * N_TYPES + y, np.append(h["n"], o["n"][after] >> 10), len(total)).astype(np.int64)
-        yield from _cells_matrix(total)
+        types, total = shared.value, _Sum()
+        for (raw,) in _rows(batches, "_packed"):
+            b = _Block.unpack(raw)
+            own, side, head = FREQUENT + b.cls, b.heads["head"] & 1, types[b.heads["head"] >> 1]
+            x, y = np.where(side, head, own[b.heads_of]), np.where(side, own[b.heads_of], head)
+            total.add(x * N_TYPES + y, b.heads["n"].astype(np.int64))
+            after = (b.others["n"] & 1) == 0
+            total.add(own[b.others_of][after] * N_TYPES + FREQUENT + (b.others["n"][after] >> 1 & 511), b.others["n"][after] >> 10)
+        yield from _cells_matrix(*total.total())
 
     return run
 
 
-def _send(first, choose):
-    """Rows of words -> the rows with their class, and for each succession with another such word a message to it
-    (_m = count * 256 + code). ``first`` gives the classes to begin with; ``choose`` moves the words."""
+def _send(blocks: int, first, choose):
+    """Blocks of words -> the blocks with their classes, and messages to the blocks of the words they have successions
+    with (count * 256 + code). ``first`` gives the classes to begin with; ``choose`` moves the words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            key = np.asarray(col(b, "_key"))
-            cls = first.value[np.asarray(col(b, "_cls"))] if first is not None else choose(b)
-            row, o = _records(col(b, "_others"), _OTHER)
-            side, n = o["n"] & 1, o["n"] >> 10
-            self_ = (o["key"] == key[row]) & (side == 0)
-            to = np.append(o["key"], key[row][self_])
-            code = np.append((1 - side) * CLASSES + cls[row], np.full(self_.sum(), _OWN))
-            n = np.append(n, n[self_])
-            count = pa.nulls(len(to), pa.int64())
-            yield pa.RecordBatch.from_arrays([col(b, "_key"), col(b, "_n"), pa.array(cls.astype(np.int32)), col(b, "_heads"), col(b, "_others"),
-                                              pa.nulls(len(key), pa.int64())], names=_SENT)
-            yield pa.RecordBatch.from_arrays([pa.array(to), count, pa.nulls(len(to), pa.int32()), pa.nulls(len(to), pa.binary()),
-                                              pa.nulls(len(to), pa.binary()), pa.array(n * 256 + code)], names=_SENT)
+        held, size = [], 0
+
+        def messages():
+            nonlocal held, size
+            if held:
+                key, code, n = (np.concatenate(x) for x in zip(*held, strict=True))
+                order = np.lexsort((code, key, _block_of(key, blocks)))
+                key, code, n = key[order], code[order], n[order]
+                new = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (code[1:] != code[:-1]))[:len(key)])
+                out = np.empty(len(new), _MESSAGE)
+                if len(new):
+                    out["key"], out["m"] = key[new], np.add.reduceat(n, new) * 256 + code[new]
+                cuts = list(_by_block(out["key"].copy(), blocks))
+                for k in range(0, len(cuts), 512):
+                    part = cuts[k:k + 512]
+                    yield _block_row([b for b, _, _ in part], [1] * len(part), [out[i:j].tobytes() for _, i, j in part])
+            held, size = [], 0
+
+        for at, raw in _rows(batches, "_block", "_packed"):
+            b = _Block.unpack(raw)
+            cls = first.value[b.cls] if first is not None else choose(b)
+            side, n = b.others["n"] & 1, b.others["n"] >> 10
+            own = (b.others["key"] == b.key[b.others_of]) & (side == 0)
+            held.append((np.append(b.others["key"], b.key[b.others_of][own]),
+                         np.append((1 - side) * CLASSES + cls[b.others_of], np.full(own.sum(), _OWN)), np.append(n, n[own])))
+            size += len(held[-1][0])
+            yield _block_row([at], [0], [_Block(b.key, b.n, cls, b.heads_of, b.heads, b.others_of, b.others).pack()])
+            if size > _HELD // 2:
+                yield from messages()
+        yield from messages()
 
     return run
 
 
-_SENT = ["_key", "_n", "_cls", "_heads", "_others", "_m"]
-
-
 def _receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows and messages sorted by (_key, messages last) -> the rows with the cells the messages make."""
-    for t in _by_key(batches):
-        message = np.asarray(t["_m"].is_valid())
-        own = t.filter(pa.array(~message)).combine_chunks()
-        key = np.asarray(own["_key"])
-        m = np.asarray(t["_m"].fill_null(0))[message]
-        code, n = _summed(np.searchsorted(key, np.asarray(t["_key"])[message]) * 256 + (m & 255), m >> 8)
-        cells = np.empty(len(code), _CELL)
-        cells["code"], cells["n"] = code & 255, n
-        cols = [own[x].combine_chunks() for x in ("_key", "_n", "_cls", "_heads", "_others")]
-        yield pa.RecordBatch.from_arrays([*cols, _lists(code >> 8, cells, len(key))],
-                                         names=["_key", "_n", "_cls", "_heads", "_others", "_cells"])
+    """Blocks and messages sorted by (_block, _kind) -> the blocks with the cells the messages make."""
+    at, block, got = None, None, []
+
+    def done():
+        m = np.concatenate(got) if got else np.zeros(0, _MESSAGE)
+        code, n = _summed(np.searchsorted(block.key, m["key"]) * 256 + (m["m"] & 255), m["m"] >> 8)
+        block.cells = np.empty(len(code), _CELL)
+        block.cells["code"], block.cells["n"], block.cells_of = code & 255, n, code >> 8
+        return _block_row([at], [0], [block.pack()])
+
+    for b, kind, raw in _rows(batches, "_block", "_kind", "_packed"):
+        if kind == 0:
+            if block is not None:
+                yield done()
+            at, block, got = b, _Block.unpack(raw), []
+        else:
+            got.append(np.frombuffer(raw, _MESSAGE))
+    if block is not None:
+        yield done()
 
 
 def _exchanged(tails: DataFrame, send) -> DataFrame:
-    """Rows with classes and with the cells from one another, written. A word's rows meet in one task, streamed."""
-    kinds = "_key long, _n long, _cls int, _heads binary, _others binary, _m long"
+    """Blocks with classes and with the cells from one another, written. A block and its messages meet in one task."""
     n = int(tails.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return materialise(tails.mapInArrow(send, kinds).repartition(n, "_key").sortWithinPartitions("_key", F.col("_m").isNotNull())
-                       .mapInArrow(_receive, _TAIL + ", _cells binary"), "tails", tidy=True)
+    return materialise(tails.mapInArrow(send, _TAIL).repartition(n, "_block").sortWithinPartitions("_block", "_kind")
+                       .mapInArrow(_receive, _TAIL), "tails", tidy=True)
 
 
 def _head_sums(shared):
@@ -472,24 +589,20 @@ def _head_sums(shared):
 
 
 def _tail_sums(shared):
-    """Rows of the other words with their cells -> what they add to the known words' cells and to the class matrix."""
+    """Blocks of the other words with their cells -> what they add to the known words' cells and to the class matrix."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cls = shared.value
+        cls, total = shared.value, _Sum()
         g = np.zeros(CLASSES * CLASSES)
-        total = np.zeros(len(cls) * _STRIDE, np.int32)  # a task has less than 2**31 tokens
-        for b in batches:
-            own = np.asarray(col(b, "_cls")).astype(np.int64)
-            row, h = _records(col(b, "_heads"), _HEAD)
-            side, head = (h["head"] & 1).astype(np.int64), h["head"] >> 1
-            spot, n = _summed(head * np.int64(_STRIDE) + (1 - side) * CLASSES + own[row], h["n"].astype(np.int64))
-            total[spot] += n.astype(np.int32)
-            x, y = np.where(side, cls[head], own[row]), np.where(side, own[row], cls[head])
-            g += np.bincount(x * CLASSES + y, h["n"], len(g))
-            row2, c = _records(col(b, "_cells"), _CELL)
-            before = (c["code"] >= CLASSES) & (c["code"] < _OWN)
-            g += np.bincount((c["code"][before] - CLASSES) * CLASSES + own[row2][before], c["n"][before], len(g))
-        at = np.flatnonzero(total)
-        yield from _packed(at, total[at].astype(np.int64), _RANGE * _STRIDE, 0)
+        for (raw,) in _rows(batches, "_packed"):
+            b = _Block.unpack(raw)
+            own, n = b.cls[b.heads_of], b.heads["n"].astype(np.int64)
+            side, head = (b.heads["head"] & 1).astype(np.int64), b.heads["head"] >> 1
+            total.add(head * np.int64(_STRIDE) + (1 - side) * CLASSES + own, n)
+            x, y = np.where(side, cls[head], own), np.where(side, own, cls[head])
+            g += np.bincount(x * CLASSES + y, n, len(g))
+            before = (b.cells["code"] >= CLASSES) & (b.cells["code"] < _OWN)
+            g += np.bincount((b.cells["code"][before] - CLASSES) * CLASSES + b.cls[b.cells_of][before], b.cells["n"][before], len(g))
+        yield from _packed(*total.total(), _RANGE * _STRIDE, 0)
         yield from _matrix_row(g)
 
     return run
@@ -634,33 +747,47 @@ def _choose_heads(shared, sweep: int, share: int):
 
 
 def _choose_tails(shared, sweep: int, share: int):
-    """The classes that rows of other words move to."""
-    def choose(b: pa.RecordBatch) -> np.ndarray:
+    """The classes that the words of a block move to."""
+    def choose(b: _Block) -> np.ndarray:
         _, heads, g = shared.value
-        key, cls = np.asarray(col(b, "_key")), np.asarray(col(b, "_cls")).astype(np.int64)
-        row, h = _records(col(b, "_heads"), _HEAD)
-        row2, c = _records(col(b, "_cells"), _CELL)
-        word = np.append(row, row2)
-        code = np.append((h["head"] & 1) * CLASSES + heads[h["head"] >> 1], c["code"])
-        n = np.append(h["n"].astype(np.int64), c["n"])
+        word = np.append(b.heads_of, b.cells_of)
+        code = np.append((b.heads["head"] & 1) * CLASSES + heads[b.heads["head"] >> 1], b.cells["code"])
+        n = np.append(b.heads["n"], b.cells["n"]).astype(np.int64)
         order = np.argsort(word, kind="stable")
         word, code, n = word[order], code[order], n[order]
-        out = cls.copy()
-        for i in range(0, len(key), _CHUNK):
+        out = b.cls.copy()
+        for i in range(0, len(out), _CHUNK):
             a, z = np.searchsorted(word, (i, i + _CHUNK))
-            out[i:i + _CHUNK] = best_classes(g, cls[i:i + _CHUNK], word[a:z] - i, code[a:z], n[a:z])
-        return np.where(_may_move(key.view(np.uint64), sweep, share), out, cls)
+            out[i:i + _CHUNK] = best_classes(g, b.cls[i:i + _CHUNK], word[a:z] - i, code[a:z], n[a:z])
+        return np.where(_may_move(b.key.view(np.uint64), sweep, share), out, b.cls)
 
     return choose
 
 
-def settle(model: Model, pairs: DataFrame, tails: DataFrame, cls: np.ndarray) -> DataFrame:
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks -> (_key, _n, _cls) of their words."""
+    for (raw,) in _rows(batches, "_packed"):
+        b = _Block.unpack(raw)
+        yield pa.RecordBatch.from_arrays([pa.array(b.key), pa.array(b.n), pa.array(b.cls.astype(np.int32))], names=["_key", "_n", "_cls"])
+
+
+def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks -> tokens and words of each class, of a task."""
+    n, w = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
+    for (raw,) in _rows(batches, "_packed"):
+        b = _Block.unpack(raw)
+        np.add.at(n, b.cls, b.n)
+        w += np.bincount(b.cls, minlength=CLASSES)
+    yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES, dtype=np.int32)), pa.array(n), pa.array(w)], names=["_cls", "n", "w"])
+
+
+def settle(model: Model, pairs: DataFrame, tails: DataFrame, cls: np.ndarray, blocks: int) -> DataFrame:
     """Sweeps over all training words from the classes ``cls`` of the known words and the end, and those of the others'
     endings. The model gets the classes of the known words and the probabilities, the result those of all
     others (_key, _n, _cls). A sweep reads only the tables of successions, counted once."""
     sc, known = pairs.sparkSession.sparkContext, model.known
     begin = sc.broadcast(model.cls[FREQUENT:FREQUENT + ENDINGS])
-    tails = _exchanged(tails, _send(begin, None))
+    tails = _exchanged(tails, _send(blocks, begin, None))
     cells, g = _sums(pairs, tails, cls)
     share = 1
     for sweep in range(VOCABULARY_SWEEPS):
@@ -669,7 +796,7 @@ def settle(model: Model, pairs: DataFrame, tails: DataFrame, cls: np.ndarray) ->
                  .mapInArrow(_choose_heads(state, sweep, share), "_place int, _cls int").toPandas())  # at most KNOWN rows
         heads = cls.copy()
         heads[moved["_place"].to_numpy()] = moved["_cls"].to_numpy()
-        others = _exchanged(tails, _send(None, _choose_tails(state, sweep, share)))
+        others = _exchanged(tails, _send(blocks, None, _choose_tails(state, sweep, share)))
         more, then = _sums(pairs, others, heads)
         rise = _likelihood(then) - _likelihood(g)
         if rise <= 0:  # too many moved at once
@@ -682,13 +809,13 @@ def settle(model: Model, pairs: DataFrame, tails: DataFrame, cls: np.ndarray) ->
             break
     size = np.bincount(cls[:-1], model.counts, CLASSES)
     many = np.bincount(cls[:-1], minlength=CLASSES).astype(float)
-    for r in tails.groupBy("_cls").agg(F.sum("_n").alias("n"), F.count("*").alias("w")).collect():  # CLASSES rows
-        size[r[0]] += r.n
+    for r in tails.mapInArrow(_sizes, "_cls int, n long, w long").groupBy("_cls").agg(F.sum("n").alias("n"), F.sum("w").alias("w")).collect():
+        size[r[0]] += r.n  # CLASSES rows
         many[r[0]] += r.w
     size[0], many[0] = model.end, 1 if model.end else 0
     model.word_cls = cls[:-1]
     model.learn(g, size, many)
-    return tails.select("_key", "_n", "_cls")
+    return tails.mapInArrow(_listed, "_key long, _n long, _cls int")
 
 
 def commonest(table: DataFrame, most: int) -> DataFrame:
@@ -710,34 +837,21 @@ def commonest(table: DataFrame, most: int) -> DataFrame:
     return table.filter(taken)
 
 
-_FOUND = "_range int, _side int, _size int, _packed binary, _key long, _ending int, _heads binary, _others binary"
-
-
-def successions(docs: DataFrame, table: DataFrame, known: np.ndarray) -> tuple[DataFrame, DataFrame]:
+def successions(docs: DataFrame, known: np.ndarray, blocks: int) -> tuple[DataFrame, DataFrame]:
     """All successions of the texts, counted in one pass and written: those among known words packed by ranges of
-    words, and a row for each other word (its class is its ending for now)."""
+    words, those of all others packed by blocks (a word's class is its ending for now)."""
     shared = docs.sparkSession.sparkContext.broadcast(known)
-    found = materialise(docs.mapInArrow(_collect_pairs(shared), _FOUND), "found", tidy=True)
+    found = materialise(docs.mapInArrow(_collect_pairs(shared, blocks), _FOUND), "found", tidy=True)
     spec = "_range int, _side int, _size int, _packed binary"
     pairs = materialise(found.filter("_range is not null").select("_range", "_side", "_size", "_packed").repartition("_range", "_side")
                         .sortWithinPartitions("_range", "_side").mapInArrow(_merge_pairs, spec), "pairs", tidy=True)
-    words = table.filter(F.col("_key") != _END).select("_key", "_ending", "_n")
-    rows = found.filter("_key is not null").select("_key", "_ending", "_heads", "_others").unionByName(
-        words.mapInArrow(_not_known(shared), "_key long, _ending int, _n long"), allowMissingColumns=True)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tails = materialise(rows.repartition(n, "_key").sortWithinPartitions("_key").mapInArrow(_merge_tails, _TAIL), "tails", tidy=True)
+    tails = materialise(found.filter("_block is not null").select("_block", "_packed").repartition(n, "_block").sortWithinPartitions("_block")
+                        .mapInArrow(_merge_blocks(blocks), _TAIL), "tails", tidy=True)
     discard(found)
     return pairs, tails
 
 
-def _not_known(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield b.filter(pa.array(_find(shared.value, np.asarray(col(b, "_key")).view(np.uint64)) < 0))
-
-    return run
-
-
 def fit(docs: DataFrame, spark) -> tuple[Model, DataFrame]:
     """Training documents (_text) -> model and the table of the other words (_key, _n, _cls)."""
     counted = docs.mapInArrow(_count, "_key long, _ending int, _n long")
@@ -762,7 +876,8 @@ def fit(docs: DataFrame, spark) -> tuple[Model, DataFrame]:
     per[:, -1] = end, 1 if end else 0
     n = np.zeros(N_TYPES * N_TYPES)
     if words:
-        pairs, tails = successions(docs, table, key[order])
+        blocks = max(1, -(-(int(words) - len(key)) // _BLOCK_WORDS))
+        pairs, tails = successions(docs, key[order], blocks)
         types = np.append(np.where(order < top, order, FREQUENT + ending[order]), N_TYPES - 1)
         shared, spec = spark.sparkContext.broadcast(types), "_cell int, _n long"
         cells = (pairs.filter("_side = 0").mapInArrow(_type_pairs(shared), spec)
@@ -773,7 +888,7 @@ def fit(docs: DataFrame, spark) -> tuple[Model, DataFrame]:
     model = Model(key[order], count[order], n.reshape(N_TYPES, N_TYPES), per[0], per[1], int(tokens or 0), int(words))
     if not words:
         return model, table.select("_key", "_n", F.lit(0).alias("_cls"))
-    return model, settle(model, pairs, tails, model.cls[types])
+    return model, settle(model, pairs, tails, model.cls[types], blocks)
 
 
 def _score(shared):
@@ -781,7 +896,7 @@ def _score(shared):
     for words not known), and the distinct words not known with how often and where they stand."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = shared.value
-        for b in pieces(batches):
+        for b in pieces(batches, max_bytes=WORK_BYTES):
             keys, ending, at = _words(col(b, "_text"))
             spot = _find(m.known, keys)
             hit = spot >= 0
