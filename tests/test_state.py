@@ -1,6 +1,9 @@
-"""Latest-known state: the chunked carry equals the single-window result; elapsed time."""
+"""Latest-known state: the scan over ranges equals a running fold; elapsed time."""
+
+import random
 
 from skytrace.operators.classify import classify
+from skytrace.operators.scan import running_last
 from skytrace.operators.state import elapsed_us, latest_state
 from skytrace.sources.derive import frames_from_events
 
@@ -13,15 +16,39 @@ def _cls(spark):
     return classify(frames_from_events(ev)).cache()
 
 
-def test_chunked_carry_matches(spark):
+def _ranges(spark, n, f):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        return sorted(map(tuple, f().collect()), key=repr)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_any_ranges_carry_the_same_state(spark):
     c = _cls(spark)
     for per_field in (True, False):
-        big = latest_state(c, SEL, per_field=per_field, chunk=1 << 40)
-        small = latest_state(c, SEL, per_field=per_field, chunk=7)
-        cols = big.columns
-        a = sorted(map(tuple, big.select(*cols).collect()), key=repr)
-        b = sorted(map(tuple, small.select(*cols).collect()), key=repr)
-        assert a == b and len(a) == 1000
+        got = [_ranges(spark, n, lambda p=per_field: latest_state(c, SEL, per_field=p)) for n in (1, 13)]
+        assert got[0] == got[1] and len(got[0]) == 1000
+
+
+def test_prefix_scan_equals_a_running_fold(spark):
+    """A hot key over several ranges, null keys, any order values, values of every kind."""
+    rng = random.Random(7)
+    rows = [(rng.choice([None, 1, 1, 1, 2, 3]), rng.choice([i, 2 ** 60 + i]), rng.choice([None, None, i / 7]),
+             rng.choice([None, None, None, f"s{i}"]), rng.choice([None, None, (i, None)])) for i in range(600)]
+    df = spark.createDataFrame(rows, "k long, seq long, a double, b string, c struct<x:long,y:string>").repartition(5)
+    want, last = [], {}
+    for k, seq, *values in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
+        now = last.setdefault(k, [None] * 3)
+        last[k] = now = [old if v is None else v for old, v in zip(now, values, strict=True)]
+        want.append((k, seq, *now))
+    for n in (1, 4, 11):
+        got = _ranges(spark, n, lambda: running_last(df, ["k"], "seq", ["a", "b", "c"]).select("k", "seq", "a", "b", "c"))
+        assert [(*r[:4], r[4] and tuple(r[4])) for r in got] == sorted(want, key=repr)
+    assert running_last(df.limit(0), ["k"], "seq", ["a"]).collect() == []
 
 
 def test_per_field_carries_missing_tokens(spark):
