@@ -44,17 +44,27 @@ VOCABULARY_SWEEPS, LEAST_RISE = 4, 1e-3
 _END = 0x0E4D  # the end token's key; word keys are 64-bit hashes
 
 
-def _words(arr):
-    """(keys, endings, word offsets) of lower-cased words."""
+def _spans(arr):
+    """(keys, word offsets, function of word numbers that gives their endings) of lower-cased words."""
     data, offs = text_buffer(arr)
     data = LOWER[data]
     starts, ends, at = word_spans(data, offs, NOT_SPACE)
-    keys = byte_hashes(data, starts, ends)
-    tail = np.zeros(len(keys), np.uint64)
-    for k in (1, 2, 3):
-        have = ends - k >= starts
-        tail[have] += data[ends[have] - k].astype(np.uint64) << np.uint64(8 * (k - 1))
-    return keys, (mix64(tail + np.uint64(1)) % np.uint64(ENDINGS)).astype(np.int64), at
+
+    def endings(which: np.ndarray) -> np.ndarray:
+        first, end = starts[which], ends[which]
+        tail = np.zeros(len(which), np.uint64)
+        for k in (1, 2, 3):
+            have = end - k >= first
+            tail[have] += data[end[have] - k].astype(np.uint64) << np.uint64(8 * (k - 1))
+        return (mix64(tail + np.uint64(1)) % np.uint64(ENDINGS)).astype(np.int64)
+
+    return byte_hashes(data, starts, ends), at, endings
+
+
+def _words(arr):
+    """(keys, endings, word offsets) of lower-cased words."""
+    keys, at, endings = _spans(arr)
+    return keys, endings(np.arange(len(keys))), at
 
 
 # ------------------------------------------------------------------------- counting
@@ -73,9 +83,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(key), pa.array(ending.astype(np.int32)), pa.array(n)], names=["_key", "_ending", "_n"])
 
     for b in pieces(batches, max_bytes=WORK_BYTES):
-        keys, ending, _ = _words(col(b, "_text"))
+        keys, _, endings = _spans(col(b, "_text"))
         key, first, n = np.unique(keys, return_index=True, return_counts=True)
-        held.append((np.append(key.view(np.int64), _END), np.append(ending[first], -1), np.append(n, b.num_rows)))
+        held.append((np.append(key.view(np.int64), _END), np.append(endings(first), -1), np.append(n, b.num_rows)))
         size += len(key)
         if size > _HELD:
             held = [counted()]
@@ -387,8 +397,11 @@ def _collect_pairs(shared, blocks: int):
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.nulls(1, pa.int32())], names=[*b.schema.names, "_block"])
 
         for b in pieces(batches, max_bytes=WORK_BYTES):
-            keys, ending, at = _words(col(b, "_text"))
-            place = np.insert(_find(known, keys), at[1:], end)
+            keys, at, endings = _spans(col(b, "_text"))
+            place, ending = _find(known, keys), np.zeros(len(keys), np.int64)
+            rare = np.flatnonzero(place < 0)
+            ending[rare] = endings(rare)
+            place = np.insert(place, at[1:], end)
             key = np.insert(keys, at[1:], np.uint64(_END)).view(np.int64)
             ending = np.insert(ending, at[1:], 0)
             place0, key0, ending0 = np.append(end, place[:-1]), np.append(_END, key[:-1]), np.append(0, ending[:-1])
@@ -897,12 +910,12 @@ def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = shared.value
         for b in pieces(batches, max_bytes=WORK_BYTES):
-            keys, ending, at = _words(col(b, "_text"))
+            keys, at, endings = _spans(col(b, "_text"))
             spot = _find(m.known, keys)
             hit = spot >= 0
             word_row = row_of(at)
-            cls = m.cls[FREQUENT + ending]
-            cls[hit] = m.word_cls[spot[hit]]
+            cls = np.empty(len(keys), np.int64)
+            cls[hit], cls[~hit] = m.word_cls[spot[hit]], m.cls[FREQUENT + endings(np.flatnonzero(~hit))]
             path = np.insert(cls, at[1:], 0).astype(np.uint8).tobytes()
             ends = at + np.arange(len(at))
             end_logs = np.full(b.num_rows, np.log10(m.end + 0.1))
