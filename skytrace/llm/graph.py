@@ -13,20 +13,19 @@ def components(edges: DataFrame) -> DataFrame:
     its component.
 
     Alternating stars: a large-star step links a node's greater neighbours to its least neighbour,
-    a small-star step links its lesser ones. Both are a partial aggregate and a join with its written result,
-    whose shuffle adaptive execution splits where a hub makes it uneven. The rounds grow with the logarithm
-    of a component's size; each is written to the shared folder. No edges: no rows.
+    a small-star step links its lesser ones. Both are a partial aggregate and a join by node, so all
+    edges of a hub meet in one task of a join (a few long numbers each). The rounds grow with the logarithm of
+    a component's size; each is written to the shared folder. No edges: no rows.
     """
     e = materialise(edges.filter("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                     .distinct(), "edges")
     seen = None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = materialise(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = (both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .filter("u != v"))
-        large = materialise(large, "large")
-        low = materialise(large.groupBy("u").agg(F.min("v").alias("m")), "low")
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
         e = materialise(large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                         .unionByName(low.select("u", F.col("m").alias("v"))).filter("u != v").distinct(), "edges")
         state = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
