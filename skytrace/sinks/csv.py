@@ -32,43 +32,33 @@ def fixed_text(df: DataFrame, digits: dict[str, int]) -> DataFrame:
     rounded half to even as C's ``%.<n>f`` does. Native expressions only: the fraction times 10^n is formed as a double
     and its exact error (Dekker's product), and the nearest integer is corrected by exact comparisons. Exact below
     2^63; beyond it the digits of Java's formatter are kept. Null stays null."""
-    def part(name: str, c: str):
-        return F.col(f"`_{name}_{c}`")
-
-    out = df
-    steps = [
-        lambda c, n: {"a": F.when(_plain(F.col(f"`{c}`")), F.abs(F.col(f"`{c}`"))).otherwise(0.0)},
-        lambda c, n: {"w": F.floor(part("a", c)), "f": part("a", c) - F.floor(part("a", c)).cast("double")},
-        lambda c, n: {"p": part("f", c) * F.lit(10.0 ** n), "s": F.lit(_SPLIT) * part("f", c)},
-        lambda c, n: {"h": part("s", c) - (part("s", c) - part("f", c)), "r": F.rint(part("p", c))},
-        lambda c, n: {"l": part("f", c) - part("h", c), "d": part("p", c) - part("r", c)},
-        lambda c, n: {"e": -(((part("h", c) * _halves(10.0 ** n)[0] - part("p", c)) + part("h", c) * _halves(10.0 ** n)[1]
-                              + part("l", c) * _halves(10.0 ** n)[0]) + part("l", c) * _halves(10.0 ** n)[1])},
-        lambda c, n: {"n": part("r", c).cast("bigint") + _correction(part("d", c), part("e", c), part("r", c).cast("bigint") % 2 != 0)},
-    ]
-    for step in steps:
-        out = out.withColumns({f"_{k}_{c}": v for c, n in digits.items() for k, v in step(c, n).items()})
-    texts = {}
-    for c, n in digits.items():
-        x, carry = F.col(f"`{c}`"), part("n", c) == 10 ** n
-        minus = (x < 0) | (x.cast("string") == "-0.0")
-        number = F.concat((part("w", c) + carry.cast("bigint")).cast("string"), F.lit("."),
-                          F.lpad(F.when(carry, 0).otherwise(part("n", c)).cast("string"), n, "0"))
-        texts[c] = (F.when(F.isnan(x), F.lit("nan")).when(F.abs(x) == float("inf"), F.when(x < 0, F.lit("-inf")).otherwise(F.lit("inf")))
-                    .when(~_plain(x), F.format_string(f"%.{n}f", x))
-                    .when(x.isNotNull(), F.concat(F.when(minus, F.lit("-")).otherwise(F.lit("")), number)))
-    return out.withColumns(texts).select(*[F.col(f"`{c}`") for c in df.columns])
-
-
-def _plain(x: Column) -> Column:
-    return ~F.isnan(x) & (F.abs(x) < 2.0 ** 63)
-
-
-def _correction(d: Column, e: Column, odd: Column) -> Column:
-    """What to add to the nearest integer r of p, where d = p - r and the exact product is p - e: 1 where the product is
-    more than a half above r, -1 where it is more than a half below; on ties the odd r moves."""
-    up, down = d - 0.5, d + 0.5  # exact
-    return F.when((up > e) | ((up == e) & odd), 1).when((down < e) | ((down == e) & odd), -1).otherwise(0)
+    def steps(c: str, n: int) -> list[dict[str, str]]:
+        x, (high, low) = f"`{c}`", _halves(10.0 ** n)
+        a, w, f, p, s, h, r, l, d, e, k = (f"`_{name}_{c}`" for name in "awfpshrldek")
+        odd = f"CAST({r} AS BIGINT) % 2 <> 0"
+        minus = f"({x} < 0 OR CAST({x} AS STRING) = '-0.0')"
+        carry = f"{k} = {10 ** n}"
+        return [  # each step is a projection of its own, so that nothing is evaluated twice
+            {a: f"CASE WHEN NOT isnan({x}) AND abs({x}) < {2.0 ** 63!r}D THEN abs({x}) ELSE 0D END"},
+            {w: f"floor({a})", f: f"{a} - CAST(floor({a}) AS DOUBLE)"},
+            {p: f"{f} * {10.0 ** n!r}D", s: f"{_SPLIT!r}D * {f}"},
+            {h: f"{s} - ({s} - {f})", r: f"rint({p})"},
+            {l: f"{f} - {h}", d: f"{p} - {r}"},
+            {e: f"-((({h} * {high!r}D - {p}) + {h} * {low!r}D + {l} * {high!r}D) + {l} * {low!r}D)"},
+            # the exact product is p - e: a half or more above r, or below; d - 0.5 and d + 0.5 are exact; odd r moves on ties
+            {k: f"CAST({r} AS BIGINT) + CASE WHEN {d} - 0.5D > {e} OR ({d} - 0.5D = {e} AND {odd}) THEN 1 "
+                f"WHEN {d} + 0.5D < {e} OR ({d} + 0.5D = {e} AND {odd}) THEN -1 ELSE 0 END"},
+            {x: f"CASE WHEN isnan({x}) THEN 'nan' WHEN {x} = double('inf') THEN 'inf' WHEN {x} = double('-inf') THEN '-inf' "
+                f"WHEN abs({x}) >= {2.0 ** 63!r}D THEN format_string('%.{n}f', {x}) "
+                f"WHEN {x} IS NOT NULL THEN concat(CASE WHEN {minus} THEN '-' ELSE '' END, "
+                f"CAST({w} + CASE WHEN {carry} THEN 1 ELSE 0 END AS STRING), '.', "
+                f"lpad(CAST(CASE WHEN {carry} THEN 0 ELSE {k} END AS STRING), {n}, '0')) END"}]
+
+    out, plans = df, [steps(c, n) for c, n in digits.items()]
+    for step in zip(*plans, strict=True):
+        new = {name: sql for one in step for name, sql in one.items()}
+        out = out.selectExpr(*[f"`{c}`" for c in out.columns if f"`{c}`" not in new], *[f"{sql} AS {name}" for name, sql in new.items()])
+    return out.select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def _digits(fmt: str) -> int | None:

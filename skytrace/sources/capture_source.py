@@ -53,6 +53,27 @@ def _ranges(path: str, start: int, end: int, size: int) -> list[Range]:
     return [Range(path, s, min(s + size, end), end, start) for s in range(start, end, size)]
 
 
+class Group(InputPartition):
+    """Ranges that one task reads: one large, or many small ones."""
+
+    def __init__(self, ranges: list[Range]):
+        self.ranges = ranges
+
+
+def _grouped(ranges: list[Range], size: int) -> list[Group]:
+    """Neighbouring ranges together up to ``size`` bytes, less where that would leave few tasks."""
+    total = sum(r.stop - r.start for r in ranges)
+    most = max(1 << 18, min(size, total // 32))
+    groups, held = [], most
+    for r in ranges:
+        if held + r.stop - r.start > most:
+            groups.append([])
+            held = 0
+        groups[-1].append(r)
+        held += r.stop - r.start
+    return [Group(g) for g in groups]
+
+
 def _batches(folder: str, part: Range) -> Iterator[pa.RecordBatch]:
     fs, _ = pafs.FileSystem.from_uri(folder)
     name, done = part.path.rsplit("/", 1)[-1].rsplit(".", 1)[0], 0
@@ -77,20 +98,18 @@ class CaptureReader(DataSourceReader):
         self.size = int(options.get("rangeBytes", RANGE_BYTES))
         self.counts = options.get("counts", "false").lower() == "true"
 
-    def partitions(self) -> list[Range]:
-        return [r for path, size in _files(self.folder, self.glob) for r in _ranges(path, 0, size, self.size)]
+    def partitions(self) -> list[Group]:
+        return _grouped([r for path, size in _files(self.folder, self.glob) for r in _ranges(path, 0, size, self.size)], self.size)
 
-    def read(self, partition: Range | None) -> Iterator[pa.RecordBatch]:
-        if partition is None:  # no files
-            return
-        if not self.counts:
-            yield from _batches(self.folder, partition)
-            return
-        fs, _ = pafs.FileSystem.from_uri(self.folder)
-        n = sum(len(heads) for _, heads, _, _ in
-                R.records(R.Capture(fs, partition.path, partition.end), partition.start, partition.stop, partition.base))
-        yield pa.RecordBatch.from_arrays([pa.array([file_key(partition.path)]), pa.array([partition.start]), pa.array([n])],
-                                         names=["file_key", "range_start", "records"])
+    def read(self, partition: Group | None) -> Iterator[pa.RecordBatch]:
+        for part in partition.ranges if partition else []:  # None: no files
+            if not self.counts:
+                yield from _batches(self.folder, part)
+                continue
+            fs, _ = pafs.FileSystem.from_uri(self.folder)
+            n = sum(len(heads) for _, heads, _, _ in R.records(R.Capture(fs, part.path, part.end), part.start, part.stop, part.base))
+            yield pa.RecordBatch.from_arrays([pa.array([file_key(part.path)]), pa.array([part.start]), pa.array([n])],
+                                             names=["file_key", "range_start", "records"])
 
 
 class CaptureStreamReader(DataSourceStreamReader):
@@ -112,14 +131,15 @@ class CaptureStreamReader(DataSourceStreamReader):
                 self.known[path] = R.finished_end(R.Capture(fs, path, size), base)
         return {p: e for p, e in self.known.items() if e}
 
-    def partitions(self, start: dict, end: dict) -> list[Range]:
+    def partitions(self, start: dict, end: dict) -> list[Group]:
         for path, stop in end.items():
             self.known[path] = max(stop, self.known.get(path, 0))  # after a restart: what was planned before
-        return [r for path, stop in sorted(end.items()) if stop > start.get(path, 0)
-                for r in _ranges(path, start.get(path, 0), stop, self.size)]
+        return _grouped([r for path, stop in sorted(end.items()) if stop > start.get(path, 0)
+                         for r in _ranges(path, start.get(path, 0), stop, self.size)], self.size)
 
-    def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
-        return _batches(self.folder, partition)
+    def read(self, partition: Group | None) -> Iterator[pa.RecordBatch]:
+        for part in partition.ranges if partition else []:
+            yield from _batches(self.folder, part)
 
 
 class Written(WriterCommitMessage):
