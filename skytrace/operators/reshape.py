@@ -150,11 +150,17 @@ def unpack_series(packs: DataFrame, kind: str = "signals", resample_us: int = 0,
 
 
 def series_pivot(series: DataFrame, message: str) -> DataFrame:
-    """Rebuild the table of one message from its long signals: one row per (device_id, idx)."""
+    """Rebuild the table of one message from its long signals: one row per (device_id, idx).
+
+    The long rows are exchanged by (device_id, idx) before they are grouped, so a task's hash table holds the whole
+    rows of one partition, a column a field; ``pivot`` would first group by field too, in the task that reads.
+    """
     label = FT.SERIES_LABEL[message]
     names = ["_timestamp"] + [n for n, t in pack_fields(message) if t != "string"]
-    return (series.filter(F.col("message") == label)
-            .groupBy("device_id", "idx").pivot("field", names).agg(F.first("value")))
+    at = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("field")).cast("int").alias("_at")
+    rows = series.filter(F.col("message") == label).select("device_id", "idx", at, "value").repartition("device_id", "idx")
+    values = [F.first(F.when(F.col("_at") == i, F.col("value")), ignorenulls=True).alias(n) for i, n in enumerate(names, 1)]
+    return rows.groupBy("device_id", "idx").agg(*values)
 
 
 def aligned_series(classified: DataFrame, capacity: int = 2000, compat: bool = True, messages=None) -> DataFrame:
