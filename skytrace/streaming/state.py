@@ -1,12 +1,13 @@
 """Stateful streaming operators on Spark's arbitrary state (``transformWithState``, RocksDB state store).
 
-* ``latest_records``: the newest N whole records of each key (list state), as a log of changes;
+* ``latest_records``: the newest N whole records of each key, as a log of changes;
 * ``latest_state_stream``: at every frame the latest value of each field, per device (one value state a message);
 * ``thin_events``: greedy minimum-gap thinning that passes its watermark on, so that windows can follow
   (``rate_packs``).
 
 A key's rows of one micro-batch are ordered in its task; what they need at once is bounded by the size of a
-micro-batch (``maxFilesPerTrigger``), the state by N records, one value a field, or one time. State is in RocksDB and
+micro-batch (``maxFilesPerTrigger``), the state by N records, one value a field, or one time a key. The newest records
+and the thinning keep the keys of a bucket together (``streaming.buckets``). State is in RocksDB and
 checkpointed, so a task that is run again, or a query that is restarted, gives the same result.
 """
 
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions import sqltext
-from ..operators.thinning import fold_runs, rate_to_gap_us
+from ..operators.thinning import rate_to_gap_us
+from .buckets import BUCKETS, Keys, Thinned, bucketed, dense, in_order, restored
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -56,45 +58,71 @@ def _batch(rows: Iterator[pd.DataFrame], columns: list[str], order: str) -> pd.D
 
 # ------------------------------------------------------------------------- newest N records
 class _LatestRecords(StatefulProcessor):
-    def __init__(self, keys: list[str], capacity: int, state_spec: str):
-        self.keys, self.capacity, self.state_spec = keys, capacity, state_spec
+    """The newest records of a bucket's keys: the state holds, for each key, the orders and the rows of its records."""
+
+    def __init__(self, columns: list[str], kinds: dict[str, str], keys: list[str], capacity: int):
+        self.columns, self.capacity = columns, capacity
+        self.keys = Keys(columns, kinds, keys)
+        self.spec = f"{self.keys.state}, orders array<array<bigint>>, rows array<array<{kinds['_row']}>>"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.ring = handle.getListState("ring", self.state_spec)
+        self.rings = handle.getValueState("rings", self.spec)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        held = [(r[0], r[1]) for r in self.ring.get()] if self.ring.exists() else []
-        before = {o for o, _ in held}
-        for pdf in rows:  # never more than the ring and one Arrow batch
-            pdf.columns = [*self.keys, "_order", "_row"]
-            held += zip(pdf["_order"].tolist(), pdf["_row"].tolist(), strict=True)
-            held = sorted(held, key=lambda x: x[0])[-self.capacity:]
-        self.ring.put([(o, tuple(r) if isinstance(r, tuple) else tuple(r.values())) for o, r in held])
-        now = {o for o, _ in held}
-        come = [(o, r, True) for o, r in held if o not in before]
-        gone = [(o, None, False) for o in sorted(before - now)]
-        change = come + gone
+        state = self.rings.get() if self.rings.exists() else None
+        known = self.keys.held(state)
+        orders, records = ([], []) if state is None else (list(state[-2]), [[_plain(r) for r in held] for held in state[-1]])
+        before = {}  # orders a key held, of the keys with new rows
+        for pdf in rows:  # never more than the rings and one Arrow batch
+            pdf.columns = self.columns
+            at = self.keys.places(known, pdf)
+            orders += [[] for _ in range(len(known) - len(orders))]
+            records += [[] for _ in range(len(known) - len(records))]
+            by = in_order(pdf, at, "_order")
+            at = at[by]
+            starts = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+            stops = np.append(starts[1:], len(at))
+            new_orders, new_rows = pdf["_order"].to_numpy()[by], pdf["_row"].to_numpy()[by]
+            for k, i, j in zip(at[starts].tolist(), starts.tolist(), stops.tolist(), strict=True):
+                before.setdefault(k, set(orders[k]))
+                i = max(i, j - self.capacity)
+                held = [*zip(orders[k], records[k], strict=True),
+                        *((o, _plain(r)) for o, r in zip(new_orders[i:j].tolist(), new_rows[i:j], strict=True))]
+                held = sorted(held, key=lambda x: x[0])[-self.capacity:]
+                orders[k], records[k] = [o for o, _ in held], [r for _, r in held]
+        columns = self.keys.columns_of(known)
+        self.rings.update((*columns, orders, records))
+        change = []
+        for k, was in before.items():
+            change += [(k, o, r, True) for o, r in zip(orders[k], records[k], strict=True) if o not in was]
+            change += [(k, o, None, False) for o in sorted(was - set(orders[k]))]
         if change:
-            out = pd.DataFrame({k: [v] * len(change) for k, v in zip(self.keys, key, strict=True)})
-            out["_order"] = [o for o, _, _ in change]
-            out["_row"] = [None if r is None else r for _, r, _ in change]
-            out["_entered"] = [x for _, _, x in change]
+            out = pd.DataFrame({c: [v[k] for k, *_ in change] for c, v in zip(self.keys.columns, columns, strict=True)})
+            out["_order"] = [o for _, o, _, _ in change]
+            out["_row"] = [r for _, _, r, _ in change]
+            out["_entered"] = [x for *_, x in change]
             yield out
 
     def close(self) -> None:
         pass
 
 
-def latest_records(df: DataFrame, keys: list[str], order: str, capacity: int) -> DataFrame:
+def _plain(row) -> tuple:
+    return tuple(row) if isinstance(row, tuple) else tuple(row.values())
+
+
+def latest_records(df: DataFrame, keys: list[str], order: str, capacity: int, buckets: int = BUCKETS) -> DataFrame:
     """Changes of the newest ``capacity`` records per key: (keys, _order, _row, _entered). A record that
     enters comes with all its columns; one that is pushed out with its ``order`` only. Keys without
     new records give nothing. ``order`` values are distinct within a key."""
     row = F.struct(*[F.col(c) for c in df.columns if c not in keys])
-    rows = df.select(*keys, F.col(order).cast("long").alias("_order"), row.alias("_row"))
+    rows = dense(df.select(*keys, F.col(order).cast("long").alias("_order"), row.alias("_row")))
+    rows = bucketed(rows, keys, buckets)
     kinds = dict(rows.dtypes)
-    spec = f"_order bigint, _row {kinds['_row']}"
-    out = ", ".join(f"`{k}` {kinds[k]}" for k in keys) + f", {spec}, _entered boolean"
-    return rows.groupBy(*keys).transformWithStateInPandas(_LatestRecords(keys, capacity, spec), out, "append", "none")
+    processor = _LatestRecords(rows.columns, kinds, keys, capacity)
+    out = ", ".join(f"`{c}` {kinds[c]}" for c in processor.keys.columns) + f", _order bigint, _row {kinds['_row']}, _entered boolean"
+    changes = rows.groupBy("_bucket").transformWithStateInPandas(processor, out, "append", "none")
+    return restored(changes, df.select(*keys), "_order", "_row", "_entered")
 
 
 def current_records(changes: DataFrame, keys: list[str]) -> DataFrame:
@@ -168,28 +196,28 @@ def latest_state_stream(classified: DataFrame, selection: dict[str, list[str]],
 
 # ------------------------------------------------------------------------- packs with a rate
 class _Thin(StatefulProcessor):
-    def __init__(self, columns: list[str], order: str, gap: int):
-        self.columns, self.order, self.gap = columns, order, gap
+    def __init__(self, thinned: Thinned):
+        self.thinned = thinned
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "last bigint")
+        self.last = handle.getValueState("last", self.thinned.state)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _batch(rows, self.columns, self.order)
-        last = self.last.get()[0] if self.last.exists() else 0
-        keep, after = fold_runs(pdf["ts_us"].to_numpy(np.int64), np.array([0]), np.array([last], np.int64), self.gap)
-        self.last.update((int(after[0]),))
-        yield pdf.loc[keep]
+        keep, after = self.thinned.fold(list(rows), self.last.get() if self.last.exists() else None)
+        self.last.update(after)
+        yield keep
 
     def close(self) -> None:
         pass
 
 
-def thin_events(df: DataFrame, keys: list[str], order: str, gap_us: int, event_time: str) -> DataFrame:
+def thin_events(df: DataFrame, keys: list[str], order: str, gap_us: int, event_time: str, buckets: int = BUCKETS) -> DataFrame:
     """Thinning of a stream whose ``event_time`` column has a watermark; kept rows carry it on. The least
     state is one time a key, kept as long as the query."""
-    return df.groupBy(*keys).transformWithStateInPandas(_Thin(df.columns, order, int(gap_us)), df.schema, "append", "eventTime",
-                                                        eventTimeColumnName=event_time)
+    rows = bucketed(dense(df), keys, buckets)
+    spec = Thinned(rows.columns, dict(rows.dtypes), keys, order, "ts_us", int(gap_us))
+    kept = rows.groupBy("_bucket").transformWithStateInPandas(_Thin(spec), rows.schema, "append", "eventTime", eventTimeColumnName=event_time)
+    return restored(kept, df)
 
 
 def rate_packs(classified: DataFrame, rate_hz: float, pack: str = "1 day", delay: str = "1 hour", compat: bool = True) -> DataFrame:

@@ -3,22 +3,21 @@
 * ``decode_stream``: ``readStream`` over Parquet frame files -> the same classification
   expressions as batch -> a Parquet sink (exactly-once through the sink's metadata log).
   Frames without an embedded time are stamped at arrival.
-* ``thin_stream``: greedy minimum-gap thinning with the per-key state ``last`` kept by
-  ``applyInPandasWithState``; rows are sorted by arrival key inside each micro-batch and the
-  state survives across micro-batches, so the result equals the batch fold when files arrive
-  in arrival order.
+* ``thin_stream``: greedy minimum-gap thinning with the state ``last`` of every key kept by
+  ``applyInPandasWithState``, many keys a group (``streaming.buckets``); rows are sorted by arrival key inside
+  each micro-batch and the state survives across micro-batches, so the result equals the batch
+  fold when files arrive in arrival order.
 """
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..operators.classify import classify
-from ..operators.thinning import fold_runs
+from .buckets import BUCKETS, Thinned, bucketed, dense, restored
 
 FRAME_SCHEMA = ("device_id bigint, seq bigint, ts_us bigint, protocol string, start_seq binary, "
                 "body binary, body_len int, truncated boolean, status string")
@@ -48,23 +47,20 @@ def decode_stream(spark: SparkSession, landing: str, out: str, checkpoint: str,
     run_available_now(cls, out, checkpoint)
 
 
-def thin_stream(df: DataFrame, keys: list[str], order: str, ts: str, gap_us: int) -> DataFrame:
-    """Streaming greedy thinning per ``keys``; state = last kept timestamp (absent = 0)."""
-    gap = int(gap_us)
-    cols = df.columns
-    schema = df.schema
+def thin_stream(df: DataFrame, keys: list[str], order: str, ts: str, gap_us: int, buckets: int = BUCKETS) -> DataFrame:
+    """Streaming greedy thinning per ``keys``; state = last kept timestamp of each key (absent = 0)."""
+    rows = bucketed(dense(df), keys, buckets)
+    cols = rows.columns
+    spec = Thinned(cols, dict(rows.dtypes), keys, order, ts, int(gap_us))
 
     def fold(key, pdfs, state):
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(order, kind="stable")
-        last = int(state.get[0]) if state.exists else 0
-        tsv = pdf[ts].to_numpy(dtype=np.int64)
-        # the batch is one run whose entry state is the stored ``last`` (0 for a new key)
-        keep, last_out = fold_runs(tsv, np.array([0]), np.array([last], dtype=np.int64), gap)
-        state.update((int(last_out[0]),))
-        yield pdf.loc[keep, cols]
-
-    return (df.groupBy(*keys)
-            .applyInPandasWithState(fold, schema, "last long", "append", GroupStateTimeout.NoTimeout))
+        keep, after = spec.fold(list(pdfs), state.get if state.exists else None)
+        state.update(after)
+        yield keep
+
+    kept = (rows.groupBy("_bucket")
+            .applyInPandasWithState(fold, rows.schema, spec.state, "append", GroupStateTimeout.NoTimeout))
+    return restored(kept, df)
 
 
 def report_stream(spark: SparkSession, landing: str, out: str, checkpoint: str,
