@@ -129,8 +129,10 @@ def current_records(changes: DataFrame, keys: list[str]) -> DataFrame:
     """The records that entered and have not been pushed out, with their columns and ``idx`` (0 = oldest)."""
     from pyspark.sql import Window
 
-    gone = changes.filter("not _entered").select(*keys, "_order")
-    kept = changes.filter("_entered").join(gone, [*keys, "_order"], "left_anti")
+    by = [*keys, "_order"]
+    gone = changes.filter("not _entered").select(*[F.col(c).alias(f"_gone_{c}") for c in by])
+    same = [F.col(c).eqNullSafe(F.col(f"_gone_{c}")) for c in by]  # a null key is a key
+    kept = changes.filter("_entered").join(gone, same, "left_anti")
     own = Window.partitionBy(*keys).orderBy("_order")
     return kept.select(*keys, "_row.*", (F.row_number().over(own) - 1).cast("bigint").alias("idx"))
 
