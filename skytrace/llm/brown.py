@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,7 +74,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def counted():
         key, ending, n = (np.concatenate(x) for x in zip(*held, strict=True))
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         key, ending, n = key[order], ending[order], n[order]
         first = np.flatnonzero(np.append(True, key[1:] != key[:-1])[:len(key)])
         return key[first], ending[first], np.add.reduceat(n, first)
@@ -84,7 +85,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for b in pieces(batches, max_bytes=WORK_BYTES):
         keys, _, endings = _spans(col(b, "_text"))
-        key, first, n = np.unique(keys, return_index=True, return_counts=True)
+        first, starts, _ = _grouped(keys)
+        key, n = keys[first], np.diff(np.append(starts, len(keys)))
         held.append((np.append(key.view(np.int64), _END), np.append(endings(first), -1), np.append(n, b.num_rows)))
         size += len(key)
         if size > _HELD:
@@ -196,12 +198,32 @@ _RANGE, _CHUNK, _HELD = 256, 512, 1 << 20
 _BLOCK_WORDS, WORK_BYTES = 1024, 1 << 20
 
 
-def _find(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
+def _grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(one place of each distinct key, by key; where its places begin in the order; the order of places by key)."""
+    order = np.argsort(keys)
+    by_key = keys[order]
+    starts = np.flatnonzero(np.append(True, by_key[1:] != by_key[:-1])[:len(keys)])
+    return order[starts], starts, order
+
+
+def _index(known: np.ndarray) -> np.ndarray:
+    """Where the keys of each prefix begin in the sorted array of hashes; there are up to four prefixes a key."""
+    bits = min(max(len(known), 1).bit_length() + 1, 32)
+    return np.searchsorted(known >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
+
+
+def _find(known: np.ndarray, index: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Places of keys in the sorted array, -1 for those it does not hold."""
-    if not len(known):
-        return np.full(len(keys), -1, np.int64)
-    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-    return np.where(known[at] == keys, at, -1)
+    prefix = keys >> np.uint64(65 - (len(index) - 1).bit_length())
+    at, end = index[prefix], index[prefix + np.uint64(1)]
+    out, live = np.full(len(keys), -1, np.int64), np.flatnonzero(at < end)
+    at, end, left = at[live], end[live], keys[live]
+    while len(live):  # the keys of a prefix, one a round
+        hit = known[at] == left
+        out[live[hit]] = at[hit]
+        on = np.flatnonzero(~hit & (at + 1 < end))
+        live, at, end, left = live[on], at[on] + 1, end[on], left[on]
+    return out
 
 
 class _Pairs:
@@ -225,13 +247,13 @@ class _Pairs:
         code, n = _summed(*(np.concatenate(x) for x in zip(*self.parts, strict=True)))
         self.parts, self.size = [], 0
         turned = code % self.words * self.words + code // self.words
-        order = np.argsort(turned, kind="stable")
+        order = np.argsort(turned)  # no code twice
         for side, c, m in ((0, code, n), (1, turned[order], n[order])):
             yield from _packed(c, m, _RANGE * self.words, side)
 
 
 def _summed(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(code, kind="stable")
+    order = np.argsort(code)
     code, n = code[order], n[order]
     first = np.flatnonzero(np.append(True, code[1:] != code[:-1])[:len(code)])
     return code[first], np.add.reduceat(n, first) if len(first) else n
@@ -246,11 +268,11 @@ def _packed(code: np.ndarray, n: np.ndarray, wide: int, side: int) -> Iterator[p
         k = int(code[i] // wide)
         raw = np.diff(code[i:j] - k * wide, prepend=0).astype("<i4").tobytes() + n[i:j].astype("<i8").tobytes()
         yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([side], pa.int32()), pa.array([j - i], pa.int32()),
-                                          pa.array([zlib.compress(raw, 1)])], names=["_range", "_side", "_size", "_packed"])
+                                          pa.array([zstandard.compress(raw, 1)])], names=["_range", "_side", "_size", "_packed"])
 
 
 def _unpacked(size: int, packed: bytes) -> tuple[np.ndarray, np.ndarray]:
-    raw = zlib.decompress(packed)
+    raw = zstandard.decompress(packed)
     return np.cumsum(np.frombuffer(raw, "<i4", size).astype(np.int64)), np.frombuffer(raw, "<i8", size, 4 * size)
 
 
@@ -331,6 +353,19 @@ def _block_of(key: np.ndarray, blocks: int) -> np.ndarray:
     return (((key.view(np.uint64) >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)).astype(np.int64)
 
 
+def _block_order(key: np.ndarray, blocks: int) -> np.ndarray:
+    """The order of keys by block, and by key in a block. Blocks ascend with the key's bits."""
+    order = np.argsort(key.view(np.uint64))
+    middle, high = np.uint64(1 << 63), key.view(np.uint64)[order]
+    edge = _block_of(np.array([middle - np.uint64(1), middle]).view(np.int64), blocks)
+    if edge[0] == edge[1]:  # one block has the greatest keys and then the least
+        of = _block_of(high.view(np.int64), blocks)
+        i, j = np.searchsorted(of, edge[0]), np.searchsorted(of, edge[0], "right")
+        k = np.searchsorted(high, middle)
+        order[i:j] = np.concatenate([order[k:j], order[i:k]])
+    return order
+
+
 def _by_block(key: np.ndarray, blocks: int) -> Iterator[tuple[int, int, int]]:
     """(block, first, end) of keys that stand block by block."""
     if not len(key):
@@ -344,7 +379,7 @@ def _combined(blocks: list[_Block], n_blocks: int) -> _Block:
     """Blocks of successions as one: words in order of block and key, equal records summed, counts of the words anew."""
     key = np.concatenate([b.key for b in blocks])
     shift = np.cumsum([0] + [len(b.key) for b in blocks])
-    order = np.lexsort((key, _block_of(key, n_blocks)))
+    order = _block_order(key, n_blocks)
     new = np.append(True, key[order][1:] != key[order][:-1])[:len(key)]
     word = np.empty(len(key), np.int64)
     word[order] = np.cumsum(new) - 1
@@ -359,7 +394,10 @@ def _combined(blocks: list[_Block], n_blocks: int) -> _Block:
     np.add.at(n, (of >> 32)[after], many[after])  # each occurrence is followed by one token
     o = np.concatenate([b.others for b in blocks])
     w = word[np.concatenate([b.others_of + x for b, x in zip(blocks, shift, strict=False)])]
-    order = np.lexsort((o["n"] & 1023, o["key"], w))
+    # by word; equal records meet by a hash (they are summed again later, should two records share it)
+    bits = np.uint64(len(first).bit_length())
+    order = np.argsort((w.astype(np.uint64) << (np.uint64(64) - bits))
+                       | mix64(o["key"].view(np.uint64) ^ mix64((o["n"] & 1023).astype(np.uint64))) >> bits)
     w, k, f, m = w[order], o["key"][order], (o["n"] & 1023)[order], (o["n"] >> 10)[order]
     new = np.flatnonzero(np.append(True, (w[1:] != w[:-1]) | (k[1:] != k[:-1]) | (f[1:] != f[:-1]))[:len(w)])
     others = np.empty(len(new), _OTHER)
@@ -381,7 +419,7 @@ def _collect_pairs(shared, blocks: int):
     """The one pass over the texts: packed successions of known words by ranges, and of all others by blocks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        end = len(known)
+        index, end = _index(known), len(known)
         pairs, held, edges = _Pairs(end + 1), [], 0
 
         def tails():
@@ -398,7 +436,7 @@ def _collect_pairs(shared, blocks: int):
 
         for b in pieces(batches, max_bytes=WORK_BYTES):
             keys, at, endings = _spans(col(b, "_text"))
-            place, ending = _find(known, keys), np.zeros(len(keys), np.int64)
+            place, ending = _find(known, index, keys), np.zeros(len(keys), np.int64)
             rare = np.flatnonzero(place < 0)
             ending[rare] = endings(rare)
             place = np.insert(place, at[1:], end)
@@ -409,18 +447,18 @@ def _collect_pairs(shared, blocks: int):
             pairs.add(place0[both], place[both])
             # from the side of each word that is not known
             t, t0 = np.flatnonzero(place < 0), np.flatnonzero(place0 < 0)
-            word, first, row = np.unique(np.concatenate([key[t], key0[t0]]), return_index=True, return_inverse=True)
-            if len(word):
-                side = np.repeat([1, 0], [len(t), len(t0)])
-                head = np.concatenate([place0[t], place[t0]])
-                other, its = np.concatenate([key0[t], key[t0]]), np.concatenate([ending0[t], ending[t0]])
-                order = np.argsort(row, kind="stable")
-                row, side, head, other, its = row[order], side[order], head[order], other[order], its[order]
+            of = np.concatenate([key[t], key0[t0]])
+            if len(of):
+                first, starts, order = _grouped(of)
+                row = np.repeat(np.arange(len(first)), np.diff(np.append(starts, len(of))))
+                side = np.repeat([1, 0], [len(t), len(t0)])[order]
+                head = np.concatenate([place0[t], place[t0]])[order]
+                other, its = np.concatenate([key0[t], key[t0]])[order], np.concatenate([ending0[t], ending[t0]])[order]
                 to = head >= 0
                 h, o = np.empty(to.sum(), _HEAD), np.empty((~to).sum(), _OTHER)
                 h["head"], h["n"] = head[to] * 2 + side[to], 1
                 o["key"], o["n"] = other[~to], 1024 + its[~to] * 2 + side[~to]
-                held.append(_Block(word, np.zeros(len(word), np.int64), np.concatenate([ending[t], ending0[t0]])[first], row[to], h, row[~to], o))
+                held.append(_Block(of[first], np.zeros(len(first), np.int64), np.concatenate([ending[t], ending0[t0]])[first], row[to], h, row[~to], o))
                 edges += len(row)
             if edges > _HELD:
                 yield from tails()
@@ -468,7 +506,7 @@ def _merge_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, n = _summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
         raw = np.diff(code, prepend=0).astype("<i4").tobytes() + n.astype("<i8").tobytes()
         return pa.RecordBatch.from_arrays([pa.array([at[0]], pa.int32()), pa.array([at[1]], pa.int32()), pa.array([len(code)], pa.int32()),
-                                           pa.array([zlib.compress(raw, 1)])], names=["_range", "_side", "_size", "_packed"])
+                                           pa.array([zstandard.compress(raw, 1)])], names=["_range", "_side", "_size", "_packed"])
 
     for k, side, size, packed in _rows(batches, "_range", "_side", "_size", "_packed"):
         if at != (k, side):
@@ -523,7 +561,8 @@ def _send(blocks: int, first, choose):
             nonlocal held, size
             if held:
                 key, code, n = (np.concatenate(x) for x in zip(*held, strict=True))
-                order = np.lexsort((code, key, _block_of(key, blocks)))
+                # by block, and nearly by key and code: what is left apart is summed where it arrives
+                order = np.argsort(key.view(np.uint64) & ~np.uint64(255) | code.astype(np.uint64))
                 key, code, n = key[order], code[order], n[order]
                 new = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (code[1:] != code[:-1]))[:len(key)])
                 out = np.empty(len(new), _MESSAGE)
@@ -766,7 +805,7 @@ def _choose_tails(shared, sweep: int, share: int):
         word = np.append(b.heads_of, b.cells_of)
         code = np.append((b.heads["head"] & 1) * CLASSES + heads[b.heads["head"] >> 1], b.cells["code"])
         n = np.append(b.heads["n"], b.cells["n"]).astype(np.int64)
-        order = np.argsort(word, kind="stable")
+        order = np.argsort(word)
         word, code, n = word[order], code[order], n[order]
         out = b.cls.copy()
         for i in range(0, len(out), _CHUNK):
@@ -909,9 +948,10 @@ def _score(shared):
     for words not known), and the distinct words not known with how often and where they stand."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = shared.value
+        index = _index(m.known)
         for b in pieces(batches, max_bytes=WORK_BYTES):
             keys, at, endings = _spans(col(b, "_text"))
-            spot = _find(m.known, keys)
+            spot = _find(m.known, index, keys)
             hit = spot >= 0
             word_row = row_of(at)
             cls = np.empty(len(keys), np.int64)
@@ -922,7 +962,7 @@ def _score(shared):
             logs = np.bincount(word_row[hit], np.log10(m.counts[spot[hit]] + 0.1), b.num_rows) + end_logs
             n_known = np.bincount(word_row[hit], minlength=b.num_rows) + (1 if m.end else 0)
             rest = np.flatnonzero(~hit)
-            rest = rest[np.lexsort((rest, keys[rest], word_row[rest]))]
+            rest = rest[np.lexsort((keys[rest], word_row[rest]))]
             key, row = keys[rest].view(np.int64), word_row[rest]
             fresh = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (row[1:] != row[:-1]))[:len(key)])
             times = np.diff(np.append(fresh, len(key)))

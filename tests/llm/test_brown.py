@@ -157,3 +157,22 @@ def test_the_commonest_words_are_exact_in_a_flat_vocabulary(spark):
     for most in (0, 1, 700, 2000, 5000):
         got = {r["_key"] for r in brown.commonest(table, most).collect()}
         assert got == {k for _, k in order[:most]}
+
+
+def test_words_are_found_by_the_prefixes_of_their_hashes():
+    r = np.random.default_rng(3)
+    for size in (0, 1, 2, 700):
+        known = np.unique(np.concatenate([r.integers(0, 1 << 64, size, np.uint64), np.arange(min(size, 5), dtype=np.uint64),
+                                          np.uint64((1 << 64) - 1) - np.arange(min(size, 9), dtype=np.uint64)]))
+        keys = np.concatenate([known, r.integers(0, 1 << 64, 300, np.uint64), np.array([0, (1 << 64) - 1], np.uint64)])
+        place = {int(k): i for i, k in enumerate(known)}
+        assert brown._find(known, brown._index(known), keys).tolist() == [place.get(int(k), -1) for k in keys]
+
+
+@pytest.mark.parametrize("blocks", [1, 2, 3, 7, 50])
+def test_keys_go_by_block_and_ascend_in_it(blocks):
+    key = np.random.default_rng(4).integers(-(1 << 63), 1 << 63, 500)
+    key = np.concatenate([key, key[:40], [0, -1, (1 << 63) - 1, -(1 << 63)]])
+    by = brown._block_order(key, blocks)
+    assert (key[by] == key[np.lexsort((key, brown._block_of(key, blocks)))]).all()
+    assert sorted(by) == list(range(len(key)))
