@@ -51,6 +51,21 @@ def row_and(rows: DataFrame, kinds: str) -> StructType:
     return StructType([rows.schema["_row"], *StructType.fromDDL(kinds).fields])
 
 
+def row_and_text(docs: DataFrame, text_col: str) -> DataFrame:
+    """Struct ``_row``, and ``_text`` only where the row does not hold it as a string already: a task gets a text once."""
+    if dict(docs.dtypes).get(text_col) == "string":
+        return docs.select(whole_row(docs))
+    return docs.select(whole_row(docs), F.coalesce(docs[text_col], F.lit("")).alias("_text"))
+
+
+def with_text(batches: Iterator[pa.RecordBatch], text_col: str) -> Iterator[pa.RecordBatch]:
+    """Batches of :func:`row_and_text` with ``_text`` in each, that of the row without a copy."""
+    for b in batches:
+        if "_text" not in b.schema.names:
+            b = pa.RecordBatch.from_arrays([*b.columns, col(b, "_row").field(text_col)], names=[*b.schema.names, "_text"])
+        yield b
+
+
 def crc_mod(id_col: Column, mod: int) -> Column:
     """crc32 of the id written as text, modulo ``mod``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % mod

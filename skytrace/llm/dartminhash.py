@@ -40,6 +40,8 @@ from .graph import components
 
 SHINGLE, THRESHOLD = 5, 0.8
 ROWS, BANDS = 8, 64
+#: Text bytes handled at once inside a task: some dozen numbers stand for each word meanwhile.
+WORK_BYTES = 1 << 19
 _C = [np.uint64(x) for x in (0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
 #: Rank cells 0, 1, 2 are [0, 1/4), [1/4, 1/2), [1/2, 1); cell c from 3 on is [c-2, c-1).
 _DYADIC = 3
@@ -119,7 +121,7 @@ def _throw(elements: np.ndarray, at: np.ndarray, part: np.ndarray | None, theta:
 
 
 def sketch(elements: np.ndarray, at: np.ndarray, k: int, part: np.ndarray | None = None,
-           work: int = 700_000) -> np.ndarray:
+           work: int = 50_000) -> np.ndarray:
     """Signatures (documents x k) of ragged unit-weight elements; ``part`` (0 to 1] gives an element
     less weight than 1. A document without elements has the signature 0."""
     out = np.zeros((len(at) - 1, k), np.uint64)
@@ -147,7 +149,7 @@ def sketch(elements: np.ndarray, at: np.ndarray, k: int, part: np.ndarray | None
 
 def _sketches(size: int, rows: int, bands: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in pieces(batches):
+        for b in pieces(batches, max_bytes=WORK_BYTES):
             elements, at, k1, k2 = shingles(col(b, "_text"), size)
             n = np.diff(at)
             # equal texts of a batch are sketched once
@@ -176,7 +178,7 @@ def _compare(size: int, threshold: float):
     has several texts where rows share its id.)"""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, own, seen = None, [], set()
-        for b, texts in unpacked(batches):
+        for b, texts in unpacked(batches, WORK_BYTES):
             names, salts, roles, ids = (col(b, x).to_pylist() for x in ("_leader", "_salt", "_role", "_id"))
             sets, at, k1, _ = shingles(pa.array(texts, pa.large_binary()), size)
             found = []
@@ -258,7 +260,7 @@ BLOCK_ROWS = 1024
 def _signed(size: int):
     """Packed texts -> signatures of two bits per coordinate."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, texts in unpacked(batches, 1 << 20):
+        for b, texts in unpacked(batches, WORK_BYTES):
             elements, at, _, _ = shingles(pa.array(texts, pa.large_binary()), size)
             bits = (sketch(elements, at, ESTIMATE) >> np.uint64(17)).astype(np.uint8) & 3
             sig = (bits.reshape(-1, ESTIMATE // 4, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(2, dtype=np.uint8)

@@ -26,12 +26,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import (LOWER, NOT_SPACE, col, id_text, mix64, pieces, row_and, row_of, text_buffer, whole_row, word_hashes, word_spans)
+from .common import (LOWER, NOT_SPACE, col, id_text, mix64, pieces, row_and, row_and_text, row_of, text_buffer, with_text,
+                     word_hashes, word_spans)
 
 PASSAGE = 32
 SAMPLE, TRAIN_PASSAGES = 4096, 64
 WORD_DIMS, PAIR_DIMS, HIDDEN, GATE = 48, 64, 24, 12
-WORK_BYTES = 1 << 20
+WORK_BYTES = 1 << 18
 
 
 def _classes() -> np.ndarray:
@@ -197,10 +198,10 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, label_col: str = "
     return model
 
 
-def _score(shared, column: str):
+def _score(shared, column: str, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for b in pieces(batches, max_bytes=WORK_BYTES):
+        for b in pieces(with_text(batches, text_col), max_bytes=WORK_BYTES):
             if isinstance(model, float):
                 score = np.full(b.num_rows, model)
             else:
@@ -212,10 +213,9 @@ def _score(shared, column: str):
 
 def score(docs: DataFrame, model, text_col: str = "text", column: str = "_score") -> DataFrame:
     """Every document as struct ``_row`` with its score, 0 to 1. No shuffle."""
-    out = docs.select(whole_row(docs),
-                      F.coalesce(docs[text_col], F.lit("")).alias("_text"))
+    out = row_and_text(docs, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return out.mapInArrow(_score(shared, column), row_and(out, f"{column} double"))
+    return out.mapInArrow(_score(shared, column, text_col), row_and(out, f"{column} double"))
 
 
 def keep_good(docs: DataFrame, model, text_col: str = "text", least: float = 0.7) -> DataFrame:

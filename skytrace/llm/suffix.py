@@ -24,10 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, LOWER, byte_hashes, col, pieces, row_and, row_of, text_buffer, whole_row, word_spans
+from .common import ALNUM, LOWER, byte_hashes, col, pieces, row_and, row_and_text, row_of, text_buffer, with_text, word_spans
 
 DEPTH = 13
 BLOCK_BYTES = 32 << 20
+#: Text bytes handled at once inside a task.
+WORK_BYTES = 1 << 19
 _MATCH = "array<struct<item_id:string,item_pos:int,doc_pos:int,length:int>>"
 _MATCH_TYPE = pa.list_(pa.struct([("item_id", pa.string()), ("item_pos", pa.int32()), ("doc_pos", pa.int32()),
                                   ("length", pa.int32())]))
@@ -123,10 +125,10 @@ def blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text", bl
         yield Block([r.i for r in rows], [r.t for r in rows])
 
 
-def _search(shared, last: bool):
+def _search(shared, last: bool, text_col: str, separate: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block: Block = shared.value
-        for b in pieces(batches):
+        for b in pieces(with_text(batches, text_col), max_bytes=WORK_BYTES):
             hashes, at = _words(col(b, "_text"))
             v = block.vocabulary
             ids = np.zeros(len(hashes), np.int64)
@@ -138,10 +140,11 @@ def _search(shared, last: bool):
             for t, name, p, q, n in zip(text.tolist(), block.names[item], item_pos.tolist(), pos.tolist(),
                                         length.tolist(), strict=True):
                 found[t].append({"item_id": name, "item_pos": p, "doc_pos": q, "length": n})
-            out = [col(b, "_row"), col(b, "_text"), pa.array(found, _MATCH_TYPE)]
-            names = ["_row", "_text", "_found"]
+            kept = ["_row", *(["_text"] if separate else [])]
+            out = [*(col(b, x) for x in kept), pa.array(found, _MATCH_TYPE)]
+            names = [*kept, "_found"]
             if last:
-                out[1:2] = [pa.array(np.diff(at)), pa.array([_covered(f) for f in found], pa.int64())]
+                out = [out[0], pa.array(np.diff(at)), pa.array([_covered(f) for f in found], pa.int64()), out[-1]]
                 names = ["_row", "n_words", "n_hit", "_found"]
             yield pa.RecordBatch.from_arrays(out, names=names)
 
@@ -162,13 +165,13 @@ def contamination(docs: DataFrame, items: DataFrame, text_col: str = "text", ite
     """Every document as struct ``_row`` with n_words, n_hit (words inside a window's occurrence),
     matches (longest verbatim matches with their places) and contaminated."""
     spark = docs.sparkSession
-    out = docs.select(whole_row(docs),
-                      F.coalesce(docs[text_col], F.lit("")).alias("_text"))
+    out = row_and_text(docs, text_col)
+    separate = "_text" in out.columns
     found = [spark.sparkContext.broadcast(b) for b in blocks(items, item_id, item_text, block_bytes)]
     for k, b in enumerate(found):
         last = k == len(found) - 1
-        spec = row_and(out, ("n_words long, n_hit long" if last else "_text string") + f", _found {_MATCH}")
-        out = out.mapInArrow(_search(b, last), spec)
+        spec = row_and(out, ("n_words long, n_hit long, " if last else "_text string, " if separate else "") + f"_found {_MATCH}")
+        out = out.mapInArrow(_search(b, last, text_col, separate), spec)
     return out.select("_row", "n_words", "n_hit", F.col("_found").alias("matches"),
                       ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
 

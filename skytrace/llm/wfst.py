@@ -35,7 +35,7 @@ from .common import byte_hashes, col, named, pieces, process_cache, row_and, tex
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BLANK = "▁"
 CACHE = 1 << 20
-WORK_BYTES = 1 << 20
+WORK_BYTES = 1 << 18
 FAR = np.iinfo(np.int64).max
 
 

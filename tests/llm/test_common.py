@@ -101,3 +101,13 @@ def test_a_hub_and_a_chain_are_components(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long").repartition(6)).collect()}
     assert got == {i: 0 for i in range(3000)} | {5000 + i: 5000 for i in range(41)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_a_task_gets_a_text_once(docs):
+    df = docs([(1, "a"), (2, None), (3, "")], clash=True)
+    rows = C.row_and_text(df, "text")
+    assert rows.columns == ["_row"]  # the text is in it
+    got = [b.to_pydict() for b in C.with_text(iter(rows.toArrow().to_batches()), "text")]
+    assert sorted(zip([r["doc_id"] for b in got for r in b["_row"]], [t for b in got for t in b["_text"]], strict=True)) \
+        == [(1, "a"), (2, None), (3, "")]
+    assert C.row_and_text(df.withColumn("text", df["text"].cast("binary")), "text").columns == ["_row", "_text"]

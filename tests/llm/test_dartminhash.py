@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -128,3 +129,17 @@ def test_components(spark):
     got = {x.node: x.root for x in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for x in root}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_a_sketch_holds_little_beside_its_texts():
+    texts = [prose(i, 3000) for i in range(150)]  # 3 MB
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["_id", "_text"])
+    for _ in dmh._sketches(5, 8, 64)(iter([batch.slice(0, 50)])):  # the kept tables of powers
+        pass
+    tracemalloc.start()
+    try:
+        n = sum(b.num_rows for b in dmh._sketches(5, 8, 64)(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n == len(texts) and peak < 40e6
