@@ -245,8 +245,14 @@ def _open(rows: DataFrame) -> DataFrame:
     return rows.join(split.select("_bucket"), "_bucket")
 
 
-def _rooted(rows: DataFrame, links: DataFrame) -> DataFrame:
-    roots = components(links).select(F.col("node").alias("_rep"), F.col("root").alias("_root"))
+def _grown(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components (_rep, _root) of the links and of those that gave ``roots``, which stand for them as stars."""
+    if roots is not None:
+        links = links.unionByName(roots.filter("_rep != _root").select(F.col("_root").alias("a"), F.col("_rep").alias("b")))
+    return components(links).toDF("_rep", "_root")
+
+
+def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return rows.drop("_root").join(roots, "_rep", "left").withColumn("_root", F.coalesce("_root", "_rep"))
 
 
@@ -318,8 +324,8 @@ def _rest_pairs(rows: DataFrame, texts: DataFrame, size: int, threshold: float)
             .mapInArrow(_likely(threshold), "a long, b long").distinct())
 
 
-def bucket_links(members: DataFrame, texts: DataFrame, size: int, threshold: float) -> DataFrame:
-    """Rows (_bucket, _rep, _n) -> links (a, b) with the components of all links within buckets.
+def bucket_classes(members: DataFrame, texts: DataFrame, size: int, threshold: float) -> DataFrame:
+    """Rows (_bucket, _rep, _n) -> the components (_rep, _root) of all links within buckets; a row without a link is left out.
 
     1. In every bucket the least id leads: all others are compared with it.
     2. In buckets of several components the row with most links so far leads (a text that many
@@ -329,17 +335,17 @@ def bucket_links(members: DataFrame, texts: DataFrame, size: int, threshold: flo
     So each pair of a bucket is compared, in one component already, or estimated at MARGIN standard
     errors below the threshold, which a pair at the threshold is with probability 3e-6.
     """
-    none = members.sparkSession.createDataFrame([], "a long, b long")
     if members.isEmpty():
-        return none
+        return members.sparkSession.createDataFrame([], "_rep long, _root long")
     rows = members.withColumn("_root", F.col("_rep"))
     lead = rows.groupBy("_bucket").agg(F.min_by(F.struct("_rep", "_n", "_root"), "_rep").alias("x"))
     lead = lead.select("_bucket", F.col("x._rep").alias("_lead"), F.col("x._n").alias("_ln"), F.col("x._root").alias("_lroot"))
     pairs = materialise(_lead_pairs(rows, lead, threshold), "pairs")
     links = materialise(verify(pairs, texts, size, threshold), "links")
-    rows = materialise(_open(_rooted(rows, links)), "waiting")
+    roots = _grown(None, links)
+    rows = materialise(_open(_rooted(rows, roots)), "waiting")
     if rows.isEmpty():
-        return links
+        return roots
     degree = (links.select(F.col("a").alias("_rep")).unionByName(links.select(F.col("b").alias("_rep")))
               .groupBy("_rep").agg(F.count("*").alias("_degree")))
     rank = F.struct(F.coalesce("_degree", F.lit(0)).alias("d"), (-F.col("_rep")).alias("r"))
@@ -347,12 +353,13 @@ def bucket_links(members: DataFrame, texts: DataFrame, size: int, threshold: flo
             .agg(F.max_by(F.struct("_rep", "_n", "_root"), rank).alias("x")))
     lead = lead.select("_bucket", F.col("x._rep").alias("_lead"), F.col("x._n").alias("_ln"), F.col("x._root").alias("_lroot"))
     more = materialise(_lead_pairs(rows, lead, threshold).join(pairs, ["a", "b"], "left_anti"), "pairs")
-    pairs, links = pairs.unionByName(more), links.unionByName(materialise(verify(more, texts, size, threshold), "links"))
-    rows = materialise(_open(_rooted(rows, links)), "waiting")
+    pairs = pairs.unionByName(more)
+    roots = _grown(roots, materialise(verify(more, texts, size, threshold), "links"))
+    rows = materialise(_open(_rooted(rows, roots)), "waiting")
     if rows.isEmpty():
-        return links
+        return roots
     rest = _rest_pairs(rows, texts, size, threshold).join(pairs, ["a", "b"], "left_anti")
-    return links.unionByName(materialise(verify(materialise(rest, "pairs"), texts, size, threshold), "links"))
+    return _grown(roots, materialise(verify(materialise(rest, "pairs"), texts, size, threshold), "links"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
@@ -367,17 +374,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     same = materialise(usable.groupBy("_k1", "_k2").agg(
         F.min("_id").alias("_rep"), F.max("_n").alias("_n"),
         F.max(F.when(F.size("_bands") > 0, F.col("_bands"))).alias("_bands")), "distinct-texts")
-    own = usable.join(same.select("_k1", "_k2", "_rep"), ["_k1", "_k2"]).select("_id", "_rep")
     dealt = same.select("_rep", "_n", F.explode("_bands").alias("_bucket"))
     shared = dealt.groupBy("_bucket").agg(F.count("*").alias("_c")).filter("_c > 1").select("_bucket")
     members = materialise(dealt.join(shared, "_bucket"), "buckets")
     texts = materialise(packed(docs, "_id").join(members.select(F.col("_rep").alias("_id")).distinct(), "_id", "left_semi"),
                         "texts")
-    linked = bucket_links(members, texts, size, threshold)
-    edges = linked.unionByName(own.filter("_id != _rep").select(F.col("_rep").alias("a"), F.col("_id").alias("b")))
-    classes = components(edges)
+    roots = bucket_classes(members, texts, size, threshold)
+    own = usable.join(same.select("_k1", "_k2", "_rep"), ["_k1", "_k2"]).select("_id", "_rep")
+    least = materialise(own.groupBy("_id").agg(F.min("_rep").alias("_rep"), F.max("_rep").alias("_last")), "own")
+    several = least.filter("_rep < _last").select("_id")  # rows of one id with different texts
+    if not several.isEmpty():
+        roots = _grown(roots, own.join(several, "_id").select(F.col("_rep").alias("a"), F.col("_id").alias("b")))
+    classes = _rooted(least.select("_id", "_rep"), roots).select(F.col("_id").alias("node"), "_root")
     return (docs.select("_id").join(classes, F.col("_id") == F.col("node"), "left")
-            .select(F.col("_id").alias(id_col), F.coalesce("root", "_id").alias("class_id")))
+            .select(F.col("_id").alias(id_col), F.coalesce("_root", "_id").alias("class_id")))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

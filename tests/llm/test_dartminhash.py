@@ -9,6 +9,7 @@ from llm_texts import prose
 from pyspark.sql import functions as F
 
 from skytrace.llm import dartminhash as dmh
+from skytrace.llm import graph
 from skytrace.llm.graph import components
 
 
@@ -131,6 +132,24 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_exact_copies_are_no_edges_of_the_component_rounds(docs, monkeypatch):
+    base, sent = prose(9, 150), []
+    original = dmh.components
+    monkeypatch.setattr(dmh, "components", lambda edges: (sent.append(edges.count()), original(edges))[1])
+    rows = [(i, base) for i in range(300)] + [(400 + i, changed(base, 2, i)) for i in range(5)] + [(400, prose(10, 150)), (500, prose(10, 150))]
+    out = dmh.near_duplicates(docs(rows)).collect()
+    assert {(r.doc_id, r.class_id) for r in out} == {(i, 0) for i, _ in rows} and sum(sent) < 60
+
+
+def test_stars_end_the_component_rounds_at_once(spark, monkeypatch):
+    written = []
+    original = graph.materialise
+    monkeypatch.setattr(graph, "materialise", lambda df, name: (written.append(name), original(df, name))[1])
+    got = graph.components(spark.createDataFrame([(i // 10 * 10, i) for i in range(100)] * 3, "a long, b long"))
+    assert {(r.node, r.root) for r in got.collect()} == {(i, i // 10 * 10) for i in range(100)} and got.count() == 100
+    assert len(written) == 2  # the edges, and the round that finds them to be stars
+
+
 def test_a_sketch_holds_little_beside_its_texts():
     texts = [prose(i, 3000) for i in range(150)]  # 3 MB
     batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["_id", "_text"])
