@@ -10,7 +10,7 @@ index is built from at most about two ``BLOCK`` words; its queries stream past i
 
 A word's form is its near word of largest count (ties: smallest in code-point order) if that count is at
 least ``FACTOR`` times its own; its root is the end of the chain of forms. Counts rise by that factor a
-link, so chains are short and have no cycles; they are followed by doubling.
+link, so chains are short and have no cycles; they are followed link by link.
 
 Defined cases: a null or empty text has no words; a null id counts as the empty text in the edited
 runs. Repeated rows count each. Runs of any length are read whole. No documents: no rows. Other
@@ -211,11 +211,13 @@ def near_pairs(vocabulary: DataFrame, block: int = BLOCK) -> DataFrame:
 
 # ------------------------------------------------------------------------- forms
 def _roots(links: DataFrame, most: int) -> DataFrame:
-    """(word, form) -> (word, root). A chain has at most log10(most) links; each round doubles the known stretch."""
-    at = links.select("word", F.col("form").alias("root"))
-    for _ in range(max(1, math.ceil(math.log2(math.log(max(most, 2), FACTOR) + 1)))):
-        then = at.select(F.col("word").alias("root"), F.col("root").alias("_next"))
-        at = materialise(at.join(then, "root", "left").select("word", F.coalesce("_next", "root").alias("root")), "roots")
+    """(word, form) -> (word, root). A form counts FACTOR times its word at least, so ``most`` bounds the links of a
+    chain; each after the first is one join. No table is written between them: each would be a small file a task."""
+    at, then = links.select("word", F.col("form").alias("root")), links.select(F.col("word").alias("root"), "form")
+    reached = MIN_COUNT * FACTOR * FACTOR  # the least count behind two links
+    while reached <= most:
+        at = at.join(then, "root", "left").select("word", F.coalesce("form", "root").alias("root"))
+        reached *= FACTOR
     return at
 
 

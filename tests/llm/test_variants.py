@@ -102,6 +102,20 @@ def test_split_halves_lose_nothing(spark):
     assert got == sorted((a, b) for a in ws for b in ws if near(a, b))
 
 
+def test_long_chains_write_no_tables_of_their_own(spark, monkeypatch):
+    """Chains of 1 to 4 links, a hub, and two words without a form; only the vocabulary and the forms are written."""
+    chain = ["chainab", "chainabc", "chainabcd", "chainabcde", "chainabcdef"]
+    times = [(w, 2 * 10 ** i) for i, w in enumerate(chain)] + [("hubword" + c, 2) for c in "abcde"] + [("hubwords", 20), ("aloneone", 19), ("aloneon", 2)]
+    rows = [(i, " ".join([w.upper() if i % 2 else w] * n)) for i, (w, n) in enumerate((w, n) for w, n in times)]
+    monkeypatch.setattr(V, "EDIT_ONE_IN", 1 << 31)
+    written, materialise = [], V.materialise
+    monkeypatch.setattr(V, "materialise", lambda df, name, **kw: written.append(name) or materialise(df, name, **kw))
+    got = found(V.variants(frame(spark, rows)))
+    assert [got[w][:2] for w in chain] == [(form, chain[-1]) for form in [*chain[1:], None]]
+    assert got["hubworda"][:2] == ("hubwords", "hubwords") and got["aloneon"][:2] == (None, "aloneon")
+    assert written == ["vocabulary", "forms"]
+
+
 def test_no_documents(spark):
     assert V.variants(frame(spark, [(1, None)]).filter("doc_id > 1")).collect() == []
     assert V.variants(frame(spark, [(1, None)])).collect() == []
