@@ -196,6 +196,9 @@ _OWN, _STRIDE = 2 * CLASSES, 2 * CLASSES + 1
 _RANGE, _CHUNK, _HELD = 256, 512, 1 << 20
 #: Other words of a packed row, bytes of text at once.
 _BLOCK_WORDS, WORK_BYTES = 1024, 1 << 20
+#: What a row of a batch counts beside its packed bytes, and the columns of packed rows.
+_ROW_BYTES = 512
+_RANGES, _TAILS = ("_range", "_side", "_size", "_packed"), ("_block", "_kind", "_packed")
 
 
 def _grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -226,6 +229,34 @@ def _find(known: np.ndarray, index: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return out
 
 
+def _batched(*names: str):
+    """Of a generator of rows, whose ``_packed`` is bytes and all else an int or None, one of batches of about
+    WORK_BYTES: on its way from Python a batch costs far more than a row."""
+    kinds = [pa.binary() if x == "_packed" else pa.int32() for x in names]
+    at = names.index("_packed")
+
+    def of(rows):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held, size = [], 0
+
+            def batch():
+                return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*held, strict=True), kinds, strict=True)],
+                                                  names=list(names))
+
+            for r in rows(batches):
+                held.append(r)
+                size += len(r[at]) + _ROW_BYTES
+                if size >= WORK_BYTES:
+                    yield batch()
+                    held, size = [], 0
+            if held:
+                yield batch()
+
+        return run
+
+    return of
+
+
 class _Pairs:
     """Successions of known words (and the end) counted in a task: codes before * (known + 1) + after."""
 
@@ -240,13 +271,14 @@ class _Pairs:
             self.parts = [_summed(*(np.concatenate(x) for x in zip(*self.parts, strict=True)))]
             self.size = len(self.parts[0][0])
 
-    def take(self) -> Iterator[pa.RecordBatch]:
+    def take(self) -> Iterator[tuple]:
         """Packed, a row for each range of words and side: with what follows the words (0), with what stands before (1)."""
         if not self.parts:
             return
         code, n = _summed(*(np.concatenate(x) for x in zip(*self.parts, strict=True)))
         self.parts, self.size = [], 0
-        turned = code % self.words * self.words + code // self.words
+        before = code // self.words
+        turned = (code - before * self.words) * self.words + before
         order = np.argsort(turned)  # no code twice
         for side, c, m in ((0, code, n), (1, turned[order], n[order])):
             yield from _packed(c, m, _RANGE * self.words, side)
@@ -259,7 +291,7 @@ def _summed(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return code[first], np.add.reduceat(n, first) if len(first) else n
 
 
-def _packed(code: np.ndarray, n: np.ndarray, wide: int, side: int) -> Iterator[pa.RecordBatch]:
+def _packed(code: np.ndarray, n: np.ndarray, wide: int, side: int) -> Iterator[tuple]:
     """Sorted counted codes as rows (_range, _side, _size, _packed); a range has ``wide`` codes."""
     if not len(code):
         return
@@ -267,8 +299,7 @@ def _packed(code: np.ndarray, n: np.ndarray, wide: int, side: int) -> Iterator[p
     for i, j in zip(cuts, np.append(cuts[1:], len(code)), strict=True):
         k = int(code[i] // wide)
         raw = np.diff(code[i:j] - k * wide, prepend=0).astype("<i4").tobytes() + n[i:j].astype("<i8").tobytes()
-        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([side], pa.int32()), pa.array([j - i], pa.int32()),
-                                          pa.array([zstandard.compress(raw, 1)])], names=["_range", "_side", "_size", "_packed"])
+        yield k, side, j - i, zstandard.compress(raw, 1)
 
 
 def _unpacked(size: int, packed: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -410,14 +441,10 @@ def _combined(blocks: list[_Block], n_blocks: int) -> _Block:
 _FOUND = "_range int, _side int, _size int, _packed binary, _block int"
 
 
-def _found_block(block: int, raw: bytes) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.nulls(1, pa.int32())] * 3 + [pa.array([raw], pa.binary()), pa.array([block], pa.int32())],
-                                      names=["_range", "_side", "_size", "_packed", "_block"])
-
-
 def _collect_pairs(shared, blocks: int):
     """The one pass over the texts: packed successions of known words by ranges, and of all others by blocks."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @_batched(*_RANGES, "_block")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         known = shared.value
         index, end = _index(known), len(known)
         pairs, held, edges = _Pairs(end + 1), [], 0
@@ -427,12 +454,12 @@ def _collect_pairs(shared, blocks: int):
             if held:
                 whole = _combined(held, blocks)
                 for b, i, j in _by_block(whole.key, blocks):
-                    yield _found_block(b, whole.pack(i, j))
+                    yield None, None, None, whole.pack(i, j), b
             held, edges = [], 0
 
         def heads():
-            for b in pairs.take():
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.nulls(1, pa.int32())], names=[*b.schema.names, "_block"])
+            for r in pairs.take():
+                yield *r, None
 
         for b in pieces(batches, max_bytes=WORK_BYTES):
             keys, at, endings = _spans(col(b, "_text"))
@@ -472,11 +499,12 @@ def _collect_pairs(shared, blocks: int):
 
 def _merge_blocks(blocks: int):
     """Blocks of successions sorted by _block -> one row a block; a word's class is its ending for now."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @_batched(*_TAILS)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         at, parts = None, []
 
         def merged():
-            return _block_row([at], [0], [_combined(parts, blocks).pack()])
+            return at, 0, _combined(parts, blocks).pack()
 
         for b, raw in _rows(batches, "_block", "_packed"):
             if b != at:
@@ -493,20 +521,15 @@ def _merge_blocks(blocks: int):
 _TAIL = "_block int, _kind int, _packed binary"
 
 
-def _block_row(block: list[int], kind: list[int], raw: list[bytes]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), pa.array(kind, pa.int32()), pa.array(raw, pa.binary())],
-                                      names=["_block", "_kind", "_packed"])
-
-
-def _merge_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+@_batched(*_RANGES)
+def _merge_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """Packed rows sorted by range and side -> one row for each."""
     at, parts = None, []
 
     def merged():
         code, n = _summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
         raw = np.diff(code, prepend=0).astype("<i4").tobytes() + n.astype("<i8").tobytes()
-        return pa.RecordBatch.from_arrays([pa.array([at[0]], pa.int32()), pa.array([at[1]], pa.int32()), pa.array([len(code)], pa.int32()),
-                                           pa.array([zstandard.compress(raw, 1)])], names=["_range", "_side", "_size", "_packed"])
+        return *at, len(code), zstandard.compress(raw, 1)
 
     for k, side, size, packed in _rows(batches, "_range", "_side", "_size", "_packed"):
         if at != (k, side):
@@ -529,7 +552,8 @@ def _type_pairs(shared):
         types, total = shared.value, _Sum()
         for k, size, packed in _rows(batches, "_range", "_size", "_packed"):
             code, n = _unpacked(size, packed)
-            total.add(types[k * _RANGE + code // len(types)] * N_TYPES + types[code % len(types)], n)
+            w = code // len(types)
+            total.add(types[k * _RANGE + w] * N_TYPES + types[code - w * len(types)], n)
         yield from _cells_matrix(*total.total())
 
     return run
@@ -554,7 +578,8 @@ def _type_tails(shared):
 def _send(blocks: int, first, choose):
     """Blocks of words -> the blocks with their classes, and messages to the blocks of the words they have successions
     with (count * 256 + code). ``first`` gives the classes to begin with; ``choose`` moves the words."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @_batched(*_TAILS)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         held, size = [], 0
 
         def messages():
@@ -568,10 +593,8 @@ def _send(blocks: int, first, choose):
                 out = np.empty(len(new), _MESSAGE)
                 if len(new):
                     out["key"], out["m"] = key[new], np.add.reduceat(n, new) * 256 + code[new]
-                cuts = list(_by_block(out["key"].copy(), blocks))
-                for k in range(0, len(cuts), 512):
-                    part = cuts[k:k + 512]
-                    yield _block_row([b for b, _, _ in part], [1] * len(part), [out[i:j].tobytes() for _, i, j in part])
+                for b, i, j in _by_block(out["key"].copy(), blocks):
+                    yield b, 1, out[i:j].tobytes()
             held, size = [], 0
 
         for at, raw in _rows(batches, "_block", "_packed"):
@@ -582,7 +605,7 @@ def _send(blocks: int, first, choose):
             held.append((np.append(b.others["key"], b.key[b.others_of][own]),
                          np.append((1 - side) * CLASSES + cls[b.others_of], np.full(own.sum(), _OWN)), np.append(n, n[own])))
             size += len(held[-1][0])
-            yield _block_row([at], [0], [_Block(b.key, b.n, cls, b.heads_of, b.heads, b.others_of, b.others).pack()])
+            yield at, 0, _Block(b.key, b.n, cls, b.heads_of, b.heads, b.others_of, b.others).pack()
             if size > _HELD // 2:
                 yield from messages()
         yield from messages()
@@ -590,7 +613,8 @@ def _send(blocks: int, first, choose):
     return run
 
 
-def _receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+@_batched(*_TAILS)
+def _receive(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """Blocks and messages sorted by (_block, _kind) -> the blocks with the cells the messages make."""
     at, block, got = None, None, []
 
@@ -599,7 +623,7 @@ def _receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, n = _summed(np.searchsorted(block.key, m["key"]) * 256 + (m["m"] & 255), m["m"] >> 8)
         block.cells = np.empty(len(code), _CELL)
         block.cells["code"], block.cells["n"], block.cells_of = code & 255, n, code >> 8
-        return _block_row([at], [0], [block.pack()])
+        return at, 0, block.pack()
 
     for b, kind, raw in _rows(batches, "_block", "_kind", "_packed"):
         if kind == 0:
@@ -621,16 +645,18 @@ def _exchanged(tails: DataFrame, send) -> DataFrame:
 
 def _head_sums(shared):
     """Successions among known words -> their cells, and (range -1) the class matrix."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cls = shared.value
+    @_batched(*_RANGES)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        cls, one = shared.value, np.eye(CLASSES)
         g = np.zeros(CLASSES * CLASSES)
         for k, side, size, packed in _rows(batches, "_range", "_side", "_size", "_packed"):
             code, n = _unpacked(size, packed)
-            w, v = code // len(cls), code % len(cls)
-            if side == 0:
-                g += np.bincount(cls[k * _RANGE + w] * CLASSES + cls[v], n, len(g))
+            w = code // len(cls)
+            v = code - w * len(cls)
             total = np.bincount(w * _STRIDE + side * CLASSES + cls[v], n, _RANGE * _STRIDE)
             if side == 0:
+                own = cls[k * _RANGE:(k + 1) * _RANGE]
+                g += (one[own].T @ total.reshape(_RANGE, _STRIDE)[:len(own), :CLASSES]).ravel()
                 same = v == k * _RANGE + w
                 total[w[same] * _STRIDE + _OWN] += n[same]
             at = np.flatnonzero(total)
@@ -642,7 +668,8 @@ def _head_sums(shared):
 
 def _tail_sums(shared):
     """Blocks of the other words with their cells -> what they add to the known words' cells and to the class matrix."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @_batched(*_RANGES)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         cls, total = shared.value, _Sum()
         g = np.zeros(CLASSES * CLASSES)
         for (raw,) in _rows(batches, "_packed"):
@@ -660,10 +687,10 @@ def _tail_sums(shared):
     return run
 
 
-def _matrix_row(g: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _matrix_row(g: np.ndarray) -> Iterator[tuple]:
     at = np.flatnonzero(g)
-    for b in _packed(at, g[at].astype(np.int64), len(g), 0):
-        yield b.set_column(0, "_range", pa.array([-1], pa.int32()))
+    for _, *r in _packed(at, g[at].astype(np.int64), len(g), 0):
+        yield -1, *r
 
 
 def _sums(pairs: DataFrame, tails: DataFrame, cls: np.ndarray) -> tuple[DataFrame, np.ndarray]:
@@ -684,13 +711,14 @@ _tables: dict = {}
 
 
 def _tabled(g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """x log x of g[i, j] + n, and of the column sums + n, for small counts n; kept for the last two matrices."""
+    """What x log x of g[i, j], and of the column sums, gains by n more, for small n; kept for the last two matrices."""
     kept = _tables.get(id(g))
     if kept is None or kept[0] is not g:
         if len(_tables) > 3:  # two matrices, one of them turned, and their tables
             _tables.clear()
         n = np.arange(_SMALL + 1)
-        kept = _tables[id(g)] = (g, _xlogx(g.T[None] + n[:, None, None]), _xlogx(g.sum(1)[None] + n[:, None]))
+        cell, total = _xlogx(g.T[None] + n[:, None, None]), _xlogx(g.sum(1)[None] + n[:, None])
+        kept = _tables[id(g)] = (g, cell - cell[0], total - total[0])
     return kept[1:]
 
 
@@ -698,13 +726,12 @@ def _gains(g: np.ndarray, r: np.ndarray, q: np.ndarray, own: np.ndarray, a: np.n
     """Part of the gain of words with the row counts r for every class, diagonals left out. Only where a word's own
     counts are in a cell, or its counts are large, is a logarithm taken anew."""
     out = np.zeros(r.shape)
-    w, j = np.nonzero(r)
+    w, j = np.divmod(np.flatnonzero(r != 0), CLASSES)
     if not len(w):
         return out
     n, own_class = r[w, j], a[w]
     logs, _ = _tabled(g)
-    few = np.minimum(n, _SMALL).astype(np.int64)
-    more = logs[few, j] - logs[0, j]
+    more = logs[np.minimum(n, _SMALL).astype(np.int64), j]
     anew = np.flatnonzero((n > _SMALL) | (j == own_class))
     if len(anew):
         m, base = n[anew, None], g.T[j[anew]].copy()  # column j of the matrix, less what the word itself has in it
@@ -745,13 +772,13 @@ def best_classes(g: np.ndarray, a: np.ndarray, word: np.ndarray, code: np.ndarra
     both, diag = r + q + own[:, None], np.diagonal(g)
     touched = both != 0
     touched[at, a] = True
-    word_, class_ = np.nonzero(touched)  # elsewhere nothing is added
+    word_, class_ = np.divmod(np.flatnonzero(touched), CLASSES)  # elsewhere nothing is added
     base = diag[class_] - np.where(class_ == a[word_], both[word_, class_], 0)
     gain[word_, class_] += _xlogx(base + both[word_, class_]) - _xlogx(base)
     for x, matrix, total in ((r, g, g.sum(1)), (q, turned, g.sum(0))):  # other words' share of the sums of rows and columns
         many = x.sum(1) + own
         _, logs = _tabled(matrix)
-        change = logs[np.minimum(many, _SMALL).astype(np.int64)] - logs[0]
+        change = logs[np.minimum(many, _SMALL).astype(np.int64)]
         large = np.flatnonzero(many > _SMALL)
         change[large] = _xlogx(total + many[large, None]) - _xlogx(total)
         change[at, a] = _xlogx(total[a]) - _xlogx(total[a] - many)
@@ -773,7 +800,7 @@ def _may_move(keys: np.ndarray, sweep: int, share: int) -> np.ndarray:
 def _choose_heads(shared, sweep: int, share: int):
     """Packed cells sorted by range -> (_place, _cls) of known words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, cls, g = shared.value
+        known, cls, g, _ = shared.value
 
         def chosen(k, total):
             total = total.reshape(_RANGE, _STRIDE)
@@ -798,20 +825,43 @@ def _choose_heads(shared, sweep: int, share: int):
     return run
 
 
+def single_classes(g: np.ndarray) -> np.ndarray:
+    """The classes that words with one occurrence move to, by their class and the classes of what follows and of what stands
+    before: a table of CLASSES ** 3, as many words have no more."""
+    out = np.zeros((CLASSES,) * 3, np.uint8)
+    after, before = (x.ravel() for x in np.indices((CLASSES, CLASSES)))
+    word = np.repeat(np.arange(len(after)), 2)
+    code = np.column_stack([after, CLASSES + before]).ravel()
+    for a in range(1, CLASSES):
+        out[a] = best_classes(g, np.full(len(after), a), word, code, np.ones(len(code))).reshape(CLASSES, CLASSES)
+    _tables.clear()  # made on the driver, they would travel with every task
+    return out
+
+
 def _choose_tails(shared, sweep: int, share: int):
     """The classes that the words of a block move to."""
     def choose(b: _Block) -> np.ndarray:
-        _, heads, g = shared.value
+        _, heads, g, singles = shared.value
+        out, moving = b.cls.copy(), _may_move(b.key.view(np.uint64), sweep, share)
         word = np.append(b.heads_of, b.cells_of)
         code = np.append((b.heads["head"] & 1) * CLASSES + heads[b.heads["head"] >> 1], b.cells["code"])
-        n = np.append(b.heads["n"], b.cells["n"]).astype(np.int64)
+        n = np.append(b.heads["n"], b.cells["n"])
+        single = b.n == 1
+        one = single[word]
+        beside = np.zeros((2, len(out)), np.int64)
+        beside[code[one] // CLASSES, word[one]] = code[one] % CLASSES
+        out[single] = singles[b.cls, beside[0], beside[1]][single]
+        rest = np.flatnonzero(moving & ~single)
+        number = np.full(len(out), -1)
+        number[rest] = np.arange(len(rest))
+        word = number[word]
         order = np.argsort(word)
-        word, code, n = word[order], code[order], n[order]
-        out = b.cls.copy()
-        for i in range(0, len(out), _CHUNK):
+        order = order[np.searchsorted(word[order], 0):]
+        word, code, n = word[order], code[order], n[order].astype(np.int64)
+        for i in range(0, len(rest), _CHUNK):
             a, z = np.searchsorted(word, (i, i + _CHUNK))
-            out[i:i + _CHUNK] = best_classes(g, b.cls[i:i + _CHUNK], word[a:z] - i, code[a:z], n[a:z])
-        return np.where(_may_move(b.key.view(np.uint64), sweep, share), out, b.cls)
+            out[rest[i:i + _CHUNK]] = best_classes(g, b.cls[rest[i:i + _CHUNK]], word[a:z] - i, code[a:z], n[a:z])
+        return np.where(moving, out, b.cls)
 
     return choose
 
@@ -843,7 +893,7 @@ def settle(model: Model, pairs: DataFrame, tails: DataFrame, cls: np.ndarray, bl
     cells, g = _sums(pairs, tails, cls)
     share = 1
     for sweep in range(VOCABULARY_SWEEPS):
-        state = sc.broadcast((known, cls, g))
+        state = sc.broadcast((known, cls, g, single_classes(g)))
         moved = (cells.filter("_range >= 0").repartition("_range").sortWithinPartitions("_range")
                  .mapInArrow(_choose_heads(state, sweep, share), "_place int, _cls int").toPandas())  # at most KNOWN rows
         heads = cls.copy()
@@ -962,7 +1012,9 @@ def _score(shared):
             logs = np.bincount(word_row[hit], np.log10(m.counts[spot[hit]] + 0.1), b.num_rows) + end_logs
             n_known = np.bincount(word_row[hit], minlength=b.num_rows) + (1 if m.end else 0)
             rest = np.flatnonzero(~hit)
-            rest = rest[np.lexsort((keys[rest], word_row[rest]))]
+            # by row, and in it by key but for its last bits; a word met twice for those counts as two
+            bits = np.uint64(b.num_rows.bit_length())
+            rest = rest[np.argsort(word_row[rest].astype(np.uint64) << (np.uint64(64) - bits) | keys[rest] >> bits)]
             key, row = keys[rest].view(np.int64), word_row[rest]
             fresh = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (row[1:] != row[:-1]))[:len(key)])
             times = np.diff(np.append(fresh, len(key)))

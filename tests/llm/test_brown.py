@@ -176,3 +176,66 @@ def test_keys_go_by_block_and_ascend_in_it(blocks):
     by = brown._block_order(key, blocks)
     assert (key[by] == key[np.lexsort((key, brown._block_of(key, blocks)))]).all()
     assert sorted(by) == list(range(len(key)))
+
+
+def test_single_words_choose_by_a_table_as_others_do():
+    """A word with one occurrence moves where the full comparison of its two cells moves it, whatever shares its block."""
+    rng = np.random.default_rng(6)
+    g = rng.poisson(rng.choice([0, 1, 40], (brown.CLASSES, brown.CLASSES))).astype(float) + 1
+    g[7] = g[:, 7] = 0  # an empty class
+    heads = rng.integers(0, brown.CLASSES, 50)
+    heads[heads == 7] = 8
+    words = 600
+    n = np.where(np.arange(words) % 3, 1, 2)
+    cls = rng.integers(8, brown.CLASSES, words)
+    of = np.repeat(np.arange(words), 2)
+    h = np.empty(2 * words, brown._HEAD)
+    h["head"] = rng.integers(0, 50, 2 * words) * 2 + np.tile([0, 1], words)
+    h["n"] = n[of]
+    by_message = (of % 5 == 0) & (h["head"] & 1 == 1)  # what stands before is another word beyond the known ones
+    cells = np.empty(by_message.sum(), brown._CELL)
+    cells["code"], cells["n"] = brown.CLASSES + heads[h["head"][by_message] >> 1], h["n"][by_message]
+    for w, c in zip(of, brown.CLASSES * (h["head"] & 1) + heads[h["head"] >> 1], strict=True):  # the matrix has the words in it
+        a, b = (cls[w], c) if c < brown.CLASSES else (c - brown.CLASSES, cls[w])
+        g[a, b] += n[w]
+    key = np.sort(rng.integers(-(1 << 63), 1 << 63, words))
+    block = brown._Block(key, n, cls, of[~by_message], h[~by_message], np.zeros(0, np.int64), np.zeros(0, brown._OTHER), of[by_message], cells)
+
+    class State:
+        value = None, heads, g, brown.single_classes(g)
+
+    code = (h["head"] & 1) * brown.CLASSES + heads[h["head"] >> 1]
+    want = brown.best_classes(g, cls, of, code, h["n"])
+    for share in (1, 4):
+        move = brown._may_move(key.view(np.uint64), 2, share)
+        got = brown._choose_tails(State, 2, share)(block)
+        assert (got == np.where(move, want, cls)).all() and (got != cls).sum() > 50
+
+
+def test_packed_rows_leave_a_task_many_to_a_batch():
+    """One batch for each small row made the rows' way out of Python dearer than the work on them."""
+    rng = np.random.default_rng(7)
+    words = [f"w{i}" for i in range(3000)]
+    texts = pa.array([" ".join(rng.choice(words, 200)) for _ in range(300)])
+
+    class Known:
+        value = np.unique(brown._words(pa.array([" ".join(words[:1000])]))[0])
+
+    found = list(brown._collect_pairs(Known, 700)(iter([pa.RecordBatch.from_arrays([texts], names=["_text"])])))
+    rows = [r for b in found for r in b.to_pylist()]
+    assert len({r["_block"] for r in rows} - {None}) > 600 and len({r["_range"] for r in rows} - {None}) == 4
+    assert len(found) <= 2 + sum(len(r["_packed"]) + brown._ROW_BYTES for r in rows) // brown.WORK_BYTES
+    of = sorted((r for r in rows if r["_block"] is not None), key=lambda r: r["_block"])
+    whole = [brown._Block.unpack(r["_packed"]) for r in of]
+    counted = sum(int((b.heads["n"] * (b.heads["head"] & 1 == 0)).sum() + (b.others["n"] >> 10)[(b.others["n"] & 1) == 0].sum()) for b in whole)
+    assert counted == sum(w not in set(words[:1000]) for t in texts.to_pylist() for w in t.split())
+
+
+def test_words_met_apart_in_a_text_count_once_each(docs, monkeypatch):
+    """Scoring sorts words by part of their hash: results do not hang on where equal words stand."""
+    monkeypatch.setattr(brown, "KNOWN", 5)
+    a, b = (" ".join(["x y z q v"] * 40 + w) for w in (["r1", "r2"] * 30, ["r1"] * 30 + ["r2"] * 30))
+    rows = [(i, " ".join(["x y z q v"] * 40)) for i in range(3)] + [(3, a), (4, b), (5, "r1 r2 r3")]
+    got = {r.doc_id: r for r in brown.score(docs(rows), F.col("doc_id") != 5).collect()}
+    assert got[3].n_known == got[4].n_known == 261 and got[3].base_score == pytest.approx(got[4].base_score, rel=1e-12)
+    assert (got[5].n_tokens, got[5].n_known) == (4, 3)
