@@ -279,14 +279,22 @@ class _Pairs:
         self.parts, self.size = [], 0
         before = code // self.words
         turned = (code - before * self.words) * self.words + before
-        order = np.argsort(turned)  # no code twice
-        for side, c, m in ((0, code, n), (1, turned[order], n[order])):
+        for side, c, m in ((0, code, n), (1, *_sorted(turned, n))):
             yield from _packed(c, m, _RANGE * self.words, side)
 
 
-def _summed(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _sorted(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Codes, ascending, and their counts (neither below 0). Both in one number sort several times as fast as places do."""
+    bits = int(n.max()).bit_length() if len(n) else 0
+    if len(n) and int(code.max()).bit_length() + bits < 64:
+        both = np.sort(code.astype(np.int64) << bits | n)
+        return both >> bits, both & ((1 << bits) - 1)
     order = np.argsort(code)
-    code, n = code[order], n[order]
+    return code[order], n[order]
+
+
+def _summed(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    code, n = _sorted(code, n)
     first = np.flatnonzero(np.append(True, code[1:] != code[:-1])[:len(code)])
     return code[first], np.add.reduceat(n, first) if len(first) else n
 
@@ -298,13 +306,20 @@ def _packed(code: np.ndarray, n: np.ndarray, wide: int, side: int) -> Iterator[t
     cuts = np.flatnonzero(np.append(True, code[1:] // wide != code[:-1] // wide)[:len(code)])
     for i, j in zip(cuts, np.append(cuts[1:], len(code)), strict=True):
         k = int(code[i] // wide)
-        raw = np.diff(code[i:j] - k * wide, prepend=0).astype("<i4").tobytes() + n[i:j].astype("<i8").tobytes()
-        yield k, side, j - i, zstandard.compress(raw, 1)
+        yield k, side, j - i, _packed_counts(code[i:j] - k * wide, n[i:j])
+
+
+def _packed_counts(code: np.ndarray, n: np.ndarray) -> bytes:
+    """Sorted codes and their counts, these in as many bytes (1, 2, 4 or 8) as the largest needs."""
+    most = int(n.max())
+    width = next(w for w in (1, 2, 4, 8) if most < 1 << (8 * w))
+    return zstandard.compress(np.diff(code, prepend=0).astype("<i4").tobytes() + n.astype(f"<u{width}").tobytes(), 1)
 
 
 def _unpacked(size: int, packed: bytes) -> tuple[np.ndarray, np.ndarray]:
     raw = zstandard.decompress(packed)
-    return np.cumsum(np.frombuffer(raw, "<i4", size).astype(np.int64)), np.frombuffer(raw, "<i8", size, 4 * size)
+    n = np.frombuffer(raw, f"<u{len(raw) // size - 4}", size, 4 * size)
+    return np.cumsum(np.frombuffer(raw, "<i4", size), dtype=np.int64), n.astype(np.int64)
 
 
 def _rows(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
@@ -528,8 +543,7 @@ def _merge_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
 
     def merged():
         code, n = _summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
-        raw = np.diff(code, prepend=0).astype("<i4").tobytes() + n.astype("<i8").tobytes()
-        return *at, len(code), zstandard.compress(raw, 1)
+        return *at, len(code), _packed_counts(code, n)
 
     for k, side, size, packed in _rows(batches, "_range", "_side", "_size", "_packed"):
         if at != (k, side):

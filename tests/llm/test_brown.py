@@ -239,3 +239,26 @@ def test_words_met_apart_in_a_text_count_once_each(docs, monkeypatch):
     got = {r.doc_id: r for r in brown.score(docs(rows), F.col("doc_id") != 5).collect()}
     assert got[3].n_known == got[4].n_known == 261 and got[3].base_score == pytest.approx(got[4].base_score, rel=1e-12)
     assert (got[5].n_tokens, got[5].n_known) == (4, 3)
+
+
+@pytest.mark.parametrize("most", [1, 255, 256, 70_000, 1 << 40])
+def test_counts_are_packed_as_wide_as_they_need(most):
+    rng = np.random.default_rng(8)
+    code = np.unique(np.append(rng.integers(0, 1 << 24, 500), [0, (1 << 24) - 1]))
+    n = rng.integers(1, most + 1, len(code))
+    n[3] = most
+    got = brown._unpacked(len(code), brown._packed_counts(code, n))
+    assert (got[0] == code).all() and (got[1] == n).all() and got[0].dtype == got[1].dtype == np.int64
+
+
+@pytest.mark.parametrize("high,most", [(9, 1), (1 << 30, 300), (1 << 50, 1 << 20)])
+def test_counts_of_equal_codes_are_summed(high, most):
+    rng = np.random.default_rng(9)
+    code, n = rng.integers(0, high, 400), rng.integers(0, most + 1, 400)
+    code[50:90] = code[10]
+    want = Counter()
+    for c, m in zip(code.tolist(), n.tolist(), strict=True):
+        want[c] += m
+    got = brown._summed(code, n)
+    assert dict(zip(*(x.tolist() for x in got), strict=True)) == want and (np.diff(got[0]) > 0).all()
+    assert [len(x) for x in brown._summed(code[:0], n[:0])] == [0, 0]
