@@ -9,7 +9,7 @@ by the JVM in one call. The semantics are identical to the Column builders in ``
 from __future__ import annotations
 
 from . import fields as FT
-from .fields import MAX_LINE, WIRE_BYTES
+from .fields import WIRE_BYTES
 
 _BLANK = r"[ \t\n\x0B\f\r]*"
 DOUBLE_RE = "^" + _BLANK + r"([+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:inf(?:inity)?|nan)))"
@@ -25,29 +25,26 @@ def dbl(x: float) -> str:
     return f"CAST({lit(repr(float(x)))} AS DOUBLE)"
 
 
-def padded_hex(body: str = "body") -> str:
-    return f"rpad(hex({body}), {2 * MAX_LINE}, '0')"
-
-
-def le_int(hx: str, offset: int, wire: str) -> str:
+def le_int(body: str, offset: int, wire: str) -> str:
+    """Little-endian integer at a byte offset; bytes beyond the end count as zero. The text names ``body`` once a byte
+    and no value twice: inside a CASE nothing is shared, so what stands there twice is computed twice."""
     n = WIRE_BYTES[wire]
-    pieces = [f"substr({hx}, {2 * (offset + k) + 1}, 2)" for k in reversed(range(n))]
-    raw = f"CAST(conv({'concat(' + ', '.join(pieces) + ')' if n > 1 else pieces[0]}, 16, 10) AS BIGINT)"
+    pieces = ", ".join(f"substr({body}, {offset + k + 1}, 1)" for k in reversed(range(n)))
+    raw = f"CAST(conv(hex(concat(X'00', {pieces})), 16, 10) AS BIGINT)"
     if wire.startswith("i"):
-        half, full = 1 << (8 * n - 1), 1 << (8 * n)
-        raw = f"(CASE WHEN {raw} >= {half} THEN {raw} - {full} ELSE {raw} END)"
+        half = 1 << (8 * n - 1)
+        raw = f"(({raw} ^ {half}L) - {half}L)"
     return raw
 
 
 def ubx_values(message: str, compat: bool = True, body: str = "body") -> dict[str, str]:
     """Column name -> SQL of the decoded UBX fields (output order)."""
-    hx = padded_hex(body)
     raw, val = {}, {}
     for f in FT.UBX_FIELDS[message]:
         wire = f.wire
         if not compat and message == "NAV_PVT" and f.name in FT.PVT_SPEC_WIDTH:
             wire = FT.PVT_SPEC_WIDTH[f.name]
-        raw[f.name] = le_int(hx, 4 + f.offset, wire)
+        raw[f.name] = le_int(body, 4 + f.offset, wire)
     for f in FT.UBX_FIELDS[message]:
         r = raw[f.name]
         if f.kind == "int":
@@ -90,10 +87,15 @@ def fix_state_name(code: str) -> str:
     return case_name(code, FT.FIX_STATE_NAMES, FT.FIX_STATE_UNKNOWN)
 
 
-def nmea_values(message: str, body: str = "body") -> dict[str, str]:
-    """Column name -> SQL of the decoded NMEA fields (output order)."""
+def tokens(body: str = "body") -> str:
+    """The comma tokens of a sentence."""
+    return f"split(decode({body}, 'ISO-8859-1'), ',', -1)"
+
+
+def nmea_values(message: str, body: str = "body", toks: str | None = None) -> dict[str, str]:
+    """Column name -> SQL of the decoded NMEA fields (output order). ``toks`` names a column that holds the ``tokens``."""
     line = f"decode({body}, 'ISO-8859-1')"
-    toks = f"split({line}, ',', -1)"
+    toks = toks or tokens(body)
     val = {}
     for name, k, kind in FT.NMEA_FIELDS[message]:
         t = f"try_element_at({toks}, {k + 1})"
@@ -114,7 +116,7 @@ def nmea_values(message: str, body: str = "body") -> dict[str, str]:
     return {c: f"CAST({val[c]} AS {FT.spark_type(message, c).upper()})" for c in FT.NMEA_COLUMNS[message]}
 
 
-def values(message: str, compat: bool = True, body: str = "body") -> dict[str, str]:
+def values(message: str, compat: bool = True, body: str = "body", toks: str | None = None) -> dict[str, str]:
     if message in FT.UBX_FIELDS:
         return ubx_values(message, compat, body)
-    return nmea_values(message, body)
+    return nmea_values(message, body, toks)

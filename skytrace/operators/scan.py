@@ -1,128 +1,60 @@
-"""Running last non-null value per key, as a two-pass scan over physical ranges.
+"""Running last non-null value per key, by windows over bounded chunks of a key.
 
-Rows are range-partitioned and sorted by (keys, order) and written once with a running row number, so ranges
-are balanced whatever the order values are, and cut through a hot key. Pass one reduces each run of rows a
-task holds to the state that leaves its last key: "last non-null" is associative, so the state that enters a
-run is the last non-null of the earlier runs of its first key (a window over two rows a run). Pass two
-replays the rows from there. Values stay Arrow values of their own type. Null keys are one key.
+Keys of ordinary size are one window each. A hot key is cut into chunks of about ``CHUNK`` rows at order values
+drawn from a sample (whatever the values are, so chunks are balanced), and every chunk is a window of its own: no
+task holds more than a chunk of one key. "Last non-null" is associative, so the state that enters a chunk is the last
+non-null of the states that leave the earlier chunks of its key (one row a chunk). Rows of equal order are never cut
+apart; they go by a hash of their columns. Null keys are one key. All of it stays in the JVM.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from ..session import materialise
-from .thinning import _changes, _key
-
-_ROW, _IN = "_scan_row", "_scan_in_"
-
-
-def _column(batch: pa.RecordBatch, name: str):
-    return batch.column(batch.schema.get_field_index(name))
-
-
-def _filled(values: pa.Array, group: np.ndarray, carry: pa.Array) -> pa.Array:
-    """The last valid value of each row's group up to the row; in the first group, else ``carry`` (one element)."""
-    n = len(values)
-    at = np.where(np.asarray(values.is_valid()), np.arange(n), -1) if values.null_count else np.arange(n)
-    at = np.maximum.accumulate(at)
-    index = np.where(at >= group, at + 1, 0)
-    lost = (at < group) & (group > 0)
-    return pa.concat_arrays([carry, values]).take(pa.array(index, mask=lost if lost.any() else None))
-
-
-def _runs(batch: pa.RecordBatch, keys: list[str], key, expected) -> tuple[np.ndarray, np.ndarray]:
-    """(where a run of rows opens, first row of each row's group); a group that goes on from the last batch begins at 0."""
-    rows = np.asarray(_column(batch, _ROW))
-    opens = np.append(rows[0] != expected, rows[1:] != rows[:-1] + 1)
-    new = _changes(batch, keys)
-    new[0] = opens[0] or _key(batch, keys, 0) != key
-    return opens, np.maximum.accumulate(np.where(new | opens, np.arange(len(rows)), 0))
-
-
-def _summarise(keys: list[str], columns: list[str]):
-    """For each run of rows: its first key (_kind 0), and its last key with the state that leaves it (_kind 1)."""
-    names = [*keys, _ROW, "_kind", *columns]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, expected, state, place = None, None, None, None
-
-        def left():
-            return pa.RecordBatch.from_arrays([*place, pa.array([expected - 1]), pa.array([1], pa.int32()), *state], names=names)
-
-        for b in batches:
-            if not b.num_rows:
-                continue
-            opens, group = _runs(b, keys, key, expected)
-            cuts = np.append(np.flatnonzero(opens), b.num_rows)
-            if cuts[0] > 0:
-                cuts = np.append(0, cuts)
-            for i, j in zip(cuts[:-1], cuts[1:], strict=True):
-                part = b.slice(i, j - i)
-                if opens[i]:
-                    if state is not None:
-                        yield left()
-                    state = [pa.nulls(1, _column(b, c).type) for c in columns]
-                    first = part.slice(0, 1)
-                    yield pa.RecordBatch.from_arrays([*(_column(first, k) for k in keys), _column(first, _ROW),
-                                                      pa.array([0], pa.int32()), *state], names=names)
-                g = np.maximum(group[i:j] - i, 0)
-                if group[i] == i:  # another key, whatever went before
-                    state = [pa.nulls(1, s.type) for s in state]
-                state = [_filled(_column(part, c), g, s).slice(len(g) - 1) for c, s in zip(columns, state, strict=True)]
-                key, expected = _key(b, keys, int(j - 1)), int(np.asarray(_column(b, _ROW))[j - 1]) + 1
-                place = [_column(part, k).slice(len(g) - 1) for k in keys]
-        if state is not None:
-            yield left()
-
-    return run
 
+#: Rows of one key that a window holds, about; sampled rows a chunk; most chunks of a key (its rows search their chunk).
+CHUNK, SAMPLED, MOST_CHUNKS = 1 << 18, 64, 256
+_TIE, _CHUNK, _CUTS, _IN = "_scan_tie", "_scan_chunk", "_scan_cuts", "_scan_in_"
 
-def _replay(keys: list[str], columns: list[str], out: list[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, expected, state = None, None, None
-        for b in batches:
-            if not b.num_rows:
-                continue
-            opens, group = _runs(b, keys, key, expected)
-            cuts = np.append(np.flatnonzero(opens), b.num_rows)
-            if cuts[0] > 0:
-                cuts = np.append(0, cuts)
-            for i, j in zip(cuts[:-1], cuts[1:], strict=True):
-                part = b.slice(i, j - i)
-                g = np.maximum(group[i:j] - i, 0)
-                if opens[i]:
-                    state = [_column(part, _IN + c).slice(0, 1) for c in columns]
-                elif group[i] == i:
-                    state = [pa.nulls(1, s.type) for s in state]
-                filled = [_filled(_column(part, c), g, s) for c, s in zip(columns, state, strict=True)]
-                state = [f.slice(len(g) - 1) for f in filled]
-                by = dict(zip(columns, filled, strict=True))
-                yield pa.RecordBatch.from_arrays([by[c] if c in by else _column(part, c) for c in out], names=out)
-            key, expected = _key(b, keys, b.num_rows - 1), int(np.asarray(_column(b, _ROW))[-1]) + 1
 
-    return run
+def _cuts(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """For each hot key (its columns renamed), the order values at which a chunk begins. Written: a sample is drawn once."""
+    share = min(1.0, SAMPLED / CHUNK)
+    sample = df.select(*[F.col(k).alias(_IN + k) for k in keys], F.col(order).alias(_CUTS)).sample(share, seed=1)
+    drawn = sample.groupBy(*[_IN + k for k in keys]).agg(F.array_sort(F.collect_list(_CUTS)).alias(_CUTS))
+    each = F.greatest(F.lit(round(CHUNK * share)), F.ceil(F.size(_CUTS) / MOST_CHUNKS))
+    cuts = F.array_distinct(F.filter(_CUTS, lambda _, i: (i + 1) % each == 0))
+    return materialise(drawn.withColumn(_CUTS, cuts).filter(F.size(_CUTS) > 0), "scan-cuts")
 
 
 def running_last(df: DataFrame, keys: list[str], order: str, columns: list[str]) -> DataFrame:
     """``df`` with each of ``columns`` replaced by its last non-null value of the row's key up to the row, in ``order``.
 
-    The sorted rows are written to the shared folder when this is called.
+    A sample of the keys and orders is read when this is called.
     """
-    by = [F.col(c).asc_nulls_first() for c in (*keys, order)]
-    ranged = materialise(df.repartitionByRange(*by).sortWithinPartitions(*by)
-                         .withColumn(_ROW, F.monotonically_increasing_id()), "scan")
-    kinds = {f.name: f.dataType for f in df.schema}
-    spec = StructType([*(StructField(k, kinds[k]) for k in keys), StructField(_ROW, LongType()), StructField("_kind", IntegerType()),
-                       *(StructField(c, kinds[c]) for c in columns)])
-    states = ranged.select(*keys, _ROW, *columns).mapInArrow(_summarise(keys, columns), spec)
-    before = Window.partitionBy(*keys).orderBy(_ROW, "_kind").rowsBetween(Window.unboundedPreceding, -1)
-    entries = (states.select(_ROW, "_kind", *[F.last(c, ignorenulls=True).over(before).alias(_IN + c) for c in columns])
-               .filter("_kind = 0").drop("_kind"))  # a row for each run of rows that a task reads
-    return ranged.join(F.broadcast(entries), _ROW, "left").mapInArrow(_replay(keys, columns, df.columns), df.schema)
+    names = df.columns
+    cuts = _cuts(df, keys, order)
+    hot = not cuts.isEmpty()
+    df = df.withColumn(_TIE, F.xxhash64(*[c for c in names if c not in (*keys, order)]))
+    if hot:
+        of = [F.col(k).eqNullSafe(F.col(_IN + k)) for k in keys]
+        begun = F.size(F.filter(_CUTS, lambda c: c <= F.col(order)))
+        df = (df.join(F.broadcast(cuts), of, "left")
+              .select(*names, _TIE, F.when(F.col(_CUTS).isNotNull(), begun).alias(_CHUNK)))
+    own = [*keys, _CHUNK] if hot else keys
+    upto = (Window.partitionBy(*own).orderBy(F.col(order).asc_nulls_first(), _TIE)
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    carried = df.select(*[F.last(c, ignorenulls=True).over(upto).alias(c) if c in columns else F.col(c) for c in names],
+                        *([_CHUNK] if hot else []))
+    if not hot:
+        return carried
+    place = F.struct(order, _TIE)
+    left = df.filter(F.col(_CHUNK).isNotNull()).groupBy(*own).agg(
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), place)).alias(c) for c in columns])
+    before = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    entries = left.select(*[F.col(k).alias(_IN + k) for k in own], *[F.last(c, ignorenulls=True).over(before).alias(_IN + c) for c in columns])
+    of = [F.col(k).eqNullSafe(F.col(_IN + k)) for k in keys] + [F.col(_CHUNK) == F.col(_IN + _CHUNK)]
+    return carried.join(F.broadcast(entries), of, "left").select(
+        *[F.coalesce(F.col(c), F.col(_IN + c)).alias(c) if c in columns else F.col(c) for c in names])

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import fields as FT
 from ..functions import sqltext
 from ..functions.fields import RING_CAPACITY
 from ..session import materialise
@@ -21,24 +22,32 @@ def latest_state(classified: DataFrame, selection: dict[str, list[str]], per_fie
     behaviour); ``per_field=False`` takes the latest record of each message as a whole.
     Output columns: keys, ``seq``, ``ts_us``, ``<message>_<field>``.
 
-    Frames are decoded once; the carry is a two-pass scan over physical ranges (``scan``), so no task
-    holds more than a range of one key, however hot the device and whatever its sequence numbers.
+    Frames are decoded once, each message as one struct, and carried by windows over bounded chunks of a device
+    (``scan``), however hot it is and whatever its sequence numbers. The fields of a UBX frame that parses are never null
+    (fixed layout, bytes beyond the end are zeros), so they are carried together in both modes.
     """
     keys = list(keys)
-    ok = F.col("parse_result") == "OK"
-    columns = []
-    for msg, fields in selection.items():
-        vals = sqltext.values(msg, compat)
-        hit = ok & (F.col("message") == msg)
-        if per_field:
-            columns += [F.when(hit, F.expr(vals[f])).alias(f"{msg}_{f}") for f in fields]
+    rows, columns, whole = decoded_frames(classified, selection, per_field, compat)
+    carried = running_last(rows.select(*keys, order, "ts_us", *columns), keys, order, columns)
+    return carried.select(*keys, order, "ts_us", *[(F.col(f"`{m}`.`{f}`") if m in whole else F.col(f"`{m}_{f}`")).alias(f"{m}_{f}")
+                                                   for m, fl in selection.items() for f in fl])
+
+
+def decoded_frames(classified: DataFrame, selection: dict[str, list[str]], per_field: bool, compat: bool):
+    """(frames with decoded columns that are null but on frames of their message, names of these columns, messages that
+    are one struct column). The others have a column ``<message>_<field>`` for each field. Sentences are split into tokens once."""
+    hit = {m: (F.col("parse_result") == "OK") & (F.col("message") == m) for m in selection}
+    whole = [m for m, fields in selection.items() if fields and (not per_field or m in FT.UBX_FIELDS)]
+    nmea = (F.col("parse_result") == "OK") & F.col("message").isin([m for m in selection if m not in FT.UBX_FIELDS])
+    columns = {}
+    for m, fields in selection.items():
+        vals = sqltext.values(m, compat, toks="_tokens")
+        if m in whole:
+            columns[m] = F.when(hit[m], F.expr("named_struct(" + ", ".join(f"'{f}', {vals[f]}" for f in fields) + ")"))
         else:
-            columns.append(F.when(hit, F.expr("named_struct(" + ", ".join(f"'{f}', {vals[f]}" for f in fields) + ")")).alias(msg))
-    rows = classified.select(*keys, order, "ts_us", *columns)
-    carried = running_last(rows, keys, order, rows.columns[len(keys) + 2:])
-    if per_field:
-        return carried
-    return carried.select(*keys, order, "ts_us", *[F.col(m)[f].alias(f"{m}_{f}") for m, fl in selection.items() for f in fl])
+            columns |= {f"{m}_{f}": F.when(hit[m], F.expr(vals[f])) for f in fields}
+    rows = classified.withColumn("_tokens", F.when(nmea, F.expr(sqltext.tokens())))
+    return rows.select(*classified.columns, *[v.alias(c) for c, v in columns.items()]), list(columns), whole
 
 
 def _ranked(df: DataFrame, keys, order):

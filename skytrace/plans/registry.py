@@ -153,7 +153,7 @@ def q_parse_result_names(spark, sf):
 
 
 def _le(offset: int, wire: str) -> F.Column:
-    return F.expr(sqltext.le_int(sqltext.padded_hex(), offset, wire))
+    return F.expr(sqltext.le_int("body", offset, wire))
 
 
 def _decode_query(message):

@@ -2,6 +2,11 @@
 
 import random
 
+import pytest
+
+from skytrace.functions import fields as FT
+from skytrace.functions import sqltext
+from skytrace.operators import scan
 from skytrace.operators.classify import classify
 from skytrace.operators.scan import running_last
 from skytrace.operators.state import elapsed_us, latest_state
@@ -66,3 +71,36 @@ def test_elapsed(spark):
     df = spark.createDataFrame([(1, 1, 100), (1, 2, 150), (2, 5, 7), (1, 3, 90)], "device_id long, seq long, ts_us long")
     got = {(r.device_id, r.seq): r.elapsed_us for r in elapsed_us(df).collect()}
     assert got == {(1, 1): 0, (1, 2): 50, (1, 3): -10, (2, 5): 0}
+
+
+def test_hot_keys_are_cut_into_chunks(spark, monkeypatch):
+    """Chunks of about eight rows: null keys, null and equal orders, columns that are null throughout a chunk."""
+    rng = random.Random(11)
+    rows = [(rng.choice([None, 1, 1, 1, 2, 3]), rng.choice([i, i, 2 ** 60 + i]), rng.choice([None] * 9 + [i / 7]),
+             rng.choice([None, f"s{i}"]), rng.choice([None] * 20 + [(i, None)])) for i in range(400)]
+    rows += [(1, None, 0.5, "first", None), (9, 5, 1.0, None, None)]
+    rows += [(1, 200, i / 3, None, (i, "tie")) for i in range(30)]
+    df = spark.createDataFrame(rows, "k long, seq long, a double, b string, c struct<x:long,y:string>").repartition(5)
+    whole = sorted(map(tuple, running_last(df, ["k"], "seq", ["a", "b", "c"]).collect()), key=repr)
+    monkeypatch.setattr(scan, "CHUNK", 8)
+    cut = running_last(df, ["k"], "seq", ["a", "b", "c"])
+    assert sorted(map(tuple, cut.collect()), key=repr) == whole and "_scan_chunk" in cut._jdf.queryExecution().toString()
+    ties = [r for r in whole if r[:2] == (1, 200)]
+    assert len(whole) == len(rows) and len({r[2] for r in ties}) >= 30  # every tied row is a step of the fold
+    want, last = [], {}
+    for k, seq, *values in sorted((r for r in rows if r[1] != 200), key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or 0)):
+        now = last.setdefault(k, [None] * 3)
+        last[k] = now = [old if v is None else v for old, v in zip(now, values, strict=True)]
+        if seq is None or seq < 200:
+            want.append((k, seq, *now))
+    got = [(*r[:4], r[4] and tuple(r[4])) for r in whole if r[1] is None or r[1] < 200]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert running_last(df.limit(0), ["k"], "seq", ["a"]).collect() == []
+
+
+@pytest.mark.parametrize("per_field", [True, False])
+def test_frames_are_decoded_and_carried_in_the_jvm(spark, per_field):
+    """All 105 fields: no row goes through Python, and the decode text names no value twice."""
+    df = latest_state(_cls(spark), {m: FT.columns(m) for m in FT.ALL_MESSAGES}, per_field=per_field)
+    assert "MapInArrow" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert sqltext.ubx_values("NAV_PVT")["velN"].count("body") == 4  # one substr a byte
