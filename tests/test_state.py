@@ -104,3 +104,15 @@ def test_frames_are_decoded_and_carried_in_the_jvm(spark, per_field):
     df = latest_state(_cls(spark), {m: FT.columns(m) for m in FT.ALL_MESSAGES}, per_field=per_field)
     assert "MapInArrow" not in df._jdf.queryExecution().optimizedPlan().toString()
     assert sqltext.ubx_values("NAV_PVT")["velN"].count("body") == 4  # one substr a byte
+
+
+def test_fields_of_a_ubx_frame_are_never_null(spark):
+    """Also where the frame is short: bytes beyond its end are zeros. So a message is carried as one struct."""
+    ubx = {m: FT.columns(m) for m in FT.UBX_FIELDS}
+    rows = [(i, i, 1, m, "OK", bytes([1, 7, 0, 0, *[255] * n])) for i, (m, n) in enumerate((m, n) for m in ubx for n in (0, 1, 7, 23, 300))]
+    c = spark.createDataFrame(rows, "device_id long, seq long, ts_us long, message string, parse_result string, body binary")
+    one, other = (sorted(map(tuple, latest_state(c, ubx, per_field=p).collect())) for p in (True, False))
+    assert one == other and len(one) == len(rows)
+    for r in one:
+        own = [r[3 + i] for i, (m, f) in enumerate((m, f) for m in ubx for f in ubx[m]) if m == rows[r[0]][3]]
+        assert None not in own
