@@ -39,6 +39,7 @@ SERIES_N = 3           # ring capacity used by the checks, small so that rows ar
 RESAMPLE_US = 6 * HOUR_US
 STREAM_GAP_US = 6 * HOUR_US
 LANDING_FILES = 2      # files per drop and per trigger of the streaming checks
+LANDING_GROUP = 8 << 20
 DOWNSAMPLE_HZ = 1.0 / 3600.0
 PACK_US = DAY_US
 
@@ -250,7 +251,8 @@ def _landing(spark, sf, name):
     hi = F.unix_micros(F.lit("2024-01-21 00:00:00").cast("timestamp"))
     # frames without a time (a live source's) arrive first
     for cond in [F.col("ts_us").isNull() | (F.col("ts_us") < lo), (F.col("ts_us") >= lo) & (F.col("ts_us") < hi), F.col("ts_us") >= hi]:
-        f.filter(cond).repartition(2).write.mode("append").parquet(land)
+        # small row groups: a file is read by many tasks
+        f.filter(cond).repartition(2).write.option("parquet.block.size", LANDING_GROUP).mode("append").parquet(land)
     return land
 
 

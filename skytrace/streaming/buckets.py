@@ -22,14 +22,15 @@ _NULL = "_null_"
 _NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
 
-def dense(df: DataFrame) -> DataFrame:
-    """Numbers without nulls, and flags where nulls were: pandas would turn a column of longs with a null into doubles."""
-    numbers = [c for c, t in df.dtypes if t in _NUMBERS]
-    return df.select(*[F.coalesce(F.col(c), F.lit(0).cast(t)).alias(c) if t in _NUMBERS else F.col(c) for c, t in df.dtypes],
+def dense(df: DataFrame, asis: tuple = ()) -> DataFrame:
+    """Numbers without nulls, and flags where nulls were: pandas would turn a column of longs with a null into doubles.
+    Columns named in ``asis`` stay as they are."""
+    numbers = [c for c, t in df.dtypes if t in _NUMBERS and c not in asis]
+    return df.select(*[F.coalesce(F.col(c), F.lit(0).cast(t)).alias(c) if c in numbers else F.col(c) for c, t in df.dtypes],
                      *[F.col(c).isNull().alias(_NULL + c) for c in numbers])
 
 
-def restored(rows: DataFrame, df: DataFrame, *more: str) -> DataFrame:
+def restored(rows: DataFrame, df: DataFrame, *more) -> DataFrame:
     """The columns of ``df`` from ``dense`` rows, and ``more`` of theirs as they are."""
     return rows.select(*[F.when(~F.col(_NULL + c), F.col(c)).alias(c) if t in _NUMBERS else F.col(c) for c, t in df.dtypes], *more)
 

@@ -5,9 +5,12 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from skytrace.functions import fields as FT
+from skytrace.operators.state import latest_state
 from skytrace.operators.thinning import fold_keep
 from skytrace.session import scratch_path
-from skytrace.streaming.state import current_records, latest_records, rocksdb_state, thin_events
+from skytrace.streaming import state
+from skytrace.streaming.state import current_records, latest_records, latest_state_stream, rocksdb_state, thin_events
 from skytrace.streaming.stream import thin_stream
 
 GAP, BUCKETS = 25, 8
@@ -72,3 +75,32 @@ def test_newest_records_of_buckets(spark, rows):
     assert state <= BUCKETS
     now = [(r.device_id, r.message, r.seq, r.idx) for r in current_records(got, keys).collect()]
     assert sorted(now, key=_key) == sorted(((*r[:3], i) for own in _by_key(rows).values() for i, r in enumerate(own[-3:])), key=_key)
+
+
+@pytest.mark.parametrize("per_field", [True, False])
+def test_latest_state_of_buckets_equals_the_batch(spark, monkeypatch, per_field):
+    """All fields over three micro-batches, many keys a group: missing tokens, NaN, null devices, frames that do not
+    parse, rows that leave in several pieces."""
+    monkeypatch.setattr(state, "_PIECE", 16)
+    rng = random.Random(3)
+    sentences = [b"GGA,1", b"GGA,101010.00,4503.1,N,00700.5,E,4,08,nan,2.5,M,46.9,M,,0000", b"GGA,,,,,", b"VTG,nan,T,3.5,M,1,N,7,K", b"VTG",
+                 b"GSA,A,3,01,02,,,,,,,,,,,1.5,inf,2", b"GSA,"]
+    messages = [*FT.UBX_FIELDS, "UBX", "GGA", "GGA", "GGA", "VTG", "GSA", None]
+    rows = []
+    for i in range(1500):
+        m = rng.choice(messages)
+        body = rng.randbytes(rng.choice([6, 40, 100])) if m in FT.UBX_FIELDS else rng.choice([s for s in sentences if m and s[:3] == m.encode()] or [b"x"])
+        rows.append((rng.choice([None, *[2 ** 53 + d for d in range(60)]]), m, 2 ** 60 + i, rng.choice([None, 2 ** 55 + i]), body))
+    drops = [rows[i:i + 500] for i in (0, 500, 1000)]
+
+    def parsed(df):
+        return df.withColumn("parse_result", F.when(F.col("seq") % 7 != 0, "OK").otherwise("CHECKSUM"))
+
+    every = {m: FT.columns(m) for m in FT.ALL_MESSAGES}
+    got, kept = _run(spark, drops, f"latest-{per_field}", lambda df: latest_state_stream(parsed(df), every, per_field, buckets=BUCKETS))
+    want = latest_state(parsed(spark.createDataFrame(rows, SCHEMA)), every, per_field)
+    assert got.dtypes == want.dtypes
+    got, want = (sorted(map(_key, df.collect())) for df in (got, want))
+    assert got == want and len(got) == len(rows)
+    assert sum("nan" in r for r in got) > 50
+    assert kept <= BUCKETS  # one a key before
