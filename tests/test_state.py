@@ -98,6 +98,13 @@ def test_hot_keys_are_cut_into_chunks(spark, monkeypatch):
     assert running_last(df.limit(0), ["k"], "seq", ["a"]).collect() == []
 
 
+def test_state_is_kept_over_any_number_of_rows(spark):
+    """A key with more rows than an Arrow batch holds (10,000) in one task: the carry lost its state between batches."""
+    df = spark.range(0, 12_000, 1, 1).selectExpr("1L AS k", "id AS seq", "CASE WHEN id IN (3, 11000) THEN id END AS a")
+    got = running_last(df, ["k"], "seq", ["a"]).groupBy("a").count().collect()
+    assert {(r.a, r["count"]) for r in got} == {(None, 3), (3, 10_997), (11_000, 1000)}
+
+
 @pytest.mark.parametrize("per_field", [True, False])
 def test_frames_are_decoded_and_carried_in_the_jvm(spark, per_field):
     """All 105 fields: no row goes through Python, and the decode text names no value twice."""
